@@ -21,7 +21,7 @@ class AnomalyRules:
 
 
 BASELINE_KEYS = ("symbol", "interval")
-_INPUT = ("symbol", "interval", "window_start", "high", "low", "close", "volume")
+BASELINE_INPUT = ("symbol", "interval", "window_start", "high", "low", "close", "volume")
 
 
 def z_score(value: Column, mean: Column, deviation: Column, constant: Column) -> Column:
@@ -34,13 +34,16 @@ def z_score(value: Column, mean: Column, deviation: Column, constant: Column) ->
     return F.when(constant | deviation.isNull() | (deviation <= 0), F.lit(0.0)).otherwise(score)
 
 
-def with_baseline(candles: DataFrame, rules: AnomalyRules = AnomalyRules()) -> DataFrame:
+def with_baseline(
+    candles: DataFrame, rules: AnomalyRules = AnomalyRules(), keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Each candle with mean, deviation and count over the candles before it, and the last close.
 
+    ``keep`` names further columns to carry along.
     The window runs per (symbol, interval, month) with the last candles of earlier months
     carried in, so a long history is spread over tasks.
     """
-    data = candles.select(*_INPUT, (F.col("high") - F.col("low")).alias("range"))
+    data = candles.select(*BASELINE_INPUT, *keep, (F.col("high") - F.col("low")).alias("range"))
     data = with_history(
         data, BASELINE_KEYS, "window_start", calendar_segment("window_start"), rules.window_size
     )

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators.segments import running_max, sequence_segment
+from tidemark.operators.segments import SEQUENCE_WIDTH, running_max, sequence_segment
 
 GAP_EXCHANGES = ("binance",)
 
@@ -15,7 +15,7 @@ def sequence_gaps(
     deltas: DataFrame,
     order: str = "kafka_offset",
     session: str | None = None,
-    segment_width: int | None = None,
+    segment_width: int = SEQUENCE_WIDTH,
 ) -> DataFrame:
     """Check each delta against the highest final id seen before it in its stream.
 
@@ -24,13 +24,12 @@ def sequence_gaps(
     makes the detector's state a running maximum, computed per offset range with a carry.
     """
     keys: Sequence[str] = ["exchange", "symbol", *([session] if session else [])]
-    segment = sequence_segment(order, segment_width) if segment_width else sequence_segment(order)
     checked = running_max(
         deltas.filter(F.col("exchange").isin(*GAP_EXCHANGES)),
         keys,
         order,
         F.col("final_update_id"),
-        segment,
+        sequence_segment(order, segment_width),
         "previous_final_id",
     )
     missing = F.col("first_update_id") - F.col("previous_final_id") - 1
