@@ -131,7 +131,7 @@ def candle_checks(fct_candle: DataFrame) -> DataFrame:
         F.count_if(~_consistent(*OHLC_MART)).alias("ohlc_inconsistent"),
     )
     gaps = minute_gaps(fct_candle).agg(F.count(F.lit(1)).alias("minute_gaps"))
-    return _check_rows(totals.join(gaps), [  # two one-row frames
+    return _check_rows(totals.withColumn("minute_gaps", gaps.scalar()), [
         ("row_count", "row_count", F.col("row_count") >= 1),
         ("missing_symbol", "missing_symbol", _none("missing_symbol")),
         ("missing_interval", "missing_interval", _none("missing_interval")),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark import schemas
@@ -180,14 +182,14 @@ def recent_anomalies(explanations: DataFrame, symbol: str | None = None, limit:
     return rows.orderBy(F.col("detected_at").desc(), "anomaly_id").limit(clamp_limit(limit, ANOMALY_LIMIT))
 
 
-def matching_subscribers(candles: DataFrame, subscriptions: DataFrame) -> DataFrame:
-    """Sealed candles with each subscriber that takes them: no symbol filter, or the same symbol.
+def matching_subscribers(candles: DataFrame, subscriptions: DataFrame, symbols: Sequence[str]) -> DataFrame:
+    """Candles with each subscriber that takes them: (subscriber, symbol), a null symbol takes all.
 
-    Two equi joins instead of one join on an OR: subscribers to one symbol, and subscribers to
-    all (joined on a constant key per candle symbol).
+    A subscriber to all is written out over the listed ``symbols``, which leaves one equi join.
     """
-    named = subscriptions.filter(F.col("symbol").isNotNull())
-    wildcard = subscriptions.filter(F.col("symbol").isNull()).select("subscriber")
-    universe = candles.select("symbol").distinct()
-    everything = universe.join(wildcard)
-    return candles.join(named.unionByName(everything), "symbol")
+    every = F.array(*[F.lit(s) for s in symbols])
+    wanted = subscriptions.select(
+        "subscriber",
+        F.explode(F.when(F.col("symbol").isNull(), every).otherwise(F.array("symbol"))).alias("symbol"),
+    )
+    return candles.join(wanted, "symbol")

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import schemas
-from tidemark.operators import anomalies as a
-from tidemark.operators import backtest, books, candles as c, lake, metrics
+from tidemark.operators import backtest, candles as c, lake, metrics
 from tidemark.plans import oracle as o
 from tidemark.plans.core import VOLATILITY_SQL
 from tidemark.plans.detection import (
@@ -126,15 +123,12 @@ SELECT symbol, window_start AS key_start, CASE "interval" WHEN 'M1' THEN 'candle
 def decoded_candle_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candles of all intervals written as log records and decoded from key and value again."""
     records = s.candle_records(c.candle_pyramid(market.trades(spark, sf_dir)))
-    decoded = s.candles_of(records.withColumn("offset", F.lit(0)))
-    keys = records.select(s.windowed_key_start(F.col("key")).alias("key_start"))
-    del keys
     return records.select(
         s.decode_windowed_key(F.col("key")).alias("symbol"),
         s.windowed_key_start(F.col("key")).alias("key_start"),
         "topic",
         *[F.col(f"value.{n}").alias(n) for n in ("open", "high", "low", "close", "trade_count")],
-    ) if decoded.columns else records
+    )
 
 
 # --- the lake ----------------------------------------------------------------------------------

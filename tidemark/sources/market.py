@@ -164,20 +164,23 @@ def _frames(rows: DataFrame, body: F.Column) -> DataFrame:
     return rows.select(F.to_json(body).alias("value"), "ingest_time", "kafka_offset")
 
 
+ITEMS_PER_FEED = 50
+
+
 def headline_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages as RSS documents (asset, doc, fetched): one item per page, assets dealt by language."""
-    title = F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1)
-    asset = (
-        F.when(F.col("lang") == "en", "BTC")
-        .when(F.col("lang") == "fr", "ETH")
-        .when(F.col("lang") == "de", "SOL")
-        .otherwise("XRP")
-    )
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    return pages.select(
-        F.col("page_id").alias("feed_seq"),
-        F.regexp_extract("html", '<html lang="([a-z]*)"', 1).alias("lang"),
-        F.concat(
-            F.lit("<rss><channel><item><title>"), title, F.lit("</title></item></channel></rss>")
-        ).alias("doc"),
-    ).select("feed_seq", asset.alias("asset"), "doc")
+    """Pages as RSS documents (asset, feed_seq, doc): an item per page title, a document per
+    asset and 50 consecutive page ids. The asset follows from the page's language."""
+    lang = F.regexp_extract("html", '<html lang="([a-z]*)"', 1)
+    asset = F.when(lang == "en", "BTC").when(lang == "fr", "ETH").when(lang == "de", "SOL").otherwise("XRP")
+    items = spark.read.parquet(f"{sf_dir}/pages.parquet").select(
+        asset.alias("asset"),
+        F.floor(F.col("page_id") / ITEMS_PER_FEED).alias("feed_seq"),
+        F.struct("page_id", F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1).alias("title")).alias("item"),
+    )
+    documents = items.groupBy("asset", "feed_seq").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    body = F.array_join(
+        F.transform("items", lambda i: F.concat(F.lit("<item><title>"), i["title"], F.lit("</title></item>"))), ""
+    )
+    return documents.select(
+        "asset", "feed_seq", F.concat(F.lit("<rss><channel>"), body, F.lit("</channel></rss>")).alias("doc")
+    )

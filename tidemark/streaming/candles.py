@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark import schemas
 from tidemark.operators import candles as c
+from tidemark.operators.serving import matching_subscribers
 
 # The volatility table has no lateness bound of its own; state is kept this long.
 VOLATILITY_DELAY = "1 day"
@@ -58,10 +61,6 @@ def without_repeats(trades: DataFrame, delay: str = "10 seconds") -> DataFrame:
     )
 
 
-def push_feed(candles: DataFrame, subscriptions: DataFrame) -> DataFrame:
-    """Sealed candles per subscriber: subscribers without a symbol take all (stream-static joins)."""
-    symbols = subscriptions.select("subscriber", F.col("symbol").alias("wanted"))
-    named = candles.join(symbols.filter("wanted IS NOT NULL"), F.col("symbol") == F.col("wanted"))
-    everyone = symbols.filter("wanted IS NULL").agg(F.collect_set("subscriber").alias("all"))
-    to_all = candles.select("*", F.explode(everyone.scalar()).alias("subscriber"))
-    return named.drop("wanted").unionByName(to_all)
+def push_feed(candles: DataFrame, subscriptions: DataFrame, symbols: Sequence[str]) -> DataFrame:
+    """Sealed candles per subscriber, as a stream-static equi join."""
+    return matching_subscribers(candles, subscriptions, symbols)
