@@ -27,17 +27,19 @@ def headlines(feeds: DataFrame, limit: int = text.MAX_HEADLINES) -> DataFrame:
     return latest.select("asset", text.feed_titles(F.col("doc"), limit).alias("news_headlines"))
 
 
+def _pending_columns() -> list[Column]:
+    empty = {"key_factors": F.array(), "news_headlines": F.array()}
+    columns = [
+        F.coalesce("candle_interval", F.lit("M1")).alias(n) if n == "candle_interval" else F.col(n) for n in _DETECTED
+    ]
+    return columns + [
+        empty.get(n, F.lit(None)).cast(schemas.EXPLANATION[n].dataType).alias(n) for n in _ANSWERED
+    ]
+
+
 def pending(anomalies: DataFrame) -> DataFrame:
     """Anomalies as rows of the explanation table, not yet explained."""
-    empty = {
-        "explanation": F.lit(None), "key_factors": F.array(), "news_headlines": F.array(),
-        "model_used": F.lit(None), "explained_at": F.lit(None), "prompt_tokens": F.lit(None),
-        "completion_tokens": F.lit(None),
-    }
-    columns = [F.coalesce("candle_interval", F.lit("M1")).alias(n) if n == "candle_interval" else F.col(n)
-               for n in _DETECTED]
-    columns += [value.cast(schemas.EXPLANATION[n].dataType).alias(n) for n, value in empty.items()]
-    return anomalies.select(*columns)
+    return anomalies.select(*_pending_columns())
 
 
 def with_prompts(anomalies: DataFrame, news: DataFrame) -> DataFrame:
@@ -101,17 +103,30 @@ def answers(
     return _external_answers(prompted, complete) if complete else _template_answers(prompted)
 
 
-def explained(answered: DataFrame, model: str, at: Column | None = None) -> DataFrame:
-    """Answered anomalies as rows of the explanation table; failed ones are left out."""
-    parsed = answered.filter(F.col("error_kind").isNull()).withColumn("_answer", text.parse_answer(F.col("text")))
-    filled = parsed.withColumns({
-        "explanation": F.col("_answer.explanation"),
-        "key_factors": F.col("_answer.key_factors"),
+def saves_of(answered: DataFrame, model: str, at: Column | None = None) -> DataFrame:
+    """The log of saves: every anomaly pending (seq 0), then explained if it was answered (seq 1).
+
+    Both saves of an anomaly come out of one row, so the answers are computed once.
+    """
+    parsed = answered.select("*", F.explode(F.array(text.parse_answer(F.col("text")))).alias("answer"))
+    filled = {
+        "explanation": F.col("answer.explanation"),
+        "key_factors": F.col("answer.key_factors"),
+        "news_headlines": F.col("news_headlines"),
         "model_used": F.lit(model),
         "explained_at": F.current_timestamp() if at is None else at,
-        "candle_interval": F.coalesce("candle_interval", F.lit("M1")),
-    })
-    return filled.select(*schemas.EXPLANATION.fieldNames())
+        "prompt_tokens": F.col("prompt_tokens"),
+        "completion_tokens": F.col("completion_tokens"),
+    }
+    pending_columns = _pending_columns()
+    explained = pending_columns[: len(_DETECTED)] + [
+        filled[n].cast(schemas.EXPLANATION[n].dataType).alias(n) for n in _ANSWERED
+    ]
+    saves = F.array_compact(F.array(
+        F.struct(*pending_columns, F.lit(0).alias("seq")),
+        F.when(F.col("error_kind").isNull(), F.struct(*explained, F.lit(1).alias("seq"))),
+    ))
+    return parsed.select(F.inline(saves))
 
 
 def explain_anomalies(
@@ -121,11 +136,8 @@ def explain_anomalies(
     model: str = TEMPLATE_MODEL,
     at: Column | None = None,
 ) -> DataFrame:
-    """The log of saves: every anomaly pending (seq 0), then explained where there is an answer (seq 1)."""
-    answered = answers(anomalies, news, complete)
-    return pending(anomalies).withColumn("seq", F.lit(0)).unionByName(
-        explained(answered, model, at).withColumn("seq", F.lit(1))
-    )
+    """Ask for an explanation of every anomaly and return the log of saves."""
+    return saves_of(answers(anomalies, news, complete), model, at)
 
 
 def upsert_explanations(saves: DataFrame, order: str = "seq") -> DataFrame:

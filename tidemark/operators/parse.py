@@ -56,13 +56,17 @@ def _extra(frames: DataFrame) -> list[str]:
     return [c for c in frames.columns if c not in ("value", "exchange")]
 
 
+def _parsed(frames: DataFrame, parsed: Column) -> DataFrame:
+    """The fields of a parsed struct as columns.
+
+    A generator, not a projection: Catalyst would copy the parse into every later filter on it.
+    """
+    return frames.select(*_extra(frames), F.inline(F.array(parsed)))
+
+
 def _binance(frames: DataFrame, kind: str) -> DataFrame:
     data = F.from_json("value", _BINANCE_WIRE)["data"].cast(_BINANCE_NAMED)
-    return (
-        frames.select(*_extra(frames), data.alias("data"))
-        .filter(F.col("data.kind") == kind)
-        .select(*_extra(frames), F.lit("binance").alias("exchange"), "data.*")
-    )
+    return _parsed(frames, data).filter(F.col("kind") == kind).withColumn("exchange", F.lit("binance"))
 
 
 def binance_trades(frames: DataFrame) -> DataFrame:
@@ -105,9 +109,9 @@ def binance_depth(frames: DataFrame) -> DataFrame:
 def _coinbase(frames: DataFrame, wire: str, channel: str) -> DataFrame:
     """One row per event of the channel, snapshots left out."""
     return (
-        frames.select(*_extra(frames), F.from_json("value", wire).alias("frame"))
-        .filter(F.col("frame.channel") == channel)
-        .select(*_extra(frames), "frame", F.explode("frame.events").alias("event"))
+        _parsed(frames, F.from_json("value", wire))
+        .filter(F.col("channel") == channel)
+        .withColumn("event", F.explode("events"))
         .filter(~F.col("event.type").eqNullSafe("snapshot"))
     )
 
@@ -140,7 +144,7 @@ def coinbase_l2(frames: DataFrame) -> DataFrame:
             ),
         )
 
-    sequence = F.coalesce("frame.sequence_num", F.lit(0))
+    sequence = F.coalesce("sequence_num", F.lit(0))
     return _coinbase(frames, _COINBASE_L2, "l2_data").select(
         *_extra(frames),
         F.lit("coinbase").alias("exchange"),
@@ -149,7 +153,7 @@ def coinbase_l2(frames: DataFrame) -> DataFrame:
         sequence.alias("final_update_id"),
         levels(lambda u: u["side"] == "bid").alias("bids"),
         levels(lambda u: ~u["side"].eqNullSafe("bid")).alias("asks"),
-        F.coalesce(iso_to_timestamp("frame.timestamp"), F.col("ingest_time")).alias("event_time"),
+        F.coalesce(iso_to_timestamp("timestamp"), F.col("ingest_time")).alias("event_time"),
     )
 
 

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark import schemas
-from tidemark.operators.segments import (
-    SEGMENT, calendar_segment, running_max, with_history, without_history,
-)
+from tidemark.operators.segments import calendar_segment, running_max
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
@@ -188,9 +186,11 @@ def with_reject_reasons(rows: DataFrame, contract: str) -> DataFrame:
         for name, values in _ENUMS[contract].items()
     ]
     later += [F.when(~condition, reason) for reason, condition in _invariants(contract).items()]
-    return typed.withColumn(
-        "reasons", F.concat("_cast_reasons", F.array_compact(F.array(*later)))
-    ).drop("_cast_reasons")
+    found = F.concat("_cast_reasons", F.array_compact(F.array(*later)))
+    # Through a generator the reasons are worked out once and a filter on them stays above it.
+    return typed.select(
+        *[c for c in typed.columns if c != "_cast_reasons"], F.explode(F.array(found)).alias("reasons")
+    )
 
 
 def _castable(dtype: T.DataType) -> bool:
@@ -269,25 +269,24 @@ def sustained_breaches(
 ) -> DataFrame:
     """Stretches of consecutive samples above ``threshold`` that last at least ``min_seconds``.
 
-    ``samples`` has the keys, ``ts`` and ``value``. A stretch is named by its start, the running
-    maximum of the starts so far.
+    ``samples`` has the keys, ``ts`` and ``value``. The breaches of one stretch share the last
+    sample before them that was no breach, which is a running maximum.
     """
-    marked = samples.withColumn("_breach", F.col("value") > threshold)
-    marked = with_history(marked, keys, "ts", calendar_segment("ts", unit), 1)
-    ordered = Window.partitionBy(*keys, SEGMENT).orderBy("ts")
-    begins = F.col("_breach") & ~F.coalesce(F.lag("_breach").over(ordered), F.lit(False))
-    started = without_history(marked.withColumn("_start", F.when(begins, F.col("ts"))))
+    breach = F.coalesce(F.col("value") > threshold, F.lit(False))
     named = running_max(
-        started, keys, "ts", F.col("_start"), calendar_segment("ts", unit), "breach_start", inclusive=True
+        samples.withColumn("_breach", breach), keys, "ts", F.when(~F.col("_breach"), F.col("ts")),
+        calendar_segment("ts", unit), "_last_good",
     )
     return (
         named.filter("_breach")
-        .groupBy(*keys, "breach_start")
+        .groupBy(*keys, "_last_good")
         .agg(
+            F.min("ts").alias("breach_start"),
             F.max("ts").alias("breach_end"),
             F.count(F.lit(1)).alias("samples"),
             F.max("value").alias("peak"),
         )
+        .drop("_last_good")
         .filter(F.unix_millis("breach_end") - F.unix_millis("breach_start") >= 1000 * min_seconds)
     )
 

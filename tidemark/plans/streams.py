@@ -21,8 +21,7 @@ from tidemark.streaming import jobs
 
 def _trade_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream of trades, its files read as one bounded batch."""
-    schema = market.events(spark, sf_dir).schema
-    return market.as_trades(spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet"))
+    return market.as_trades(spark.readStream.schema(market.EVENTS).parquet(f"{sf_dir}/events*.parquet"))
 
 
 def _drained(stream: DataFrame, label: str) -> DataFrame:
@@ -177,7 +176,7 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT 'bronze.trades' AS table_name, CAST(2 AS BIGINT) AS snapshot_id, count(*) AS total_trades,
        min(event_time) AS earliest, max(event_time) AS latest, count(DISTINCT symbol) AS symbols,
        count_if(price <= 0 OR quantity <= 0)::BIGINT AS price_violations, {settle_sql('avg(price)', 4)} AS avg_price,
-       'ok' AS status
+       CASE WHEN count_if(price <= 0 OR quantity <= 0) > 0 THEN 'failed' ELSE 'ok' END AS status
 FROM trades WHERE date_trunc('week', event_time) IN (SELECT week FROM commits WHERE commit_seq <= 2)""")
 def backtest_trades_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _weekly_lake(spark, sf_dir)

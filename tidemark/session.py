@@ -23,6 +23,8 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
         "spark.sql.parquet.compression.codec": "zstd",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.ui.showConsoleProgress": "false",
+        # Building a plan costs less without a stack trace per column expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():

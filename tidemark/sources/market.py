@@ -10,12 +10,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.segments import row_number_by_segment, sequence_segment
 
+# Schemas of the test tables read here: with them a read starts no job to look at the files.
+EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
+PAGES = "page_id bigint, url string, html string"
+
 # Which symbol each event type stands for; any other type is DOGE-USD.
 SYMBOL_OF_EVENT = {"click": "BTC-USD", "view": "ETH-USD", "purchase": "SOL-USD", "signup": "XRP-USD"}
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def as_trades(events: DataFrame) -> DataFrame:
@@ -23,9 +29,13 @@ def as_trades(events: DataFrame) -> DataFrame:
     symbol = F.lit("DOGE-USD")
     for event_type, canonical in SYMBOL_OF_EVENT.items():
         symbol = F.when(F.col("event_type") == event_type, canonical).otherwise(symbol)
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.col("k")
     event_time = F.date_trunc("millisecond", "ts").cast("timestamp")
-    return events.select(
+    # As a generator the JSON is parsed once a row, however often later filters look at k.
+    parsed = events.select(
+        "event_id", "ts", "user_id", "event_type", "value", F.inline(F.array(F.from_json("props", "k int")))
+    )
+    return parsed.select(
         F.col("event_id").cast("string").alias("trade_id"),
         F.when(F.col("user_id") % 2 == 0, "binance").otherwise("coinbase").alias("exchange"),
         symbol.alias("symbol"),
@@ -172,7 +182,7 @@ def headline_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     asset and 50 consecutive page ids. The asset follows from the page's language."""
     lang = F.regexp_extract("html", '<html lang="([a-z]*)"', 1)
     asset = F.when(lang == "en", "BTC").when(lang == "fr", "ETH").when(lang == "de", "SOL").otherwise("XRP")
-    items = spark.read.parquet(f"{sf_dir}/pages.parquet").select(
+    items = spark.read.schema(PAGES).parquet(f"{sf_dir}/pages.parquet").select(
         asset.alias("asset"),
         F.floor(F.col("page_id") / ITEMS_PER_FEED).alias("feed_seq"),
         F.struct("page_id", F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1).alias("title")).alias("item"),

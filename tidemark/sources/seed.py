@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from importlib.resources import files
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import schemas
@@ -12,15 +13,15 @@ from tidemark import schemas
 def read_symbol_seed(spark: SparkSession, path: str | None = None) -> DataFrame:
     """The seed with a boolean ``active``. Without ``path`` the packaged seed is used.
 
-    The packaged file travels as literal rows: executors need no access to the driver's disk
-    and Catalyst knows the exact size of the relation when it picks a join.
+    The packaged file travels as a local relation: executors need no access to the driver's disk
+    and Catalyst knows its exact size when it picks a join.
     """
     if path is None:
         text = files("tidemark").joinpath("seeds/symbols.csv").read_text(encoding="utf-8")
-        lines = [(line,) for line in text.splitlines()[1:] if line.strip()]
+        lines = [line for line in text.splitlines()[1:] if line.strip()]
         ddl = ", ".join(f"{f.name} string" for f in schemas.SYMBOL.fields)
         rows = (
-            spark.createDataFrame(lines, "line string")
+            spark.createDataFrame(pa.table({"line": lines}))
             .select(F.from_csv("line", ddl).alias("row"))
             .select("row.*")
         )
