@@ -11,7 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas
@@ -87,17 +87,16 @@ def start_live_table(
     def handle(batch: DataFrame, batch_id: int) -> None:
         updates = batch.select(*schema.fieldNames())
         before = state.load(batch.sparkSession, path, schema, before=batch_id)
-        merged = before.join(updates.select(*keys), keys, "left_anti").unionByName(updates)
+        merged = before.rows.join(updates.select(*keys), keys, "left_anti").unionByName(updates)
         newest = merged.select(F.max("window_end")).scalar()
-        state.save(
-            merged.filter(F.col("window_end") > newest - F.expr(f"INTERVAL {LIVE_RETENTION}")), path, batch_id
-        )
+        kept = merged.filter(F.col("window_end") > newest - F.expr(f"INTERVAL {LIVE_RETENTION}"))
+        state.save(kept, path, batch_id, before)
 
     return _start_batches(open_candles, handle, checkpoint, bounded, "update")
 
 
 def read_live(spark: SparkSession, path: str) -> DataFrame:
-    return state.load(spark, path, schemas.CANDLE_LAKE)
+    return state.load(spark, path, schemas.CANDLE_LAKE).rows
 
 
 def start_volatility_table(stream: DataFrame, path: str, checkpoint: str, bounded: bool = False) -> StreamingQuery:
@@ -128,8 +127,6 @@ def start_anomalies(
     the batch's candles and the batch operator runs on both, so a backfill of a long history
     keeps its parallelism over months.
     """
-    from pyspark.sql import types as T
-
     names = anomalies.BASELINE_INPUT
     schema = T.StructType([T.StructField(n, schemas.CANDLE_LAKE[n].dataType) for n in names])
 
@@ -137,7 +134,7 @@ def start_anomalies(
         spark = batch.sparkSession
         before = state.load(spark, state_path, schema, before=batch_id)
         joined = batch.select(*names, F.lit(True).alias("fresh")).unionByName(
-            before.withColumn("fresh", F.lit(False))
+            before.rows.withColumn("fresh", F.lit(False))
         )
         scored = anomalies.with_baseline(joined, rules, keep=("fresh",)).filter("fresh")
         anomalies.score_candles(scored, rules).withColumn("detected_at", F.current_timestamp()).write.mode(
@@ -145,7 +142,7 @@ def start_anomalies(
         ).parquet(f"{out}/batch={batch_id}")
         newest = Window.partitionBy(*anomalies.BASELINE_KEYS).orderBy(F.col("window_start").desc())
         tail = joined.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= rules.window_size)
-        state.save(tail.select(*names), state_path, batch_id)
+        state.save(tail.select(*names), state_path, batch_id, before)
 
     return _start_batches(candles, handle, checkpoint, bounded)
 
@@ -154,8 +151,6 @@ def start_gaps(
     deltas: DataFrame, out: str, state_path: str, checkpoint: str, bounded: bool = False
 ) -> StreamingQuery:
     """Gap checks of a stream of deltas. The state is the highest final id per stream."""
-    from pyspark.sql import types as T
-
     keys = ["exchange", "symbol"]
     schema = T.StructType([
         T.StructField("exchange", T.StringType()),
@@ -166,11 +161,11 @@ def start_gaps(
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = state.load(spark, state_path, schema, before=batch_id)
-        joined = batch.unionByName(before.withColumn("kafka_offset", F.lit(-1)), allowMissingColumns=True)
+        joined = batch.unionByName(before.rows.withColumn("kafka_offset", F.lit(-1)), allowMissingColumns=True)
         checked = books.sequence_gaps(joined).filter(F.col("kafka_offset") >= 0)
         checked.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
         highest = joined.groupBy(*keys).agg(F.max("final_update_id").alias("final_update_id"))
-        state.save(highest, state_path, batch_id)
+        state.save(highest, state_path, batch_id, before)
 
     return _start_batches(deltas, handle, checkpoint, bounded)
 
