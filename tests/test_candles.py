@@ -70,3 +70,18 @@ def test_late_trades_are_routed_unchanged(make_trades):
     late = c.late_trades(trades)
     assert sorted(r.price for r in late.collect()) == [2, 4]
     assert late.exceptAll(trades).isEmpty()
+
+
+def test_pyramid_scans_and_shuffles_trades_once(spark, make_trades, tmp_path):
+    make_trades(GOLDEN).write.parquet(str(tmp_path / "t"))
+    pyramid = c.candle_pyramid(spark.read.parquet(str(tmp_path / "t")))
+    pyramid.collect()
+    plan = pyramid._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") == 2
+
+
+def test_candles_read_only_the_columns_they_use(spark, make_trades, tmp_path):
+    make_trades(GOLDEN).write.parquet(str(tmp_path / "t"))
+    plan = c.candles(spark.read.parquet(str(tmp_path / "t")), "H1")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<symbol:string,price:double,quantity:double,event_time:timestamp,kafka_offset:bigint>" in plan
+    assert plan.count("Exchange") == 1 and "partial_min_by" in plan and "SortAggregate" not in plan

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import at
 from tidemark import schemas
-from tidemark.operators import backtest, candles as c, lake
+from tidemark.operators import backtest, candles as c, lake, metrics
 
 T = schemas.TRADES_TABLE
 
@@ -178,6 +178,19 @@ def test_run_records(spark, root, trades):
         "sink-trades", "trades.raw", "bronze.trades", 2, "COMPLETE")
 
 
+def test_a_failed_batch_is_counted_and_can_be_retried(spark, root, trades):
+    broken = trades(1).withColumn("price", F.raise_error(F.lit("bad page")).cast("double"))
+    with pytest.raises(Exception, match="bad page"):
+        lake.write_batch(broken, root, T, 0)
+    assert result(lake.write_batch(trades(1), root, T, 0)) == (1, 1, 0)
+    log = lake.commit_log(spark, root, T)
+    counters = metrics.sink_counters(log).first()
+    assert (counters.inserted, counters.batches, counters.errors) == (1, 1, 1)
+    assert lake.list_snapshots(spark, root, T).count() == 1
+    buckets = metrics.commit_histogram(log).orderBy("le").collect()
+    assert [b.le for b in buckets] == [*metrics.COMMIT_BOUNDS_SECONDS, float("inf")] and buckets[-1]["count"] == 1
+
+
 def test_statements_for_a_table_format(spark):
     parse = spark._jsparkSession.sessionState().sqlParser().parsePlan
     parse(lake.merge_statement("lake.bronze.trades", "batch", T.keys))

@@ -43,7 +43,10 @@ def with_baseline(
     The window runs per (symbol, interval, month) with the last candles of earlier months
     carried in, so a long history is spread over tasks.
     """
-    data = candles.select(*BASELINE_INPUT, *keep, (F.col("high") - F.col("low")).alias("range"))
+    # Only what the baseline reads: both passes of ``with_history`` then share one shuffle.
+    data = candles.select(
+        *BASELINE_KEYS, "window_start", "close", "volume", (F.col("high") - F.col("low")).alias("range"), *keep
+    )
     data = with_history(
         data, BASELINE_KEYS, "window_start", calendar_segment("window_start"), rules.window_size
     )

@@ -15,14 +15,15 @@ def _positions(order: str | None) -> Column | str:
 
 
 def _ohlcv(order: Column | str) -> list[Column]:
+    """Aggregates in the order of the candle's columns, so that plans using all of them are alike."""
     return [
         F.min_by("price", order).alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
         F.max_by("price", order).alias("close"),
         F.sum("quantity").alias("volume"),
-        F.sum(F.col("price") * F.col("quantity")).alias("notional"),
         F.count(F.lit(1)).alias("trade_count"),
+        F.sum(F.col("price") * F.col("quantity")).alias("notional"),
     ]
 
 
@@ -68,7 +69,7 @@ def candle_pyramid(trades: DataFrame, order: str | None = "kafka_offset") -> Dat
         ),
         "M1",
         True,
-    )
+    ).filter(F.col("window_start").isNotNull())  # as the roll-ups' windows ask: all share one shuffle
     result = m1
     for interval in ("M5", "H1"):
         folded = m1.groupBy(

@@ -9,6 +9,7 @@ path, ``merge_statement`` and ``as_of_statement`` give the same two operations a
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
@@ -25,7 +26,7 @@ RETAIN_HOURS = 168.0
 LOG = T.StructType([
     T.StructField("commit_seq", T.LongType()),
     T.StructField("commit_ts", T.TimestampType()),
-    T.StructField("operation", T.StringType()),  # append, compact or expire
+    T.StructField("operation", T.StringType()),  # append, compact, expire or error
     T.StructField("table_name", T.StringType()),
     T.StructField("writer", T.StringType()),
     T.StructField("batch_id", T.LongType()),
@@ -37,6 +38,7 @@ LOG = T.StructType([
     T.StructField("skipped", T.LongType()),
     T.StructField("offsets", T.MapType(T.StringType(), T.LongType())),
     T.StructField("topics", T.ArrayType(T.StringType())),
+    T.StructField("seconds", T.DoubleType()),
 ])
 
 
@@ -97,7 +99,7 @@ def _published(spark: SparkSession, root: str, table: LakeTable) -> DataFrame:
     """Rows of parts the log names and has not replaced."""
     data = spark.read.schema(_data_schema(table)).parquet(_path(root, table, "data"))
     log = commit_log(spark, root, table)
-    parts = log.filter(F.col("operation") != "expire").select("part")
+    parts = log.filter(F.col("operation").isin("append", "compact")).select("part")
     replaced = log.select(F.explode("replaces").alias("part"))
     return data.join(parts.join(replaced, "part", "left_anti"), "part", "left_semi")
 
@@ -175,35 +177,49 @@ def write_batch(
     and a batch that is already in the log returns its recorded result.
     """
     spark = batch.sparkSession
-    log = commit_log(spark, root, table)
-    state = log.agg(
+    this_batch = (F.col("writer") == writer) & (F.col("batch_id") == batch_id)
+    appended = F.col("operation") == "append"
+    state = commit_log(spark, root, table).agg(
         F.coalesce(F.max("commit_seq"), F.lit(0)).alias("last_seq"),
-        F.max_by("offsets", F.when(F.col("operation") == "append", F.col("commit_seq"))).alias("offsets"),
+        F.max_by("offsets", F.when(appended, F.col("commit_seq"))).alias("offsets"),
         F.max_by(
-            F.struct("received", "inserted", "skipped"),
-            F.when((F.col("writer") == writer) & (F.col("batch_id") == batch_id), F.col("commit_seq")),
+            F.struct("received", "inserted", "skipped"), F.when(appended & this_batch, F.col("commit_seq"))
         ).alias("done"),
     ).first()
     if state["done"] is not None:
         return WriteResult(*state["done"])
-    profile = _profile(batch, table.keys)
-    if profile.received == 0:
-        return WriteResult(0, 0, 0)
-
-    existing = _possible_matches(_published(spark, root, table), table, profile.bounds)
-    fresh = keep_last(batch, table.keys, order).join(existing, list(table.keys), "left_anti")
-    if "kafka_offset" in table.schema.fieldNames() and "kafka_offset" not in batch.columns:
-        fresh = fresh.withColumn("kafka_offset", F.lit(None).cast("bigint"))
     seq = state["last_seq"] + 1
-    part = f"{writer}-{batch_id:012d}"
-    _write_part(fresh.withColumn(COMMIT, F.lit(seq).cast("bigint")), root, table, part)
-    inserted = _part_rows(spark, root, table, part)
+    began = time.monotonic()
+    try:
+        profile = _profile(batch, table.keys)
+        if profile.received == 0:
+            return WriteResult(0, 0, 0)
+        part = f"{writer}-{batch_id:012d}"
+        _write_part(_unknown_rows(batch, root, table, profile, order, seq), root, table, part)
+        inserted = _part_rows(spark, root, table, part)
+    except Exception:
+        _append_log(spark, root, table, seq, "error", writer=writer, batch_id=batch_id,
+                    seconds=time.monotonic() - began)
+        raise
+    skipped = max(profile.received - inserted, 0)
     _append_log(
         spark, root, table, seq, "append", writer=writer, batch_id=batch_id, part=part,
-        received=profile.received, inserted=inserted, skipped=max(profile.received - inserted, 0),
+        received=profile.received, inserted=inserted, skipped=skipped,
         offsets={**(state["offsets"] or {}), **profile.offsets}, topics=profile.topics,
+        seconds=time.monotonic() - began,
     )
-    return WriteResult(profile.received, inserted, max(profile.received - inserted, 0))
+    return WriteResult(profile.received, inserted, skipped)
+
+
+def _unknown_rows(
+    batch: DataFrame, root: str, table: LakeTable, profile: _Profile, order: Column | str, seq: int
+) -> DataFrame:
+    """The last arrival of every key the published rows do not have, marked with its commit."""
+    existing = _possible_matches(_published(batch.sparkSession, root, table), table, profile.bounds)
+    fresh = keep_last(batch, table.keys, order).join(existing, list(table.keys), "left_anti")
+    if "kafka_offset" in table.schema.fieldNames() and "kafka_offset" not in batch.columns:
+        fresh = fresh.withColumn("kafka_offset", F.lit(None).cast("bigint"))
+    return fresh.withColumn(COMMIT, F.lit(seq).cast("bigint"))
 
 
 def _write_part(rows: DataFrame, root: str, table: LakeTable, part: str) -> None:

@@ -7,10 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.operators.candles import skew_ms
+from tidemark.operators.quality import sustained_breaches
 
-# Upper bounds of the skew histogram in milliseconds; the last bucket is open.
+# Upper bounds of the histograms of skew and of commit time; a last bucket is open.
 SKEW_BOUNDS_MS = (5, 10, 25, 50, 100, 250, 500, 1000, 5000, 30000)
 
+COMMIT_BOUNDS_SECONDS = (0.05, 0.1, 0.25, 0.5, 1, 2.5, 5, 10, 30)
+
 # Thresholds of the service levels.
 SLO_THRESHOLDS = (
     ("freshness", "bronze.trades", 60.0),
@@ -19,26 +22,40 @@ SLO_THRESHOLDS = (
     ("e2e_latency", "silver.candles", 5.0),
 )
 FRESHNESS_SECONDS = 60
+ALERT_SECONDS = 300
 
 
 def throughput(events: DataFrame) -> DataFrame:
     return events.groupBy("exchange", "symbol").agg(F.count(F.lit(1)).alias("events"))
 
 
-def skew_histogram(events: DataFrame, bounds: Sequence[int] = SKEW_BOUNDS_MS) -> DataFrame:
-    """Cumulative buckets of arrival skew per exchange: (exchange, le, count, total, sum_ms).
+def cumulative_histogram(
+    rows: DataFrame, keys: Sequence[str], value: Column, bounds: Sequence[float], sum_name: str
+) -> DataFrame:
+    """Cumulative buckets per key: (keys, le, count, total, sum). The open bucket has ``le`` Infinity.
 
-    One pass with one aggregate per bound; the open bucket has ``le`` = Infinity.
+    One pass with one aggregate per bound.
     """
-    skews = events.select("exchange", skew_ms().alias("skew"))
-    wide = skews.groupBy("exchange").agg(
-        F.count("skew").alias("total"),
-        F.sum("skew").alias("sum_ms"),
-        *[F.count_if(F.col("skew") <= b).alias(f"le_{b}") for b in bounds],
+    valued = rows.select(*keys, value.alias("_value"))
+    wide = valued.groupBy(*keys).agg(
+        F.count("_value").alias("total"),
+        F.sum("_value").alias(sum_name),
+        *[F.count_if(F.col("_value") <= b).alias(f"_le{n}") for n, b in enumerate(bounds)],
     )
-    buckets = [F.struct(F.lit(float(b)).alias("le"), F.col(f"le_{b}").alias("count")) for b in bounds]
+    buckets = [F.struct(F.lit(float(b)).alias("le"), F.col(f"_le{n}").alias("count")) for n, b in enumerate(bounds)]
     buckets.append(F.struct(F.lit(float("inf")).alias("le"), F.col("total").alias("count")))
-    return wide.select("exchange", F.inline(F.array(*buckets)), "total", "sum_ms")
+    return wide.select(*keys, F.inline(F.array(*buckets)), "total", sum_name)
+
+
+def skew_histogram(events: DataFrame, bounds: Sequence[int] = SKEW_BOUNDS_MS) -> DataFrame:
+    """Buckets of arrival skew per exchange."""
+    return cumulative_histogram(events, ["exchange"], skew_ms(), bounds, "sum_ms")
+
+
+def commit_histogram(commits: DataFrame, bounds: Sequence[float] = COMMIT_BOUNDS_SECONDS) -> DataFrame:
+    """Buckets of the time a batch took, per table of a commit log."""
+    appends = commits.filter(F.col("operation") == "append")
+    return cumulative_histogram(appends, ["table_name"], F.col("seconds"), bounds, "sum_seconds")
 
 
 def skew_quantile(events: DataFrame, q: float = 0.99) -> DataFrame:
@@ -108,11 +125,12 @@ def caught_up(positions: DataFrame, ends: DataFrame) -> DataFrame:
 
 
 def sink_counters(commits: DataFrame) -> DataFrame:
-    """Inserted rows, skipped duplicates, batches and commit time per table of a commit log."""
+    """Inserted rows, skipped duplicates, batches and failed batches per table of a commit log."""
     return commits.groupBy("table_name").agg(
-        F.sum("inserted").alias("inserted"),
-        F.sum("skipped").alias("duplicates"),
-        F.count(F.lit(1)).alias("batches"),
+        F.coalesce(F.sum("inserted"), F.lit(0)).alias("inserted"),
+        F.coalesce(F.sum("skipped"), F.lit(0)).alias("duplicates"),
+        F.count_if(F.col("operation") == "append").alias("batches"),
+        F.count_if(F.col("operation") == "error").alias("errors"),
     )
 
 
@@ -135,13 +153,28 @@ def explanation_errors(outcomes: DataFrame) -> DataFrame:
 
 def evaluate_slos(measures: DataFrame, thresholds: Sequence[tuple[str, str, float]] = SLO_THRESHOLDS) -> DataFrame:
     """Compare measured values (metric, value) with their thresholds."""
-    limits = F.inline(
-        F.array(*[
-            F.struct(F.lit(m).alias("metric"), F.lit(s).alias("subject"), F.lit(t).alias("threshold"))
-            for m, s, t in thresholds
-        ])
-    )
-    table = measures.sparkSession.range(1).select(limits)
-    return measures.join(table, "metric").select(
+    return with_thresholds(measures, thresholds).select(
         "metric", "subject", "value", "threshold", (F.col("value") <= F.col("threshold")).alias("ok")
     )
+
+
+def slo_alerts(
+    samples: DataFrame,
+    thresholds: Sequence[tuple[str, str, float]] = SLO_THRESHOLDS,
+    for_seconds: int = ALERT_SECONDS,
+) -> DataFrame:
+    """Stretches of samples (metric, ts, value) beyond their threshold for ``for_seconds`` or more."""
+    judged = with_thresholds(samples, thresholds)
+    return sustained_breaches(judged, ["metric", "subject"], F.col("threshold"), for_seconds)
+
+
+def with_thresholds(measures: DataFrame, thresholds: Sequence[tuple[str, str, float]]) -> DataFrame:
+    """Add subject and threshold to the metrics that have one; a projection, not a join."""
+    table = F.create_map(*[
+        x for metric, subject, limit in thresholds
+        for x in (F.lit(metric), F.struct(F.lit(subject).alias("subject"), F.lit(limit).alias("threshold")))
+    ])
+    limit = F.try_element_at(table, F.col("metric"))
+    return measures.withColumns({"subject": limit["subject"], "threshold": limit["threshold"]}).filter(
+        F.col("threshold").isNotNull()
+    )

@@ -84,28 +84,19 @@ def _none(column: str) -> Column:
 def trade_checks(fct_trade: DataFrame) -> DataFrame:
     """Volume, completeness, uniqueness and range of the trade mart.
 
-    Rows are first counted per trade id; every other figure folds over those groups, so one
-    shuffle serves all checks and no distinct aggregate is needed.
+    All figures but one come from a pass without a shuffle; the count of repeated ids shuffles
+    ids and counts only.
     """
-    per_id = fct_trade.groupBy("trade_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("event_time").isNull()).alias("no_time"),
-        F.count_if(F.col("exchange").isNotNull() & ~F.col("exchange").isin(*schemas.EXCHANGES)).alias("bad_exchange"),
-        F.min("price").alias("price"),
-        F.min("quantity").alias("quantity"),
-        F.min("notional").alias("notional"),
-    )
-    missing = F.coalesce(F.sum(F.when(F.col("trade_id").isNull(), F.col("n"))), F.lit(0))
-    totals = per_id.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-        missing.alias("missing_trade_id"),
-        F.count_if(F.col("trade_id").isNotNull() & (F.col("n") > 1)).alias("duplicate_trade_id"),
+    repeated = unique(fct_trade, "trade_id").agg(F.count(F.lit(1)).alias("n"))
+    totals = fct_trade.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if(F.col("trade_id").isNull()).alias("missing_trade_id"),
         F.min("price").alias("min_price"),
         F.min("quantity").alias("min_quantity"),
         F.min("notional").alias("min_notional"),
-        F.coalesce(F.sum("bad_exchange"), F.lit(0)).alias("invalid_exchange"),
-        F.coalesce(F.sum("no_time"), F.lit(0)).alias("missing_event_time"),
-    )
+        F.count_if(F.col("exchange").isNotNull() & ~F.col("exchange").isin(*schemas.EXCHANGES)).alias("invalid_exchange"),
+        F.count_if(F.col("event_time").isNull()).alias("missing_event_time"),
+    ).withColumn("duplicate_trade_id", repeated.scalar())
     return _check_rows(totals, [
         ("row_count", "row_count", F.col("row_count") >= 1),
         ("missing_trade_id", "missing_trade_id", _none("missing_trade_id")),
@@ -265,7 +256,7 @@ def same_rows(left: DataFrame, right: DataFrame) -> bool:
 # --- sustained conditions ---------------------------------------------------------------------
 
 def sustained_breaches(
-    samples: DataFrame, keys: Sequence[str], threshold: float, min_seconds: int = 300, unit: str = "month"
+    samples: DataFrame, keys: Sequence[str], threshold: float | Column, min_seconds: int = 300, unit: str = "month"
 ) -> DataFrame:
     """Stretches of consecutive samples above ``threshold`` that last at least ``min_seconds``.
 
@@ -294,9 +285,19 @@ def sustained_breaches(
 def absences(
     samples: DataFrame, keys: Sequence[str], max_seconds: int = 600, unit: str = "month"
 ) -> DataFrame:
-    """Pauses of more than ``max_seconds`` between neighbouring samples of a key."""
-    previous = running_max(samples, keys, "ts", F.col("ts"), calendar_segment("ts", unit), "absent_from")
-    silence = F.unix_millis("ts") - F.unix_millis("absent_from")
+    """Pauses of more than ``max_seconds`` between neighbouring samples of a key.
+
+    No such pause fits into a bucket of that length, so samples shrink to the first and last of
+    each bucket before any ordering.
+    """
+    bucket = F.floor(F.unix_millis("ts") / (1000 * max_seconds))
+    ends = samples.groupBy(*keys, bucket.alias("_bucket")).agg(
+        F.min("ts").alias("absent_until"), F.max("ts").alias("_last")
+    )
+    previous = running_max(
+        ends, keys, "_bucket", F.col("_last"), calendar_segment("absent_until", unit), "absent_from"
+    )
+    silence = F.unix_millis("absent_until") - F.unix_millis("absent_from")
     return previous.filter(silence > 1000 * max_seconds).select(
-        *keys, "absent_from", F.col("ts").alias("absent_until"), (silence / 1000.0).alias("seconds")
+        *keys, "absent_from", "absent_until", (silence / 1000.0).alias("seconds")
     )

@@ -19,7 +19,7 @@ SEQUENCE_WIDTH = 1_000_000
 
 def sequence_segment(column: str, width: int = SEQUENCE_WIDTH) -> Column:
     """Segments of ``width`` consecutive values of an integer column."""
-    return F.floor(F.col(column) / width)
+    return F.expr(f"`{column}` DIV {int(width)}")
 
 
 def calendar_segment(column: str, unit: str = "month") -> Column:

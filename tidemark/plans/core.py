@@ -120,4 +120,4 @@ SELECT canonical AS symbol, base AS base_asset, quote AS quote_asset, binance_sy
 def dim_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Symbols that trade in the given tables."""
     dim = marts.dim_symbol(seed.read_symbol_seed(spark))
-    return dim.join(market.trades(spark, sf_dir), "symbol", "left_semi")
+    return dim.join(market.trades(spark, sf_dir).select("symbol").distinct(), "symbol", "left_semi")

@@ -377,3 +377,32 @@ FROM previous WHERE epoch_ms(event_time) - epoch_ms(absent_from) > 600000""")
 def absences(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = market.trades(spark, sf_dir).select("symbol", F.col("event_time").alias("ts"))
     return q.absences(samples, ["symbol"], 600)
+
+
+@query("slo_alerts", f"""WITH {o.TRADES},
+minutes AS (
+  SELECT date_trunc('minute', event_time) AS ts, max(epoch_ms(ingest_time) - epoch_ms(event_time)) / 1000.0 AS high,
+         min(epoch_ms(ingest_time) - epoch_ms(event_time)) / 1000.0 AS low FROM trades GROUP BY ALL),
+samples AS (
+  SELECT 'e2e_latency' AS metric, 'silver.candles' AS subject, 5.0 AS threshold, ts, high AS value FROM minutes
+  UNION ALL SELECT 'serve_latency_p99', 'api', 2.0, ts, low FROM minutes),
+runs AS (
+  SELECT *, max(CASE WHEN value <= threshold THEN ts END) OVER (PARTITION BY metric ORDER BY ts) AS last_good
+  FROM samples)
+SELECT metric, subject, min(ts) AS breach_start, max(ts) AS breach_end, count(*) AS samples,
+       CAST(max(value) AS DOUBLE) AS peak
+FROM runs WHERE value > threshold GROUP BY metric, subject, last_good HAVING max(ts) - min(ts) >= INTERVAL 300 SECOND""")
+def slo_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts over latency sampled per minute: largest and smallest arrival skew."""
+    skew = c.skew_ms()
+    minutes = market.trades(spark, sf_dir).groupBy(F.date_trunc("minute", "event_time").alias("ts")).agg(
+        (F.max(skew) / 1000.0).alias("high"), (F.min(skew) / 1000.0).alias("low")
+    )
+    samples = minutes.select(
+        "ts",
+        F.inline(F.array(
+            F.struct(F.lit("e2e_latency").alias("metric"), F.col("high").alias("value")),
+            F.struct(F.lit("serve_latency_p99").alias("metric"), F.col("low").alias("value")),
+        )),
+    )
+    return m.slo_alerts(samples)

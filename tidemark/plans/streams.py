@@ -197,11 +197,20 @@ def backtest_candles_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("sink_counters", f"""{_WEEKS}
 SELECT 'bronze.trades' AS table_name, CAST(sum(n) AS BIGINT) AS inserted, CAST(0 AS BIGINT) AS duplicates,
-       count(*) AS batches FROM commits""")
+       count(*) AS batches, CAST(0 AS BIGINT) AS errors FROM commits""")
 def sink_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _weekly_lake(spark, sf_dir)
-    log = lake.commit_log(spark, root, schemas.TRADES_TABLE).filter(F.col("operation") == "append")
-    return metrics.sink_counters(log)
+    return metrics.sink_counters(lake.commit_log(spark, root, schemas.TRADES_TABLE))
+
+
+@query("commit_histogram", f"""{_WEEKS}
+SELECT 'bronze.trades' AS table_name, CAST('Infinity' AS DOUBLE) AS le, count(*) AS "count", count(*) AS total
+FROM commits""")
+def commit_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The open bucket of the commit times; the others depend on the machine."""
+    root = _weekly_lake(spark, sf_dir)
+    histogram = metrics.commit_histogram(lake.commit_log(spark, root, schemas.TRADES_TABLE))
+    return histogram.filter(F.col("le") == float("inf")).drop("sum_seconds")
 
 
 @query("sink_replay_result", f"""WITH {o.TRADES},

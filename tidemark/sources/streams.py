@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tidemark import schemas
 
 CANDLE_TOPICS = tuple(i.topic for i in schemas.INTERVALS.values())
+LIVE_BATCH_RECORDS = 500
 _REGISTRY_HEADER_BYTES = 5  # magic byte and schema id in front of the Avro body
 
 
@@ -101,7 +102,11 @@ def kafka_options(
     from_timestamp: datetime | None = None,
     max_offsets: int | None = None,
 ) -> dict[str, str]:
-    """Reader options. From a timestamp, a partition without such a record is not read again."""
+    """Reader options. From a timestamp, a partition without such a record is not read again.
+
+    ``max_offsets`` bounds a micro-batch, for a live sink say ``LIVE_BATCH_RECORDS``; a replay of
+    a long log leaves it open or sets it by what the executors hold.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics),

@@ -22,7 +22,6 @@ from tidemark.sources import streams
 from tidemark.streaming import state
 
 TRIGGER = "5 seconds"
-MAX_BATCH_RECORDS = 500
 LIVE_RETENTION = "24 hours"
 
 
