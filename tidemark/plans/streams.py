@@ -45,6 +45,21 @@ for _interval in ("M1", "M5", "H1"):
     _register_sealed(_interval)
 
 
+@query("sealed_candles_in_lake", f"""WITH {o.TRADES}, {o.candles('M1')}
+SELECT {o.CANDLE_COLUMNS} FROM candles
+WHERE window_end <= (SELECT max(event_time) FROM trades) - INTERVAL {o.GRACE['M1']}""")
+def sealed_candles_in_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades to sealed minute candles to the lake table, as one running query."""
+    base = scratch_dir(spark, "to-lake")
+    table = schemas.CANDLES_TABLE
+    jobs.start_lake_sink(
+        sc.sealed_candles(_trade_stream(spark, sf_dir), "M1"), f"{base}/lake", table, f"{base}/checkpoint",
+        bounded=True, stateful=True, order="window_end",
+    ).awaitTermination()
+    rows = lake.read_table(spark, f"{base}/lake", table).drop(table.day_column)
+    return rows.withColumn("vwap", settle(F.col("vwap")))
+
+
 @query("late_trades_stream", f"""WITH {o.TRADES}
 SELECT * FROM trades WHERE epoch_ms(ingest_time) - epoch_ms(event_time) > 10000""")
 def late_trades_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,22 +97,12 @@ def live_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.read_live(spark, f"{base}/live").withColumn("vwap", settle(F.col("vwap")))
 
 
-def _candle_log(spark: SparkSession, candles: DataFrame, base: str) -> DataFrame:
-    """Candles as a log of one file per ten days, so that a stream takes several micro-batches."""
-    numbered = candles.withColumn("kafka_offset", F.unix_millis("window_start"))
-    records = s.candle_records(numbered)
-    ten_days = F.floor(F.unix_seconds("value.window_start") / (10 * 86400))
-    periods = [r[0] for r in records.select(ten_days.alias("p")).distinct().orderBy("p").collect()]
-    for period in periods:
-        records.filter(ten_days == period).write.mode("append").parquet(f"{base}/log/period={period}")
-    return spark.readStream.schema(s.log_schema(schemas.CANDLE)).parquet(f"{base}/log/period=*")
-
-
 @query("stream_anomalies", f"WITH {anomaly_ctes()} SELECT {ANOMALY_OUTPUT} FROM anomalies")
 def stream_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Anomalies found while streaming hourly candles from their log."""
     base = scratch_dir(spark, "anomalies")
-    log = _candle_log(spark, c.candles(market.trades(spark, sf_dir), "H1"), base)
+    s.candle_records(c.candles(market.trades(spark, sf_dir), "H1")).write.parquet(f"{base}/log")
+    log = s.file_log(spark, f"{base}/log", schemas.CANDLE)
     jobs.start_anomalies(
         s.candles_of(log), f"{base}/out", f"{base}/state", f"{base}/checkpoint", bounded=True
     ).awaitTermination()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -37,15 +38,17 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
     Only a local session may do without that setting; it then uses a temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_dir(spark.sparkContext.master)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+@lru_cache(maxsize=1)
+def _local_dir(master: str) -> str:
+    if not master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 @contextmanager
 def session_conf(spark: SparkSession, **conf: str):
     """Set SQL settings for the body and put the old values back after it."""

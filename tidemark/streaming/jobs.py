@@ -7,10 +7,12 @@ every ``TRIGGER``. Checkpoints and outputs are folders all executors can reach.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -56,6 +58,19 @@ def _start_batches(
     return _start(writer, bounded, stream.sparkSession)
 
 
+@contextmanager
+def _kept(batch: DataFrame, keep: bool = True) -> Iterator[DataFrame]:
+    """Hold a micro-batch while several jobs read it, so that a stateful stream is run once."""
+    if not keep:
+        yield batch
+        return
+    batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield batch
+    finally:
+        batch.unpersist()
+
+
 def start_lake_sink(
     stream: DataFrame,
     root: str,
@@ -64,12 +79,19 @@ def start_lake_sink(
     writer: str = "sink",
     bounded: bool = False,
     on_result: Callable[[lake.WriteResult], None] | None = None,
+    stateful: bool = False,
+    order: str = "kafka_offset",
 ) -> StreamingQuery:
-    """Insert every micro-batch into the lake. Resumes from the checkpoint; repeats are harmless."""
+    """Insert every micro-batch into the lake. Resumes from the checkpoint; repeats are harmless.
+
+    Set ``stateful`` for a stream that aggregates: its micro-batches, small by then, are held
+    while they are written. Plain logs are read again instead.
+    """
     lake.ensure_table(stream.sparkSession, root, table)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        result = lake.write_batch(batch, root, table, batch_id, writer)
+        with _kept(batch, stateful) as rows:
+            result = lake.write_batch(rows, root, table, batch_id, writer, order)
         if on_result:
             on_result(result)
 
@@ -84,12 +106,12 @@ def start_live_table(
     schema = schemas.CANDLE_LAKE
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        updates = batch.select(*schema.fieldNames())
         before = state.load(batch.sparkSession, path, schema, before=batch_id)
-        merged = before.rows.join(updates.select(*keys), keys, "left_anti").unionByName(updates)
-        newest = merged.select(F.max("window_end")).scalar()
-        kept = merged.filter(F.col("window_end") > newest - F.expr(f"INTERVAL {LIVE_RETENTION}"))
-        state.save(kept, path, batch_id, before)
+        with _kept(batch.select(*schema.fieldNames())) as updates:
+            merged = before.rows.join(updates.select(*keys), keys, "left_anti").unionByName(updates)
+            newest = merged.select(F.max("window_end")).scalar()
+            recent = merged.filter(F.col("window_end") > newest - F.expr(f"INTERVAL {LIVE_RETENTION}"))
+            state.save(recent, path, batch_id, before)
 
     return _start_batches(open_candles, handle, checkpoint, bounded, "update")
 
@@ -132,16 +154,14 @@ def start_anomalies(
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = state.load(spark, state_path, schema, before=batch_id)
-        joined = batch.select(*names, F.lit(True).alias("fresh")).unionByName(
-            before.rows.withColumn("fresh", F.lit(False))
-        )
-        scored = anomalies.with_baseline(joined, rules, keep=("fresh",)).filter("fresh")
-        anomalies.score_candles(scored, rules).withColumn("detected_at", F.current_timestamp()).write.mode(
-            "overwrite"
-        ).parquet(f"{out}/batch={batch_id}")
-        newest = Window.partitionBy(*anomalies.BASELINE_KEYS).orderBy(F.col("window_start").desc())
-        tail = joined.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= rules.window_size)
-        state.save(tail.select(*names), state_path, batch_id, before)
+        with _kept(batch.select(*names)) as fresh:
+            joined = fresh.withColumn("fresh", F.lit(True)).unionByName(before.rows.withColumn("fresh", F.lit(False)))
+            scored = anomalies.with_baseline(joined, rules, keep=("fresh",)).filter("fresh")
+            found = anomalies.score_candles(scored, rules).withColumn("detected_at", F.current_timestamp())
+            found.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+            newest = Window.partitionBy(*anomalies.BASELINE_KEYS).orderBy(F.col("window_start").desc())
+            tail = joined.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= rules.window_size)
+            state.save(tail.select(*names), state_path, batch_id, before)
 
     return _start_batches(candles, handle, checkpoint, bounded)
 
@@ -149,7 +169,10 @@ def start_anomalies(
 def start_gaps(
     deltas: DataFrame, out: str, state_path: str, checkpoint: str, bounded: bool = False
 ) -> StreamingQuery:
-    """Gap checks of a stream of deltas. The state is the highest final id per stream."""
+    """Gap checks of a stream of deltas. The state is the highest final id per stream.
+
+    Deltas come straight from their log and are read again by each pass rather than held.
+    """
     keys = ["exchange", "symbol"]
     schema = T.StructType([
         T.StructField("exchange", T.StringType()),
