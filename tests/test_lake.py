@@ -191,6 +191,15 @@ def test_a_failed_batch_is_counted_and_can_be_retried(spark, root, trades):
     assert [b.le for b in buckets] == [*metrics.COMMIT_BOUNDS_SECONDS, float("inf")] and buckets[-1]["count"] == 1
 
 
+@pytest.mark.parametrize("column", ["trade_id", "price", "event_time"])
+def test_a_missing_value_fails_the_whole_batch(spark, root, trades, column):
+    rows = trades(1, 2)
+    broken = rows.withColumn(column, F.when(F.col("trade_id") == "1", F.col(column)))
+    with pytest.raises(Exception, match=f"{column} is missing"):
+        lake.write_batch(broken, root, T, 0)
+    assert lake.read_table(spark, root, T).isEmpty()
+
+
 def test_statements_for_a_table_format(spark):
     parse = spark._jsparkSession.sessionState().sqlParser().parsePlan
     parse(lake.merge_statement("lake.bronze.trades", "batch", T.keys))

@@ -195,6 +195,29 @@ def test_stream_gaps_equal_batch_over_restarts(spark, tmp_path):
     assert any(r[2] for r in got)
 
 
+def test_sealed_candles_reach_the_lake_over_a_restart(spark, log, tmp_path):
+    root, table = str(tmp_path / "lake"), schemas.CANDLES_TABLE
+
+    def drain():
+        jobs.start_lake_sink(
+            sc.sealed_candles(log.trades(), "M1"), root, table, str(tmp_path / "ck"), bounded=True, stateful=True,
+            order="window_end",
+        ).awaitTermination()
+        return sorted((ms_of(r.window_start), r.close) for r in lake.read_table(spark, root, table).collect())
+
+    log.add((1700000040000, 1, 1), (1700000110000, 2, 1))
+    assert drain() == [(1700000040000, 1)]
+    log.add((1700000170000, 3, 1), first_offset=10)
+    assert drain() == [(1700000040000, 1), (1700000100000, 2)]
+
+
+def test_anomaly_records_are_keyed_by_symbol(spark, make_trades):
+    trades = make_trades([(1700000000000 + 60_000 * i, 100 if i < 10 else 200, 1) for i in range(11)])
+    record, = s.anomaly_records(anomalies.detect_anomalies(c.candles(trades, "M1"))).collect()
+    assert (bytes(record.key), record.topic) == (b"BTC-USD", "events.anomaly")
+    assert (record.value.anomaly_type, record.value.severity) == ("PRICE_SPIKE", 1.0)
+
+
 def test_push_feed(spark, make_trades, tmp_path):
     candles = c.candles(make_trades([(1700000040000, 1, 1), (1700000040000, 1, 1, "ETH-USD")]), "M1")
     s.candle_records(candles).coalesce(1).write.parquet(str(tmp_path / "log/n=0"))

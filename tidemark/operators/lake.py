@@ -223,9 +223,19 @@ def _unknown_rows(
 
 
 def _write_part(rows: DataFrame, root: str, table: LakeTable, part: str) -> None:
-    """Write under ``part=``; the rebalance merges small outputs and splits a hot partition."""
+    """Write under ``part=``; the rebalance merges small outputs and splits a hot partition.
+
+    A missing value in a required column fails the batch.
+    """
+    def value(field: T.StructField) -> Column:
+        cast = F.col(field.name).cast(field.dataType)
+        if not field.nullable:
+            missing = F.raise_error(F.lit(f"{table.name}: {field.name} is missing"))
+            cast = F.coalesce(cast, missing.cast(field.dataType))
+        return cast.alias(field.name)
+
     day = F.to_date(table.time_column).alias(table.day_column)
-    laid_out = rows.select(*[F.col(f.name).cast(f.dataType) for f in table.schema.fields], COMMIT, day)
+    laid_out = rows.select(*[value(f) for f in table.schema.fields], COMMIT, day)
     columns = [table.day_column, table.partition_column]
     (
         laid_out.hint("rebalance", *columns)
