@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, chunks, mixing, sharding
+from tidemark.llm import bpe, chunks, mixing, quality, sharding
 from tidemark.llm.common import table
 
 #: Where the tokenizer files are; the package that holds them is installed beside Spark.
@@ -49,6 +49,16 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op4_neighbour_quality")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), ~quality.held_out(F.col("doc_id")))
+    return quality.scored(docs, model).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= quality.ACCEPTED).cast("int").alias("predicted"),
+    )
+
+
 @query("op6_kd_shards")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shards(table(spark, sf_dir, "documents"), 8)
