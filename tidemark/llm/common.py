@@ -12,8 +12,8 @@ from tidemark.session import scratch_dir
 
 #: Rows of a key table that may be broadcast: 2 M keys of 16 bytes are about 32 MB in each executor.
 BROADCAST_ROWS = 2_000_000
-#: Rows that one window task numbers.
-SEGMENT_ROWS = 100_000
+#: Rows that one window task numbers: at most SEGMENT_ROWS, and less where that gives up to 64 segments.
+SEGMENT_ROWS, LEAST_ROWS = 100_000, 500
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -54,7 +54,9 @@ def numbered(df: DataFrame, keys: list[str], order: list[str], amount: Column, n
     Rows equal in all of ``order`` take places next to each other.
     """
     columns = df.columns
-    counts = df.groupBy(*keys).agg(F.ceil(F.count("*") / SEGMENT_ROWS).alias("_segments"))
+    n = F.count("*")
+    segments = F.greatest(F.ceil(n / SEGMENT_ROWS), F.least(F.lit(64), F.ceil(n / LEAST_ROWS)))
+    counts = df.groupBy(*keys).agg(segments.alias("_segments"))
     match = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
     dealt = df.withColumn("_amount", amount.cast("long")).alias("l").join(small(counts).alias("r"), match).select(
         "l.*", F.pmod(F.xxhash64(*[F.col(f"l.{c}") for c in order]), F.col("r._segments")).alias("_segment")

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.llm.common import pieces
+from tidemark.llm.wordhash import joined, word_hashes
 
 #: Labelled rows that vote: a bounded sample, and so the size of what is broadcast (about 1 MB).
 VOTERS = 4096
@@ -38,13 +39,9 @@ KIND = _kind_table()
 def counts(texts: pa.Array) -> np.ndarray:
     """One row per text: byte triples by bucket, triples of kinds, and of its words those that repeat the
     last one, those that repeat the one before it, and the rest. Null and empty texts have zeros."""
-    values = [(t or "").encode("utf-8", "surrogatepass") for t in texts.to_pylist()]
-    n, sizes = len(values), np.array([len(v) for v in values], np.int64)
-    data = np.frombuffer(b"".join(values), np.uint8)
+    n = len(texts)
+    data, owner = joined(texts.to_pylist())
     out = np.zeros((n, WIDTH), np.float32)
-    if len(data) < 1:
-        return out
-    owner = np.repeat(np.arange(n), sizes)
     if len(data) > 2:
         whole = owner[:-2] == owner[2:]
         wide = data.astype(np.uint32)
@@ -54,22 +51,8 @@ def counts(texts: pa.Array) -> np.ndarray:
         kind = KIND[data].astype(np.int64)
         shape = (kind[:-2] * KINDS + kind[1:-1]) * KINDS + kind[2:]
         out[:, BLOCKS[1]] = np.bincount((owner[:-2] * KINDS**3 + shape)[whole], minlength=n * KINDS**3).reshape(n, -1)
-    # A word's code is the sum of its bytes times powers of an odd number, freed of its place by the inverse power.
-    inside = KIND[data] != 0
-    edge = np.ones(len(data), bool)
-    edge[1:] = owner[1:] != owner[:-1]
-    first = np.flatnonzero(inside & (edge | ~np.concatenate([[False], inside[:-1]])))
-    if len(first):
-        with np.errstate(over="ignore"):
-            last = np.flatnonzero(inside & (np.concatenate([edge[1:], [True]]) | ~np.concatenate([inside[1:], [False]])))
-            base = np.uint64(0x9E3779B97F4A7C15)
-            inverse = np.uint64(pow(int(base), -1, 1 << 64))
-            up, down = np.full(len(data), base), np.full(len(data), inverse)
-            up[0] = down[0] = 1
-            up, down = np.cumprod(up), np.cumprod(down)
-            total = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up)])
-            word = (total[last + 1] - total[first]) * down[first]
-        of = owner[first]
+    word, of = word_hashes(data, owner)
+    if len(word):
         again = np.zeros(len(word), bool)
         again[1:] = (word[1:] == word[:-1]) & (of[1:] == of[:-1])
         second = np.zeros(len(word), bool)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, chunks, mixing, quality, sharding
+from tidemark.llm import bpe, chunks, jaccard, mixing, quality, sharding
 from tidemark.llm.common import table
 
 #: Where the tokenizer files are; the package that holds them is installed beside Spark.
@@ -76,3 +76,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op7_signature_tree_jaccard")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
