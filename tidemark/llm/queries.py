@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, chunks, jaccard, mixing, quality, sharding
+from tidemark.llm import bpe, chunks, html_text, jaccard, mixing, quality, sharding, warc
 from tidemark.llm.common import table
+from tidemark.session import scratch_dir
 
 #: Where the tokenizer files are; the package that holds them is installed beside Spark.
 TOKENIZER = "word_bpe_49k.json"
@@ -59,6 +60,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_host_paths")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 @query("op6_kd_shards")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shards(table(spark, sf_dir, "documents"), 8)
@@ -67,6 +74,25 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_warc_round_trip", """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+    g AS (SELECT *, strlen(h) AS n, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+    SELECT page_id, n AS payload_bytes, sha1(h) AS payload_digest,
+           CASE WHEN n >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to
+    FROM g""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), path)
+    found = warc.read_warc(spark, path, payload=False)
+    number = lambda c: F.regexp_extract(c, r"<urn:page:(-?\d+)>", 1).try_cast("long")
+    return found.select(
+        number("record_id").alias("page_id"), "payload_bytes", "payload_digest",
+        F.when(F.col("error").isNull(), F.col("record_type")).otherwise(F.raise_error(F.col("error"))).alias("record_type"),
+        number("refers_to").alias("refers_to"),
+    )
+
+
 @query("op9_word_table_bpe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
