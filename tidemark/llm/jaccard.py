@@ -14,8 +14,8 @@ from tidemark.llm.wordhash import shingle_sets
 
 #: Documents link when 100 * intersection >= PERCENT * union.
 PERCENT = 80
-#: Bits of a node's bitmap, children of a node, documents in one tree.
-BITS, FAN, TREE = 2048, 8, 2000
+#: Children of a node, sets in one tree; least bits of a bitmap.
+FAN, TREE, LEAST_BITS = 8, 2000, 512
 #: Shingles that stand last in the order because many documents have them: at most so many, in a task's memory.
 COMMON, COMMON_IN_TASK, TASK_SHINGLES = 65_536, 8, 4_000_000
 
@@ -32,13 +32,31 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
+def octave(n: int) -> int:
+    """k where 2**k <= n < 2**(k+1). Sets of an octave have bitmaps of one length."""
+    return n.bit_length() - 1
+
+
+def bits_of(k: int) -> int:
+    """Two to four bits for each member."""
+    return max(LEAST_BITS, 4 << k)
+
+
 def bitmap(members: np.ndarray) -> np.ndarray:
     """Members' leading bits pick the bits that are set."""
-    bits = np.zeros(BITS, bool)
-    bits[(members >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64)] = True
+    n = bits_of(octave(len(members)))
+    bits = np.zeros(n, bool)
+    bits[(members >> np.uint64(64 - n.bit_length() + 1)).astype(np.int64)] = True
     return np.packbits(bits).view(np.uint64)
 
 
+def folded(one: np.ndarray, bits: int) -> np.ndarray:
+    """The bitmap of the same members in fewer bits."""
+    if len(one) * 64 == bits:
+        return one
+    return np.packbits(np.unpackbits(one.view(np.uint8)).reshape(bits, -1).any(1)).view(np.uint64)
+
+
 def set_id(members: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(members.tobytes()) - (1 << 63)
 
@@ -95,6 +113,21 @@ class Tree:
                 stack.append((level - 1, below[at: at + step]))
 
 
+def tree_pairs_of(maps: list[np.ndarray], sizes: np.ndarray, classes: np.ndarray, cut: int | None = None) -> Iterator[np.ndarray]:
+    """Pairs i < j that the trees cannot exclude: one tree for each octave of sizes and what may link with it from above."""
+    for k in sorted({octave(int(n)) for n in sizes}):
+        low, high = 1 << k, 2 << k
+        of = np.flatnonzero((sizes >= low) & (PERCENT * sizes <= 100 * high))
+        if len(of) < 2:
+            continue
+        tree = Tree(np.stack([folded(maps[i], bits_of(k)) for i in of]), sizes[of], classes[of])
+        for found in tree.pairs(None if cut is None else int((of < cut).sum())):
+            found = of[found]
+            found = found[sizes[found].min(1) < high]
+            if len(found):
+                yield found
+
+
 class Classes:
     """Union of numbered things; the class of a thing is its least member."""
 
@@ -114,15 +147,14 @@ class Classes:
         return np.array([self.find(i) for i in range(len(self.up))], np.int64)
 
 
-def local_classes(sets: list[np.ndarray], maps: np.ndarray) -> np.ndarray:
+def local_classes(sets: list[np.ndarray], maps: list[np.ndarray]) -> np.ndarray:
     """Class of each set under its links within the list. Neighbours in order are tried before the tree."""
     classes = Classes(len(sets))
     for i in range(1, len(sets)):
         for j in (0, i - 1):
             if classes.find(i) != classes.find(j) and linked(sets[i], sets[j]):
                 classes.union(i, j)
-    tree = Tree(maps, np.array([len(s) for s in sets], np.int64), classes.all())
-    for found in tree.pairs():
+    for found in tree_pairs_of(maps, np.array([len(s) for s in sets], np.int64), classes.all()):
         for i, j in found.tolist():
             if classes.find(i) != classes.find(j) and linked(sets[i], sets[j]):
                 classes.union(i, j)
@@ -243,7 +275,7 @@ def home_classes(docs: DataFrame, homes: DataFrame, text: str, key: str) -> Data
                 continue
             ids = sorted(known, key=lambda s: (int(known[s][0]), len(known[s]), s))  # equal least members: likely alike
             sets = [known[s] for s in ids]
-            maps = np.stack([bitmap(m) for m in sets])
+            maps = [bitmap(m) for m in sets]
             classes = local_classes(sets, maps)
             least: dict[int, int] = {}
             for sid, c in zip(ids, classes.tolist()):
@@ -278,10 +310,10 @@ def tree_pairs(cells: DataFrame, members: DataFrame) -> DataFrame:
             if run.num_rows < 2:
                 continue
             side, ids = run.column("side").to_numpy(), run.column("sid").to_numpy()
-            maps = np.stack([np.frombuffer(m, np.uint64) for m in run.column("map").to_pylist()])
-            tree = Tree(maps, run.column("n").to_numpy(), np.unique(run.column("class").to_numpy(), return_inverse=True)[1])
+            maps = [np.frombuffer(m, np.uint64) for m in run.column("map").to_pylist()]
+            classes = np.unique(run.column("class").to_numpy(), return_inverse=True)[1]
             cut = int((side == 0).sum()) if run.column("p")[0] != run.column("q")[0] else None
-            for found in tree.pairs(cut):
+            for found in tree_pairs_of(maps, run.column("n").to_numpy(), classes, cut):
                 a, b = ids[found[:, 0]], ids[found[:, 1]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, chunks, html_text, jaccard, mixing, quality, sharding, warc
+from tidemark.llm import bpe, chunks, collisions, html_text, jaccard, licenses, mixing, quality, sharding, warc
 from tidemark.llm.common import table
 from tidemark.session import scratch_dir
 
@@ -33,6 +33,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_license_rules", licenses.scan_sql())
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.array_join("licenses", ",").alias("licenses"), F.size("sentence_ids").cast("long").alias("n_sentences"))
+
+
 @query("op2_chunk_recipes", """
     WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
     SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
@@ -107,3 +113,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_signature_tree_jaccard")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op10_collision_counts")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collisions.near_vectors(table(spark, sf_dir, "embeddings"))
