@@ -13,15 +13,13 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
-from tidemark.llm.common import written
 
-#: Words in a group of documents that shares one list of distinct words.
-GROUP_WORDS = 2_000_000
-#: Words that one row of encoded words may hold.
-ROW_WORDS = 500_000
+#: Words in a group of documents that shares one list of distinct words; buckets that distinct words are dealt to.
+GROUP_WORDS, MOST_BUCKETS = 4_000_000, 1024
 
 #: The split rule that the quick path stands for.
 SPLIT_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -95,72 +93,82 @@ class WordEncoder:
 
 
 def packed(codes: np.ndarray) -> bytes:
-    """Whole numbers below 2**21 in one to three bytes each, the last of which is below 128; then deflated."""
-    size = 1 + (codes >= 1 << 7) + (codes >= 1 << 14)
+    """Whole numbers in one byte for each seven bits, the last of which is below 128; then deflated."""
+    size = 1 + sum((codes >= 1 << bits).astype(np.int64) for bits in (7, 14, 21, 28))
     end = np.cumsum(size)
     out = np.zeros(int(end[-1]) if len(end) else 0, np.uint8)
     out[end - 1] = codes & 127
-    two, three = size >= 2, size == 3
-    out[end[two] - 2] = 128 | (codes[two] >> 7 & 127)
-    out[end[three] - 3] = 128 | (codes[three] >> 14)
+    for k in range(1, int(size.max(initial=1))):
+        long = size > k
+        out[end[long] - 1 - k] = 128 | (codes[long] >> 7 * k & 127)
     return zlib.compress(out.tobytes(), 1)
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(zlib.decompress(data), np.uint8).astype(np.int64)
+    raw = np.frombuffer(zlib.decompress(data), np.uint8)
     end = np.flatnonzero(raw < 128)
-    out = raw[end]
+    out = raw[end].astype(np.int64)
     size = np.diff(end, prepend=-1)
-    out[size >= 2] |= (raw[end[size >= 2] - 1] & 127) << 7
-    out[size == 3] |= (raw[end[size == 3] - 2] & 127) << 14
+    for k in range(1, int(size.max(initial=1))):
+        long = size > k
+        out[long] |= (raw[end[long] - k].astype(np.int64) & 127) << 7 * k
     return out
 
 
-def grouped_words(docs: DataFrame, path: str, text: str, key: str, group_words: int = GROUP_WORDS) -> DataFrame:
-    """Groups of documents: group, keys, ends (words up to each document's end), codes, words.
+#: Rows on the way: documents of a group as codes, then lists of its words or of their ids.
+ON_THE_WAY = "slot long, group long, words long, ends binary, codes binary, places binary, list binary, sizes binary"
 
-    ``codes`` names each word of the documents in turn by its place in ``words``, the distinct words of the
-    group in order of frequency. A group ends at ``group_words`` words; a longer document is a group alone.
+
+def grouped_words(docs: DataFrame, path: str, text: str, key: str, buckets: int, group_words: int = GROUP_WORDS) -> DataFrame:
+    """Two kinds of rows for each group of documents.
+
+    One row has keys, ends (words up to each document's end) and codes, which name each word of the documents
+    in turn by its place among the distinct words of the group, the frequent first. The others have those
+    words, one row for each bucket of a hash of the word, with their places. A group ends at ``group_words``
+    words; a longer document is a group alone.
     """
     kind = docs.schema[key].dataType
-    schema = T.StructType([
-        T.StructField("group", T.LongType()), T.StructField("keys", T.ArrayType(kind)),
-        T.StructField("ends", T.ArrayType(T.LongType())), T.StructField("codes", T.BinaryType()),
-        T.StructField("words", T.ArrayType(T.StringType())),
-    ])
+    schema = T.StructType([T.StructField("keys", T.ArrayType(kind)), *T._parse_datatype_string(ON_THE_WAY).fields])
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, part, made = Splitter(path), TaskContext.get().partitionId(), 0
+        split, part, made, total = Splitter(path), TaskContext.get().partitionId(), 0, 0
         keys: list = []
-        ends: list[int] = []
+        sizes: list[int] = []
         codes: list[np.ndarray] = []
         number: defaultdict[str, int] = defaultdict()
+        number.default_factory = number.__len__
 
         def group(key_type: pa.DataType) -> pa.RecordBatch:
-            of = np.concatenate(codes) if codes else np.zeros(0, np.int64)
+            of = np.concatenate(codes)
             order = np.argsort(-np.bincount(of, minlength=len(number)), kind="stable")
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
+            dealt: list[tuple[list[int], list[str]]] = [([], []) for _ in range(buckets)]
             names = list(number)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([(part << 32) + made]), pa.array([keys], pa.list_(key_type)), pa.array([ends], pa.list_(pa.int64())),
-                 pa.array([packed(rank[of])], pa.binary()), pa.array([[names[i] for i in order]], pa.list_(pa.string()))],
-                ["group", "keys", "ends", "codes", "words"],
-            )
+            for place, i in enumerate(order.tolist()):
+                to = dealt[xxhash.xxh32_intdigest(names[i]) % buckets]
+                to[0].append(place)
+                to[1].append(names[i])
+            name = (part << 32) + made
+            rows = [{"keys": keys, "slot": -1 - name, "group": name, "words": len(number), "ends": packed(np.array(sizes, np.int64)), "codes": packed(rank[of])}]
+            rows += [{"slot": b, "group": name, "places": packed(np.diff(np.array(at), prepend=0)), "list": zlib.compress("\n".join(own).encode(), 1)}
+                     for b, (at, own) in enumerate(dealt) if at]
+            types = [(f.name, pa.list_(key_type) if f.name == "keys" else pa.binary() if f.dataType == T.BinaryType() else pa.int64()) for f in schema]
+            return pa.RecordBatch.from_pylist(rows, pa.schema(types))
 
-        number.default_factory = number.__len__
         key_type = None
         for batch in batches:
             key_type = batch.schema.field(key).type
-            for k, t in zip(batch.column(key), batch.column(text)):
+            for k, t in zip(batch.column(key).to_pylist(), batch.column(text)):
                 found = split(t.as_py())
-                if keys and ends[-1] + len(found) > group_words:
+                if keys and total + len(found) > group_words:
                     yield group(key_type)
-                    made += 1
-                    keys, ends, codes = [], [], []
+                    made, total = made + 1, 0
+                    keys, sizes, codes = [], [], []
                     number.clear()
-                keys.append(k.as_py())
-                ends.append((ends[-1] if ends else 0) + len(found))
+                keys.append(k)
+                sizes.append(len(found))
+                total += len(found)
                 codes.append(np.fromiter(map(number.__getitem__, found), np.int64, len(found)))
         if keys:
             yield group(key_type)
@@ -168,44 +176,29 @@ def grouped_words(docs: DataFrame, path: str, text: str, key: str, group_words:
     return docs.select(key, text).mapInArrow(make, schema)
 
 
-def encoded_words(words: DataFrame, path: str) -> DataFrame:
-    """Ids of (group, place, word): sorted by word, so that each distinct word is encoded once.
-
-    Rows are packed: one for each group and task, with places, numbers of ids, and ids.
-    """
+def encoded_words(groups: DataFrame, path: str) -> DataFrame:
+    """``groups`` with lists of ids in place of words. A word has one bucket, so it is encoded once."""
+    names = groups.columns
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = WordEncoder(path)
-        last, ids, held = None, [], 0
-        kept: dict[int, tuple[list, list, list]] = {}
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for group, (places, sizes, flat) in kept.items():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([group])] + [pa.array([np.array(x, np.uint32).tobytes()], pa.binary()) for x in (places, sizes, flat)],
-                    ["group", "places", "sizes", "ids"],
-                )
-
+        known: dict[str, list[int]] = {}
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("group", "place", "word")]
-            for group, place, word in zip(*columns):
-                if word != last:
-                    last, ids = word, code(word)
-                if (own := kept.get(group)) is None:
-                    own = kept[group] = ([], [], [])
-                own[0].append(place)
-                own[1].append(len(ids))
-                own[2].extend(ids)
-            held += batch.num_rows
-            if held >= ROW_WORDS:
-                yield from flush()
-                kept.clear()
-                held = 0
-        yield from flush()
-
-    return words.repartition("word").sortWithinPartitions("word").mapInArrow(
-        encode, "group long, places binary, sizes binary, ids binary"
-    )
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                if (words := row.column("list")[0].as_py()) is not None:
+                    ids = []
+                    for word in zlib.decompress(words).decode().split("\n"):
+                        if (own := known.get(word)) is None:
+                            own = known[word] = code(word)
+                        ids.append(own)
+                    columns = dict(zip(names, row.columns))
+                    columns["sizes"] = pa.array([packed(np.array(list(map(len, ids)), np.int64))], pa.binary())
+                    columns["list"] = pa.array([packed(np.array([x for own in ids for x in own], np.int64))], pa.binary())
+                    row = pa.RecordBatch.from_arrays(list(columns.values()), names)
+                yield row
+
+    return groups.repartition("slot").mapInArrow(encode, groups.schema)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", group_words: int = GROUP_WORDS) -> DataFrame:
@@ -213,35 +206,33 @@ def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id",
 
     Null texts count as empty and have no ids. Rows that repeat are encoded each; other columns are ignored.
     An empty table gives no rows. Texts are moved as codes into their group's list of distinct words; only that
-    list meets the table of encoded words, by word and then by place.
+    list moves to where its words are encoded, and meets the codes again by place.
     """
-    groups = written(grouped_words(docs, path, text, key, group_words), "word-groups")
-    listed = groups.select("group", F.posexplode("words").alias("place", "word"))
-    table = encoded_words(listed, path)
-    kind = docs.schema[key].dataType
-    schema = T.StructType([T.StructField(key, kind), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-
-    def place(left: pa.Table, right: pa.Table) -> pa.Table:
-        n = int(left.column("count")[0].as_py())
+    buckets = min(MOST_BUCKETS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    coded = encoded_words(grouped_words(docs, path, text, key, buckets, group_words), path)
+    schema = T.StructType([docs.schema[key], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+
+    def place(rows: pa.Table) -> pa.Table:
+        own = rows.filter(pc.is_valid(rows.column("codes")))
+        lists = rows.filter(pc.is_valid(rows.column("list")))
+        n = own.column("words")[0].as_py()
         size, start = np.zeros(n, np.int64), np.zeros(n, np.int64)
         flat, used = [], 0
-        for places, sizes, ids in zip(*(right.column(c).to_pylist() for c in ("places", "sizes", "ids"))):
-            at, lens = np.frombuffer(places, np.uint32), np.frombuffer(sizes, np.uint32).astype(np.int64)
+        for places, sizes, ids in zip(*(lists.column(c).to_pylist() for c in ("places", "sizes", "list"))):
+            at, lens = np.cumsum(unpacked(places)), unpacked(sizes)
             size[at], start[at] = lens, used + np.cumsum(lens) - lens
-            flat.append(np.frombuffer(ids, np.uint32))
+            flat.append(unpacked(ids).astype(np.int32))
             used += len(flat[-1])
-        ids = np.concatenate(flat).astype(np.int32) if flat else np.zeros(0, np.int32)
-        codes = unpacked(left.column("codes")[0].as_py())
+        ids = np.concatenate(flat) if flat else np.zeros(0, np.int32)
+        codes = unpacked(own.column("codes")[0].as_py())
         lens = size[codes]
         total = np.concatenate([[0], np.cumsum(lens)])
         out = ids[np.repeat(start[codes] - total[:-1], lens) + np.arange(total[-1])]
-        ends = total[np.array(left.column("ends")[0].as_py(), np.int64)]
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(out))
-        keys = left.column("keys").combine_chunks().flatten()
-        return pa.Table.from_arrays([keys, lists], [key, "ids"])
+        ends = total[np.concatenate([[0], np.cumsum(unpacked(own.column("ends")[0].as_py()))])]
+        found = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(out))
+        return pa.Table.from_arrays([own.column("keys").combine_chunks().flatten(), found], [key, "ids"])
 
-    left = groups.select("group", "keys", "ends", "codes", F.size("words").alias("count"))
-    return left.groupBy("group").cogroup(table.groupBy("group")).applyInArrow(place, schema)
+    return coded.groupBy("group").applyInArrow(place, schema)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
