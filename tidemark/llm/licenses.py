@@ -102,7 +102,7 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", known: dict[s
     """
     names = list(known)
     lookup = F.create_map(*[F.lit(x) for n in names for x in (known[n], f"<{n}>")])
-    trimmed = F.transform(sentences(F.col(text)), F.trim)
+    trimmed = F.transform(sentences(F.col(text)), lambda s: F.trim(s))
     hits = F.transform(F.filter(trimmed, lambda s: s.isin(list(known.values()))), lambda s: F.element_at(lookup, s))
     rows = docs.select(F.col(key), F.array_join(hits, "").alias("_ids")).filter("_ids != ''")
     left, found = F.col("_ids"), []
