@@ -32,6 +32,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where a public tokenizer file is; the package that holds them is installed beside Spark."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def pieces(batches: Iterable[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batches, cut where the texts of ``column`` pass ``limit`` bytes; a row is never cut."""
     for batch in batches:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import numbered, small, written
+from tidemark.llm.common import numbered, pieces, small, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -95,8 +96,9 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
         seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """(documents, draws): what the mix takes of each document.
 
-    documents: ``key``, ``source``, size, source_size, target, first (the number of words before it in its
-    source), taken; one row per row of ``docs``. draws: the output, one row for each block of each shard:
+    documents: doc_id (the ``key``), source, mark (a hash of the text), size, source_size, target, length (words
+    of the source's blocks), first (the number of words before it in its source), taken; one row per row of
+    ``docs``. draws: the output, one row for each block of each shard:
     source, shard, slot, epoch, block, and the words ``lo`` to ``hi`` (exclusive) of the source that it holds.
 
     Words of a source stand in one long line in hashed order of keys and are cut into blocks. Slot s of a
@@ -104,7 +106,7 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
     every block is taken once before any is taken again. Rows that repeat count each. Documents without
     words take nothing; an empty table gives empty results. A null source is a source.
     """
-    sized = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"))
+    sized = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), F.xxhash64(text).alias("mark"), n_words(F.col(text)).alias("size"))
     sized = written(sized, "mix-sizes")
     # One row per source: names and sizes of sources are the catalogue that weights refer to.
     sizes = {r["source"]: int(r["n"]) for r in sized.groupBy("source").agg(F.sum("size").alias("n")).collect()}
@@ -121,7 +123,7 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
         [(s, sizes[s], wanted[s], length[s], blocks[s], slots[s]) for s in names],
         f"source {dict(docs.dtypes)[source]}, source_size long, target double, length long, blocks long, slots long",
     )
-    placed = numbered(sized, ["source"], ["doc_id", "size"], F.col("size"), "first")
+    placed = numbered(sized, ["source"], ["doc_id", "mark"], F.col("size"), "first")
     placed = written(
         placed.alias("l").join(small(plan).alias("r"), F.col("l.source").eqNullSafe(F.col("r.source")))
         .select("l.*", "r.source_size", "r.target", "r.length"),
@@ -161,7 +163,7 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
     taken = taken_runs(placed, draws).groupBy("source", "first").agg(F.sum(F.col("hi") - F.col("lo")).alias("taken"))
     match = F.col("l.source").eqNullSafe(F.col("r.source")) & (F.col("l.first") == F.col("r.first")) & (F.col("l.size") > 0)
     out = placed.alias("l").join(taken.alias("r"), match, "left").select(
-        F.col("l.doc_id").alias(key), F.col("l.source").alias(source), "l.size", "l.source_size", "l.target", "l.first",
+        "l.doc_id", "l.source", "l.mark", "l.size", "l.source_size", "l.target", "l.length", "l.first",
         F.coalesce("r.taken", F.lit(0)).cast("long").alias("taken"),
     )
     return out, draws
@@ -170,12 +172,63 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
 def taken_runs(placed: DataFrame, draws: DataFrame) -> DataFrame:
     """Words ``lo`` to ``hi`` of each document that a draw holds: documents and draws meet at block numbers."""
     cut = placed.filter("size > 0").select(
-        "doc_id", "source", "first", "size", "length",
+        "doc_id", "source", "mark", "first", "size", "length",
         F.explode(F.sequence(F.expr("first div length"), F.expr("(first + size - 1) div length"))).alias("block"),
     )
     match = F.col("l.source").eqNullSafe(F.col("r.source")) & (F.col("l.block") == F.col("r.block"))
     return cut.alias("l").join(draws.alias("r"), match).select(
-        "l.doc_id", "l.source", "l.first", "r.shard", "r.slot", "r.epoch",
+        "l.doc_id", "l.source", "l.mark", "l.first", "r.shard", "r.slot", "r.epoch",
         (F.greatest("l.first", "r.lo") - F.col("l.first")).alias("lo"),
         (F.least(F.expr("l.first + l.size"), F.col("r.hi")) - F.col("l.first")).alias("hi"),
     )
+
+
+def mixed_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", n_chars: str | None = "n_chars",
+                    **options) -> DataFrame:
+    """The mix as documents, with the columns of ``docs``.
+
+    A document comes once for each epoch that takes words of it, whole where all of them are taken, else
+    with the taken stretches of its text, joined by line feeds. ``n_chars`` is counted anew.
+    """
+    mixed, draws = mix(docs, text, key, source, **options)
+    keys = ["doc_id", "source", "mark"]
+    runs = taken_runs(mixed, draws).groupBy(*keys, "first").agg(F.collect_list(F.struct("epoch", "lo", "hi")).alias("_runs"))
+    runs = runs.join(mixed.select("source", "first", "size", "mark").filter("size > 0").distinct().alias("m"), [
+        runs["source"].eqNullSafe(F.col("m.source")), runs["first"] == F.col("m.first"), runs["mark"] == F.col("m.mark")
+    ]).select(runs["doc_id"].alias("_id"), runs["source"].alias("_source"), runs["mark"].alias("_mark"), "_runs", F.col("m.size").alias("_size"))
+    named = docs.withColumn("_hash", F.xxhash64(text))
+    if not mixed.groupBy(*keys).count().filter("count > 1").isEmpty():
+        named = named.dropDuplicates([key, source, "_hash"])  # rows that repeat have a list of runs each
+    match = F.col(key).eqNullSafe(F.col("_id")) & F.col(source).eqNullSafe(F.col("_source")) & (F.col("_hash") == F.col("_mark"))
+    both = named.join(runs, match).select(*docs.columns, "_runs", "_size")
+    names = docs.columns
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = re.compile(WORD)
+        for batch in pieces(batches, text):
+            rows, texts = [], []
+            for i, (value, runs, size) in enumerate(zip(*(batch.column(c).to_pylist() for c in (text, "_runs", "_size")))):
+                epochs: dict[int, list[tuple[int, int]]] = {}
+                for run in runs:
+                    epochs.setdefault(run["epoch"], []).append((run["lo"], run["hi"]))
+                spans = None
+                for epoch in sorted(epochs):
+                    taken: list[list[int]] = []
+                    for lo, hi in sorted(epochs[epoch]):
+                        if taken and taken[-1][1] == lo:
+                            taken[-1][1] = hi
+                        else:
+                            taken.append([lo, hi])
+                    rows.append(i)
+                    if taken == [[0, size]]:
+                        texts.append(value)
+                    else:
+                        spans = spans or [m.span() for m in words.finditer(value)]
+                        texts.append("\n".join(value[spans[lo][0]: spans[hi - 1][1]] for lo, hi in taken))
+            out = batch.take(pa.array(rows, pa.int64()))
+            columns = {c: out.column(c) for c in names} | {text: pa.array(texts, pa.string())}
+            if n_chars in columns:
+                columns[n_chars] = pa.array([len(t) for t in texts], out.column(n_chars).type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names)
+
+    return both.mapInArrow(cut, docs.schema)

@@ -6,23 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from tidemark.llm import bpe, chunks, collisions, html_text, jaccard, licenses, mixing, quality, sharding, warc
-from tidemark.llm.common import table
+from tidemark.llm.common import table, tokenizer_path
 from tidemark.session import scratch_dir
 
-#: Where the tokenizer files are; the package that holds them is installed beside Spark.
-TOKENIZER = "word_bpe_49k.json"
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def tokenizer_path() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(TOKENIZER)
-
-
 def query(name: str, sql: str | None = None):
     def register(fn):
         QUERIES[name] = fn
@@ -118,3 +110,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_collision_counts")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collisions.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
