@@ -17,15 +17,15 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text: the one with the largest id, once even if its row repeats."""
-    named = docs.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    decided = written(chunks.exact_duplicates(named, carry=("_hash",)).select("doc_id", "_hash", "kept"), "copies")
-    gone = small(decided.filter("not kept").select(F.col("doc_id").alias("_id"), F.col("_hash").alias("_other")).distinct())
-    match = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_other"))
+    named = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    decided = written(chunks.exact_duplicates(named, carry=("_text_hash",)).select("doc_id", "_text_hash", "kept"), "copies")
+    gone = small(decided.filter("not kept").select(F.col("doc_id").alias("_id"), F.col("_text_hash").alias("_other")).distinct())
+    match = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_other"))
     left = named.join(gone, match, "left_anti")
-    twice = decided.filter("kept").groupBy("doc_id", "_hash").count().filter("count > 1")
+    twice = decided.filter("kept").groupBy("doc_id", "_text_hash").count().filter("count > 1")
     if not twice.isEmpty():
-        left = left.dropDuplicates(["doc_id", "_hash"])
-    return left.drop("_hash")
+        left = left.dropDuplicates(["doc_id", "_text_hash"])
+    return left.drop("_text_hash")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

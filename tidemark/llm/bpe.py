@@ -224,10 +224,14 @@ def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id",
             flat.append(unpacked(ids).astype(np.int32))
             used += len(flat[-1])
         ids = np.concatenate(flat) if flat else np.zeros(0, np.int32)
-        codes = unpacked(own.column("codes")[0].as_py())
-        lens = size[codes]
-        total = np.concatenate([[0], np.cumsum(lens)])
-        out = ids[np.repeat(start[codes] - total[:-1], lens) + np.arange(total[-1])]
+        codes = unpacked(own.column("codes")[0].as_py()).astype(np.int32)
+        total = np.concatenate([[0], np.cumsum(size[codes])])
+        out = np.empty(total[-1], np.int32)
+        for at in range(0, len(codes), 100_000):  # in stretches, so that places are not held for all words at once
+            part = codes[at: at + 100_000]
+            lens, first = size[part], total[at: at + len(part)]
+            lo, hi = total[at], total[at + len(part)]
+            out[lo:hi] = ids[np.repeat(start[part] - first, lens) + np.arange(lo, hi)]
         ends = total[np.concatenate([[0], np.cumsum(unpacked(own.column("ends")[0].as_py()))])]
         found = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(out))
         return pa.Table.from_arrays([own.column("keys").combine_chunks().flatten(), found], [key, "ids"])
@@ -239,8 +243,10 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded
     """``encoded`` and ``name``, the pieces of ``ids`` with a space between.
 
     Ids meet the table of pieces by number. The table is the vocabulary, whose size the tokenizer file
-    fixes; each task holds it, so no id is shuffled. Null ids give null, no ids an empty text.
+    fixes; each task holds it, so no id is shuffled. Null ids give null, no ids an empty text. A column called
+    ``name`` gives way.
     """
+    encoded = encoded.drop(name)
     schema = T.StructType([*encoded.schema.fields, T.StructField(name, T.StringType())])
 
     def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -196,10 +196,10 @@ def mixed_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", so
     runs = runs.join(mixed.select("source", "first", "size", "mark").filter("size > 0").distinct().alias("m"), [
         runs["source"].eqNullSafe(F.col("m.source")), runs["first"] == F.col("m.first"), runs["mark"] == F.col("m.mark")
     ]).select(runs["doc_id"].alias("_id"), runs["source"].alias("_source"), runs["mark"].alias("_mark"), "_runs", F.col("m.size").alias("_size"))
-    named = docs.withColumn("_hash", F.xxhash64(text))
+    named = docs.withColumn("_text_hash", F.xxhash64(text))
     if not mixed.groupBy(*keys).count().filter("count > 1").isEmpty():
-        named = named.dropDuplicates([key, source, "_hash"])  # rows that repeat have a list of runs each
-    match = F.col(key).eqNullSafe(F.col("_id")) & F.col(source).eqNullSafe(F.col("_source")) & (F.col("_hash") == F.col("_mark"))
+        named = named.dropDuplicates([key, source, "_text_hash"])  # rows that repeat have a list of runs each
+    match = F.col(key).eqNullSafe(F.col("_id")) & F.col(source).eqNullSafe(F.col("_source")) & (F.col("_text_hash") == F.col("_mark"))
     both = named.join(runs, match).select(*docs.columns, "_runs", "_size")
     names = docs.columns
 

@@ -157,8 +157,9 @@ def scored(docs: DataFrame, model: Model, text: str = "text", name: str = "score
     """``docs`` and ``name``, the score of the whole ``text``: exact cosines against all voters, in blocks.
 
     Null and empty texts have the voters' mean. Without voters every score is 1. Every row is scored,
-    rows that repeat alike; an empty table gives no rows.
+    rows that repeat alike; an empty table gives no rows. A column called ``name`` gives way to the score.
     """
+    docs = docs.drop(name)
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
     names = docs.columns
 
