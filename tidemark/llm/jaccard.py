@@ -7,15 +7,18 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.llm.common import components, pieces, runs, small, written
 from tidemark.llm.wordhash import shingle_sets
 
 #: Documents link when 100 * intersection >= PERCENT * union.
 PERCENT = 80
-#: Children of a node, sets in one tree; least bits of a bitmap.
-FAN, TREE, LEAST_BITS = 8, 2000, 512
+#: Children of a node; sets and shingles of the sets that one tree is made for.
+FAN, TREE, TREE_SHINGLES = 8, 2000, 2_000_000
+#: Bits of a bitmap: at least LEAST_BITS; for the smallest set of an octave so many per shingle, half as many for the
+#: largest: FEW where bitmaps are moved, MANY where the sets are at hand.
+LEAST_BITS, FEW, MANY = 512, 4, 32
 #: Shingles that stand last in the order because many documents have them: at most so many, in a task's memory.
 COMMON, COMMON_IN_TASK, TASK_SHINGLES = 65_536, 8, 4_000_000
 
@@ -37,14 +40,13 @@ def octave(n: int) -> int:
     return n.bit_length() - 1
 
 
-def bits_of(k: int) -> int:
-    """Two to four bits for each member."""
-    return max(LEAST_BITS, 4 << k)
+def bits_of(k: int, per: int) -> int:
+    return max(LEAST_BITS, per << k)
 
 
-def bitmap(members: np.ndarray) -> np.ndarray:
+def bitmap(members: np.ndarray, per: int = FEW) -> np.ndarray:
     """Members' leading bits pick the bits that are set."""
-    n = bits_of(octave(len(members)))
+    n = bits_of(octave(len(members)), per)
     bits = np.zeros(n, bool)
     bits[(members >> np.uint64(64 - n.bit_length() + 1)).astype(np.int64)] = True
     return np.packbits(bits).view(np.uint64)
@@ -113,14 +115,16 @@ class Tree:
                 stack.append((level - 1, below[at: at + step]))
 
 
-def tree_pairs_of(maps: list[np.ndarray], sizes: np.ndarray, classes: np.ndarray, cut: int | None = None) -> Iterator[np.ndarray]:
+def tree_pairs_of(
+    maps: list[np.ndarray], sizes: np.ndarray, classes: np.ndarray, cut: int | None = None, per: int = FEW
+) -> Iterator[np.ndarray]:
     """Pairs i < j that the trees cannot exclude: one tree for each octave of sizes and what may link with it from above."""
     for k in sorted({octave(int(n)) for n in sizes}):
         low, high = 1 << k, 2 << k
         of = np.flatnonzero((sizes >= low) & (PERCENT * sizes <= 100 * high))
         if len(of) < 2:
             continue
-        tree = Tree(np.stack([folded(maps[i], bits_of(k)) for i in of]), sizes[of], classes[of])
+        tree = Tree(np.stack([folded(maps[i], bits_of(k, per)) for i in of]), sizes[of], classes[of])
         for found in tree.pairs(None if cut is None else int((of < cut).sum())):
             found = of[found]
             found = found[sizes[found].min(1) < high]
@@ -147,18 +151,23 @@ class Classes:
         return np.array([self.find(i) for i in range(len(self.up))], np.int64)
 
 
-def local_classes(sets: list[np.ndarray], maps: list[np.ndarray]) -> np.ndarray:
-    """Class of each set under its links within the list. Neighbours in order are tried before the tree."""
-    classes = Classes(len(sets))
+def local_links(sets: list[np.ndarray], classes: Classes, cut: int | None = None) -> list[tuple[int, int]]:
+    """Links that join classes of the list, and the classes joined. Neighbours in order are tried before the tree."""
+    out = []
+
+    def attempt(i: int, j: int) -> None:
+        if classes.find(i) != classes.find(j) and linked(sets[i], sets[j]):
+            classes.union(i, j)
+            out.append((i, j))
+
     for i in range(1, len(sets)):
-        for j in (0, i - 1):
-            if classes.find(i) != classes.find(j) and linked(sets[i], sets[j]):
-                classes.union(i, j)
-    for found in tree_pairs_of(maps, np.array([len(s) for s in sets], np.int64), classes.all()):
+        attempt(0, i)
+        attempt(i - 1, i)
+    maps, sizes = [bitmap(m, MANY) for m in sets], np.array([len(m) for m in sets], np.int64)
+    for found in tree_pairs_of(maps, sizes, classes.all(), cut, MANY):
         for i, j in found.tolist():
-            if classes.find(i) != classes.find(j) and linked(sets[i], sets[j]):
-                classes.union(i, j)
-    return classes.all()
+            attempt(i, j)
+    return out
 
 
 def common_shingles(docs: DataFrame, text: str) -> np.ndarray:
@@ -255,34 +264,44 @@ def shared_only(rows: DataFrame) -> DataFrame:
     return rows.repartition("shingle").sortWithinPartitions("shingle", "sid").mapInArrow(keep, "shingle long, sid long, n long")
 
 
+def parts_of(count: str, shingles: str) -> Column:
+    """Parts that so many sets are dealt to, so that one part makes one tree."""
+    return F.ceil(F.greatest(F.col(count) / TREE, F.col(shingles) / TREE_SHINGLES)).cast("long")
+
+
+def known_sets(rows: pa.Table, text: str) -> dict[int, np.ndarray]:
+    """The sets of rows (sid, text); a row whose text has another set than its sid says is left out."""
+    known: dict[int, np.ndarray] = {}
+    for batch in pieces(rows.to_batches(), text):
+        for sid, members in zip(batch.column("sid").to_pylist(), shingle_sets(batch.column(text).to_pylist())):
+            if len(members) and set_id(members) == sid:
+                if sid in known and not np.array_equal(known[sid], members):
+                    raise ValueError(f"two sets have the hash {sid}")
+                known[sid] = members
+    return known
+
+
 def home_classes(docs: DataFrame, homes: DataFrame, text: str, key: str) -> DataFrame:
     """(sid, n, class, map): classes of the sets that share a home and a part of it.
 
-    ``homes`` has ``key``, sid, home, part. Each text moves once, to its home; a part holds about TREE sets.
+    ``homes`` has ``key``, sid, home, part. Each text moves once, to its home.
     """
     moved = docs.select(key, text).join(small(homes), key).select("home", "part", "sid", F.coalesce(text, F.lit("")).alias(text))
 
     def classify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in runs(batches, ["home", "part"]):
-            known: dict[int, np.ndarray] = {}
-            for batch in pieces(rows.to_batches(), text):
-                for sid, members in zip(batch.column("sid").to_pylist(), shingle_sets(batch.column(text).to_pylist())):
-                    if len(members) and set_id(members) == sid:
-                        if sid in known and not np.array_equal(known[sid], members):
-                            raise ValueError(f"two sets have the hash {sid}")
-                        known[sid] = members
-            if not known:
+            if not (known := known_sets(rows, text)):
                 continue
             ids = sorted(known, key=lambda s: (int(known[s][0]), len(known[s]), s))  # equal least members: likely alike
-            sets = [known[s] for s in ids]
-            maps = [bitmap(m) for m in sets]
-            classes = local_classes(sets, maps)
+            sets, classes = [known[s] for s in ids], Classes(len(ids))
+            local_links(sets, classes)
             least: dict[int, int] = {}
-            for sid, c in zip(ids, classes.tolist()):
+            found = classes.all().tolist()
+            for sid, c in zip(ids, found):
                 least[c] = min(least.get(c, sid), sid)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([least[c] for c in classes.tolist()], pa.int64()), pa.array([m.tobytes() for m in maps], pa.binary())],
+                [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([least[c] for c in found], pa.int64()),
+                 pa.array([bitmap(m).tobytes() for m in sets], pa.binary())],
                 ["sid", "n", "class", "map"],
             )
 
@@ -291,19 +310,24 @@ def home_classes(docs: DataFrame, homes: DataFrame, text: str, key: str) -> Data
     )
 
 
-def tree_pairs(cells: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of sets of different classes in one cell (shingle, sid) that the cell's tree cannot exclude.
-
-    A cell of more than TREE sets is cut into parts, and every two parts meet in a task of their own.
-    """
-    sizes = cells.groupBy("shingle").agg(F.ceil(F.count("*") / TREE).alias("parts"))
-    rows = cells.select("shingle", "sid").join(sizes, "shingle").withColumn("part", F.pmod(F.xxhash64("sid"), "parts"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
-    rows = rows.withColumn("other", other).select(
-        "shingle", "sid", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
+def in_parts(rows: DataFrame, group: str) -> DataFrame:
+    """``rows`` (group, sid, n) with p, q and side: every two parts of a group meet, and so does each with itself."""
+    sizes = rows.groupBy(group).agg(F.count("*").alias("count"), F.sum("n").alias("shingles"))
+    rows = rows.join(sizes.select(group, parts_of("count", "shingles").alias("parts")), group)
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("sid"), "parts"))
+    return rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select(
+        group, "sid", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
         (F.col("part") > F.col("other")).cast("int").alias("side"),
     )
-    rows = rows.join(members.select("sid", "n", "class", "map"), "sid")
+
+
+def families(cells: DataFrame, members: DataFrame) -> DataFrame:
+    """(node, comp): sets that may be linked across classes, in families that no possible link leaves.
+
+    In every cell (shingle, sid) the tree of its bitmaps leaves pairs that it cannot exclude. Each task joins
+    these to clusters and gives a cluster as a star, so rows grow with sets and not with pairs.
+    """
+    rows = in_parts(cells.select("shingle", "sid", "n"), "shingle").join(members.select("sid", "n", "class", "map"), "sid")
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches, ["shingle", "p", "q"]):
@@ -313,12 +337,41 @@ def tree_pairs(cells: DataFrame, members: DataFrame) -> DataFrame:
             maps = [np.frombuffer(m, np.uint64) for m in run.column("map").to_pylist()]
             classes = np.unique(run.column("class").to_numpy(), return_inverse=True)[1]
             cut = int((side == 0).sum()) if run.column("p")[0] != run.column("q")[0] else None
+            clusters = Classes(len(ids))
             for found in tree_pairs_of(maps, run.column("n").to_numpy(), classes, cut):
-                a, b = ids[found[:, 0]], ids[found[:, 1]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                for i, j in found.tolist():
+                    clusters.union(i, j)
+            head = clusters.all()
+            far = np.flatnonzero(head != np.arange(len(head)))
+            if len(far):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[head[far]]), pa.array(ids[far])], ["a", "b"])
+
+    rows = rows.repartition("shingle", "p", "q").sortWithinPartitions("shingle", "p", "q", "side", "n", "sid")
+    return components(rows.mapInArrow(meet, "a long, b long").distinct())
 
-    sorted_rows = rows.repartition("shingle", "p", "q").sortWithinPartitions("shingle", "p", "q", "side", "n", "sid")
-    return sorted_rows.mapInArrow(meet, "a long, b long").distinct()
+
+def family_links(docs: DataFrame, rows: DataFrame, homes: DataFrame, text: str, key: str) -> DataFrame:
+    """Links (a, b) that join classes within each family; ``rows`` has family, sid, n, class. Texts move once
+    for each part of their family."""
+    placed = in_parts(rows.select("family", "sid", "n"), "family").join(rows.select("sid", "class"), "sid")
+    placed = written(placed.join(homes.select("sid", key), "sid"), "near-families")
+    moved = docs.select(key, text).join(small(placed), key).select(*[c for c in placed.columns if c != key], F.coalesce(text, F.lit("")).alias(text))
+
+    def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in runs(batches, ["family", "p", "q"]):
+            known = known_sets(run, text)
+            facts = {s: (side, c) for s, side, c in zip(*(run.column(x).to_pylist() for x in ("sid", "side", "class")))}
+            ids = sorted(known, key=lambda s: (facts[s][0], int(known[s][0]), len(known[s]), s))
+            classes, first = Classes(len(ids)), {}
+            for i, sid in enumerate(ids):
+                classes.union(first.setdefault(facts[sid][1], i), i)
+            cut = sum(facts[s][0] == 0 for s in ids) if run.column("p")[0] != run.column("q")[0] else None
+            found = local_links([known[s] for s in ids], classes, cut)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i, _ in found]), pa.array([ids[j] for _, j in found])], ["a", "b"])
+
+    moved = moved.repartition("family", "p", "q").sortWithinPartitions("family", "p", "q")
+    return moved.mapInArrow(check, "a long, b long")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, homes: DataFrame, text: str, key: str) -> DataFrame:
@@ -358,18 +411,20 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     1. Equal sets count once. Linked sets share a shingle in their prefixes, so sets meet in cells, one for
        each shingle that several prefixes hold.
     2. Each set goes to its largest cell, or to one part of it, whose signature tree gives true classes there.
-    3. Cells that still hold several classes are gone through again: first only the least class of a cell that
-       was cut into parts against the others, then all pairs of classes, by the trees of the cells.
+    3. Cells that still hold several classes are gone through again. First the least class of a cell that was
+       cut into parts is compared with the others. Then the trees of the cells give families of sets that may
+       be linked across classes; each set goes to its family, where a tree with longer bitmaps and the sets
+       themselves decide.
     """
     docs = docs.select(key, text)
     signed = written(signatures(docs, common_shingles(docs, text), text, key), "near-signed")
     rare = signed.select(F.explode("rare").alias("shingle"), "sid", "n")
     often = signed.select(F.explode("often").alias("shingle"), "sid", "n")
-    cells = written(shared_only(rare).unionByName(often), "near-cells").select("shingle", "sid")
+    cells = written(shared_only(rare).unionByName(often), "near-cells").select("shingle", "sid", "n")
 
-    sizes = cells.groupBy("shingle").count()
-    homes = cells.join(sizes, "shingle").groupBy("sid").agg(F.max(F.struct("count", "shingle")).alias("h"))
-    homes = homes.select("sid", F.col("h.shingle").alias("home"), F.pmod(F.xxhash64("sid"), F.ceil(F.col("h.count") / TREE)).alias("part"))
+    sizes = cells.groupBy("shingle").agg(F.count("*").alias("count"), F.sum("n").alias("shingles"))
+    homes = cells.join(sizes, "shingle").groupBy("sid").agg(F.max(F.struct("count", "shingle", "shingles")).alias("h"))
+    homes = homes.select("sid", F.col("h.shingle").alias("home"), F.pmod(F.xxhash64("sid"), parts_of("h.count", "h.shingles")).alias("part"))
     named = signed.filter("sid is not null").groupBy("sid").agg(F.min(key).alias(key))
     homes = written(named.join(homes, "sid"), "near-homes")
     members = written(home_classes(docs, homes, text, key), "near-members")
@@ -378,14 +433,19 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     for first in (True, False):
         classes = written(found, "near-classes")
         rows = cells.join(classes, "sid")
-        mixed = rows.groupBy("shingle").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count("*").alias("sets"))
+        mixed = rows.groupBy("shingle").agg(
+            F.min("class").alias("lo"), F.max("class").alias("hi"), F.count("*").alias("sets"), F.sum("n").alias("shingles")
+        )
         mixed = mixed.filter("lo != hi")
         if first:
-            heads = rows.join(mixed.filter(f"sets > {TREE}"), "shingle").groupBy("shingle", "lo", "class").agg(F.min("sid").alias("sid"))
+            cut = mixed.filter(parts_of("sets", "shingles") > 1).select("shingle", "lo")
+            heads = rows.join(cut, "shingle").groupBy("shingle", "lo", "class").agg(F.min("sid").alias("sid"))
             heads = written(heads, "near-heads")
             pairs = heads.filter("class = lo").select("shingle", F.col("sid").alias("a")).join(
                 heads.filter("class != lo").select("shingle", F.col("sid").alias("b")), "shingle"
             ).select("a", "b").distinct()
+            pairs = written(pairs, "near-pairs")
+            links = None if pairs.isEmpty() else verified(pairs, docs, homes, text, key)
         else:
             # Cells with the same sets give the same pairs: one of them will do.
             rows = rows.join(mixed.select("shingle"), "shingle")
@@ -395,11 +455,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
             )
             once = marks.groupBy("sets", "mark", "second").agg(F.min("shingle").alias("shingle")).select("shingle")
             rows = written(rows.join(once, "shingle").dropDuplicates(["shingle", "sid"]), "near-mixed")
-            pairs = tree_pairs(rows, members.drop("class").join(classes, "sid"))
-        pairs = written(pairs, "near-pairs")
-        if pairs.isEmpty():
+            known = members.drop("class").join(classes, "sid")
+            related = families(rows, known).select(F.col("node").alias("sid"), F.col("comp").alias("family"))
+            related = written(related.join(known.drop("map"), "sid"), "near-related")
+            links = None if related.isEmpty() else family_links(docs, related, homes, text, key)
+        if links is None:
             continue
-        links = verified(pairs, docs, homes, text, key)
         links = links.join(classes.select(F.col("sid").alias("a"), F.col("class").alias("u")), "a")
         links = links.join(classes.select(F.col("sid").alias("b"), F.col("class").alias("v")), "b")
         merged = components(links.select(F.col("u").alias("a"), F.col("v").alias("b")))
