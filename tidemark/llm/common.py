@@ -39,13 +39,13 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def pieces(batches: Iterable[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches, cut where the texts of ``column`` pass ``limit`` bytes; a row is never cut."""
+def pieces(batches: Iterable[pa.RecordBatch], column: str, limit: int = 2 << 20, rows: int = 2000) -> Iterator[pa.RecordBatch]:
+    """The batches, cut where the texts of ``column`` pass ``limit`` bytes or ``rows`` texts; a row is never cut."""
     for batch in batches:
         sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         start = held = 0
         for i, size in enumerate(sizes):
-            if held and held + size > limit:
+            if i > start and (held + size > limit or i - start >= rows):
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += int(size)

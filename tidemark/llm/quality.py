@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.llm.common import pieces
-from tidemark.llm.wordhash import joined, word_hashes
+from tidemark.llm.wordhash import LONG, joined_bytes, stretches, word_hashes
 
 #: Labelled rows that vote: a bounded sample, and so the size of what is broadcast (about 1 MB).
 VOTERS = 4096
@@ -38,17 +38,43 @@ KIND = _kind_table()
 
 def counts(texts: pa.Array) -> np.ndarray:
     """One row per text: byte triples by bucket, triples of kinds, and of its words those that repeat the
-    last one, those that repeat the one before it, and the rest. Null and empty texts have zeros."""
-    n = len(texts)
-    data, owner = joined(texts.to_pylist())
+    last one, those that repeat the one before it, and the rest. Null and empty texts have zeros.
+
+    A text of more than a mebibyte is counted in stretches that end at white space.
+    """
+    parts: list[bytes] = []
+    of: list[int] = []
+    for i, text in enumerate(texts.to_pylist()):
+        own = stretches((text or "").encode("utf-8", "surrogatepass"))
+        parts += own
+        of += [i] * len(own)
+    out = np.zeros((len(texts), WIDTH), np.float32)
+    at = 0
+    while at < len(parts):
+        end, held = at + 1, len(parts[at])
+        while end < len(parts) and held + len(parts[end]) <= LONG:
+            held += len(parts[end])
+            end += 1
+        found = _counts(parts[at:end])
+        if len(set(of[at:end])) == end - at:
+            out[of[at:end]] += found
+        else:
+            np.add.at(out, of[at:end], found)
+        at = end
+    return out
+
+
+def _counts(values: list[bytes]) -> np.ndarray:
+    n = len(values)
+    data, owner = joined_bytes(values)
     out = np.zeros((n, WIDTH), np.float32)
     if len(data) > 2:
         whole = owner[:-2] == owner[2:]
         wide = data.astype(np.uint32)
         code = (wide[:-2] | wide[1:-1] << np.uint32(8) | wide[2:] << np.uint32(16)) * np.uint32(2654435761)
-        bucket = (code >> np.uint32(21)).astype(np.int64)
+        bucket = (code >> np.uint32(21)).astype(np.int32)
         out[:, BLOCKS[0]] = np.bincount((owner[:-2] * TRIPLES + bucket)[whole], minlength=n * TRIPLES).reshape(n, -1)
-        kind = KIND[data].astype(np.int64)
+        kind = KIND[data].astype(np.int32)
         shape = (kind[:-2] * KINDS + kind[1:-1]) * KINDS + kind[2:]
         out[:, BLOCKS[1]] = np.bincount((owner[:-2] * KINDS**3 + shape)[whole], minlength=n * KINDS**3).reshape(n, -1)
     word, of = word_hashes(data, owner)

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 
 SHINGLE = 5
 BASE = 0x9E3779B97F4A7C15
+#: Bytes of one text that are hashed at a time.
+LONG = 1 << 20
+_BREAK = re.compile(rb"[ \t-\r]")
+_POWERS = [np.uint64(pow(BASE, j + 1, 1 << 64)) for j in range(SHINGLE)]
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -47,10 +53,27 @@ def word_hashes(data: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.nda
         return mixed((total[last + 1] - total[first]) * down[first]), owner[first]
 
 
-def joined(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of the texts behind each other, and the number of the text that each belongs to."""
-    values = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-    return np.frombuffer(b"".join(values), np.uint8), np.repeat(np.arange(len(values)), [len(v) for v in values])
+def joined_bytes(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The texts behind each other, and the number of the text that each byte belongs to."""
+    owner = np.repeat(np.arange(len(values), dtype=np.int32), [len(v) for v in values])
+    return np.frombuffer(b"".join(values), np.uint8), owner
+
+
+def stretches(data: bytes) -> list[bytes]:
+    """Parts of about LONG bytes that end after white space (a word longer than that is one part)."""
+    out, start = [], 0
+    while len(data) - start > LONG:
+        found = _BREAK.search(data, start + LONG)
+        end = found.end() if found else len(data)
+        out.append(data[start:end])
+        start = end
+    return [*out, data[start:]]
+
+
+def _words_of(data: bytes) -> np.ndarray:
+    """Word hashes of one text, a stretch at a time."""
+    found = [np.frombuffer(part, np.uint8) for part in stretches(data)]
+    return np.concatenate([word_hashes(_LOWER[part], np.zeros(len(part), np.int8))[0] for part in found])
 
 
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
@@ -58,26 +81,36 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
 
     A text of one to four words has its whole sequence as one shingle; a text without words has none.
     """
-    data, owner = joined(texts)
+    values = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    data, owner = joined_bytes([v if len(v) <= LONG else b"" for v in values])
     words, of = word_hashes(_LOWER[data], owner)
     n = np.bincount(of, minlength=len(texts)) if len(of) else np.zeros(len(texts), np.int64)
     begin = np.concatenate([[0], np.cumsum(n)])
-    with np.errstate(over="ignore"):
-        powers = [np.uint64(pow(BASE, j + 1, 1 << 64)) for j in range(SHINGLE)]
-        whole = np.zeros(max(0, len(words) - SHINGLE + 1), np.uint64)
-        for j, p in enumerate(powers):
-            whole += words[j: len(words) - SHINGLE + 1 + j] * p if len(whole) else whole
-        whole = mixed(whole)
-        out = []
-        for i in range(len(texts)):
+    whole = _shingles(words)
+    out = []
+    for i, value in enumerate(values):
+        if len(value) > LONG:
+            out.append(_set_of(own := _words_of(value), _shingles(own)))
+        else:
             lo, hi = int(begin[i]), int(begin[i + 1])
-            if hi - lo >= SHINGLE:
-                out.append(np.unique(whole[lo: hi - SHINGLE + 1]))
-            elif hi > lo:
-                code = np.uint64(hi - lo)
-                for j in range(lo, hi):
-                    code = code + words[j] * powers[j - lo]
-                out.append(mixed(np.array([code ^ np.uint64(BASE)], np.uint64)))
-            else:
-                out.append(np.zeros(0, np.uint64))
+            out.append(_set_of(words[lo:hi], whole[lo: max(lo, hi - SHINGLE + 1)]))
     return out
+
+
+def _shingles(words: np.ndarray) -> np.ndarray:
+    n = max(0, len(words) - SHINGLE + 1)
+    out = np.zeros(n, np.uint64)
+    with np.errstate(over="ignore"):
+        for j, power in enumerate(_POWERS):
+            out += words[j: j + n] * power
+    return mixed(out)
+
+
+def _set_of(words: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+    if len(words) >= SHINGLE or not len(words):
+        return np.unique(shingles)
+    code = np.uint64(len(words))
+    with np.errstate(over="ignore"):
+        for word, power in zip(words, _POWERS):
+            code = code + word * power
+    return mixed(np.array([code ^ np.uint64(BASE)], np.uint64))
