@@ -68,7 +68,11 @@ def test_headlines(spark):
 
 
 def test_upsert_replaces_only_the_answer(spark, anomalies, news):
-    saves = explain.explain_anomalies(anomalies, news, at=F.lit(at(0)))
+    def complete(prompts: pd.Series) -> pd.DataFrame:
+        kinds = prompts.str.extract(r"Tipo: (\w+)")[0]
+        return pd.DataFrame({"text": [f'{{"explanation": "x", "key_factors": ["{k}"]}}' for k in kinds]})
+
+    saves = explain.explain_anomalies(anomalies, news, complete, "m", at=F.lit(at(0)))
     assert saves.count() == 6
     changed = saves.filter("anomaly_id = 'a1' AND seq = 1").withColumns(
         {"seq": F.lit(2), "severity": F.lit(9.0), "explanation": F.lit("newer")})
@@ -109,3 +113,14 @@ def test_a_failing_call_leaves_rows_pending(anomalies, news):
     assert metrics.explanation_errors(answered).first().errors == 3
     saves = explain.saves_of(answered, "m")
     assert {r.seq for r in saves.collect()} == {0}
+
+
+def test_one_failing_prompt_leaves_the_others_answered(anomalies, news):
+    def complete(prompts: pd.Series) -> pd.DataFrame:
+        if prompts.str.contains("ETH-USD").any():
+            raise TimeoutError("no answer")
+        return pd.DataFrame({"text": ["fine"] * len(prompts)})
+
+    answered = explain.answers(anomalies.coalesce(1), news, complete)
+    assert {r.anomaly_id: (r.text, r.error_kind) for r in answered.collect()} == {
+        "a1": ("fine", None), "a2": (None, "TimeoutError"), "a3": ("fine", None)}

@@ -130,27 +130,39 @@ def test_backtest_reports_violations(spark, root, trades):
     assert (figures.price_violations, figures.status) == (1, "failed")
 
 
-def test_expiry_keeps_the_current_version_and_all_rows(spark, root, trades):
-    for n in (1, 2, 3):
-        lake.write_batch(trades(n), root, T, n)
-    assert lake.expire_snapshots(spark, root) == {T.name: (3, 3)}
-    future = datetime.now(timezone.utc) + timedelta(hours=1)
-    assert lake.expire_snapshots(spark, root, retain_hours=0, now=future) == {T.name: (3, 1)}
-    assert lake.read_table(spark, root, T).count() == 3
-    with pytest.raises(ValueError):
-        lake.scan_as_of(spark, root, T, snapshot_id=1)
-    assert result(lake.write_batch(trades(1, 4), root, T, 4)) == (2, 1, 1)
+def test_two_writers_insert_no_key_twice(spark, root, trades, monkeypatch):
+    """The other writer commits between this one's files and its log row."""
+    commit, others = lake._commit, []
+
+    def late(*args, **values):
+        if values["writer"] == "sink" and not others:
+            others.append(lake.write_batch(trades(2, 3), root, T, 0, writer="replay"))
+        return commit(*args, **values)
+
+    monkeypatch.setattr(lake, "_commit", late)
+    assert result(lake.write_batch(trades(1, 2), root, T, 0)) == (2, 1, 1)
+    assert result(others[0]) == (2, 2, 0)
+    assert sorted(r.trade_id for r in lake.read_table(spark, root, T).collect()) == ["1", "2", "3"]
+    assert [r.snapshot_id for r in lake.list_snapshots(spark, root, T).collect()] == [1, 2]
 
 
-def test_compaction_changes_no_read(spark, root, trades):
-    for n in range(1, 5):
-        lake.write_batch(trades(n), root, T, n)
-    assert lake.compact(spark, root, T) == 4
-    assert lake.compact(spark, root, T) == 0
-    assert lake.read_table(spark, root, T).count() == 4
-    assert lake.scan_as_of(spark, root, T, snapshot_id=2).count() == 2
-    assert result(lake.write_batch(trades(1, 5), root, T, 9)) == (2, 1, 1)
-    assert lake.read_table(spark, root, T).count() == 5
+def test_insert_reads_only_the_ids_of_its_symbols(spark, root, trades):
+    lake.write_batch(trades(*range(1, 40), (1, 1, "ETH-USD")), root, T, 0)
+    batch = trades(5, 6, (9, 1, "ETH-USD"))
+    bounds = lake._profile(batch, T.keys).bounds
+    assert sorted((b["symbol"][0], *b["trade_id"]) for b in bounds) == [("BTC-USD", "5", "6"), ("ETH-USD", "9", "9")]
+    one = lake._profile(trades(5, 6), T.keys).bounds
+    scan = lake._possible_matches(lake._published(spark, root, T), T, one)._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "(symbol#" in scan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert "GreaterThanOrEqual(trade_id,5), LessThanOrEqual(trade_id,6)" in scan
+
+
+def test_common_bounds_for_many_symbols(spark, root, trades, monkeypatch):
+    monkeypatch.setattr(lake, "MOST_BOUNDS", 1)
+    lake.write_batch(trades(1, (1, 1, "ETH-USD")), root, T, 0)
+    assert len(lake._profile(trades(2, (3, 1, "ETH-USD")), T.keys).bounds) == 1
+    assert result(lake.write_batch(trades(1, (1, 1, "ETH-USD"), (2, 1, "ETH-USD")), root, T, 1)) == (3, 1, 2)
 
 
 def test_layout_and_codec(spark, root, trades):
@@ -199,9 +211,3 @@ def test_a_missing_value_fails_the_whole_batch(spark, root, trades, column):
         lake.write_batch(broken, root, T, 0)
     assert lake.read_table(spark, root, T).isEmpty()
 
-
-def test_statements_for_a_table_format(spark):
-    parse = spark._jsparkSession.sessionState().sqlParser().parsePlan
-    parse(lake.merge_statement("lake.bronze.trades", "batch", T.keys))
-    parse(lake.as_of_statement("lake.bronze.trades", snapshot_id=3))
-    parse(lake.as_of_statement("lake.bronze.trades", as_of=datetime(2024, 1, 1, tzinfo=timezone.utc)))

@@ -113,6 +113,42 @@ def test_sustained_breaches(spark):
     assert across == row
 
 
+def test_contract_takes_levels_of_text(spark):
+    ddl = ("exchange string, symbol string, first_update_id string, final_update_id bigint, "
+           "bids array<struct<price:string,quantity:string>>, asks array<struct<price:string,quantity:string>>, "
+           "event_time timestamp, ingest_time timestamp, is_snapshot boolean")
+    row = lambda bids: ("binance", "BTC-USD", "1", 2, bids, [], at(0), at(0), False)
+    df = spark.createDataFrame([row([("1.5", "2")]), row([("x", "2")]), row([("1", None)]), row([])], ddl)
+    valid, rejected = q.contract_check(df, "orderbook_delta")
+    assert sorted(len(r.bids) for r in valid.collect()) == [0, 1] and valid.schema["bids"].dataType.elementType["price"].dataType == T.DoubleType()
+    assert [r.reasons for r in rejected.collect()] == [["bids not " + schemas.ORDERBOOK_DELTA["bids"].dataType.simpleString()]] * 2
+
+
+def test_silence_ends_a_breach(spark):
+    assert q.sustained_breaches(samples(spark, (0, 99), (86_400, 99)), ["k"], 60.0).count() == 0
+    df = samples(spark, *[(60 * n, 99) for n in range(6)], *[(2000 + 60 * n, 99) for n in range(7)], (5000, 99))
+    for unit in ("month", "minute"):
+        rows = q.sustained_breaches(df, ["k"], 60.0, unit=unit).orderBy("breach_start").collect()
+        assert [(ms_of(r.breach_start), r.samples) for r in rows] == [(0, 6), (2_000_000, 7)]
+    row, = q.sustained_breaches(df, ["k"], 60.0, max_gap_seconds=10_000).collect()
+    assert row.samples == 14
+
+
+def test_a_null_key_has_its_carry(spark):
+    rows = [(k, at(60_000 * n), 99.0) for k in ("a", None) for n in range(8)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, value double")
+    found = q.sustained_breaches(df, ["k"], 60.0, unit="minute").collect()
+    assert sorted((r.k or "", r.samples) for r in found) == [("", 8), ("a", 8)]
+
+
+def test_an_absence_may_go_on(spark):
+    df = samples(spark, (0, 1), (600, 1))
+    now = lambda s: F.lit(at(1000 * s))
+    assert q.absences(df, ["k"], now(1200)).count() == 0
+    row, = q.absences(df, ["k"], now(1201)).collect()
+    assert (ms_of(row.absent_from), row.absent_until, row.seconds) == (600_000, None, 601.0)
+
+
 def test_absences(spark):
     df = samples(spark, (0, 1), (600, 1), (1201, 1), (3_000_000, 1))
     rows = q.absences(df, ["k"]).orderBy("absent_from").collect()

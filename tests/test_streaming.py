@@ -1,4 +1,5 @@
 import itertools
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,7 +101,7 @@ def test_repeated_deliveries_are_thinned(spark, log, tmp_path):
     log.add((1700000040000, 1, 1), (1700000041000, 2, 1))
     log.add((1700000040000, 1, 1), (1700000041000, 2, 1))
     jobs.start_files(
-        sc.without_repeats(log.trades()), str(tmp_path / "out"), str(tmp_path / "ck"), bounded=True
+        sc.without_repeats(log.trades(), "10 seconds"), str(tmp_path / "out"), str(tmp_path / "ck"), bounded=True
     ).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
 
@@ -256,4 +257,19 @@ def test_kafka_reader_options_and_avro_contract():
     assert options["subscribe"] == "candles.m1,candles.m5,candles.h1"
     assert options["startingTimestamp"] == "1700000000000" and options["maxOffsetsPerTrigger"] == "500"
     assert '"default": true' in s.avro_schema(schemas.CANDLE, "Candle")
-    assert '"timestamp-millis"' in s.avro_schema(schemas.TRADE, "Trade")
+    trade = {f["name"]: f for f in json.loads(s.avro_schema(schemas.TRADE, "Trade"))["fields"]}
+    assert trade["event_time"]["type"] == {"type": "long", "logicalType": "timestamp-millis"}
+    assert trade["side"]["type"] == {"type": "enum", "name": "Side", "symbols": ["BUY", "SELL", "UNKNOWN"]}
+    anomaly = {f["name"]: f for f in json.loads(s.avro_schema(schemas.ANOMALY, "Anomaly"))["fields"]}
+    assert anomaly["anomaly_type"]["type"]["symbols"] == list(schemas.ANOMALY_TYPES)
+    for fields in (trade, anomaly):
+        assert all("default" in f for f in fields.values() if isinstance(f["type"], list))
+
+
+def test_registry_framing(spark):
+    df = spark.createDataFrame([(b"\x02abc",), (b"",), (None,)], "body binary")
+    framed = df.select(s.framed(F.col("body"), 258).alias("v"))
+    assert [None if r.v is None else bytes(r.v) for r in framed.collect()] == [b"\x00\x00\x00\x01\x02\x02abc", b"\x00\x00\x00\x01\x02", None]
+    assert [None if r.b is None else bytes(r.b) for r in framed.select(s.unframed(F.col("v")).alias("b")).collect()] == [b"\x02abc", b"", None]
+    with pytest.raises(Exception, match="registry header"):
+        df.limit(1).select(s.unframed(F.col("body"))).collect()

@@ -17,7 +17,6 @@ Complete = Callable[[pd.Series], pd.DataFrame]
 _ANSWERED = ("explanation", "key_factors", "news_headlines", "model_used", "explained_at",
              "prompt_tokens", "completion_tokens")
 _DETECTED = tuple(n for n in schemas.EXPLANATION.fieldNames() if n not in _ANSWERED)
-TEMPLATE_MODEL = "template"
 
 
 def headlines(feeds: DataFrame, limit: int = text.MAX_HEADLINES) -> DataFrame:
@@ -58,32 +57,23 @@ def with_prompts(anomalies: DataFrame, news: DataFrame) -> DataFrame:
     )
 
 
-def _template_answers(prompted: DataFrame) -> DataFrame:
-    """A fixed answer built from the prompt's own lines, without leaving the JVM."""
-    subject = F.split_part("prompt", F.lit("\n"), F.lit(2))
-    answer = F.to_json(F.struct(
-        F.concat_ws(" ", "symbol", subject).alias("explanation"), F.array("anomaly_type").alias("key_factors")
-    ))
-    words = lambda c: F.size(F.split(c, r"\s+"))
-    return prompted.withColumns({
-        "text": answer,
-        "prompt_tokens": words(F.col("prompt")),
-        "completion_tokens": words(answer),
-        "error_kind": F.lit(None).cast("string"),
-    })
-
-
 def _external_answers(prompted: DataFrame, complete: Complete) -> DataFrame:
-    """Answers of ``complete``, called once per Arrow batch; a raised error marks that batch."""
+    """Answers of ``complete``, called once per Arrow batch. If that raises, every prompt of the batch is
+    asked for by itself, and only those that raise again are marked."""
     answers = "text string, prompt_tokens int, completion_tokens int, error_kind string"
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in prompted.schema.fields)
 
+    def ask(prompts: pd.Series) -> pd.DataFrame:
+        try:
+            return complete(prompts).reset_index(drop=True)
+        except Exception as error:  # what fails stays pending, the job goes on
+            if len(prompts) == 1:
+                return pd.DataFrame({"error_kind": [type(error).__name__]})
+            return pd.concat([ask(prompts.iloc[[i]]) for i in range(len(prompts))], ignore_index=True)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            try:
-                out = complete(rows["prompt"]).reset_index(drop=True)
-            except Exception as error:  # the batch stays pending, the job goes on
-                out = pd.DataFrame({"error_kind": [type(error).__name__] * len(rows)})
+            out = ask(rows["prompt"]) if len(rows) else pd.DataFrame()
             for name, kind in (("text", object), ("prompt_tokens", "Int32"), ("completion_tokens", "Int32"),
                                ("error_kind", object)):
                 column = out[name] if name in out else pd.Series([None] * len(rows))
@@ -93,14 +83,9 @@ def _external_answers(prompted: DataFrame, complete: Complete) -> DataFrame:
     return prompted.mapInPandas(run, f"{ddl}, {answers}")
 
 
-def answers(
-    anomalies: DataFrame,
-    news: DataFrame,
-    complete: Complete | None = None,
-) -> DataFrame:
-    """One answer per anomaly, from ``complete`` or a fixed template."""
-    prompted = with_prompts(anomalies, news)
-    return _external_answers(prompted, complete) if complete else _template_answers(prompted)
+def answers(anomalies: DataFrame, news: DataFrame, complete: Complete) -> DataFrame:
+    """One answer of ``complete`` per anomaly. Each action on the result asks again: write it once."""
+    return _external_answers(with_prompts(anomalies, news), complete)
 
 
 def saves_of(answered: DataFrame, model: str, at: Column | None = None) -> DataFrame:
@@ -132,11 +117,11 @@ def saves_of(answered: DataFrame, model: str, at: Column | None = None) -> DataF
 def explain_anomalies(
     anomalies: DataFrame,
     news: DataFrame,
-    complete: Complete | None = None,
-    model: str = TEMPLATE_MODEL,
+    complete: Complete,
+    model: str,
     at: Column | None = None,
 ) -> DataFrame:
-    """Ask for an explanation of every anomaly and return the log of saves."""
+    """Ask for an explanation of every anomaly and return the log of saves, to be written once."""
     return saves_of(answers(anomalies, news, complete), model, at)
 
 

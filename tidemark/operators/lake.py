@@ -1,18 +1,19 @@
-"""Insert-only lake tables: idempotent batches, a commit log, as-of reads and upkeep.
+"""Insert-only lake tables: idempotent batches, a commit log and as-of reads.
 
-A batch writes its new rows into a folder of its own and then appends one row to the commit log.
-Readers join the log, so files without a log row are invisible, and a retried batch overwrites
-its own folder. Rows carry the number of their commit: reading as of a commit is a filter on it.
-One writer per table at a time. Where a table format with MERGE and time travel is on the class
-path, ``merge_statement`` and ``as_of_statement`` give the same two operations as SQL.
+A batch writes its new rows into a folder of its own and then one row into the log folder of its
+commit number. Readers join the log, so files without a log row are invisible, and a retried
+batch overwrites its own folder. Rows carry the number of their commit: reading as of a commit is
+a filter on it. A commit number is taken once: a writer that finds its number taken compares its
+batch with what is published by then and writes anew, so two writers insert no key twice.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
@@ -21,18 +22,19 @@ from tidemark import schemas
 from tidemark.schemas import LakeTable
 
 COMMIT = "commit_seq"
-RETAIN_HOURS = 168.0
+#: Groups of leading key values that a batch's key bounds are told apart by; beyond, bounds are common.
+MOST_BOUNDS = 200
+#: Times that a batch is written anew because its commit number was taken.
+MOST_TRIES = 20
 
 LOG = T.StructType([
     T.StructField("commit_seq", T.LongType()),
     T.StructField("commit_ts", T.TimestampType()),
-    T.StructField("operation", T.StringType()),  # append, compact, expire or error
+    T.StructField("operation", T.StringType()),  # append or error
     T.StructField("table_name", T.StringType()),
     T.StructField("writer", T.StringType()),
     T.StructField("batch_id", T.LongType()),
     T.StructField("part", T.StringType()),
-    T.StructField("replaces", T.ArrayType(T.StringType())),
-    T.StructField("expired_through", T.LongType()),
     T.StructField("received", T.LongType()),
     T.StructField("inserted", T.LongType()),
     T.StructField("skipped", T.LongType()),
@@ -65,22 +67,26 @@ def _data_schema(table: LakeTable) -> T.StructType:
 
 def ensure_table(spark: SparkSession, root: str, table: LakeTable) -> None:
     """Create the table's log and data folder unless they exist."""
-    spark.createDataFrame([], LOG).write.mode("ignore").parquet(_path(root, table, "log"))
+    spark.createDataFrame([], LOG).write.mode("ignore").parquet(_log_folder(root, table, 0))
     spark.createDataFrame([], _data_schema(table)).write.mode("ignore").partitionBy(
         "part", table.day_column, table.partition_column
     ).parquet(_path(root, table, "data"))
 
 
+def _log_folder(root: str, table: LakeTable, seq: int) -> str:
+    return f"{_path(root, table, 'log')}/commit={seq:012d}"
+
+
 def table_exists(spark: SparkSession, root: str, table: LakeTable) -> bool:
     try:
-        spark.read.schema(LOG).parquet(_path(root, table, "log")).schema
+        commit_log(spark, root, table).schema
         return True
     except AnalysisException:
         return False
 
 
 def commit_log(spark: SparkSession, root: str, table: LakeTable) -> DataFrame:
-    return spark.read.schema(LOG).parquet(_path(root, table, "log"))
+    return spark.read.schema(LOG).parquet(_path(root, table, "log")).select(*LOG.fieldNames())
 
 
 def run_records(log: DataFrame) -> DataFrame:
@@ -95,13 +101,12 @@ def run_records(log: DataFrame) -> DataFrame:
     )
 
 
-def _published(spark: SparkSession, root: str, table: LakeTable) -> DataFrame:
-    """Rows of parts the log names and has not replaced."""
+def _published(spark: SparkSession, root: str, table: LakeTable, through: int | None = None) -> DataFrame:
+    """Rows of parts the log names, up to a commit if one is given; the join prunes other parts' folders."""
     data = spark.read.schema(_data_schema(table)).parquet(_path(root, table, "data"))
-    log = commit_log(spark, root, table)
-    parts = log.filter(F.col("operation").isin("append", "compact")).select("part")
-    replaced = log.select(F.explode("replaces").alias("part"))
-    return data.join(parts.join(replaced, "part", "left_anti"), "part", "left_semi")
+    log = commit_log(spark, root, table).filter(F.col("operation") == "append")
+    parts = log.filter(F.lit(True) if through is None else F.col("commit_seq") <= through).select("part")
+    return data.join(parts, "part", "left_semi")
 
 
 def _rows(table: LakeTable) -> list[str]:
@@ -124,43 +129,55 @@ class _Profile:
     received: int
     offsets: dict[str, int]
     topics: list[str]
-    bounds: dict[str, tuple]
+    bounds: list[dict[str, tuple]]
 
 
 def _profile(batch: DataFrame, keys: Sequence[str]) -> _Profile:
-    """Row count, next offsets and key bounds of a batch, in one pass; a row per log partition."""
+    """Row count, next offsets and key bounds of a batch, in one pass.
+
+    Bounds are of the last key within each combination of the others, such as ids within exchange and
+    symbol. Where there are more than MOST_BOUNDS of these, one range for each key stands for all.
+    """
     has_log = {"topic", "partition", "kafka_offset"} <= set(batch.columns)
     group = ["topic", "partition"] if has_log else []
-    rows = batch.groupBy(*group).agg(
+    measures = [
         F.count(F.lit(1)).alias("n"),
         (F.max("kafka_offset") + 1 if has_log else F.lit(None)).alias("next_offset"),
         *[F.min(k).alias(f"min_{k}") for k in keys],
         *[F.max(k).alias(f"max_{k}") for k in keys],
-    ).collect()
-    rows = [r for r in rows if r["n"]]
-    offsets = {f"{r['topic']}.{r['partition']}": r["next_offset"] for r in rows} if has_log else {}
+    ]
+    leading = [F.col(k).alias(f"by_{k}") for k in keys[:-1]]
+    rows = [r for r in batch.groupBy(*group, *leading).agg(*measures).limit(MOST_BOUNDS + 1).collect() if r["n"]]
+    if len(rows) > MOST_BOUNDS:
+        rows = [r for r in batch.groupBy(*group).agg(*measures).collect() if r["n"]]
+        wide = {k: (min(r[f"min_{k}"] for r in rows), max(r[f"max_{k}"] for r in rows)) for k in keys}
+        bounds = [wide]
+    else:
+        bounds = [{k: (r[f"min_{k}"], r[f"max_{k}"]) for k in keys} for r in rows]
+    offsets: dict[str, int] = {}
+    for r in rows if has_log else []:
+        name = f"{r['topic']}.{r['partition']}"
+        offsets[name] = max(offsets.get(name, 0), r["next_offset"])
     topics = sorted({r["topic"] for r in rows}) if has_log else []
-    bounds = {
-        k: (min(r[f"min_{k}"] for r in rows), max(r[f"max_{k}"] for r in rows)) for k in keys
-    } if rows else {}
     return _Profile(sum(r["n"] for r in rows), offsets, topics, bounds)
 
 
-def _possible_matches(published: DataFrame, table: LakeTable, bounds: dict[str, tuple]) -> DataFrame:
+def _possible_matches(published: DataFrame, table: LakeTable, bounds: list[dict[str, tuple]]) -> DataFrame:
     """Keys of published rows within the batch's key bounds.
 
-    A match has equal keys, so the bounds lose none; they prune the partitions that follow from
-    the key and the row groups of the rest.
+    A match has equal keys, so the bounds lose none; they are literals, and so prune the partitions
+    that follow from the key and the row groups of the rest.
     """
-    rows = published
-    for key, (low, high) in bounds.items():
-        rows = rows.filter(F.col(key).between(F.lit(low), F.lit(high)))
-    if table.time_in_key:
-        low, high = bounds[table.time_column]
-        rows = rows.filter(
-            F.col(table.day_column).between(F.to_date(F.lit(low)), F.to_date(F.lit(high)))
-        )
-    return rows.select(*table.keys)
+    def within(own: dict[str, tuple]) -> Column:
+        ranges = []
+        for key, (low, high) in own.items():
+            same = low == high
+            ranges.append(F.col(key) == F.lit(low) if same else F.col(key).between(F.lit(low), F.lit(high)))
+            if table.time_in_key and key == table.time_column:
+                ranges.append(F.col(table.day_column).between(F.to_date(F.lit(low)), F.to_date(F.lit(high))))
+        return reduce(Column.__and__, ranges)
+
+    return published.filter(reduce(Column.__or__, [within(own) for own in bounds])).select(*table.keys)
 
 
 def write_batch(
@@ -170,45 +187,50 @@ def write_batch(
     batch_id: int,
     writer: str = "sink",
     order: Column | str = "kafka_offset",
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> WriteResult:
     """Insert the rows whose key the table does not have; rows it has are left as they are.
 
     Repeats within the batch keep the last arrival by ``order``. An empty batch commits nothing,
-    and a batch that is already in the log returns its recorded result.
+    and a batch that is already in the log returns its recorded result. If another writer takes the
+    commit number first, the batch is compared with the table again and written anew. ``prepare`` sees
+    the rows that are new before they are written, each time that they are.
     """
     spark = batch.sparkSession
     this_batch = (F.col("writer") == writer) & (F.col("batch_id") == batch_id)
     appended = F.col("operation") == "append"
-    state = commit_log(spark, root, table).agg(
-        F.coalesce(F.max("commit_seq"), F.lit(0)).alias("last_seq"),
-        F.max_by("offsets", F.when(appended, F.col("commit_seq"))).alias("offsets"),
-        F.max_by(
-            F.struct("received", "inserted", "skipped"), F.when(appended & this_batch, F.col("commit_seq"))
-        ).alias("done"),
-    ).first()
-    if state["done"] is not None:
-        return WriteResult(*state["done"])
-    seq = state["last_seq"] + 1
-    began = time.monotonic()
-    try:
-        profile = _profile(batch, table.keys)
-        if profile.received == 0:
-            return WriteResult(0, 0, 0)
-        part = f"{writer}-{batch_id:012d}"
-        _write_part(_unknown_rows(batch, root, table, profile, order, seq), root, table, part)
-        inserted = _part_rows(spark, root, table, part)
-    except Exception:
-        _append_log(spark, root, table, seq, "error", writer=writer, batch_id=batch_id,
-                    seconds=time.monotonic() - began)
-        raise
-    skipped = max(profile.received - inserted, 0)
-    _append_log(
-        spark, root, table, seq, "append", writer=writer, batch_id=batch_id, part=part,
-        received=profile.received, inserted=inserted, skipped=skipped,
-        offsets={**(state["offsets"] or {}), **profile.offsets}, topics=profile.topics,
-        seconds=time.monotonic() - began,
-    )
-    return WriteResult(profile.received, inserted, skipped)
+    began, profile = time.monotonic(), None
+    for _ in range(MOST_TRIES):
+        state = commit_log(spark, root, table).agg(
+            F.coalesce(F.max("commit_seq"), F.lit(0)).alias("last_seq"),
+            F.max_by("offsets", F.when(appended, F.col("commit_seq"))).alias("offsets"),
+            F.max_by(
+                F.struct("received", "inserted", "skipped"), F.when(appended & this_batch, F.col("commit_seq"))
+            ).alias("done"),
+        ).first()
+        if state["done"] is not None:
+            return WriteResult(*state["done"])
+        seq = state["last_seq"] + 1
+        try:
+            profile = profile or _profile(batch, table.keys)
+            if profile.received == 0:
+                return WriteResult(0, 0, 0)
+            part = f"{writer}-{batch_id:012d}"
+            rows = _unknown_rows(batch, root, table, profile, order, seq)
+            _write_part(prepare(rows) if prepare else rows, root, table, part)
+            inserted = _part_rows(spark, root, table, part)
+        except Exception:
+            _note_error(spark, root, table, seq, writer=writer, batch_id=batch_id, seconds=time.monotonic() - began)
+            raise
+        skipped = max(profile.received - inserted, 0)
+        if _commit(
+            spark, root, table, seq, writer=writer, batch_id=batch_id, part=part,
+            received=profile.received, inserted=inserted, skipped=skipped,
+            offsets={**(state["offsets"] or {}), **profile.offsets}, topics=profile.topics,
+            seconds=time.monotonic() - began,
+        ):
+            return WriteResult(profile.received, inserted, skipped)
+    raise RuntimeError(f"{table.name}: commit numbers were taken {MOST_TRIES} times")
 
 
 def _unknown_rows(
@@ -248,17 +270,29 @@ def _write_part(rows: DataFrame, root: str, table: LakeTable, part: str) -> None
 
 def _part_rows(spark: SparkSession, root: str, table: LakeTable, part: str) -> int:
     """Rows of a written part, counted from the files' footers."""
-    data = spark.read.schema(_data_schema(table)).parquet(_path(root, table, "data"))
-    return data.filter(F.col("part") == part).count()
+    return spark.read.schema(_data_schema(table)).parquet(f"{_path(root, table, 'data')}/part={part}").count()
+
 
+def _log_row(spark: SparkSession, table: LakeTable, seq: int, operation: str, values: dict) -> DataFrame:
+    row = dict.fromkeys(LOG.fieldNames())
+    row.update(values, commit_seq=seq, operation=operation, table_name=table.name, commit_ts=datetime.now(timezone.utc))
+    return spark.createDataFrame([tuple(row[n] for n in LOG.fieldNames())], LOG).coalesce(1)
 
-def _append_log(spark: SparkSession, root: str, table: LakeTable, seq: int, operation: str, **values) -> None:
-    row = {name: None for name in LOG.fieldNames()}
-    row.update(values, commit_seq=seq, operation=operation, table_name=table.name,
-               commit_ts=datetime.now(timezone.utc))
-    spark.createDataFrame([tuple(row[n] for n in LOG.fieldNames())], LOG).coalesce(1).write.mode(
-        "append"
-    ).parquet(_path(root, table, "log"))
+
+def _commit(spark: SparkSession, root: str, table: LakeTable, seq: int, **values) -> bool:
+    """Publishes a part under commit number ``seq``; False if the number is taken."""
+    try:
+        _log_row(spark, table, seq, "append", values).write.mode("errorifexists").parquet(_log_folder(root, table, seq))
+        return True
+    except AnalysisException as taken:
+        if taken.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+        return False
+
+
+def _note_error(spark: SparkSession, root: str, table: LakeTable, seq: int, **values) -> None:
+    """Errors stand beside the commits and take no number from them."""
+    _log_row(spark, table, seq - 1, "error", values).write.mode("append").parquet(_log_folder(root, table, 0))
 
 
 def committed_offsets(spark: SparkSession, root: str, table: LakeTable) -> dict[str, int]:
@@ -279,10 +313,8 @@ def committed_offsets(spark: SparkSession, root: str, table: LakeTable) -> dict[
 
 def list_snapshots(spark: SparkSession, root: str, table: LakeTable) -> DataFrame:
     """(snapshot_id, timestamp, operation) of the versions kept, oldest first."""
-    log = commit_log(spark, root, table)
-    expired = log.select(F.coalesce(F.max("expired_through"), F.lit(0))).scalar()
     return (
-        log.filter((F.col("operation") == "append") & (F.col("commit_seq") > expired))
+        commit_log(spark, root, table).filter(F.col("operation") == "append")
         .select(F.col("commit_seq").alias("snapshot_id"), F.col("commit_ts").alias("timestamp"), "operation")
         .orderBy("snapshot_id")
     )
@@ -313,65 +345,9 @@ def scan_as_of(
     snapshot_id: int | None = None,
     as_of: datetime | None = None,
 ) -> DataFrame:
-    """The table as it was at a version: rows are only ever added, so older is a filter."""
+    """The table as it was at a version: rows are only ever added, so older parts are all there was."""
     seq = resolve_snapshot(spark, root, table, snapshot_id, as_of)
-    return _published(spark, root, table).filter(F.col(COMMIT) <= seq).select(*_rows(table))
-
-
-def _visible_parts(log: DataFrame) -> list[str]:
-    appended = log.filter(F.col("operation") == "append").select("part")
-    replaced = log.select(F.explode("replaces").alias("part"))
-    return sorted(r["part"] for r in appended.join(replaced, "part", "left_anti").collect())
-
-
-def expire_snapshots(
-    spark: SparkSession,
-    root: str,
-    tables: Sequence[LakeTable] = schemas.LAKE_TABLES,
-    retain_hours: float = RETAIN_HOURS,
-    now: datetime | None = None,
-) -> dict[str, tuple[int, int]]:
-    """Forget versions older than the retention; the current one and all rows stay.
-
-    Returns the number of versions (before, after) per table; missing tables are left out.
-    """
-    cutoff = (now or datetime.now(timezone.utc)) - timedelta(hours=retain_hours)
-    counts = {}
-    for table in tables:
-        if not table_exists(spark, root, table):
-            continue
-        snapshots = list_snapshots(spark, root, table)
-        row = snapshots.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.max("snapshot_id").alias("current"),
-            F.max(F.when(F.col("timestamp") < F.lit(cutoff), F.col("snapshot_id"))).alias("old"),
-        ).first()
-        if row["old"] is not None:
-            through = min(row["old"], row["current"] - 1)
-            seq = commit_log(spark, root, table).agg(F.max("commit_seq")).first()[0] + 1
-            _append_log(spark, root, table, seq, "expire", expired_through=through)
-        counts[table.name] = (row["n"], list_snapshots(spark, root, table).count())
-    return counts
-
-
-def compact(spark: SparkSession, root: str, table: LakeTable) -> int:
-    """Rewrite the parts of single batches as one part laid out by day; returns how many.
-
-    Rows keep their commit number, so as-of reads do not change. Parts that were compacted before
-    are left alone: every row is rewritten once. Replaced folders become invisible and may be
-    deleted after the longest running read.
-    """
-    log = commit_log(spark, root, table)
-    parts = _visible_parts(log)
-    if len(parts) < 2:
-        return 0
-    seq = log.agg(F.max("commit_seq")).first()[0] + 1
-    small = log.filter(F.col("operation") == "append").select("part")
-    rows = _published(spark, root, table).join(small, "part", "left_semi").drop("part", table.day_column)
-    part = f"compact-{seq:012d}"
-    _write_part(rows, root, table, part)
-    _append_log(spark, root, table, seq, "compact", part=part, replaces=parts)
-    return len(parts)
+    return _published(spark, root, table, seq).filter(F.col(COMMIT) <= seq).select(*_rows(table))
 
 
 def refresh_copy(
@@ -388,17 +364,3 @@ def refresh_copy(
         counts[table.name] = spark.read.parquet(path).count()
     return counts
 
-
-# --- the same with a table format that has MERGE ------------------------------------------------
-
-def merge_statement(target: str, source: str, keys: Sequence[str]) -> str:
-    on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
-    return f"MERGE INTO {target} t USING {source} s ON {on} WHEN NOT MATCHED THEN INSERT *"
-
-
-def as_of_statement(target: str, *, snapshot_id: int | None = None, as_of: datetime | None = None) -> str:
-    if (snapshot_id is None) == (as_of is None):
-        raise ValueError("give exactly one of snapshot_id and as_of")
-    if snapshot_id is not None:
-        return f"SELECT * FROM {target} VERSION AS OF {snapshot_id}"
-    return f"SELECT * FROM {target} TIMESTAMP AS OF '{as_of.astimezone(timezone.utc):%Y-%m-%d %H:%M:%S.%f}'"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -163,8 +164,8 @@ def with_reject_reasons(rows: DataFrame, contract: str) -> DataFrame:
     casts: dict[str, Column] = {}
     for field in schema.fields:
         raw = F.col(field.name) if field.name in rows.columns else F.lit(None)
-        value = raw.try_cast(field.dataType) if _castable(field.dataType) else raw.cast(field.dataType)
-        reasons.append(F.when(raw.isNotNull() & value.isNull(), f"{field.name} not {field.dataType.simpleString()}"))
+        value, broken = _tried(raw, field.dataType)
+        reasons.append(F.when(raw.isNotNull() & broken, f"{field.name} not {field.dataType.simpleString()}"))
         if "default" in field.metadata:
             value = F.when(raw.isNull(), F.lit(field.metadata["default"])).otherwise(value)
         elif not field.nullable:
@@ -184,8 +185,19 @@ def with_reject_reasons(rows: DataFrame, contract: str) -> DataFrame:
     )
 
 
-def _castable(dtype: T.DataType) -> bool:
-    return not isinstance(dtype, T.ArrayType)
+def _tried(raw: Column, dtype: T.DataType) -> tuple[Column, Column]:
+    """The value in the type, and whether something in it could not be cast; lists are tried by their elements."""
+    if not (isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType)):
+        value = raw.try_cast(dtype)
+        return value, value.isNull()
+    fields = dtype.elementType.fields
+    # The element keeps its nulls until they are known: a level of null or half a level is a reason.
+    loose = F.transform(raw, lambda x: F.struct(*[x[f.name].try_cast(f.dataType).alias(f.name) for f in fields]))
+    broken = F.exists(loose, lambda x: reduce(Column.__or__, [x[f.name].isNull() for f in fields if not f.nullable]))
+    whole = F.transform(loose, lambda x: F.struct(*[
+        x[f.name].alias(f.name) if f.nullable else F.coalesce(x[f.name], F.lit(0).cast(f.dataType)).alias(f.name) for f in fields
+    ]))
+    return F.when(~broken, whole), broken
 
 
 def contract_check(rows: DataFrame, contract: str) -> tuple[DataFrame, DataFrame]:
@@ -214,6 +226,7 @@ def _struct_problems(old: T.StructType, new: T.StructType, prefix: str) -> list[
     for field in new.fields:
         name = prefix + field.name
         if field.name not in before:
+            # What may be null has null as its default, here and in the Avro form.
             if "default" not in field.metadata and not field.nullable:
                 problems.append(f"{name}: added without a default")
             continue
@@ -255,40 +268,48 @@ def same_rows(left: DataFrame, right: DataFrame) -> bool:
 
 # --- sustained conditions ---------------------------------------------------------------------
 
+#: A condition is known to hold only while its series is there: silence longer than this ends a stretch.
+MAX_GAP_SECONDS = 300
+
+
 def sustained_breaches(
-    samples: DataFrame, keys: Sequence[str], threshold: float | Column, min_seconds: int = 300, unit: str = "month"
+    samples: DataFrame, keys: Sequence[str], threshold: float | Column, min_seconds: int = 300, unit: str = "month",
+    max_gap_seconds: int = MAX_GAP_SECONDS,
 ) -> DataFrame:
     """Stretches of consecutive samples above ``threshold`` that last at least ``min_seconds``.
 
-    ``samples`` has the keys, ``ts`` and ``value``. The breaches of one stretch share the last
-    sample before them that was no breach, which is a running maximum.
+    ``samples`` has the keys, ``ts`` and ``value``. A sample that is no breach ends a stretch, and so
+    does silence of more than ``max_gap_seconds``: nothing is known of that time. The breaches of one
+    stretch share the instant that the last end before them leaves, which is a running maximum.
     """
     breach = F.coalesce(F.col("value") > threshold, F.lit(False))
-    named = running_max(
-        samples.withColumn("_breach", breach), keys, "ts", F.when(~F.col("_breach"), F.col("ts")),
-        calendar_segment("ts", unit), "_last_good",
-    )
+    segment = calendar_segment("ts", unit)
+    marked = running_max(samples.withColumn("_breach", breach), keys, "ts", F.col("ts"), segment, "_previous")
+    silent = F.unix_millis("ts") - F.unix_millis("_previous") > 1000 * max_gap_seconds
+    ends = F.when(~F.col("_breach"), F.col("ts")).when(silent, F.col("_previous"))
+    named = running_max(marked, keys, "ts", ends, segment, "_last_end", inclusive=True)
     return (
         named.filter("_breach")
-        .groupBy(*keys, "_last_good")
+        .groupBy(*keys, "_last_end")
         .agg(
             F.min("ts").alias("breach_start"),
             F.max("ts").alias("breach_end"),
             F.count(F.lit(1)).alias("samples"),
             F.max("value").alias("peak"),
         )
-        .drop("_last_good")
+        .drop("_last_end")
         .filter(F.unix_millis("breach_end") - F.unix_millis("breach_start") >= 1000 * min_seconds)
     )
 
 
 def absences(
-    samples: DataFrame, keys: Sequence[str], max_seconds: int = 600, unit: str = "month"
+    samples: DataFrame, keys: Sequence[str], now: Column | None = None, max_seconds: int = 600, unit: str = "month"
 ) -> DataFrame:
     """Pauses of more than ``max_seconds`` between neighbouring samples of a key.
 
-    No such pause fits into a bucket of that length, so samples shrink to the first and last of
-    each bucket before any ordering.
+    With ``now``, a key that has been silent for longer until then has a row too, whose ``absent_until``
+    is null and whose ``seconds`` run to ``now``. No such pause fits into a bucket of that length, so
+    samples shrink to the first and last of each bucket before any ordering.
     """
     bucket = F.floor(F.unix_millis("ts") / (1000 * max_seconds))
     ends = samples.groupBy(*keys, bucket.alias("_bucket")).agg(
@@ -298,6 +319,14 @@ def absences(
         ends, keys, "_bucket", F.col("_last"), calendar_segment("absent_until", unit), "absent_from"
     )
     silence = F.unix_millis("absent_until") - F.unix_millis("absent_from")
-    return previous.filter(silence > 1000 * max_seconds).select(
+    over = previous.filter(silence > 1000 * max_seconds).select(
         *keys, "absent_from", "absent_until", (silence / 1000.0).alias("seconds")
     )
+    if now is None:
+        return over
+    newest = ends.groupBy(*keys).agg(F.max("_last").alias("absent_from")).withColumn("_now", now)
+    silence = F.unix_millis("_now") - F.unix_millis("absent_from")
+    going_on = newest.filter(silence > 1000 * max_seconds).select(
+        *keys, "absent_from", F.lit(None).cast("timestamp").alias("absent_until"), (silence / 1000.0).alias("seconds")
+    )
+    return over.unionByName(going_on)

@@ -33,8 +33,10 @@ def _before(keys: Sequence[str]) -> Window:
 def _with_summary(data: DataFrame, keys: Sequence[str], total: Column, running, name: str) -> DataFrame:
     """Join to each (key, segment) the ``running`` aggregate of ``total`` over earlier segments."""
     summary = data.groupBy(*keys, SEGMENT).agg(total.alias(name))
-    summary = summary.withColumn(name, running(F.col(name)).over(_before(keys)))
-    return data.join(summary, [*keys, SEGMENT], "left")
+    by = [*keys, SEGMENT]
+    summary = summary.select(*[F.col(k).alias(f"_of_{k}") for k in by], running(F.col(name)).over(_before(keys)).alias(name))
+    match = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in by]  # a null key has its carry too
+    return data.join(summary, match, "left").drop(*[f"_of_{k}" for k in by])
 
 
 def running_max(

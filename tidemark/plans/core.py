@@ -116,8 +116,9 @@ def fct_symbol_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("dim_symbol", f"""WITH {o.TRADES}, {o.SYMBOLS}
 SELECT canonical AS symbol, base AS base_asset, quote AS quote_asset, binance_symbol, coinbase_symbol,
-       active AS is_active FROM symbols WHERE canonical IN (SELECT symbol FROM trades)""")
+       active AS is_active, (SELECT count(*) FROM trades t WHERE t.symbol = canonical) AS trades FROM symbols""")
 def dim_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Symbols that trade in the given tables."""
+    """Every symbol of the seed, with the number of its trades."""
     dim = marts.dim_symbol(seed.read_symbol_seed(spark))
-    return dim.join(market.trades(spark, sf_dir).select("symbol").distinct(), "symbol", "left_semi")
+    counts = market.trades(spark, sf_dir).groupBy("symbol").agg(F.count("*").alias("trades"))
+    return dim.join(counts, "symbol", "left").withColumn("trades", F.coalesce("trades", F.lit(0)))

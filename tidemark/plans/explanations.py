@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.functions import text
 from tidemark.operators import explain, metrics
 from tidemark.plans.detection import anomaly_ctes, hourly_anomalies
-from tidemark.plans.registry import query
+from tidemark.plans.registry import query, settle, settle_sql
+from tidemark.session import scratch_dir
 from tidemark.sources import market
+from tidemark.streaming import jobs
 
 _HEADLINES = r"""pages_of AS (
   SELECT page_id, page_id // 50 AS feed_seq,
@@ -33,6 +35,21 @@ def _anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hourly_anomalies(spark, sf_dir).withColumn("detected_at", F.col("candle_window_start"))
 
 
+def _template_answers(prompted: DataFrame) -> DataFrame:
+    """A fixed answer built from the prompt's own lines: what stands for a language model here."""
+    subject = F.split_part("prompt", F.lit("\n"), F.lit(2))
+    answer = F.to_json(F.struct(
+        F.concat_ws(" ", "symbol", subject).alias("explanation"), F.array("anomaly_type").alias("key_factors")
+    ))
+    words = lambda c: F.size(F.split(c, r"\s+"))
+    return prompted.withColumns({
+        "text": answer,
+        "prompt_tokens": words(F.col("prompt")),
+        "completion_tokens": words(F.col("prompt")) + 1,
+        "error_kind": F.lit(None).cast("string"),
+    })
+
+
 @query("headlines", f"WITH {_HEADLINES} SELECT asset, CAST(pos AS INT) AS pos, title FROM headlines")
 def headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _news(spark, sf_dir).select("asset", F.posexplode("news_headlines").alias("pos", "title")).withColumn(
@@ -87,10 +104,12 @@ def parsed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_AT = "2024-02-01 00:00:00"
+
+
 def _saves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explain.explain_anomalies(
-        _anomalies(spark, sf_dir), _news(spark, sf_dir), at=F.lit("2024-02-01 00:00:00").cast("timestamp")
-    )
+    prompted = explain.with_prompts(_anomalies(spark, sf_dir), _news(spark, sf_dir))
+    return explain.saves_of(_template_answers(prompted), "template", F.lit(_AT).cast("timestamp"))
 
 
 _EXPLAINED = f"""{_PROMPTS},
@@ -105,7 +124,9 @@ SELECT e.anomaly_id, symbol, anomaly_type, candle_window_start AS detected_at, c
        coalesce((SELECT string_agg(title, ' | ' ORDER BY pos) FROM headlines h
                  WHERE h.asset = split_part(e.symbol, '-', 1)), '') AS news,
        'template' AS model_used, TIMESTAMP '2024-02-01 00:00:00' AS explained_at,
-       CAST(prompt_tokens AS INT) AS prompt_tokens
+       {settle_sql('severity')} AS severity, {settle_sql('current_value')} AS current_value,
+       {settle_sql('baseline_value')} AS baseline_value,
+       CAST(prompt_tokens AS INT) AS prompt_tokens, CAST(prompt_tokens + 1 AS INT) AS completion_tokens
 FROM explained e""")
 def explanations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The explanation table after every anomaly was saved pending and then explained."""
@@ -113,7 +134,8 @@ def explanations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select(
         "anomaly_id", "symbol", "anomaly_type", "detected_at", "candle_window_start", "candle_interval",
         "explanation", F.array_join("key_factors", " | ").alias("factors"),
-        F.array_join("news_headlines", " | ").alias("news"), "model_used", "explained_at", "prompt_tokens",
+        F.array_join("news_headlines", " | ").alias("news"), "model_used", "explained_at",
+        *[settle(F.col(n)).alias(n) for n in ("severity", "current_value", "baseline_value")], "prompt_tokens", "completion_tokens",
     )
 
 
@@ -129,10 +151,11 @@ def pending_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("explanation_accounting", f"""WITH {_EXPLAINED}
 SELECT symbol, anomaly_type, count(*) AS explained, CAST(0 AS BIGINT) AS pending,
-       CAST(sum(prompt_tokens) AS BIGINT) AS prompt_tokens FROM explained GROUP BY symbol, anomaly_type""")
+       CAST(sum(prompt_tokens) AS BIGINT) AS prompt_tokens, CAST(sum(prompt_tokens + 1) AS BIGINT) AS completion_tokens
+FROM explained GROUP BY symbol, anomaly_type""")
 def explanation_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = explain.upsert_explanations(_saves(spark, sf_dir))
-    return metrics.explanation_accounting(table).drop("completion_tokens")
+    return metrics.explanation_accounting(table)
 
 
 @query("explanation_errors", f"""WITH {anomaly_ctes()}
@@ -150,3 +173,30 @@ def explanation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
         return pd.DataFrame({"text": prompt.where(volume, None), "error_kind": kind})
 
     return metrics.explanation_errors(explain.answers(_anomalies(spark, sf_dir), _news(spark, sf_dir), complete))
+
+
+@query("explained_stream", f"""WITH {anomaly_ctes()}
+SELECT anomaly_id, symbol, anomaly_type, CASE WHEN anomaly_type <> 'VOLUME_SPIKE' THEN symbol END AS explanation,
+       CASE WHEN anomaly_type <> 'VOLUME_SPIKE' THEN 'model' END AS model_used,
+       CASE WHEN anomaly_type <> 'VOLUME_SPIKE' THEN TIMESTAMP '{_AT}' END AS explained_at,
+       CASE WHEN anomaly_type <> 'VOLUME_SPIKE' THEN 7 END AS prompt_tokens FROM anomalies""")
+def explained_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The explanation job on a stream of anomalies; requests about volume raise and stay pending."""
+    base = scratch_dir(spark, "explain")
+    anomalies = _anomalies(spark, sf_dir)
+    anomalies.repartition(4).write.parquet(f"{base}/anomalies")
+    stream = spark.readStream.schema(anomalies.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/anomalies")
+
+    def complete(prompt):
+        import pandas as pd
+
+        if prompt.str.contains("Tipo: VOLUME_SPIKE").any():
+            raise ValueError("no answer about volume")
+        return pd.DataFrame({"text": prompt.str.extract(r"em (\S+) ")[0], "prompt_tokens": 7})
+
+    jobs.start_explanations(
+        stream, _news(spark, sf_dir), complete, "model", f"{base}/saves", f"{base}/checkpoint",
+        at=F.lit(_AT).cast("timestamp"), bounded=True,
+    ).awaitTermination()
+    table = explain.upsert_explanations(spark.read.parquet(f"{base}/saves"))
+    return table.select("anomaly_id", "symbol", "anomaly_type", "explanation", "model_used", "explained_at", "prompt_tokens")

@@ -246,10 +246,12 @@ def _now(trades: DataFrame) -> F.Column:
 
 
 @query("freshness", f"""WITH {o.TRADES}
-SELECT max(event_time) AS newest, 30.0::DOUBLE AS freshness_seconds, true AS slo_ok FROM trades""")
+SELECT max(event_time) AS newest, (epoch_ms(max(ingest_time)) - epoch_ms(max(event_time))) / 1000.0 AS freshness_seconds,
+       epoch_ms(max(ingest_time)) - epoch_ms(max(event_time)) <= 60000 AS slo_ok FROM trades""")
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Age of the newest event when the last arrival of all came in."""
     trades = market.trades(spark, sf_dir)
-    return m.freshness(trades, "event_time", _now(trades))
+    return m.freshness(trades, "event_time", trades.select(F.max("ingest_time")).scalar())
 
 
 @query("symbol_freshness", f"""WITH {o.TRADES}, now AS (SELECT max(event_time) + INTERVAL 30 SECOND AS t FROM trades),
@@ -352,16 +354,16 @@ def slo_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 samples AS (
   SELECT symbol, date_trunc('minute', event_time) AS ts, max(quantity) AS value FROM trades GROUP BY ALL),
 marked AS (
-  SELECT *, value > 60 AS breach,
-         value > 60 AND NOT coalesce(lag(value > 60) OVER (PARTITION BY symbol ORDER BY ts), false) AS begins
-  FROM samples),
+  SELECT *, value > 60 AS breach, value > 60 AND NOT coalesce(
+           lag(value > 60) OVER w AND ts - lag(ts) OVER w <= INTERVAL 300 SECOND, false) AS begins
+  FROM samples WINDOW w AS (PARTITION BY symbol ORDER BY ts)),
 islands AS (
   SELECT *, max(CASE WHEN begins THEN ts END) OVER (PARTITION BY symbol ORDER BY ts) AS breach_start FROM marked)
 SELECT symbol, breach_start, max(ts) AS breach_end, count(*) AS samples, max(value) AS peak
 FROM islands WHERE breach GROUP BY symbol, breach_start
 HAVING max(ts) - breach_start >= INTERVAL 300 SECOND""")
 def sustained_breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stretches of at least five minutes in which every sampled minute had a trade above 60."""
+    """Stretches of at least five minutes in which every sampled minute had a trade above 60 and none was far from the next."""
     samples = market.trades(spark, sf_dir).groupBy(
         "symbol", F.date_trunc("minute", "event_time").alias("ts")
     ).agg(F.max("quantity").alias("value"))
@@ -370,13 +372,19 @@ def sustained_breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("absences", f"""WITH {o.TRADES},
 previous AS (
-  SELECT symbol, event_time, lag(event_time) OVER (PARTITION BY symbol ORDER BY event_time) AS absent_from FROM trades)
+  SELECT symbol, event_time, lag(event_time) OVER (PARTITION BY symbol ORDER BY event_time) AS absent_from FROM trades),
+now AS (SELECT max(ingest_time) AS t FROM trades)
 SELECT symbol, absent_from, event_time AS absent_until,
        (epoch_ms(event_time) - epoch_ms(absent_from)) / 1000.0 AS seconds
-FROM previous WHERE epoch_ms(event_time) - epoch_ms(absent_from) > 600000""")
+FROM previous WHERE epoch_ms(event_time) - epoch_ms(absent_from) > 600000
+UNION ALL
+SELECT symbol, max(event_time), NULL, (epoch_ms(any_value(t)) - epoch_ms(max(event_time))) / 1000.0
+FROM trades, now GROUP BY symbol HAVING epoch_ms(any_value(t)) - epoch_ms(max(event_time)) > 600000""")
 def absences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    samples = market.trades(spark, sf_dir).select("symbol", F.col("event_time").alias("ts"))
-    return q.absences(samples, ["symbol"], 600)
+    """Pauses of ten minutes, and those that go on when the newest trade of all arrives."""
+    trades = market.trades(spark, sf_dir)
+    samples = trades.select("symbol", F.col("event_time").alias("ts"))
+    return q.absences(samples, ["symbol"], trades.select(F.max("ingest_time")).scalar(), 600)
 
 
 @query("slo_alerts", f"""WITH {o.TRADES},
@@ -386,12 +394,14 @@ minutes AS (
 samples AS (
   SELECT 'e2e_latency' AS metric, 'silver.candles' AS subject, 5.0 AS threshold, ts, high AS value FROM minutes
   UNION ALL SELECT 'serve_latency_p99', 'api', 2.0, ts, low FROM minutes),
+marked AS (
+  SELECT *, value > threshold AND NOT coalesce(lag(value > threshold) OVER w AND ts - lag(ts) OVER w <= INTERVAL 300 SECOND, false)
+         AS begins FROM samples WINDOW w AS (PARTITION BY metric ORDER BY ts)),
 runs AS (
-  SELECT *, max(CASE WHEN value <= threshold THEN ts END) OVER (PARTITION BY metric ORDER BY ts) AS last_good
-  FROM samples)
+  SELECT *, max(CASE WHEN begins THEN ts END) OVER (PARTITION BY metric ORDER BY ts) AS start FROM marked)
 SELECT metric, subject, min(ts) AS breach_start, max(ts) AS breach_end, count(*) AS samples,
        CAST(max(value) AS DOUBLE) AS peak
-FROM runs WHERE value > threshold GROUP BY metric, subject, last_good HAVING max(ts) - min(ts) >= INTERVAL 300 SECOND""")
+FROM runs WHERE value > threshold GROUP BY metric, subject, start HAVING max(ts) - min(ts) >= INTERVAL 300 SECOND""")
 def slo_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts over latency sampled per minute: largest and smallest arrival skew."""
     skew = c.skew_ms()

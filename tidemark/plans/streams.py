@@ -19,15 +19,66 @@ from tidemark.streaming import candles as sc
 from tidemark.streaming import jobs
 
 
-def _trade_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a stream of trades, its files read as one bounded batch."""
-    return market.as_trades(spark.readStream.schema(market.EVENTS).parquet(f"{sf_dir}/events*.parquet"))
+LOG_FILES = 6
+_LOGS: dict[tuple[str, str], list[DataFrame]] = {}
 
 
-def _drained(stream: DataFrame, label: str) -> DataFrame:
+def _event_log(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The trades in LOG_FILES stretches of event time; written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LOGS:
+        path = scratch_dir(spark, "stretches")
+        trades = market.trades(spark, sf_dir)
+        steps = [i / LOG_FILES for i in range(1, LOG_FILES)]
+        cuts = trades.agg(F.percentile_approx(F.unix_millis("event_time"), steps, 10_000)).first()[0]
+        stretch = sum((F.when(F.unix_millis("event_time") > cut, 1).otherwise(0) for cut in cuts), F.lit(0))
+        trades.withColumn("stretch", stretch).write.partitionBy("stretch").parquet(path)
+        _LOGS[key] = [
+            spark.read.schema(trades.schema).parquet(f"{path}/stretch={i}") for i in range(LOG_FILES)
+        ]
+    return _LOGS[key]
+
+
+def _stragglers(log: list[DataFrame]) -> DataFrame:
+    """Trades of the first stretch once more, under new ids and with other prices: far too late at the end."""
+    return log[0].withColumns({
+        "trade_id": F.concat(F.lit("late-"), "trade_id"), "price": F.col("price") * 7, "quantity": F.col("quantity") + 1000,
+    })
+
+
+class _Log:
+    """A folder of log files that grows; every append is at least one file, and so a micro-batch of its own."""
+
+    def __init__(self, spark: SparkSession, label: str, schema):
+        self.spark, self.path, self.schema = spark, f"{scratch_dir(spark, label)}/log", schema
+
+    def append(self, *rows: DataFrame) -> None:
+        for part in rows:
+            part.select(*self.schema.fieldNames()).coalesce(1).write.mode("append").parquet(self.path)
+
+    def stream(self) -> DataFrame:
+        return self.spark.readStream.schema(self.schema).option("maxFilesPerTrigger", 1).parquet(self.path)
+
+
+def _trade_log(spark: SparkSession, sf_dir: str, late: bool = False) -> _Log:
+    log = _event_log(spark, sf_dir)
+    out = _Log(spark, "trade-log", log[0].schema)
+    out.append(*log[:-1], *([_stragglers(log)] if late else []), log[-1])
+    return out
+
+
+def _trade_stream(spark: SparkSession, sf_dir: str, late: bool = False) -> DataFrame:
+    """The trades as a stream in order of event time, a file per micro-batch.
+
+    With ``late`` the last file but one holds trades of windows that were sealed long before.
+    """
+    return _trade_log(spark, sf_dir, late).stream()
+
+
+def _drained(stream: DataFrame, label: str, base: str | None = None) -> DataFrame:
     """Run a stream into files and read them back."""
     spark = stream.sparkSession
-    base = scratch_dir(spark, label)
+    base = base or scratch_dir(spark, label)
     jobs.start_files(stream, f"{base}/out", f"{base}/checkpoint", bounded=True).awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
 
@@ -37,7 +88,13 @@ def _register_sealed(interval: str) -> None:
 SELECT {o.CANDLE_COLUMNS} FROM candles
 WHERE window_end <= (SELECT max(event_time) FROM trades) - INTERVAL {o.GRACE[interval]}""")
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = _drained(sc.sealed_candles(_trade_stream(spark, sf_dir), interval), f"sealed-{interval}")
+        """Run, stopped half way, and run on from its checkpoint; late trades of sealed windows change nothing."""
+        log = _event_log(spark, sf_dir)
+        files, base = _Log(spark, f"sealed-{interval}", log[0].schema), scratch_dir(spark, f"sealed-{interval}")
+        files.append(*log[: LOG_FILES // 2])
+        _drained(sc.sealed_candles(files.stream(), interval), "", base)
+        files.append(*log[LOG_FILES // 2: -1], _stragglers(log), log[-1])
+        rows = _drained(sc.sealed_candles(files.stream(), interval), "", base)
         return rows.withColumn("vwap", settle(F.col("vwap")))
 
 
@@ -53,7 +110,7 @@ def sealed_candles_in_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "to-lake")
     table = schemas.CANDLES_TABLE
     jobs.start_lake_sink(
-        sc.sealed_candles(_trade_stream(spark, sf_dir), "M1"), f"{base}/lake", table, f"{base}/checkpoint",
+        sc.sealed_candles(_trade_stream(spark, sf_dir, late=True), "M1"), f"{base}/lake", table, f"{base}/checkpoint",
         bounded=True, stateful=True, order="window_end",
     ).awaitTermination()
     rows = lake.read_table(spark, f"{base}/lake", table).drop(table.day_column)
@@ -68,10 +125,14 @@ def late_trades_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("deduplicated_stream", f"WITH {o.TRADES} SELECT * FROM trades")
 def deduplicated_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every trade delivered twice and thinned to one."""
-    trades = _trade_stream(spark, sf_dir)
-    twice = trades.withColumn("delivery", F.explode(F.array(F.lit(1), F.lit(2)))).drop("delivery")
-    return _drained(sc.without_repeats(twice), "dedup")
+    """Every trade delivered twice, in files apart, and thinned to one; some first come long after their time.
+
+    The first stretch of time comes last but one, so its trades are late and still the only ones of their ids.
+    """
+    log = _event_log(spark, sf_dir)
+    files = _Log(spark, "dedup-log", log[0].schema)
+    files.append(*log[1:-1], log[1], log[0], *log[2:], log[-1], log[0])
+    return _drained(sc.without_repeats(files.stream(), "1000 days"), "dedup")
 
 
 @query("volatility_stream", VOLATILITY_SQL)
@@ -92,7 +153,7 @@ FROM candles WHERE window_end > (SELECT max(window_end) FROM candles) - INTERVAL
 def live_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live table after the whole stream: the windows of its last day."""
     base = scratch_dir(spark, "live")
-    stream = sc.open_candles(_trade_stream(spark, sf_dir), "H1")
+    stream = sc.open_candles(_trade_stream(spark, sf_dir, late=True), "H1")
     jobs.start_live_table(stream, f"{base}/live", f"{base}/checkpoint", bounded=True).awaitTermination()
     return jobs.read_live(spark, f"{base}/live").withColumn("vwap", settle(F.col("vwap")))
 
@@ -151,10 +212,14 @@ def _weekly_lake(spark: SparkSession, sf_dir: str) -> str:
         hourly = c.candles(market.trades(spark, sf_dir), "H1").withColumn("kafka_offset", F.unix_millis("window_start"))
         for table, rows in ((schemas.TRADES_TABLE, trades), (schemas.CANDLES_TABLE, hourly)):
             lake.ensure_table(spark, root, table)
-            week = F.date_trunc("week", table.time_column)
-            weeks = [r[0] for r in rows.select(week.alias("w")).distinct().orderBy("w").collect()]
+            # Written once by week, so that each commit reads its own week only.
+            staged = scratch_dir(spark, "weeks")
+            rows = rows.withColumn("week", F.to_date(F.date_trunc("week", table.time_column)))
+            rows.write.partitionBy("week").parquet(staged)
+            rows = spark.read.schema(rows.schema).parquet(staged)
+            weeks = [r[0] for r in rows.select("week").distinct().orderBy("week").collect()]
             for number, start in enumerate(weeks):
-                lake.write_batch(rows.filter(week == F.lit(start)), root, table, number)
+                lake.write_batch(rows.filter(F.col("week") == F.lit(start)), root, table, number)
         _LAKES[key] = root
     return _LAKES[key]
 
@@ -208,14 +273,15 @@ def sink_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.sink_counters(lake.commit_log(spark, root, schemas.TRADES_TABLE))
 
 
-@query("commit_histogram", f"""{_WEEKS}
-SELECT 'bronze.trades' AS table_name, CAST('Infinity' AS DOUBLE) AS le, count(*) AS "count", count(*) AS total
-FROM commits""")
+@query("commit_histogram", f"""{_WEEKS},
+bounds(le) AS (VALUES {", ".join(f"(CAST({b} AS DOUBLE))" for b in metrics.COMMIT_BOUNDS_SECONDS)}, (CAST('Infinity' AS DOUBLE)))
+SELECT 'bronze.trades' AS table_name, le, count_if(n / 200.0 <= le)::BIGINT AS "count", count(*) AS total
+FROM commits, bounds GROUP BY le""")
 def commit_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The open bucket of the commit times; the others depend on the machine."""
+    """All buckets. Commit times depend on the machine, so a two-hundredth of the rows of a commit stands for them."""
     root = _weekly_lake(spark, sf_dir)
-    histogram = metrics.commit_histogram(lake.commit_log(spark, root, schemas.TRADES_TABLE))
-    return histogram.filter(F.col("le") == float("inf")).drop("sum_seconds")
+    log = lake.commit_log(spark, root, schemas.TRADES_TABLE)
+    return metrics.commit_histogram(log.withColumn("seconds", F.col("received") / 200.0)).drop("sum_seconds")
 
 
 @query("sink_replay_result", f"""WITH {o.TRADES},
@@ -241,6 +307,28 @@ def sink_replay_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "step int, received bigint, inserted bigint, skipped bigint")
 
 
+@query("sink_two_writers", f"""WITH {o.TRADES}
+SELECT count(*) AS n_rows, count(DISTINCT (exchange, symbol, trade_id)) AS n_keys, CAST(2 AS BIGINT) AS commits FROM trades""")
+def sink_two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A live writer and a replay of overlapping trades; the replay commits while the other writes its files."""
+    base, table = scratch_dir(spark, "writers"), schemas.TRADES_TABLE
+    trades = market.trades(spark, sf_dir)
+    lake.ensure_table(spark, base, table)
+    held: list[bool] = []
+
+    def interrupted(rows: DataFrame) -> DataFrame:
+        """The replay's batch, asked for when the live one has read the state of the table."""
+        if not held:
+            held.append(True)
+            lake.write_batch(trades.filter(F.col("side") != "BUY"), base, table, 0, writer="replay")
+        return rows
+
+    lake.write_batch(trades.filter(F.col("side") != "SELL"), base, table, 0, writer="live", prepare=interrupted)
+    rows = lake.read_table(spark, base, table)
+    commits = lake.list_snapshots(spark, base, table).agg(F.count("*").alias("commits"))
+    return rows.agg(F.count("*").alias("n_rows"), F.countDistinct(*table.keys).alias("n_keys")).crossJoin(commits)
+
+
 @query("sink_dedup_last", f"""WITH {o.TRADES}
 SELECT trade_id, exchange, symbol, CASE side WHEN 'SELL' THEN price + 1 ELSE price END AS price, quantity, side,
        event_time, ingest_time FROM trades""")

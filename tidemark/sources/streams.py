@@ -67,8 +67,15 @@ def file_log(spark: SparkSession, path: str, value: T.StructType, max_files: int
     return reader.parquet(path)
 
 
+#: Fields that are enums on the wire, with their symbols in order.
+ENUMS = {"side": ("Side", schemas.SIDES), "anomaly_type": ("AnomalyType", schemas.ANOMALY_TYPES)}
+
+
 def avro_schema(value: T.StructType, name: str) -> str:
-    """The contract as Avro JSON: instants are milliseconds, defaults are kept."""
+    """The contract as Avro JSON: instants are milliseconds, enums have their symbols, defaults are kept.
+
+    A field that may be null and has no other default has null.
+    """
     simple = {
         "string": "string", "double": "double", "bigint": "long", "int": "int", "boolean": "boolean",
         "timestamp": {"type": "long", "logicalType": "timestamp-millis"},
@@ -85,9 +92,14 @@ def avro_schema(value: T.StructType, name: str) -> str:
         fields = []
         for f in struct.fields:
             inner = of(f.dataType, f"{path}_{f.name}")
-            field = {"name": f.name, "type": ["null", inner] if f.nullable else inner}
-            if "default" in f.metadata:
-                field["default"] = f.metadata["default"]
+            if f.name in ENUMS and f.dataType == T.StringType():
+                kind, symbols = ENUMS[f.name]
+                inner = {"type": "enum", "name": kind, "symbols": list(symbols)}
+            default = f.metadata.get("default")
+            order = [inner, "null"] if default is not None else ["null", inner]  # a default has the first type of a union
+            field = {"name": f.name, "type": order if f.nullable else inner}
+            if "default" in f.metadata or f.nullable:
+                field["default"] = default
             fields.append(field)
         return {"type": "record", "name": path, "fields": fields}
 
@@ -104,7 +116,7 @@ def kafka_options(
 ) -> dict[str, str]:
     """Reader options. From a timestamp, a partition without such a record is not read again.
 
-    ``max_offsets`` bounds a micro-batch, for a live sink say ``LIVE_BATCH_RECORDS``; a replay of
+    ``max_offsets`` bounds a micro-batch, for a live sink say LIVE_BATCH_RECORDS; a replay of
     a long log leaves it open or sets it by what the executors hold.
     """
     options = {
@@ -121,13 +133,28 @@ def kafka_options(
     return options
 
 
-def kafka_log(spark: SparkSession, options: dict[str, str], value: T.StructType, name: str) -> DataFrame:
-    """Stream over Kafka topics with registry-framed Avro values; needs the Kafka and Avro packages."""
+def framed(body: Column, schema_id: int) -> Column:
+    """An Avro body behind the registry's header: a zero byte and the schema id in four bytes."""
+    return F.concat(F.unhex(F.lit(f"00{schema_id:08X}")), body)
+
+
+def unframed(value: Column) -> Column:
+    """The body behind the header; an error if there is none. Null stays null."""
+    headed = (F.length(value) >= _REGISTRY_HEADER_BYTES) & (F.hex(F.substring(value, 1, 1)) == "00")
+    body = F.substring(value, F.lit(_REGISTRY_HEADER_BYTES + 1), F.length(value) - _REGISTRY_HEADER_BYTES)
+    return F.when(value.isNull(), None).when(headed, body).otherwise(
+        F.raise_error(F.lit("a value without a registry header")).cast("binary")
+    )
+
+
+def kafka_log(
+    spark: SparkSession, options: dict[str, str], value: T.StructType, name: str, registry: bool = True
+) -> DataFrame:
+    """Stream over Kafka topics with Avro values, behind registry headers or bare; needs the Kafka and Avro packages."""
     from pyspark.sql.avro.functions import from_avro
 
     raw = spark.readStream.format("kafka").options(**options).load()
-    start = F.lit(_REGISTRY_HEADER_BYTES + 1)
-    body = F.substring("value", start, F.length("value") - _REGISTRY_HEADER_BYTES)
+    body = unframed(F.col("value")) if registry else F.col("value")
     return raw.withColumn("value", from_avro(body, avro_schema(value, name)))
 
 

@@ -51,10 +51,12 @@ def late_trades(trades: DataFrame) -> DataFrame:
     return c.late_trades(trades)
 
 
-def without_repeats(trades: DataFrame, delay: str = "10 seconds") -> DataFrame:
+def without_repeats(trades: DataFrame, delay: str) -> DataFrame:
     """Drop repeated deliveries within the delay; state is bounded by it.
 
-    This thins the stream early. That no trade is stored twice is the lake sink's guarantee.
+    A row further behind the newest event than ``delay`` is dropped, repeated or not: choose it above
+    the longest lateness that is to be kept. This only thins the stream early. That no trade is stored
+    twice is the lake sink's guarantee, which needs no delay.
     """
     return trades.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(
         list(schemas.TRADES_TABLE.keys)

@@ -13,11 +13,11 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas
-from tidemark.operators import anomalies, books, lake
+from tidemark.operators import anomalies, books, explain, lake
 from tidemark.schemas import LakeTable
 from tidemark.session import ROCKSDB, session_conf
 from tidemark.sources import streams
@@ -41,12 +41,19 @@ def start_files(stream: DataFrame, out: str, checkpoint: str, bounded: bool = Fa
     return _start(writer, bounded, stream.sparkSession)
 
 
-def start_kafka(records: DataFrame, servers: str, checkpoint: str, value_name: str) -> StreamingQuery:
-    """Send log records to their topics as Avro; needs the Kafka and Avro packages."""
+def start_kafka(
+    records: DataFrame, servers: str, checkpoint: str, value_name: str, schema_id: int | None = None
+) -> StreamingQuery:
+    """Send log records to their topics as Avro; needs the Kafka and Avro packages.
+
+    With the ``schema_id`` that a registry gave, values have its header, as ``kafka_log`` expects by default.
+    """
     from pyspark.sql.avro.functions import to_avro
 
     schema = streams.avro_schema(records.schema["value"].dataType, value_name)
-    rows = records.select("key", to_avro("value", schema).alias("value"), "topic")
+    body = to_avro("value", schema)
+    body = body if schema_id is None else streams.framed(body, schema_id)
+    rows = records.select("key", body.alias("value"), "topic")
     writer = rows.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
     return _start(writer.option("checkpointLocation", checkpoint), False, records.sparkSession)
 
@@ -71,6 +78,22 @@ def _kept(batch: DataFrame, keep: bool = True) -> Iterator[DataFrame]:
         batch.unpersist()
 
 
+def start_explanations(
+    anomalies: DataFrame, news: DataFrame, complete: explain.Complete, model: str, out: str, checkpoint: str,
+    at: Column | None = None, bounded: bool = False,
+) -> StreamingQuery:
+    """Ask for an explanation of every anomaly of a stream and keep the log of saves.
+
+    A micro-batch writes its saves once, into a folder of its own: an answer is asked for once, and a retry
+    replaces what the failed try left. ``explain.upsert_explanations`` folds what is read back.
+    """
+    def save(batch: DataFrame, number: int) -> None:
+        saves = explain.explain_anomalies(batch, news, complete, model, at)
+        saves.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    return _start_batches(anomalies, save, checkpoint, bounded)
+
+
 def start_lake_sink(
     stream: DataFrame,
     root: str,
