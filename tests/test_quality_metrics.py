@@ -203,7 +203,7 @@ def test_lag_counters_and_slos(spark, make_trades):
     assert {r.metric: r.ok for r in m.evaluate_slos(measures).collect()} == {"freshness": False, "consumer_lag": True}
 
 
-def test_hourly_checks_stop_at_the_first_failure(spark, make_trades, tmp_path):
+def test_hourly_checks_report_every_failure(spark, make_trades, tmp_path):
     from tidemark.operators import lake
 
     root = str(tmp_path / "lake")
@@ -213,10 +213,10 @@ def test_hourly_checks_stop_at_the_first_failure(spark, make_trades, tmp_path):
     lake.write_batch(trades, root, schemas.TRADES_TABLE, 0)
     lake.write_batch(c.candles(trades, "M1").withColumn("kafka_offset", F.lit(0)), root, schemas.CANDLES_TABLE, 0)
     report = hourly_checks(spark, root, str(tmp_path / "marts"))
-    assert report.failed is None and report.copied == {"bronze.trades": 2, "silver.candles": 1}
+    assert report.failed == [] and len(report.passed) == 66 and report.copied == {"bronze.trades": 2, "silver.candles": 1}
     assert spark.read.parquet(str(tmp_path / "marts/fct_symbol_daily")).count() == 1
     assert spark.read.parquet(str(tmp_path / "marts/fct_trade")).agg(F.sum("notional")).first()[0] == 150
     bad = make_trades([(1700000050000, -5, 1)]).withColumn("trade_id", F.lit("99"))
     lake.write_batch(bad, root, schemas.TRADES_TABLE, 1)
     report = hourly_checks(spark, root, str(tmp_path / "marts"))
-    assert report.failed == "fct_trade positive values" and "trade checks" not in report.passed
+    assert report.failed == ["fct_trade positive values", "trade check min_price", "trade check min_notional"]

@@ -47,9 +47,11 @@ def cumulative_histogram(
     return wide.select(*keys, F.inline(F.array(*buckets)), "total", sum_name)
 
 
-def skew_histogram(events: DataFrame, bounds: Sequence[int] = SKEW_BOUNDS_MS) -> DataFrame:
-    """Buckets of arrival skew per exchange."""
-    return cumulative_histogram(events, ["exchange"], skew_ms(), bounds, "sum_ms")
+def skew_histogram(
+    events: DataFrame, keys: Sequence[str] = ("exchange",), bounds: Sequence[int] = SKEW_BOUNDS_MS
+) -> DataFrame:
+    """Buckets of arrival skew per key."""
+    return cumulative_histogram(events, keys, skew_ms(), bounds, "sum_ms")
 
 
 def commit_histogram(commits: DataFrame, bounds: Sequence[float] = COMMIT_BOUNDS_SECONDS) -> DataFrame:

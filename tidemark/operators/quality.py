@@ -43,9 +43,13 @@ OHLC_MART = ("open_price", "high_price", "low_price", "close_price")
 OHLC_LAKE = ("open", "high", "low", "close")
 
 
+def breaks_ohlc(columns: Sequence[str] = OHLC_MART) -> Column:
+    return ~_consistent(*columns)
+
+
 def ohlc_violations(df: DataFrame, columns: Sequence[str] = OHLC_MART) -> DataFrame:
     """Candles or daily rows that break low <= open, close <= high."""
-    return df.filter(~_consistent(*columns))
+    return df.filter(breaks_ohlc(columns))
 
 
 def non_positive(df: DataFrame) -> DataFrame:

@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.functions import indicators
 from tidemark.operators import candles as c
 from tidemark.operators import marts, metrics as m, quality as q
-from tidemark.plans import oracle as o
+from tidemark.plans import jobs, oracle as o
 from tidemark.plans.registry import query, settle, settle_sql
+from tidemark.session import scratch_dir
 from tidemark.sources import market, seed
 
 _M1 = f"WITH {o.TRADES}, {o.candles('M1', name='m1')}"
@@ -416,3 +417,60 @@ def slo_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         )),
     )
     return m.slo_alerts(samples)
+
+
+_SPOILED = f"""WITH {o.TRADES}, {o.candles('M1')}, {o.SYMBOLS},
+spoiled AS (
+  SELECT trade_id, CASE WHEN kafka_offset % 7 = 0 THEN 'kraken' ELSE exchange END AS exchange,
+         CASE symbol WHEN 'XRP-USD' THEN 'NEW-USD' ELSE symbol END AS symbol, price - 10 AS price, quantity,
+         CASE side WHEN 'UNKNOWN' THEN NULL ELSE side END AS side FROM trades),
+gaps AS (
+  SELECT epoch(window_start) // 60 - epoch(lag(window_start) OVER (PARTITION BY symbol ORDER BY window_start)) // 60 AS gap
+  FROM candles),
+found(test, failures) AS (
+  SELECT 'stg_trades exchange accepted', count_if(exchange = 'kraken') FROM spoiled
+  UNION ALL SELECT 'fct_trade exchange accepted', count_if(exchange = 'kraken') FROM spoiled
+  UNION ALL SELECT 'fct_trade positive values', count_if(price <= 0 OR quantity <= 0) FROM spoiled
+  UNION ALL SELECT 'fct_trade symbol known', count_if(symbol NOT IN (SELECT canonical FROM symbols)) FROM spoiled
+  UNION ALL SELECT 'trade check min_price', CAST(min(price) <= 0 AS BIGINT) FROM spoiled
+  UNION ALL SELECT 'trade check min_notional', CAST(min(price * quantity) <= 0 AS BIGINT) FROM spoiled
+  UNION ALL SELECT 'trade check invalid_exchange', CAST(count_if(exchange = 'kraken') > 0 AS BIGINT) FROM spoiled
+  UNION ALL SELECT 'candle check minute_gaps', count_if(gap > 1) FROM gaps),
+names(test) AS (VALUES {", ".join(f"('{name}')" for name in jobs.test_names())})
+SELECT test, CAST(coalesce(failures, 0) AS BIGINT) AS failures, coalesce(failures, 0) = 0 AS passed
+FROM names LEFT JOIN found USING (test)"""
+
+
+@query("hourly_checks", _SPOILED)
+def hourly_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every test of the hourly chain, over trades with spoiled prices, symbols and exchanges and their sound candles."""
+    trades = market.trades(spark, sf_dir)
+    spoiled = trades.withColumns({
+        "exchange": F.when(F.col("kafka_offset") % 7 == 0, "kraken").otherwise(F.col("exchange")),
+        "symbol": F.when(F.col("symbol") == "XRP-USD", "NEW-USD").otherwise(F.col("symbol")),
+        "price": F.col("price") - 10,
+        "side": F.when(F.col("side") != "UNKNOWN", F.col("side")),
+    })
+    candles = c.candles(trades, "M1")
+    tables = jobs.build_marts(spark, spoiled, candles, scratch_dir(spark, "marts")) | {
+        "symbols": seed.read_symbol_seed(spark), "stg_trades": marts.staged_trades(spoiled), "stg_candles": marts.staged_candles(candles),
+    }
+    return jobs.check_results(tables)
+
+
+@query("latency_p99_alerts", f"""WITH {o.TRADES},
+skews AS (
+  SELECT exchange, time_bucket(INTERVAL 5 MINUTE, event_time) AS ts, epoch_ms(ingest_time) - epoch_ms(event_time) AS skew FROM trades),
+samples AS (SELECT exchange, ts, count(*) AS n, count_if(skew > 1000) AS slow FROM skews GROUP BY ALL),
+marked AS (
+  SELECT *, slow * 100 > n AS breach, slow * 100 > n AND NOT coalesce(
+         lag(slow * 100 > n) OVER w AND ts - lag(ts) OVER w <= INTERVAL 300 SECOND, false) AS begins
+  FROM samples WINDOW w AS (PARTITION BY exchange ORDER BY ts)),
+islands AS (SELECT *, max(CASE WHEN begins THEN ts END) OVER (PARTITION BY exchange ORDER BY ts) AS breach_start FROM marked)
+SELECT exchange, breach_start, max(ts) AS breach_end, count(*) AS samples FROM islands WHERE breach
+GROUP BY exchange, breach_start HAVING max(ts) - breach_start >= INTERVAL 300 SECOND""")
+def latency_p99_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the 0.99 quantile of five minutes' histogram increases stays above a second for five minutes more."""
+    trades = market.trades(spark, sf_dir).withColumn("ts", F.window("event_time", "5 minutes")["start"])
+    quantiles = m.histogram_quantile(m.skew_histogram(trades, ("exchange", "ts")), 0.99, ("exchange", "ts"))
+    return q.sustained_breaches(quantiles, ["exchange"], 1000.0, 300).drop("peak")

@@ -1,11 +1,12 @@
-"""The hourly job: copy the lake, build the marts, check them; the first failure stops it."""
+"""The hourly job: copy the lake, build the marts, run every data test and check on them."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark import schemas
 from tidemark.operators import lake, marts, quality as q
@@ -16,7 +17,7 @@ from tidemark.sources.seed import read_symbol_seed
 class Report:
     copied: dict[str, int] = field(default_factory=dict)
     passed: list[str] = field(default_factory=list)
-    failed: str | None = None
+    failed: list[str] = field(default_factory=list)
 
 
 MARTS = ("dim_symbol", "fct_trade", "fct_candle", "fct_symbol_daily")
@@ -38,47 +39,106 @@ def build_marts(spark: SparkSession, trades: DataFrame, candles: DataFrame, targ
     return built
 
 
-def data_tests(built: dict[str, DataFrame]) -> Iterator[tuple[str, DataFrame]]:
-    """(name, failing rows) of every test on the marts, cheap ones first."""
-    dim, trade, candle, daily = (built[name] for name in MARTS)
-    for column in ("symbol", "base_asset", "quote_asset"):
-        yield f"dim_symbol {column} not null", q.not_null(dim, column)
-    yield "dim_symbol symbol unique", q.unique(dim, "symbol")
-    for column in ("trade_id", "exchange", "symbol", "price", "quantity", "event_time", "ingest_time"):
-        yield f"fct_trade {column} not null", q.not_null(trade, column)
-    yield "fct_trade side accepted", q.accepted_values(trade, "side", schemas.SIDES)
-    yield "fct_trade exchange accepted", q.accepted_values(trade, "exchange", schemas.EXCHANGES)
-    yield "fct_trade positive values", q.non_positive(trade)
-    yield "fct_trade symbol known", q.relationships(trade, "symbol", dim, "symbol")
-    yield "fct_trade key unique", q.unique_combination(trade, schemas.TRADES_TABLE.keys)
-    for column in ("symbol", "interval", "window_start"):
-        yield f"fct_candle {column} not null", q.not_null(candle, column)
-    yield "fct_candle interval accepted", q.accepted_values(candle, "interval", tuple(schemas.INTERVALS))
-    yield "fct_candle direction accepted", q.accepted_values(candle, "direction", schemas.DIRECTIONS)
-    yield "fct_candle ohlc", q.ohlc_violations(candle)
-    yield "fct_candle symbol known", q.relationships(candle, "symbol", dim, "symbol")
-    yield "fct_candle key unique", q.unique_combination(candle, schemas.CANDLES_TABLE.keys)
-    yield "fct_symbol_daily ohlc", q.ohlc_violations(daily)
-    yield "fct_symbol_daily symbol known", q.relationships(daily, "symbol", dim, "symbol")
-    yield "fct_symbol_daily key unique", q.unique_combination(daily, ("symbol", "trade_date"))
-    failed = lambda checks: checks.filter("NOT passed")
-    yield "trade checks", failed(q.trade_checks(trade))
-    # Minutes without a trade are reported by the check, not a fault of the build.
-    yield "candle checks", failed(q.candle_checks(candle)).filter("check_name <> 'minute_gaps'")
+def _missing(*columns: str) -> dict[str, Column]:
+    return {f"{c} not null": F.col(c).isNull() for c in columns}
+
+
+def _outside(column: str, values: Sequence) -> dict[str, Column]:
+    return {f"{column} accepted": F.col(column).isNotNull() & ~F.col(column).isin(*values)}
+
+
+def _row_tests() -> dict[str, dict[str, Column]]:
+    """Tests of single rows: table, name, and what holds for a row that fails."""
+    both = [True, False]
+    return {
+        "symbols": _missing("canonical", "base", "quote", "active") | _outside("active", both),
+        "stg_trades": _missing("trade_id", "exchange", "symbol", "price", "event_time")
+        | _outside("exchange", schemas.EXCHANGES) | _outside("side", schemas.SIDES),
+        "stg_candles": _missing("symbol", "interval", "window_start")
+        | _outside("interval", tuple(schemas.INTERVALS)) | _outside("is_final", [True]),
+        "dim_symbol": _missing("symbol", "base_asset", "quote_asset") | _outside("is_active", both),
+        "fct_trade": _missing("trade_id", "exchange", "symbol", "price", "quantity", "notional", "event_time", "ingest_time")
+        | _outside("exchange", schemas.EXCHANGES) | _outside("side", schemas.SIDES)
+        | {"positive values": (F.col("price") <= 0) | (F.col("quantity") <= 0)},
+        "fct_candle": _missing("symbol", "interval", "window_start", "trade_count")
+        | _outside("interval", tuple(schemas.INTERVALS)) | _outside("direction", schemas.DIRECTIONS)
+        | {"ohlc": q.breaks_ohlc()},
+        "fct_symbol_daily": _missing("symbol", "trade_date", "volume") | {"ohlc": q.breaks_ohlc()},
+    }
+
+
+_KEYS = {
+    "symbols": ("canonical",), "dim_symbol": ("symbol",), "fct_trade": schemas.TRADES_TABLE.keys,
+    "fct_candle": schemas.CANDLES_TABLE.keys, "fct_symbol_daily": ("symbol", "trade_date"),
+}
+_OF_SYMBOL = ("fct_trade", "fct_candle", "fct_symbol_daily")
+
+
+_CHECKS = {
+    "trade": ("row_count", "missing_trade_id", "duplicate_trade_id", "min_price", "min_quantity", "min_notional",
+              "invalid_exchange", "missing_event_time"),
+    "candle": ("row_count", "missing_symbol", "missing_interval", "invalid_interval", "min_trade_count",
+               "ohlc_inconsistent", "minute_gaps"),
+}
+
+
+def test_names() -> list[str]:
+    """Names of all tests, in plain text: building the conditions needs a session."""
+    rows = {
+        "symbols": ("canonical not null", "base not null", "quote not null", "active not null", "active accepted"),
+        "stg_trades": ("trade_id not null", "exchange not null", "symbol not null", "price not null", "event_time not null",
+                       "exchange accepted", "side accepted"),
+        "stg_candles": ("symbol not null", "interval not null", "window_start not null", "interval accepted", "is_final accepted"),
+        "dim_symbol": ("symbol not null", "base_asset not null", "quote_asset not null", "is_active accepted"),
+        "fct_trade": ("trade_id not null", "exchange not null", "symbol not null", "price not null", "quantity not null",
+                      "notional not null", "event_time not null", "ingest_time not null", "exchange accepted", "side accepted",
+                      "positive values"),
+        "fct_candle": ("symbol not null", "interval not null", "window_start not null", "trade_count not null",
+                       "interval accepted", "direction accepted", "ohlc"),
+        "fct_symbol_daily": ("symbol not null", "trade_date not null", "volume not null", "ohlc"),
+    }
+    names = [f"{table} {name}" for table, own in rows.items() for name in own]
+    names += [f"{table} key unique" for table in _KEYS] + [f"{table} symbol known" for table in _OF_SYMBOL]
+    return names + [f"{kind} check {name}" for kind, own in _CHECKS.items() for name in own]
+
+
+def check_results(tables: dict[str, DataFrame]) -> DataFrame:
+    """(test, failures, passed) of every data test and check of the chain.
+
+    ``tables`` has the marts, the seed as ``symbols``, and the staged ``stg_trades`` and ``stg_candles``. All row
+    tests of a table are counted in one pass; keys and references take one each.
+    """
+    def one(name: str, failing: DataFrame) -> DataFrame:
+        return failing.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("test"), "failures")
+
+    parts = []
+    for table, tests in _row_tests().items():
+        totals = tables[table].agg(*[F.count_if(failing).alias(name) for name, failing in tests.items()])
+        rows = F.array(*[F.struct(F.lit(f"{table} {n}").alias("test"), F.col(f"`{n}`").alias("failures")) for n in tests])
+        parts.append(totals.select(F.inline(rows)))
+    for table, keys in _KEYS.items():
+        parts.append(one(f"{table} key unique", q.unique_combination(tables[table], keys)))
+    for table in _OF_SYMBOL:
+        parts.append(one(f"{table} symbol known", q.relationships(tables[table], "symbol", tables["dim_symbol"], "symbol")))
+    for name, checks in (("trade", q.trade_checks(tables["fct_trade"])), ("candle", q.candle_checks(tables["fct_candle"]))):
+        parts.append(checks.select(
+            F.concat(F.lit(f"{name} check "), "check_name").alias("test"),
+            F.when(F.col("passed"), 0).when(F.col("check_name") == "minute_gaps", F.col("value")).otherwise(1).cast("bigint").alias("failures"),
+        ))
+    return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("failures") == 0)
 
 
 def hourly_checks(spark: SparkSession, root: str, target: str) -> Report:
-    """Run the chain on the lake at ``root``; copies and marts go to ``target``."""
+    """Run the chain on the lake at ``root``; copies and marts go to ``target``. Every test is run and reported."""
     report = Report()
     report.copied = lake.refresh_copy(spark, root, f"{target.rstrip('/')}/copy")
-    copies = {
-        table: spark.read.schema(table.schema).parquet(f"{target.rstrip('/')}/copy/{table.name.replace('.', '/')}")
-        for table in schemas.LAKE_TABLES
+    trades, candles = (
+        spark.read.schema(table.schema).parquet(f"{target.rstrip('/')}/copy/{table.name.replace('.', '/')}")
+        for table in (schemas.TRADES_TABLE, schemas.CANDLES_TABLE)
+    )
+    tables = build_marts(spark, trades, candles, target) | {
+        "symbols": read_symbol_seed(spark), "stg_trades": marts.staged_trades(trades), "stg_candles": marts.staged_candles(candles),
     }
-    built = build_marts(spark, copies[schemas.TRADES_TABLE], copies[schemas.CANDLES_TABLE], target)
-    for name, failing in data_tests(built):
-        if not failing.isEmpty():
-            report.failed = name
-            break
-        report.passed.append(name)
+    for row in check_results(tables).collect():  # one row for each test
+        (report.passed if row["passed"] else report.failed).append(row["test"])
     return report
