@@ -55,6 +55,10 @@ def _path(root: str, table: LakeTable, leaf: str) -> str:
     return f"{root.rstrip('/')}/{table.name.replace('.', '/')}/{leaf}"
 
 
+def data_path(root: str, table: LakeTable) -> str:
+    return _path(root, table, "data")
+
+
 def _data_schema(table: LakeTable) -> T.StructType:
     fields = [T.StructField(f.name, f.dataType, True) for f in table.schema.fields]
     return T.StructType([
@@ -103,7 +107,7 @@ def run_records(log: DataFrame) -> DataFrame:
 
 def _published(spark: SparkSession, root: str, table: LakeTable, through: int | None = None) -> DataFrame:
     """Rows of parts the log names, up to a commit if one is given; the join prunes other parts' folders."""
-    data = spark.read.schema(_data_schema(table)).parquet(_path(root, table, "data"))
+    data = spark.read.schema(_data_schema(table)).parquet(data_path(root, table))
     log = commit_log(spark, root, table).filter(F.col("operation") == "append")
     parts = log.filter(F.lit(True) if through is None else F.col("commit_seq") <= through).select("part")
     return data.join(parts, "part", "left_semi")

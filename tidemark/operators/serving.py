@@ -15,6 +15,7 @@ SPARK_CANDLES = 60
 
 
 def clamp_limit(limit: int, ceiling: int = CANDLE_LIMIT) -> int:
+    """What an interface grants of the limit that a caller of it asks for. The read models take any limit."""
     return max(1, min(int(limit), ceiling))
 
 
@@ -52,7 +53,7 @@ def api_daily(fct_symbol_daily: DataFrame) -> DataFrame:
 
 
 def _newest(df: DataFrame, time: str, limit: int) -> DataFrame:
-    return df.orderBy(F.col(time).desc()).limit(clamp_limit(limit)).orderBy(time)
+    return df.orderBy(F.col(time).desc()).limit(limit).orderBy(time)
 
 
 def latest_candles(fct_candle: DataFrame, symbol: str, interval: str = "M1", limit: int = 200) -> DataFrame:
@@ -157,7 +158,6 @@ def merge_candle_feed(history: DataFrame, pushed: DataFrame, live: DataFrame) ->
 
     An open window gets its direction from its prices and a return of 0.
     """
-    key = ["symbol", "interval", "window_start"]
     forming = live.select(
         *[c for c in history.columns if c not in ("direction", "return_pct")],
         F.when(F.col("close") >= F.col("open"), "BULLISH").otherwise("BEARISH").alias("direction"),
@@ -168,7 +168,12 @@ def merge_candle_feed(history: DataFrame, pushed: DataFrame, live: DataFrame) ->
         .unionByName(history.withColumn("_priority", F.lit(2)))
         .unionByName(forming.withColumn("_priority", F.lit(3)))
     )
-    first = Window.partitionBy(*key).orderBy("_priority")
+    return first_of_each_window(ranked)
+
+
+def first_of_each_window(ranked: DataFrame) -> DataFrame:
+    """Per window the row of the least ``_priority``."""
+    first = Window.partitionBy("symbol", "interval", "window_start").orderBy("_priority")
     return (
         ranked.withColumn("_rank", F.row_number().over(first))
         .filter(F.col("_rank") == 1)
@@ -179,7 +184,7 @@ def merge_candle_feed(history: DataFrame, pushed: DataFrame, live: DataFrame) ->
 def recent_anomalies(explanations: DataFrame, symbol: str | None = None, limit: int = 20) -> DataFrame:
     """The newest anomalies by detection time, optionally of one symbol."""
     rows = explanations.filter(F.col("symbol") == symbol) if symbol else explanations
-    return rows.orderBy(F.col("detected_at").desc(), "anomaly_id").limit(clamp_limit(limit, ANOMALY_LIMIT))
+    return rows.orderBy(F.col("detected_at").desc(), "anomaly_id").limit(limit)
 
 
 def matching_subscribers(candles: DataFrame, subscriptions: DataFrame, symbols: Sequence[str]) -> DataFrame:

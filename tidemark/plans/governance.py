@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import indicators
@@ -277,12 +279,12 @@ SELECT symbol, window_start, {settle_sql('''greatest(0.0, least(1.0,
        (epoch_ms(t) - epoch_ms(window_start)) / (epoch_ms(window_end) - epoch_ms(window_start))))''')} AS progress
 FROM candles, now WHERE window_end > t - INTERVAL 6 HOUR""")
 def window_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How far the hourly windows of the last six hours have come."""
-    trades = market.trades(spark, sf_dir)
-    newest = trades.select(F.max("event_time")).scalar()
-    recent = trades.filter(F.col("event_time") >= F.date_trunc("hour", newest - F.expr("INTERVAL 6 HOURS")))
-    candles = c.candles(recent, "H1").filter(F.col("window_end") > newest - F.expr("INTERVAL 6 HOURS"))
-    progress = indicators.window_progress(newest, F.col("window_start"), F.col("window_end"))
+    """How far the hourly windows of the last six hours have come; older trades are not read."""
+    newest = market.newest_time(spark, sf_dir)
+    start = (newest - timedelta(hours=6)).replace(minute=0, second=0, microsecond=0)
+    now = F.lit(newest.isoformat(" ")).cast("timestamp")
+    candles = c.candles(market.trades_since(spark, sf_dir, start), "H1").filter(F.col("window_end") > now - F.expr("INTERVAL 6 HOURS"))
+    progress = indicators.window_progress(now, F.col("window_start"), F.col("window_end"))
     return candles.select("symbol", "window_start", settle(progress).alias("progress"))
 
 

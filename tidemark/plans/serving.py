@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark import schemas
 from tidemark.functions import indicators
 from tidemark.operators import candles as c
 from tidemark.operators import marts, serving as s
 from tidemark.plans import oracle as o
 from tidemark.plans.detection import anomaly_ctes, hourly_anomalies
 from tidemark.plans.registry import query, settle, settle_sql
+from tidemark.session import scratch_dir
 from tidemark.sources import market, seed
+from tidemark.streaming import candles as sc
 
 _M1 = f"WITH {o.TRADES}, {o.candles('M1', name='m1')}"
 _API = f"""symbol, "interval", window_start, window_end, "open", high, low, "close", volume,
@@ -23,6 +28,14 @@ def _fct(spark: SparkSession, sf_dir: str, interval: str = "M1") -> DataFrame:
     return marts.fct_candle(c.candles(market.trades(spark, sf_dir), interval))
 
 
+def _fct_mart(spark: SparkSession, sf_dir: str, interval: str = "M1") -> DataFrame:
+    """The candle mart as a written table, for read models that look at it more than once."""
+    path = scratch_dir(spark, "fct-candle")
+    rows = _fct(spark, sf_dir, interval)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def _api_settled(df: DataFrame) -> DataFrame:
     return df.withColumns({n: settle(F.col(n)) for n in ("vwap", "return_pct") if n in df.columns})
 
@@ -48,12 +61,11 @@ SELECT symbol, "interval", window_start, window_end, "open", high, low, "close",
 FROM candles WHERE window_end > (SELECT max(event_time) FROM trades) - INTERVAL {o.GRACE['H1']}
 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY window_start DESC) = 1""")
 def live_candle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Open hourly windows: only trades young enough to belong to one are aggregated."""
-    trades = market.trades(spark, sf_dir)
-    newest = trades.select(F.max("event_time")).scalar()
-    edge = newest - F.expr("INTERVAL 60 SECONDS")
-    young = trades.filter(F.col("event_time") >= F.date_trunc("hour", edge))
-    still_open = c.candles(young, "H1", final=False).filter(F.col("window_end") > edge)
+    """Open hourly windows: only trades young enough to belong to one are read."""
+    edge = market.newest_time(spark, sf_dir) - timedelta(seconds=60)
+    young = market.trades_since(spark, sf_dir, edge.replace(minute=0, second=0, microsecond=0))
+    after = F.col("window_end") > F.lit(edge.isoformat(" ")).cast("timestamp")
+    still_open = c.candles(young, "H1", final=False).filter(after)
     return s.live_candles(still_open).withColumn("vwap", settle(F.col("vwap")))
 
 
@@ -79,7 +91,7 @@ FROM symbols s LEFT JOIN spark k ON k.symbol = s.canonical LEFT JOIN today t ON
 WHERE s.active""")
 def market_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Market overview; the array of closes is compared by size, minimum and position-weighted sum."""
-    fct = _fct(spark, sf_dir)
+    fct = _fct_mart(spark, sf_dir)
     dim = marts.dim_symbol(seed.read_symbol_seed(spark))
     cents = F.transform("spark", lambda x: F.floor(x * 100 + 0.5))
     weighted = F.aggregate(
@@ -102,7 +114,7 @@ SELECT t.symbol, t.trade_date, l."close" AS price,
        {settle_sql('(l."close" - t.vwap) / nullif(t.vwap, 0) * 100')} AS vwap_premium_pct
 FROM today t JOIN last60 l ON l.symbol = t.symbol AND l.rn = 1""")
 def stats_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fct = _fct(spark, sf_dir)
+    fct = _fct_mart(spark, sf_dir)
     grid = s.stats_grid(fct, marts.fct_symbol_daily(fct))
     return grid.withColumns({n: settle(F.col(n)) for n in ("range_position", "vwap_premium_pct")})
 
@@ -140,13 +152,15 @@ def merged_candle_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     newest = trades.select(F.max("event_time")).scalar()
     edge = newest - F.expr("INTERVAL 60 SECONDS")
     day_before = newest - F.expr("INTERVAL 1 DAY")
-    hour = c.candles(trades, "H1")
-    feed = s.api_candles(marts.fct_candle(hour)).filter(F.col("window_end") <= edge)
-    merged = s.merge_candle_feed(
-        feed.filter(F.col("window_end") <= day_before + F.expr("INTERVAL 6 HOURS")),
-        feed.filter(F.col("window_end") > day_before),
-        hour.filter(F.col("window_end") > edge).withColumn("is_final", F.lit(False)),
-    )
+    end, hour = F.col("window_end"), c.candles(trades, "H1")
+    # A window has one role for each feed that holds it; all come from one aggregation.
+    sealed = end <= edge
+    roles = F.array_compact(F.array(
+        F.when(sealed & (end > day_before), 1), F.when(sealed & (end <= day_before + F.expr("INTERVAL 6 HOURS")), 2),
+        F.when(~sealed, 3),
+    ))
+    feed = s.api_candles(marts.fct_candle(hour)).withColumn("return_pct", F.when(sealed, F.col("return_pct")).otherwise(0.0))
+    merged = s.first_of_each_window(feed.withColumn("_priority", F.explode(roles)))
     return merged.withColumns({
         "vwap": settle(F.col("vwap")),
         "return_pct": F.when(F.col("window_end") > edge, F.lit(0.0)).otherwise(settle(F.col("return_pct"))),
@@ -173,3 +187,56 @@ def symbol_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.symbol_list(seed.read_symbol_seed(spark)).join(counts, "symbol", "left").withColumn(
         "trades", F.coalesce("trades", F.lit(0))
     )
+
+
+@query("granted_limits", f"""{_M1}, asked("limit") AS (VALUES (-3), (0), (7), (5000), (9000)),
+n AS (SELECT count(*) AS n FROM m1 WHERE symbol = 'BTC-USD')
+SELECT CAST("limit" AS INT) AS asked, CAST(greatest(1, least("limit", 5000)) AS INT) AS granted,
+       least(n, greatest(1, least("limit", 5000)))::BIGINT AS n_rows FROM asked, n""")
+def granted_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many candles an interface returns for what is asked of it."""
+    fct = _fct_mart(spark, sf_dir)
+    out = None
+    for asked in (-3, 0, 7, 5000, 9000):
+        granted = s.clamp_limit(asked)
+        rows = s.latest_candles(fct, "BTC-USD", "M1", granted).agg(F.count(F.lit(1)).alias("n_rows"))
+        rows = rows.select(F.lit(asked).alias("asked"), F.lit(granted).alias("granted"), "n_rows")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query("pushed_candles", f"""WITH {o.TRADES}, {o.candles('H1')},
+wanted(subscriber, symbol) AS (
+  SELECT 'only-' || symbol, symbol FROM (SELECT DISTINCT symbol FROM trades) UNION ALL SELECT 'all', symbol FROM (SELECT DISTINCT symbol FROM trades))
+SELECT subscriber, symbol, count(*) AS candles, max(window_end) AS newest FROM candles JOIN wanted USING (symbol) GROUP BY ALL""")
+def pushed_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sealed candles per subscriber: one of each symbol, and one that takes all."""
+    trades = market.trades(spark, sf_dir)
+    names = trades.select("symbol").distinct()
+    own = names.select(F.concat(F.lit("only-"), "symbol").alias("subscriber"), "symbol")
+    every = spark.createDataFrame([("all", None)], "subscriber string, symbol string")
+    known = sorted(r[0] for r in names.collect())  # the traded universe, a handful
+    feed = sc.push_feed(c.candles(trades, "H1"), own.unionByName(every), known)
+    return feed.groupBy("subscriber", "symbol").agg(F.count("*").alias("candles"), F.max("window_end").alias("newest"))
+
+
+@query("guards", f"""WITH {o.TRADES}, {o.SYMBOLS},
+asked(kind, value) AS (
+  SELECT 'symbol', symbol FROM trades UNION SELECT 'symbol', lower(symbol) FROM trades UNION SELECT 'interval', "interval"
+  FROM (VALUES ('M1'), ('M5'), ('H1'), ('D1'), ('m1')) t("interval"))
+SELECT kind, value, CASE kind WHEN 'symbol' THEN value IN (SELECT canonical FROM symbols) ELSE value IN ('M1', 'M5', 'H1') END AS accepted
+FROM asked""")
+def guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the guards let through of symbols that trade, the same in lower case, and intervals."""
+    def passes(guard, *args) -> bool:
+        try:
+            guard(*args)
+            return True
+        except ValueError:
+            return False
+
+    known = seed.read_symbol_seed(spark)
+    names = [r[0] for r in market.trades(spark, sf_dir).select("symbol").distinct().collect()]
+    rows = [("symbol", n, passes(s.require_symbol, known, n)) for n in (*names, *map(str.lower, names))]
+    rows += [("interval", i, passes(schemas.check_interval, i)) for i in ("M1", "M5", "H1", "D1", "m1")]
+    return spark.createDataFrame(rows, "kind string, value string, accepted boolean")

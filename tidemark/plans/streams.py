@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import schemas
@@ -352,3 +354,67 @@ def refreshed_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _weekly_lake(spark, sf_dir)
     counts = lake.refresh_copy(spark, root, scratch_dir(spark, "copy"))
     return spark.createDataFrame(sorted(counts.items()), "table_name string, n_rows bigint")
+
+
+# --- keys, replays from an instant, layout ------------------------------------------------------------
+
+@query("decoded_trade_keys", f"""WITH {o.TRADES}
+SELECT symbol AS key_symbol, symbol, 'trades.raw' AS topic, count(*) AS records FROM trades GROUP BY ALL""")
+def decoded_trade_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades as log records, counted by the symbol in the key and the one in the value."""
+    records = s.trade_records(market.trades(spark, sf_dir))
+    return records.groupBy(
+        s.decode_plain_key(F.col("key")).alias("key_symbol"), F.col("value.symbol").alias("symbol"), "topic"
+    ).agg(F.count("*").alias("records"))
+
+
+@query("replayed_from_instant", f"""WITH {o.TRADES}, edge AS (SELECT median(epoch_ms(ingest_time)) AS t FROM trades)
+SELECT symbol, count(*) AS records, min(kafka_offset) AS first_offset FROM trades, edge
+WHERE epoch_ms(ingest_time) >= CAST(floor(t) AS BIGINT) GROUP BY symbol""")
+def replayed_from_instant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A trade log read again from the median arrival on, as a bounded stream."""
+    base = scratch_dir(spark, "instant")
+    trades = market.trades(spark, sf_dir)
+    s.trade_records(trades).write.parquet(f"{base}/log")
+    middle = trades.agg(F.floor(F.median(F.unix_millis("ingest_time")))).first()[0]
+    log = s.from_timestamp(s.file_log(spark, f"{base}/log", schemas.TRADE), datetime.fromtimestamp(middle / 1000, timezone.utc))
+    rows = _drained(s.trades_of(log), "", base)
+    return rows.groupBy("symbol").agg(F.count("*").alias("records"), F.min("kafka_offset").alias("first_offset"))
+
+
+@query("lake_layout", f"""WITH {o.TRADES}, {o.candles('H1')}
+SELECT 'bronze.trades' AS table_name, CAST(event_time AS DATE) AS folder_day, symbol AS folder, count(*) AS n_rows FROM trades GROUP BY ALL
+UNION ALL SELECT 'silver.candles', CAST(window_start AS DATE), "interval", count(*) FROM candles GROUP BY ALL""")
+def lake_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each day and symbol or interval folder, read from the file names."""
+    root, out = _weekly_lake(spark, sf_dir), None
+    for table in (schemas.TRADES_TABLE, schemas.CANDLES_TABLE):
+        part = lambda name: F.regexp_extract(F.input_file_name(), f"/{name}=([^/]+)/", 1)  # noqa: B023,E731
+        rows = spark.read.parquet(lake.data_path(root, table)).select(
+            F.lit(table.name).alias("table_name"), part(table.day_column).cast("date").alias("folder_day"),
+            part(table.partition_column).alias("folder"),
+        ).groupBy("table_name", "folder_day", "folder").agg(F.count("*").alias("n_rows"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query("run_records", f"""{_WEEKS}
+SELECT 'sink-trades' AS job_name, 'trades.raw' AS inputs, 'bronze.trades' AS output, n AS rows_written, 'COMPLETE' AS state, commit_seq
+FROM commits""")
+def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lake.run_records(lake.commit_log(spark, _weekly_lake(spark, sf_dir), schemas.TRADES_TABLE))
+
+
+@query("empty_batch", f"""WITH {o.TRADES}
+SELECT CAST(0 AS BIGINT) AS received, CAST(0 AS BIGINT) AS inserted, CAST(1 AS BIGINT) AS commits, count(*) AS n_rows FROM trades""")
+def empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch of no rows after one of all trades: nothing is inserted and nothing committed."""
+    base, table = scratch_dir(spark, "empty"), schemas.TRADES_TABLE
+    trades = market.trades(spark, sf_dir)
+    lake.ensure_table(spark, base, table)
+    lake.write_batch(trades, base, table, 0)
+    result = lake.write_batch(trades.filter("price IS NULL"), base, table, 1)
+    figures = lake.read_table(spark, base, table).agg(F.count("*").alias("n_rows"))
+    commits = lake.list_snapshots(spark, base, table).agg(F.count("*").alias("commits"))
+    return figures.crossJoin(commits).withColumns({
+        "received": F.lit(result.received).cast("bigint"), "inserted": F.lit(result.inserted).cast("bigint")})

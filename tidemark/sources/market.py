@@ -1,11 +1,14 @@
 """Market tables derived from the test tables: trades, order-book deltas and raw exchange frames.
 
-All but the order-book sequence are plain projections of ``events``, so column pruning and
-filters reach the Parquet scan.
+All but the order-book sequence are plain projections of ``events``, so column pruning reaches the
+Parquet scan. Filters on derived columns such as ``event_time`` do not; ``trades_since`` filters the
+stored time instead.
 """
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.segments import row_number_by_segment, sequence_segment
@@ -55,6 +58,17 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_trades(events(spark, sf_dir))
 
 
+def newest_time(spark: SparkSession, sf_dir: str) -> datetime:
+    """Time of the newest trade, in UTC without a zone, in whole milliseconds."""
+    newest = events(spark, sf_dir).agg(F.max("ts")).first()[0]
+    return newest.replace(microsecond=newest.microsecond // 1000 * 1000)
+
+
+def trades_since(spark: SparkSession, sf_dir: str, start: datetime) -> DataFrame:
+    """Trades at or after ``start``, a whole millisecond; the filter reaches the scan."""
+    return as_trades(events(spark, sf_dir).filter(F.col("ts") >= F.lit(start.isoformat(" ")).cast("timestamp_ntz")))
+
+
 def orderbook_deltas(trades: DataFrame) -> DataFrame:
     """A delta per trade with ids in sequence per book, with planted overlaps and 4-id gaps."""
     numbered = row_number_by_segment(
