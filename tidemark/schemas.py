@@ -31,7 +31,6 @@ INTERVALS = {
     "H1": CandleInterval("1 hour", "60 seconds", 60, "candles.h1"),
 }
 TRADES_TOPIC = "trades.raw"
-LATE_TRADES_TOPIC = "trades.raw.dlq"
 ORDERBOOK_TOPIC = "orderbook.delta"
 ANOMALY_TOPIC = "events.anomaly"
 
