@@ -17,9 +17,11 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, types as T
 
+from tidemark.llm.common import pieces
+
 
 #: Words in a group of documents that shares one list of distinct words; buckets that distinct words are dealt to.
-GROUP_WORDS, MOST_BUCKETS = 4_000_000, 1024
+GROUP_WORDS, MOST_BUCKETS = 1_500_000, 1024
 
 #: The split rule that the quick path stands for.
 SPLIT_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -94,8 +96,10 @@ class WordEncoder:
 
 def packed(codes: np.ndarray) -> bytes:
     """Whole numbers in one byte for each seven bits, the last of which is below 128; then deflated."""
-    size = 1 + sum((codes >= 1 << bits).astype(np.int64) for bits in (7, 14, 21, 28))
-    end = np.cumsum(size)
+    size = np.ones(len(codes), np.int8)
+    for bits in (7, 14, 21, 28):
+        size += codes >= 1 << bits
+    end = np.cumsum(size, dtype=np.int64)
     out = np.zeros(int(end[-1]) if len(end) else 0, np.uint8)
     out[end - 1] = codes & 127
     for k in range(1, int(size.max(initial=1))):
@@ -141,7 +145,7 @@ def grouped_words(docs: DataFrame, path: str, text: str, key: str, buckets: int,
         def group(key_type: pa.DataType) -> pa.RecordBatch:
             of = np.concatenate(codes)
             order = np.argsort(-np.bincount(of, minlength=len(number)), kind="stable")
-            rank = np.empty(len(order), np.int64)
+            rank = np.empty(len(order), np.int32)
             rank[order] = np.arange(len(order))
             dealt: list[tuple[list[int], list[str]]] = [([], []) for _ in range(buckets)]
             names = list(number)
@@ -157,7 +161,7 @@ def grouped_words(docs: DataFrame, path: str, text: str, key: str, buckets: int,
             return pa.RecordBatch.from_pylist(rows, pa.schema(types))
 
         key_type = None
-        for batch in batches:
+        for batch in pieces(batches, text):
             key_type = batch.schema.field(key).type
             for k, t in zip(batch.column(key).to_pylist(), batch.column(text)):
                 found = split(t.as_py())
@@ -169,7 +173,7 @@ def grouped_words(docs: DataFrame, path: str, text: str, key: str, buckets: int,
                 keys.append(k)
                 sizes.append(len(found))
                 total += len(found)
-                codes.append(np.fromiter(map(number.__getitem__, found), np.int64, len(found)))
+                codes.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
         if keys:
             yield group(key_type)
 
