@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import bpe, chunks, jaccard, mixing, quality
-from tidemark.llm.common import small, table, tokenizer_path, written
+from tidemark.llm.common import bounded_batches, small, table, tokenizer_path, written
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,12 +53,21 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+def _bounded(stage):
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality", keep_good),
-    ("exact_duplicates", drop_copies),
-    ("near_duplicates", drop_near_copies),
-    ("source_mix", mix_sources),
-    ("bpe", encode),
+    ("quality", _bounded(keep_good)),
+    ("exact_duplicates", _bounded(drop_copies)),
+    ("near_duplicates", _bounded(drop_near_copies)),
+    ("source_mix", _bounded(mix_sources)),
+    ("bpe", _bounded(encode)),
 ]
 
 #: The classifier and the draws of the mix are not SQL; tests compare the stages with brute force.

@@ -21,7 +21,7 @@ from tidemark.llm.common import pieces
 
 
 #: Words in a group of documents that shares one list of distinct words; buckets that distinct words are dealt to.
-GROUP_WORDS, MOST_BUCKETS = 1_500_000, 1024
+GROUP_WORDS, MOST_BUCKETS = 1_000_000, 1024
 
 #: The split rule that the quick path stands for.
 SPLIT_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -257,8 +257,8 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded
         of = _tokenizer(path)
         pieces = pa.array([of.id_to_token(i) for i in range(of.get_vocab_size())], pa.large_string())
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
                 lists = part.column(ids)
                 lens = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
                 ends = np.concatenate([[0], np.cumsum(lens)])

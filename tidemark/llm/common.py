@@ -16,6 +16,17 @@ BROADCAST_ROWS = 2_000_000
 SEGMENT_ROWS, LEAST_ROWS = 100_000, 500
 
 
+#: Rows and bytes of an Arrow batch. Spark's own bound of 10 000 rows makes batches of long texts so large that the JVM's
+#: off-heap buffers and the Python workers, both of which live on between tasks, keep hundreds of MB each.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Sets the session's Arrow batches to sizes that suit tables of texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and safe when an executor is lost."""
     path = scratch_dir(df.sparkSession, label)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from tidemark.llm import bpe, chunks, collisions, html_text, jaccard, licenses, mixing, quality, sharding, warc
-from tidemark.llm.common import table, tokenizer_path
+from tidemark.llm.common import bounded_batches, table, tokenizer_path
 from tidemark.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,7 +17,11 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            bounded_batches(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql:
             SQL[name] = sql
         return fn
