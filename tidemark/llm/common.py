@@ -50,7 +50,7 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def pieces(batches: Iterable[pa.RecordBatch], column: str, limit: int = 2 << 20, rows: int = 2000) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterable[pa.RecordBatch], column: str, limit: int = 1 << 20, rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The batches, cut where the texts of ``column`` pass ``limit`` bytes or ``rows`` texts; a row is never cut."""
     for batch in batches:
         sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

@@ -20,7 +20,7 @@ FAN, TREE, TREE_SHINGLES = 8, 2000, 2_000_000
 #: largest: FEW where bitmaps are moved, MANY where the sets are at hand.
 LEAST_BITS, FEW, MANY = 512, 4, 32
 #: Shingles that stand last in the order because many documents have them: at most so many, in a task's memory.
-COMMON, COMMON_IN_TASK, TASK_SHINGLES = 65_536, 8, 2_000_000
+COMMON, COMMON_IN_TASK, TASK_SHINGLES = 65_536, 8, 1_000_000
 
 
 def prefix_length(n: int) -> int:
