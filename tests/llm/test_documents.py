@@ -264,6 +264,82 @@ def test_licences(spark):
     ]
 
 
+MIT = """The MIT License (MIT)
+
+Copyright (c) 2024 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are
+met:
+
+1. Redistributions of source code must retain the above copyright notice,
+   this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright
+   notice, this list of conditions and the following disclaimer in the
+   documentation and/or other materials provided with the distribution.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+MPL = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not\ndistributed\n"
+
+
+@pytest.mark.parametrize("leader", ["", "# ", " * ", "// ", ";; ", "! ", "\t"])
+def test_wrapped_licence_texts(spark, leader):
+    want = [(MIT, "MIT", 4), (BSD, "BSD-2-Clause", 3), (ISC, "ISC", 1), (GPL, "GPL-3.0-or-later", 3), (APACHE, "Apache-2.0", 5), (MPL, "MPL-2.0", 1),
+            ("Licensed under the Apache License,\nVersion 2.0.\n", "Apache-2.0", 1), ("code\nReleased under\nthe MIT License\ncode\n", "MIT", 1)]
+    for feed in ("\n", "\r\n"):
+        texts = ["first line" + feed + "".join((leader + line).rstrip(" ") + feed for line in text.splitlines()) for text, *_ in want]
+        found = licenses.scan(documents(spark, list(enumerate(texts)))).collect()
+        assert {r.doc_id: (",".join(r.licenses), len(r.sentence_ids)) for r in found} == {i: (name, n) for i, (_, name, n) in enumerate(want)}
+
+
+def test_blank_lines_and_full_stops_end_sentences(spark):
+    texts = ["Released under\n\nthe work of others", "Released under.\nThe MIT licence", "released\n#\n# under the mit license", "\n" * 300_000 + "; " * 100_000]
+    assert licenses.scan(documents(spark, list(enumerate(texts)))).count() == 0
+
+
 def test_rules_follow_the_order_of_sentences(spark):
     known, rules = {"a": "alpha", "b": "beta", "c": "gamma"}, (("AB", ("a", "b")), ("A", ("a",)), ("BC", ("b", "c")))
     texts = ["alpha.\nbeta.", "beta.\nalpha.", "Alpha; noise. BETA!\ngamma", "alpha\nalpha\nbeta"]

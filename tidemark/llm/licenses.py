@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -81,29 +82,54 @@ RULES = (
     ("MIT", ("mit-named-3",)),
 )
 
-#: A sentence ends at a sign before white space or the end of the text, and at each line feed.
-END = r"[.!?;:]+([ \t\r\n]+|$)|\n"
+#: White space from here on is "H" where a sentence ends for certain, at a sign or a blank line (signs alone are blank too),
+#: and "S" where it may end or go on: at ; or : and at a line feed, with the comment leader that follows it. "v. 2" is no end.
+HARD_END = r"\n[^a-z0-9\n]*+\n[^a-z0-9]*+|(?:(?<!\bv)|(?!\.\s+[0-9]))[;:]*+[.!?][.!?;:]*+(?=[ \t\r\n]|$)"
+SOFT_END = r"\n[^a-z0-9\n]*+|[;:]++(?=[ \t\r\n]|$)"
 
 
-def sentences(text: Column) -> Column:
-    """Normalised sentences of a text in order."""
-    parted = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), END, "\n")
-    return F.split(F.regexp_replace(parted, r"[^a-z0-9\n]+", " "), r" *\n *")
+def normalised(text: Column) -> Column:
+    """A text in lower case with its ends marked, before the first word too, and all other signs as one space."""
+    hard = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), HARD_END, "H")
+    soft = F.regexp_replace(hard, SOFT_END, "S")
+    return F.concat(F.lit("H"), F.regexp_replace(soft, r"[^a-z0-9HS]+", " "))
+
+
+def sentence_pattern(sentences: list[str]) -> str:
+    """Matches known sentences between two ends of a normalised text, over soft ends within; the longest is tried first.
+
+    Where a sentence consists of known ones, an end between those parts makes it those parts.
+    """
+    known = set(sentences)
+
+    def consists(words: tuple[str, ...]) -> bool:
+        return " ".join(words) in known or any(" ".join(words[:i]) in known and consists(words[i:]) for i in range(1, len(words)))
+
+    def pattern(sentence: str) -> str:
+        words = tuple(sentence.split(" "))
+        out = re.escape(words[0])
+        for i in range(1, len(words)):
+            parts = " ".join(words[:i]) in known and consists(words[i:])
+            out += (" " if parts else "[ S]++") + re.escape(words[i])
+        return out
+
+    return f"[HS] ?({'|'.join(pattern(s) for s in sorted(known, key=lambda s: (-len(s), s)))})(?= ?[HS]| ?$)"
 
 
 def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", known: dict[str, str] = SENTENCES,
          rules: tuple = RULES) -> DataFrame:
     """(``key``, licenses, sentence_ids) of each row in whose ``text`` a known sentence stands.
 
-    ``sentence_ids`` are the identifiers found, in order, repeats too. ``licenses`` holds, sorted and once
-    each, the names of the rules whose identifiers follow one another there; rules are tried in order and
-    take what they match. Sentences that belong to no rule's sequence give no licence. Null and empty texts
-    find nothing; rows that repeat are scanned each. All is done within the row, without a shuffle.
+    A sentence may be wrapped over lines, also in comments whose leaders are signs, and may stand on lines of
+    its own without a sign at its end. ``sentence_ids`` are the identifiers found, in order, repeats too.
+    ``licenses`` holds, sorted and once each, the names of the rules whose identifiers follow one another
+    there; rules are tried in order and take what they match. Sentences that belong to no rule's sequence
+    give no licence. Null and empty texts find nothing; rows that repeat are scanned each. All is done within
+    the row, without a shuffle.
     """
-    names = list(known)
-    lookup = F.create_map(*[F.lit(x) for n in names for x in (known[n], f"<{n}>")])
-    trimmed = F.transform(sentences(F.col(text)), lambda s: F.trim(s))
-    hits = F.transform(F.filter(trimmed, lambda s: s.isin(list(known.values()))), lambda s: F.element_at(lookup, s))
+    lookup = F.create_map(*[F.lit(x) for n in known for x in (known[n], f"<{n}>")])
+    found = F.regexp_extract_all(normalised(F.col(text)), F.lit(sentence_pattern(list(known.values()))), F.lit(1))
+    hits = F.transform(found, lambda s: F.element_at(lookup, F.regexp_replace(s, "[ S]+", " ")))
     rows = docs.select(F.col(key), F.array_join(hits, "").alias("_ids")).filter("_ids != ''")
     left, found = F.col("_ids"), []
     for name, sequence in rules:
