@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import os
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -49,6 +50,32 @@ def test_broken_pages_have_no_text(html):
     assert main(html) in ("", "<", "<p", "<a href='" + "x" * 9000)
 
 
+@pytest.mark.parametrize("size", [5_000, 1_000_000])
+def test_attributes_of_any_length(size):
+    data = "x>" * (size // 2)
+    assert main(f"<p>one <img src='data:{data}' alt=x> two</p>") == "one two"
+    assert main(f'<p>text</p><div class="sidebar" data-x="{data}"><p>menu</p></div>') == "text"
+    assert main(f"<p>text</p><nav data-x='{data}'>menu</nav><form data-x='{data}'>form</form><p>end</p>") == "text\nend"
+    assert main(f'<p>text</p><script data-x="{data}">var a = "<p>code</p>";</script><p>end</p>') == "text\nend"
+    assert main(f"<div><p>text</p><div data-x='<div class=sidebar id=\"ad\"> {data}'><p>kept</p></div></div>") == "text\nkept"
+
+
+def test_quotes_that_open_nothing():
+    assert main("<p title=don't>one</p><p alt=\"5\" tall\">two</p><p data-id='ad'>three</p>") == "one\ntwo\nthree"
+
+
+def test_tags_that_never_end_cost_no_more():
+    for part in ("<a ", "<a x='y' ", "<a x=\"", "<a x=\" y=' ", "<!", "<a x='>", "</a =  "):
+        started = time.process_time()
+        for end in ("", "<a x=\"' "):
+            assert list(html_text.tokens("<p>text</p>" + part * 100_000 + end))[0].group() == "<p>"
+        assert time.process_time() - started < 20
+    rng = random.Random(4)
+    for _ in range(3000):
+        html = "".join(rng.choice(["<a", "<b ", "</a", "<!", " ", "=", "= ", '"', "'", "x", ">", "<!--", "-->"]) for _ in range(rng.randrange(30)))
+        assert [m.span() for m in html_text.tokens(html)] == [m.span() for m in html_text.TOKEN.finditer(html)]
+
+
 def test_deep_and_long_pages():
     assert main("<div>" * 20_000 + "deep" + "</div>" * 20_000) == "deep"
     text = "word " * 300_000

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -12,15 +13,21 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.llm.common import pieces, small, written
 
+#: Attributes of a tag: a quote opens a value after = alone, and the value ends at the next such quote, however far.
+ATTRIBUTES = r"(?>[^>=]++|=\s*+(?>\"[^\"]*+\"|'[^']*+'|(?![\"'])))*+"
 #: A comment, a raw-text element, a tag, or another declaration. Groups: raw element, close, name, attributes.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|iframe|svg)\b(?>[^>\"']|\"[^\"]{0,4096}\"|'[^']{0,4096}')*+>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']|\"[^\"]{0,4096}\"|'[^']{0,4096}')*+)>"
+    rf"|<(script|style|noscript|template|textarea|iframe|svg)\b{ATTRIBUTES}>.*?(?:</\1\s*>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*)({ATTRIBUTES})>"
     r"|<[!?][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+OPENING = re.compile(r"</?[a-zA-Z][^\s/>]*")
+STOP = re.compile(r">|=\s*+([\"'])")
+ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+#: Attributes that are looked at.
+KINDS = re.compile(r"class|id|role", re.IGNORECASE)
 
 CONTAINERS = frozenset("body main article section div td center blockquote".split())
 BLOCKS = CONTAINERS | frozenset(
@@ -46,6 +53,43 @@ SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
 SHARE = 0.6
 
 
+def unending(html: str) -> Callable[[int], bool]:
+    """Tells whether the tag whose attributes begin at a place never ends. Linear in the page, however many such tags."""
+    stops = list(STOP.finditer(html))
+    starts = [m.start() for m in stops]
+    ends = [False] * (len(stops) + 1)
+    following: dict[str, int] = {}  # the first quote after the stop, from the last stop backwards
+    edge = len(html)
+    for k in range(len(stops) - 1, -1, -1):
+        after = stops[k].end()
+        for quote in "\"'":
+            at = html.find(quote, after, edge)
+            if at >= 0:
+                following[quote] = at
+        edge = after
+        quote = stops[k].group(1)
+        ends[k] = quote is None or (quote in following and ends[bisect_left(starts, following[quote] + 1)])
+    return lambda at: not ends[bisect_left(starts, at)]
+
+
+def tokens(html: str) -> Iterator[re.Match]:
+    """Comments, raw-text elements, tags and declarations in order; what never ends is text."""
+    never: Callable[[int], bool] | None = None
+    last = html.rfind(">")
+    at = html.find("<")
+    while at >= 0:
+        token = None
+        opening = OPENING.match(html, at)
+        if at < last or html.startswith("<!--", at):
+            if not (never and opening and never(opening.end())):
+                token = TOKEN.match(html, at)
+                if token is None and opening and never is None:
+                    never = unending(html)
+        if token:
+            yield token
+        at = html.find("<", token.end() if token else at + 1)
+
+
 class Page:
     """Blocks of a page in order, as (text, node), and its nodes: parent, tag, generalised name, characters below."""
 
@@ -71,7 +115,7 @@ class Page:
                 if text:
                     self.blocks.append((text, next(n for n, t, _ in reversed(stack) if t in BLOCKS)))
 
-        for token in TOKEN.finditer(html):
+        for token in tokens(html):
             if token.start() > at and not stack[-1][2]:
                 held.append(html[at: token.start()])
             at = token.end()
@@ -127,11 +171,13 @@ class Page:
 
     @staticmethod
     def _marks(attributes: str) -> tuple[set[str], list[str]]:
-        if "=" not in attributes:
+        if not KINDS.search(attributes):
             return set(), []
         marks: set[str] = set()
         classes: list[str] = []
         for kind, *values in ATTRIBUTE.findall(attributes):
+            if kind.lower() not in ("class", "id", "role"):
+                continue
             value = "".join(values)
             marks.update(w.lower() for w in SPLIT.split(value) if w)
             if kind.lower() == "class":
