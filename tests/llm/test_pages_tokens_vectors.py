@@ -97,6 +97,32 @@ def test_hosts_agree_on_a_path(spark):
     assert html_text.main_text(pages(spark, [])).count() == 0
 
 
+LONG = "word " * 60
+
+
+@pytest.mark.parametrize("html, want", [
+    (f"<body><div class=post><h1>title</h1><p>lead</p><div class=entry-content><p>{LONG}</p></div><div class=more><p>last part</p></div></div></body>",
+     ["title", "lead", LONG.strip(), "last part"]),
+    (f"<div class=post><p>before</p><blockquote>{LONG}</blockquote><p>after</p></div>", ["before", LONG.strip(), "after"]),
+    (f"<div class=post><p>before</p><table><tr><td>{LONG}</td></tr></table><p>after</p></div>", ["before", LONG.strip(), "after"]),
+    (f"<div class=post><div class=intro>{'x' * 60}</div><div class=entry><p>{LONG}</p></div><div class=more>{'y' * 90}</div></div>",
+     ["x" * 60, LONG.strip(), "y" * 90]),
+    (f"<h1>title</h1><div><p>{LONG}</p></div><div class=sidebar>menu</div>", ["title", LONG.strip()]),
+])
+def test_pages_without_an_article_are_kept_whole(html, want):
+    assert main(html) == "\n".join(want)
+
+
+def test_pages_that_differ_from_their_host(spark):
+    story = lambda i, more="": (i, "http://h.example/", f"<body><div class=story><p>{LONG}{i}</p></div>{more}</body>")
+    review = lambda i: (i, "http://h.example/", f"<body><div class=story><p>teaser</p></div><div class=review><p>{LONG}{i}</p></div></body>")
+    rows = [story(i) for i in range(8)] + [review(i) for i in (10, 11)] + [story(20, f"<h2>more</h2><p>{LONG}</p>")]
+    by = {r.page_id: r for r in html_text.main_text(pages(spark, rows)).collect()}
+    assert len(by) == len(rows) and by[3].text == LONG + "3" and by[3].path == "html/body/div.story"
+    assert by[10].text == LONG + "10" and by[11].path == "html/body/div.review"  # a second layout, not its line at the host's path
+    assert by[20].text == f"{LONG}20\nmore\n{LONG.strip()}"
+
+
 def test_archives_round_trip(spark):
     same, rng = "<p>" + "long " * 300 + "</p>", random.Random(1)
     rows = [(1, "http://a/ü\r\n x", same), (2, None, same), (7, "http://b", same), (3, "u", "short"), (4, "u", "short"), (5, None, None), (6, "", "")]

@@ -51,6 +51,8 @@ MARKS = frozenset(
 SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
 #: Share of a page's kept text that its main container must hold.
 SHARE = 0.6
+#: Share of an ancestor's text from which containers beside the main one count as more of the article.
+BESIDE = 0.1
 
 
 def unending(html: str) -> Callable[[int], bool]:
@@ -98,7 +100,12 @@ class Page:
         self.blocks: list[tuple[str, int]] = []
         self._read(html)
         self.below = [0] * len(self.parent)
+        self.own = [False] * len(self.parent)  # whether text stands in no smaller container
         for text, node in self.blocks:
+            holder = node
+            while holder > 0 and self.tag[holder] not in CONTAINERS:
+                holder = self.parent[holder]
+            self.own[holder] = True
             while node >= 0:
                 self.below[node] += len(text)
                 node = self.parent[node]
@@ -192,7 +199,11 @@ class Page:
         return "/".join(reversed(names))
 
     def main(self) -> int:
-        """The deepest container with SHARE of the text, or the outermost article around it; 0 if there is none."""
+        """The outermost article around the deepest container with SHARE of the text, or else that container or what it is part of.
+
+        It is part of an ancestor in which headings, paragraphs or other text stand beside it without a container
+        of their own, or containers with BESIDE of the text; 0 if there is no such container.
+        """
         need = SHARE * self.below[0]
         best = 0
         for node, tag in enumerate(self.tag):
@@ -203,6 +214,17 @@ class Page:
             if self.tag[up] in ("article", "main"):
                 found = up
             up = self.parent[up]
+        if self.tag[found] in ("article", "main"):
+            return found
+        up = self.parent[found]
+        while up >= 0:
+            if self.tag[up] in CONTAINERS or up == 0:
+                beside = self.below[up] - self.below[found]
+                if self.own[up] or beside >= BESIDE * self.below[up]:
+                    found = up
+                elif beside:
+                    break
+            up = self.parent[up]
         return found
 
     def text(self, roots: set[int]) -> str:
@@ -227,6 +249,14 @@ class Page:
         return {n for n, name in enumerate(self.name) if name == last and self.below[n] and self.path(n) == path}
 
 
+    def within(self, node: int, roots: set[int]) -> bool:
+        while node >= 0:
+            if node in roots:
+                return True
+            node = self.parent[node]
+        return False
+
+
 def host_of(url: Column) -> Column:
     found = F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
     return F.lower(found)
@@ -267,32 +297,43 @@ def host_votes(pages: DataFrame, html: str, host: str) -> DataFrame:
 def main_text(pages: DataFrame, html: str = "html", url: str = "url", carry: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """One row per row of ``pages``: ``carry``, ``url``, path, text.
 
-    ``text`` holds the blocks at the host's winning path, joined by line feeds, or where a page has no such
-    place those of the page's own main container. Tags lose digits in their class names, so that numbered
-    layouts of a host agree. Null or empty pages and pages of boilerplate alone have an empty text; a null or
-    odd url counts as a host of its own. Rows that repeat are read each; an empty table gives no rows.
+    ``text`` holds the blocks at the host's winning path, joined by line feeds. Those of the page's own main
+    container take their place where a page has no such place, where the own one is the wider of the two, and
+    where it lies elsewhere and two pages of the host at least have theirs there; if it is the only one, the
+    host's path stays. Tags lose digits in their class names, so that numbered layouts of a host agree. Null or
+    empty pages and pages of boilerplate alone have an empty text; a null or odd url counts as a host of its
+    own. Rows that repeat are read each; an empty table gives no rows.
     """
     pages = pages.select(*dict.fromkeys((*carry, url)), F.col(html).alias("_html"), host_of(F.col(url)).alias("_host"))
     order = Window.partitionBy("host").orderBy(F.desc("votes"), F.desc("chars"), "path")
     votes = host_votes(pages, "_html", "_host")
-    winners = written(votes.withColumn("n", F.row_number().over(order)).filter("n = 1").select("host", "path"), "host-paths")
+    ranked = votes.withColumn("n", F.row_number().over(order)).filter("n = 1 OR votes > 1")
+    agreed = written(ranked.select("host", "path", "votes", "n"), "host-paths")
+    winners = agreed.filter("n = 1")
     names = list(dict.fromkeys((*carry, url)))
-    schema = T.StructType([*[pages.schema[c] for c in names], T.StructField("path", T.StringType()), T.StructField("text", T.StringType())])
+    found = [T.StructField(c, T.StringType()) for c in ("path", "text", "_own_path", "_own_text")]
+    schema = T.StructType([*[pages.schema[c] for c in (*names, "_host")], *found])
+
+    def reading(page: Page, path: str | None) -> tuple[str, str, str | None, str | None]:
+        """Path and text of a page; those of its own main container too where that lies apart from the host's path."""
+        own = page.main()
+        roots = page.at(path) if path else set()
+        if roots and page.within(own, roots):
+            return path, page.text(roots), None, None
+        if not roots or any(page.within(r, {own}) for r in roots):
+            return page.path(own), page.text(roots | {own}), None, None
+        return path, page.text(roots), page.path(own), page.text({own})
 
     def extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "_html"):
-            paths, texts = [], []
-            for value, path in zip(batch.column("_html").to_pylist(), batch.column("_path").to_pylist()):
-                page = Page(value or "")
-                roots = page.at(path) if path else set()
-                if not roots:
-                    roots = {page.main()}
-                    path = page.path(page.main())
-                paths.append(path)
-                texts.append(page.text(roots))
+            read = [reading(Page(h or ""), p) for h, p in zip(batch.column("_html").to_pylist(), batch.column("_path").to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in names], pa.array(paths, pa.string()), pa.array(texts, pa.string())], [*names, "path", "text"]
+                [*[batch.column(c) for c in (*names, "_host")], *[pa.array([r[i] for r in read], pa.string()) for i in range(4)]], schema.names
             )
 
     known = small(winners.select(F.col("host").alias("_host"), F.col("path").alias("_path")))
-    return pages.join(known, "_host", "left").select(*names, "_html", "_path").mapInArrow(extract, schema)
+    read = pages.join(known, "_host", "left").select(*names, "_host", "_html", "_path").mapInArrow(extract, schema)
+    layouts = small(agreed.filter("votes > 1 AND n > 1").select(F.col("host").alias("_of"), F.col("path").alias("_layout")))
+    read = read.join(layouts, (F.col("_host") == F.col("_of")) & (F.col("_own_path") == F.col("_layout")), "left")
+    taken = lambda own, hosts: F.when(F.col("_layout").isNotNull(), F.col(own)).otherwise(F.col(hosts)).alias(hosts)
+    return read.select(*names, taken("_own_path", "path"), taken("_own_text", "text"))
