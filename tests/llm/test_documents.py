@@ -72,6 +72,13 @@ def test_empty_tables(spark):
     assert licenses.scan(none).count() == 0
 
 
+def test_shards_split_along_names_that_begin_alike(spark):
+    for names in (["common_crawl", "common_voice"], ["web_de", "web_de_forum"], [None, "é"]):
+        rows = [(i, "same text", names[i % 2], "en") for i in range(64)]
+        found = sharding.shards(documents(spark, rows), 2).collect()
+        assert len(found) == 64 and {(r.doc_id % 2, r.shard) for r in found} == {(0, 0), (1, 1)}
+
+
 def test_components_on_chains_stars_and_repeats(spark):
     links = [(i, i + 1) for i in range(100, 140)] + [(5, i) for i in range(6, 30)] + [(29, 2), (2, 29), (7, 7)]
     found = {r.node: r.comp for r in common.components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -6,16 +6,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import numbered, written
+from tidemark.llm.common import numbered, small, written
 
 #: Histogram bins of one round of the search for a weighted median.
 BINS = 4096
 
 
-def text_coordinate(value: Column) -> Column:
-    """A string's place in code point order as an integer: its first six bytes; null comes first."""
-    head = F.rpad(F.hex(F.substring(F.encode(value, "UTF-8"), 1, 6)), 12, "0")
-    return F.coalesce(F.conv(head, 16, 10).cast("long"), F.lit(-1))
+def text_ranks(rows: DataFrame, name: str) -> DataFrame:
+    """(_value, _rank): each distinct string of a column and its place in code point order from 0; null has none."""
+    values = rows.filter(F.col(name).isNotNull()).select(F.col(name).alias("_value")).distinct().sort("_value")
+    placed = values.rdd.zipWithIndex().map(lambda x: (x[0][0], x[1]))
+    return written(rows.sparkSession.createDataFrame(placed, "_value string, _rank long"), "ranks")
 
 
 def size_coordinate(value: Column) -> Column:
@@ -151,13 +152,22 @@ def shards(docs: DataFrame, n: int | None = 8, target_bytes: float | None = None
     rows = docs.select(
         F.col(key), (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(F.encode(body, "UTF-8")).alias("text_crc32"), *metadata
     )
-    dims = {"bytes": size_coordinate(F.col("size"))} | {m: text_coordinate(F.col(m).cast("string")) for m in metadata}
-    rows = rows.select(key, "size", "text_crc32", *[c.alias(f"d_{d}") for d, c in dims.items()])
+    names = [f"d_{m}" for m in metadata]
+    rows = rows.select(
+        key, "size", "text_crc32", size_coordinate(F.col("size")).alias("d_bytes"), *[F.col(m).cast("string").alias(d) for m, d in zip(metadata, names)]
+    )
     rows = written(rows, "shard-sizes")
+    ranked = rows
+    for d in names:
+        others = [c for c in ranked.columns if c != d]
+        ranked = ranked.join(small(text_ranks(rows, d)), F.col(d) == F.col("_value"), "left").select(
+            *others, F.coalesce("_rank", F.lit(-1)).alias(d)
+        )
+    rows = ranked
     if target_bytes is None:
         total = rows.agg(F.sum("size")).first()[0] or 0
         target_bytes = max(1.0, total / n)
     tie = F.shiftrightunsigned(F.xxhash64(key, "text_crc32"), 2)
-    placed = kd_leaves(rows, "size", {d: F.col(f"d_{d}") for d in dims}, tie, target_bytes)
+    placed = kd_leaves(rows, "size", {d: F.col(f"d_{d}") for d in ("bytes", *metadata)}, tie, target_bytes)
     placed = placed.select(key, "size", "text_crc32", F.col("leaf").alias("shard"))
     return numbered(placed, ["shard"], [key, "text_crc32"], F.lit(1), "slot")
