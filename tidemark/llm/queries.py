@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tidemark.llm import bpe, chunks, collisions, html_text, jaccard, licenses, mixing, quality, sharding, warc
+from tidemark.llm import bpe, chunks, collisions, debruijn, html_text, jaccard, licenses, mixing, quality, sharding, warc
 from tidemark.llm.common import bounded_batches, table, tokenizer_path
 from tidemark.session import scratch_dir
 
@@ -116,6 +116,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collisions.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+@query("op13_repeated_passages", """
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    windows AS (SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS k FROM d, unnest(range(1, len(w) - 18)) AS t(s)),
+    ranked AS (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, s) AS r FROM windows),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM ranked WHERE r > 1),
+    removed AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id),
+    kept AS (SELECT d.doc_id, len(w) AS n, CASE WHEN ps IS NULL THEN w
+                    ELSE list_filter(w, lambda x, i: NOT list_contains(ps, i)) END AS k
+             FROM d LEFT JOIN removed ON d.doc_id IS NOT DISTINCT FROM removed.doc_id)
+    SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(n - len(k) AS BIGINT) AS n_removed,
+           sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = debruijn.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
