@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tidemark.llm import bpe, chunks, collisions, debruijn, html_text, jaccard, licenses, mixing, quality, sharding, warc
+from tidemark.llm import bpe, chunks, collisions, debruijn, html_text, jaccard, licenses, mixing, negatives, quality, sharding, warc
 from tidemark.llm.common import bounded_batches, table, tokenizer_path
 from tidemark.session import scratch_dir
 
@@ -116,6 +116,29 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collisions.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+@query("op12_subset_sum_negatives", """
+    WITH v AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+      FROM embeddings WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+      SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+      FROM v AS a JOIN v AS b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0),
+    positives AS (
+      SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, p.vec_id AS positive_id,
+           CAST(row_number() OVER (PARTITION BY anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+           n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+    FROM positives AS p JOIN scored AS n USING (anchor_id)
+    WHERE NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score QUALIFY rank <= 5""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec = F.col("vec_id")
+    vectors = table(spark, sf_dir, "embeddings")
+    shifted = vectors.withColumn("label", F.when(vec % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.hard_negatives(shifted, vec % 100 == 0)
+
+
 @query("op13_repeated_passages", """
     WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
     windows AS (SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS k FROM d, unnest(range(1, len(w) - 18)) AS t(s)),
