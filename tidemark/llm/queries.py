@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tidemark.llm import bpe, chunks, collisions, debruijn, html_text, jaccard, licenses, mixing, negatives, quality, sharding, warc
+from tidemark.llm import bpe, chunks, collisions, debruijn, html_text, jaccard, licenses, mixing, negatives, quality, sharding, tries, warc
 from tidemark.llm.common import bounded_batches, table, tokenizer_path
 from tidemark.session import scratch_dir
 
@@ -116,6 +116,37 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collisions.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+@query("op11_prefix_trie", """
+    WITH c AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                      row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                                         sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+               FROM conversations WHERE conv_id IS NOT NULL),
+    whole AS (SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY i) AS turns FROM c GROUP BY conv_id),
+    crc AS (SELECT *, xor(list_reduce(
+                list_prepend(CAST(4294967295 AS BIGINT),
+                             list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ord(s) AS BIGINT))),
+                lambda h, b: list_reduce(list_prepend(xor(h, b), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]),
+                    lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 6 AS h
+            FROM whole),
+    rebuilt AS (SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns
+                FROM crc AS c LEFT JOIN whole AS b ON b.conv_id = c.conv_id - c.conv_id % 100),
+    members AS (SELECT conv_id, d, turns[1:d] AS node, d = len(turns) AS ends FROM rebuilt, unnest(range(0, len(turns) + 1)) AS t(d)),
+    nodes AS (SELECT node, d, min(conv_id) AS conv_id, count(*) AS n,
+                     string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends) AS ended,
+                     CASE WHEN d > 0 THEN (count(*) - 1) * length(node[d].text) ELSE 0 END AS worth
+              FROM members GROUP BY node, d),
+    marked AS (SELECT *, CASE WHEN d > 0 THEN node[1:d - 1] END AS parent FROM nodes),
+    children AS (SELECT parent, count(*) AS k FROM marked WHERE d > 0 GROUP BY parent),
+    full_nodes AS (SELECT m.*, coalesce(k, 0) AS k FROM marked AS m LEFT JOIN children AS c ON c.parent = m.node),
+    subtrees AS (SELECT node[1:a] AS top, count(*) FILTER (WHERE k = 0) AS leaves, sum(worth) AS saved
+                 FROM full_nodes, unnest(range(0, d + 1)) AS t(a) GROUP BY 1)
+    SELECT m.conv_id, CAST(m.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, m.n AS n_convs, m.k AS n_children,
+           leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(m.ended, '')) AS ends_sha256
+    FROM full_nodes AS m JOIN subtrees ON top = m.node LEFT JOIN marked AS p ON p.node = m.parent""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 @query("op12_subset_sum_negatives", """
     WITH v AS (
       SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
