@@ -154,6 +154,38 @@ def test_replay(spark, log, tmp_path):
         replay(pipeline="orders")
 
 
+def _logged(spark, path, rows):
+    """Log records (partition, offset, log time in ms) in a file of their own."""
+    value = "named_struct('trade_id', cast(offset as string), 'exchange', 'binance', 'symbol', 'BTC-USD', 'price', 1d, 'quantity', 1d, " \
+            "'side', 'BUY', 'event_time', timestamp, 'ingest_time', timestamp)"
+    df = spark.createDataFrame([(p, o, at(ms)) for p, o, ms in rows], "partition int, offset bigint, timestamp timestamp")
+    df.select(
+        F.lit(b"BTC-USD").alias("key"), F.expr(value).alias("value"), F.lit("trades.raw").alias("topic"), "partition", "offset", "timestamp"
+    ).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_a_replay_seeks_the_first_late_enough_record(spark, tmp_path):
+    """Behind it, records with older stamps count; partitions without one are skipped or read whole."""
+    path = str(tmp_path / "log")
+    _logged(spark, path, [(0, 0, 10), (0, 1, 60), (0, 2, 20), (1, 0, 10), (1, 1, 20)])
+    _logged(spark, path, [(0, 3, 30), (2, 5, 50), (2, 6, 1), (2, 4, 49), (1, 2, 49)])
+    batch = spark.read.schema(s.log_schema(schemas.TRADE)).parquet(path)
+    want = {(0, 1), (1, None), (2, 5)}
+    assert {(r.partition, r.start_offset) for r in s.seek_offsets(batch, at(50)).collect()} == want
+    log = lambda: s.file_log(spark, path, schemas.TRADE, 1)
+    starts = jobs.probe_offsets(log(), at(50), str(tmp_path / "seek"))
+    assert {(r.partition, r.start_offset) for r in starts.collect()} == want
+    kept = lambda beyond: {(r.partition, r.offset) for r in s.from_offsets(batch, starts, beyond).collect()}
+    late = {(0, 1), (0, 2), (0, 3), (2, 5), (2, 6)}
+    assert kept("skip") == late and kept("beginning") == late | {(1, 0), (1, 1), (1, 2)}
+    with pytest.raises(ValueError, match="beyond|choice"):
+        s.from_offsets(batch, starts, "end")
+    replay = lambda **kw: jobs.replay({"trades": log()}, str(tmp_path / "lake"), str(tmp_path / "ck"), start=at(50), **kw)
+    assert replay(group="a").received == 5
+    again = replay(group="b", beyond="beginning")
+    assert (again.received, again.skipped) == (8, 5)
+
+
 def _candle_stream(spark, path):
     reader = spark.readStream.schema(s.log_schema(schemas.CANDLE)).option("maxFilesPerTrigger", 1)
     return s.candles_of(reader.parquet(path))

@@ -48,23 +48,32 @@ def _stragglers(log: list[DataFrame]) -> DataFrame:
     })
 
 
+#: Rows of a log file; a stretch is written as so many files that none has more.
+ROWS_PER_FILE = 2_000_000
+
+
 class _Log:
-    """A folder of log files that grows; every append is at least one file, and so a micro-batch of its own."""
+    """A folder of log files that grows. Each append is ``files`` files, which make a micro-batch."""
 
-    def __init__(self, spark: SparkSession, label: str, schema):
-        self.spark, self.path, self.schema = spark, f"{scratch_dir(spark, label)}/log", schema
+    def __init__(self, spark: SparkSession, label: str, schema, files: int = 1):
+        self.spark, self.path, self.schema, self.files = spark, f"{scratch_dir(spark, label)}/log", schema, files
 
     def append(self, *rows: DataFrame) -> None:
         for part in rows:
-            part.select(*self.schema.fieldNames()).coalesce(1).write.mode("append").parquet(self.path)
+            part.select(*self.schema.fieldNames()).repartition(self.files).write.mode("append").parquet(self.path)
 
     def stream(self) -> DataFrame:
-        return self.spark.readStream.schema(self.schema).option("maxFilesPerTrigger", 1).parquet(self.path)
+        return self.spark.readStream.schema(self.schema).option("maxFilesPerTrigger", self.files).parquet(self.path)
+
+
+def _files(rows: int) -> int:
+    """Files of a stretch, if all rows are cut into LOG_FILES of them."""
+    return max(1, -(-rows // (LOG_FILES * ROWS_PER_FILE)))
 
 
 def _trade_log(spark: SparkSession, sf_dir: str, late: bool = False) -> _Log:
     log = _event_log(spark, sf_dir)
-    out = _Log(spark, "trade-log", log[0].schema)
+    out = _Log(spark, "trade-log", log[0].schema, _files(market.events(spark, sf_dir).count()))
     out.append(*log[:-1], *([_stragglers(log)] if late else []), log[-1])
     return out
 
@@ -92,7 +101,8 @@ WHERE window_end <= (SELECT max(event_time) FROM trades) - INTERVAL {o.GRACE[int
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         """Run, stopped half way, and run on from its checkpoint; late trades of sealed windows change nothing."""
         log = _event_log(spark, sf_dir)
-        files, base = _Log(spark, f"sealed-{interval}", log[0].schema), scratch_dir(spark, f"sealed-{interval}")
+        files = _Log(spark, f"sealed-{interval}", log[0].schema, _files(market.events(spark, sf_dir).count()))
+        base = scratch_dir(spark, f"sealed-{interval}")
         files.append(*log[: LOG_FILES // 2])
         _drained(sc.sealed_candles(files.stream(), interval), "", base)
         files.append(*log[LOG_FILES // 2: -1], _stragglers(log), log[-1])
@@ -132,7 +142,7 @@ def deduplicated_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     The first stretch of time comes last but one, so its trades are late and still the only ones of their ids.
     """
     log = _event_log(spark, sf_dir)
-    files = _Log(spark, "dedup-log", log[0].schema)
+    files = _Log(spark, "dedup-log", log[0].schema, _files(market.events(spark, sf_dir).count()))
     files.append(*log[1:-1], log[1], log[0], *log[2:], log[-1], log[0])
     return _drained(sc.without_repeats(files.stream(), "1000 days"), "dedup")
 
@@ -368,18 +378,77 @@ def decoded_trade_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.count("*").alias("records"))
 
 
-@query("replayed_from_instant", f"""WITH {o.TRADES}, edge AS (SELECT median(epoch_ms(ingest_time)) AS t FROM trades)
-SELECT symbol, count(*) AS records, min(kafka_offset) AS first_offset FROM trades, edge
-WHERE epoch_ms(ingest_time) >= CAST(floor(t) AS BIGINT) GROUP BY symbol""")
+_INSTANT = "(SELECT CAST(floor(median(epoch_ms(ingest_time))) AS BIGINT) FROM trades)"
+
+
+def _median_arrival(trades: DataFrame) -> datetime:
+    middle = trades.agg(F.floor(F.median(F.unix_millis("ingest_time")))).first()[0]
+    return datetime.fromtimestamp(middle / 1000, timezone.utc)
+
+
+@query("replayed_from_instant", f"""WITH {o.TRADES},
+log AS (
+  SELECT *, CASE WHEN kafka_offset % 4 = 3 AND epoch_ms(ingest_time) >= {_INSTANT} THEN 0 ELSE kafka_offset % 4 END AS part
+  FROM trades),
+starts AS (SELECT part, min(kafka_offset) AS start FROM log WHERE epoch_ms(ingest_time) >= {_INSTANT} GROUP BY part)
+SELECT CAST(part AS INTEGER) AS "partition", symbol, count(*) AS records, min(kafka_offset) AS first_offset,
+       count_if(epoch_ms(ingest_time) < {_INSTANT})::BIGINT AS older
+FROM log JOIN starts USING (part) WHERE kafka_offset >= start GROUP BY part, symbol""")
 def replayed_from_instant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A trade log read again from the median arrival on, as a bounded stream."""
+    """A log of four partitions read again from the median arrival on, as a bounded stream.
+
+    Arrivals do not rise with the offset, so older records stand behind the first one that is late enough; the last
+    partition has none that is. ``older`` counts them.
+    """
     base = scratch_dir(spark, "instant")
     trades = market.trades(spark, sf_dir)
-    s.trade_records(trades).write.parquet(f"{base}/log")
-    middle = trades.agg(F.floor(F.median(F.unix_millis("ingest_time")))).first()[0]
-    log = s.from_timestamp(s.file_log(spark, f"{base}/log", schemas.TRADE), datetime.fromtimestamp(middle / 1000, timezone.utc))
-    rows = _drained(s.trades_of(log), "", base)
-    return rows.groupBy("symbol").agg(F.count("*").alias("records"), F.min("kafka_offset").alias("first_offset"))
+    start = _median_arrival(trades)
+    part = F.pmod("offset", F.lit(4)).cast("int")
+    late_enough = F.col("timestamp") >= F.lit(start)  # a trade is logged when it arrives
+    s.trade_records(trades).withColumn(
+        "partition", F.when((part == 3) & late_enough, 0).otherwise(part)
+    ).write.parquet(f"{base}/log")
+    log = s.file_log(spark, f"{base}/log", schemas.TRADE)
+    starts = jobs.probe_offsets(log, start, f"{base}/seek")
+    rows = _drained(s.trades_of(s.from_offsets(log, starts)), "", base)
+    older = F.count_if(F.col("ingest_time") < F.lit(start))
+    return rows.groupBy("partition", "symbol").agg(
+        F.count("*").alias("records"), F.min("kafka_offset").alias("first_offset"), older.alias("older")
+    )
+
+
+@query("replayed_pipelines", f"""WITH {o.TRADES}, {o.candles('H1')},
+first_trade AS (SELECT min(kafka_offset) AS start FROM trades WHERE epoch_ms(ingest_time) >= {_INSTANT}),
+first_candle AS (SELECT min(window_start) AS start FROM candles WHERE epoch_ms(window_end) >= {_INSTANT}),
+n AS (SELECT (SELECT count(*) FROM trades) AS t, (SELECT count(*) FROM candles) AS c,
+             (SELECT count(*) FROM trades, first_trade WHERE kafka_offset >= start)
+             + (SELECT count(*) FROM candles, first_candle WHERE window_start >= start) AS later)
+SELECT 1 AS step, 'all, dry run' AS run, CAST(0 AS BIGINT) AS received, CAST(0 AS BIGINT) AS inserted, CAST(0 AS BIGINT) AS skipped
+UNION ALL SELECT 2, 'candles', c, c, 0 FROM n
+UNION ALL SELECT 3, 'all', t + c, t, c FROM n
+UNION ALL SELECT 4, 'all, from an instant', later, 0, later FROM n""")
+def replayed_pipelines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades and candles replayed into one lake: dry, one pipeline, both, and both once more from the median arrival on."""
+    base = scratch_dir(spark, "pipelines")
+    trades = market.trades(spark, sf_dir)
+    candles = c.candles(trades, "H1").withColumn("kafka_offset", F.unix_millis("window_start"))
+    s.trade_records(trades).write.parquet(f"{base}/trades")
+    s.candle_records(candles).write.parquet(f"{base}/candles")
+    start = _median_arrival(trades)
+
+    def run(pipeline: str, group: str, **options) -> jobs.ReplaySummary:
+        logs = {
+            "trades": s.file_log(spark, f"{base}/trades", schemas.TRADE),
+            "candles": s.file_log(spark, f"{base}/candles", schemas.CANDLE),
+        }
+        return jobs.replay(logs, f"{base}/lake", f"{base}/checkpoint", pipeline, group, **options)
+
+    runs = {
+        "all, dry run": run("all", "dry", dry_run=True), "candles": run("candles", "candles"), "all": run("all", "all"),
+        "all, from an instant": run("all", "instant", start=start),
+    }
+    rows = [(n, name, r.received, r.inserted, r.skipped) for n, (name, r) in enumerate(runs.items(), 1)]
+    return spark.createDataFrame(rows, "step int, run string, received bigint, inserted bigint, skipped bigint")
 
 
 @query("lake_layout", f"""WITH {o.TRADES}, {o.candles('H1')}

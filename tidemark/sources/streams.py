@@ -174,9 +174,27 @@ def candles_of(log: DataFrame) -> DataFrame:
     return log.select(symbol.alias("symbol"), "value.*", *_POSITION, F.col("offset").alias("kafka_offset"))
 
 
-def from_timestamp(log: DataFrame, start: datetime) -> DataFrame:
-    """Records logged at or after ``start``; a partition that has none yields nothing."""
-    return log.filter(F.col("timestamp") >= F.lit(start))
+def seek_offsets(records: DataFrame, start: datetime) -> DataFrame:
+    """(topic, partition, start_offset): the least offset of each partition that was logged at or after ``start``.
+
+    Null where a partition has no such record. Log times need not rise with the offset; a seek finds the first record
+    that reaches the instant, and all that stands behind it belongs to the replay, whatever its own time.
+    """
+    reached = F.when(F.col("timestamp") >= F.lit(start), F.col("offset"))
+    return records.groupBy(*_POSITION).agg(F.min(reached).alias("start_offset"))
+
+
+def from_offsets(log: DataFrame, starts: DataFrame, beyond: str = "skip") -> DataFrame:
+    """Records from each partition's start offset on; ``starts`` has a row for each partition, so it is small.
+
+    A partition without a start offset yields nothing (``skip``) or is read from its beginning (``beginning``): an
+    idempotent sink comes to the same state by both.
+    """
+    if beyond not in ("skip", "beginning"):
+        raise ValueError(f"unknown choice {beyond!r} for partitions without a start, expected skip or beginning")
+    joined = log.join(starts, list(_POSITION), "inner" if beyond == "skip" else "left")
+    start = F.col("start_offset") if beyond == "skip" else F.coalesce("start_offset", F.lit(0))
+    return joined.filter(F.col("offset") >= start).select(*log.columns)
 
 
 # --- records for the sinks ----------------------------------------------------------------------

@@ -215,6 +215,28 @@ def start_gaps(
     return _start_batches(deltas, handle, checkpoint, bounded)
 
 
+_STARTS = T.StructType([
+    T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType()), T.StructField("start_offset", T.LongType()),
+])
+
+
+def probe_offsets(log: DataFrame, start: datetime, path: str) -> DataFrame:
+    """``streams.seek_offsets`` over a log stream: a bounded pass of its own, of which only positions and times are read.
+
+    The offsets found stay under ``path``: asked again, only what came since is read.
+    """
+    spark = log.sparkSession
+    spark.createDataFrame([], _STARTS).write.mode("ignore").parquet(f"{path}/offsets/batch=-1")
+
+    def handle(batch: DataFrame, number: int) -> None:
+        streams.seek_offsets(batch, start).write.mode("overwrite").parquet(f"{path}/offsets/batch={number}")
+
+    positions = log.select("topic", "partition", "offset", "timestamp")
+    _start_batches(positions, handle, f"{path}/checkpoint", bounded=True).awaitTermination()
+    found = spark.read.schema(_STARTS).parquet(f"{path}/offsets")
+    return found.groupBy("topic", "partition").agg(F.min("start_offset").alias("start_offset"))
+
+
 @dataclass(frozen=True)
 class ReplaySummary:
     received: int
@@ -242,12 +264,15 @@ def replay(
     group: str = "replay",
     start: datetime | None = None,
     dry_run: bool = False,
+    beyond: str = "skip",
 ) -> ReplaySummary:
     """Read the logs again, from the beginning or from an instant, into the lake.
 
     ``logs`` maps a pipeline to its log stream. What arrives after the start is left out. The
     insert is idempotent, so replaying what is stored changes nothing. ``group`` names the
     checkpoint and the writer: a new group starts from the beginning, an interrupted one resumes.
+    From an instant, each partition is read from the first record logged at or after it (``beyond`` says what
+    becomes of partitions that have none).
     """
     if pipeline != "all" and pipeline not in PIPELINES:
         raise ValueError(f"unknown pipeline {pipeline!r}, expected all or one of {sorted(PIPELINES)}")
@@ -258,7 +283,9 @@ def replay(
     for name, (table, rows_of) in PIPELINES.items():
         if name not in logs or pipeline not in ("all", name):
             continue
-        log = streams.from_timestamp(logs[name], start) if start is not None else logs[name]
+        log = logs[name]
+        if start is not None:
+            log = streams.from_offsets(log, probe_offsets(log, start, f"{checkpoint}/{group}-{name}-seek"), beyond)
         query = start_lake_sink(
             rows_of(log), root, table, f"{checkpoint}/{group}-{name}", f"{group}-{name}",
             bounded=True, on_result=results.append,
