@@ -156,7 +156,7 @@ def test_replay(spark, log, tmp_path):
 
 def _logged(spark, path, rows):
     """Log records (partition, offset, log time in ms) in a file of their own."""
-    value = "named_struct('trade_id', cast(offset as string), 'exchange', 'binance', 'symbol', 'BTC-USD', 'price', 1d, 'quantity', 1d, " \
+    value = "named_struct('trade_id', concat(partition, '-', offset), 'exchange', 'binance', 'symbol', 'BTC-USD', 'price', 1d, 'quantity', 1d, " \
             "'side', 'BUY', 'event_time', timestamp, 'ingest_time', timestamp)"
     df = spark.createDataFrame([(p, o, at(ms)) for p, o, ms in rows], "partition int, offset bigint, timestamp timestamp")
     df.select(
