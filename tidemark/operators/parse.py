@@ -181,3 +181,97 @@ def dropped_counts(resolved: DataFrame) -> DataFrame:
         .groupBy("exchange", F.lit("unknown_symbol").alias("reason"))
         .agg(F.count(F.lit(1)).alias("dropped"))
     )
+
+
+# --- all kinds in one pass ----------------------------------------------------------------------
+
+_COINBASE = (
+    "channel string, sequence_num bigint, timestamp string, events array<struct<type:string, product_id:string, "
+    "trades:array<struct<trade_id:string, product_id:string, price:string, size:string, side:string, time:string>>, "
+    "updates:array<struct<side:string, price_level:string, new_quantity:string>>>>"
+)
+_LEVELS = "array<struct<price:double,quantity:double>>"
+_EVENT = {
+    "kind": "string", "ticker": "string", "trade_id": "string", "price": "double", "quantity": "double", "side": "string",
+    "first_update_id": "bigint", "final_update_id": "bigint", "bids": _LEVELS, "asks": _LEVELS, "event_time": "timestamp",
+}
+TRADE_EVENT, DELTA_EVENT, UNREADABLE = "trade", "delta", "unreadable"
+
+
+def _event(kind: str, **fields: Column) -> Column:
+    """An event of any kind; fields that the kind does not have are null."""
+    given = {"kind": F.lit(kind), **fields}
+    return F.struct(*[given.get(name, F.lit(None)).cast(dtype).alias(name) for name, dtype in _EVENT.items()])
+
+
+def _levels_of(items: Column, price, quantity) -> Column:
+    return F.transform(F.coalesce(items, F.array()), lambda x: F.struct(
+        price(x).try_cast("double").alias("price"), quantity(x).try_cast("double").alias("quantity")
+    ))
+
+
+def _binance_events(b: Column) -> Column:
+    pairs = lambda side: _levels_of(b[side], lambda x: F.get(x, 0), lambda x: F.get(x, 1))
+    trade = _event(
+        TRADE_EVENT, ticker=b["ticker"], trade_id=b["trade_id"], price=b["price"].try_cast("double"),
+        quantity=b["quantity"].try_cast("double"), side=F.when(b["buyer_is_maker"], "SELL").otherwise("BUY"),
+        event_time=F.timestamp_millis(b["trade_ms"]),
+    )
+    delta = _event(
+        DELTA_EVENT, ticker=b["ticker"], first_update_id=b["first_id"], final_update_id=b["final_id"],
+        bids=pairs("bids"), asks=pairs("asks"), event_time=F.timestamp_millis(b["event_ms"]),
+    )
+    return F.when(b["kind"] == "trade", F.array(trade)).when(b["kind"] == "depthUpdate", F.array(delta))
+
+
+def _coinbase_events(c: Column, ingest_time: Column) -> Column:
+    def trade(t: Column) -> Column:
+        side = F.upper(t["side"])
+        return _event(
+            TRADE_EVENT, ticker=t["product_id"], trade_id=t["trade_id"], price=t["price"].try_cast("double"),
+            quantity=t["size"].try_cast("double"), side=F.when(side.isin("BUY", "SELL"), side).otherwise("UNKNOWN"),
+            event_time=iso_to_timestamp(t["time"]),
+        )
+
+    def delta(e: Column) -> Column:
+        def levels(keep) -> Column:
+            kept = F.filter(F.coalesce(e["updates"], F.array()), keep)
+            return _levels_of(kept, lambda u: u["price_level"], lambda u: u["new_quantity"])
+
+        sequence = F.coalesce(c["sequence_num"], F.lit(0))
+        return _event(
+            DELTA_EVENT, ticker=e["product_id"], first_update_id=sequence, final_update_id=sequence,
+            bids=levels(lambda u: u["side"] == "bid"), asks=levels(lambda u: ~u["side"].eqNullSafe("bid")),
+            event_time=F.coalesce(iso_to_timestamp(c["timestamp"]), ingest_time),
+        )
+
+    news = F.filter(F.coalesce(c["events"], F.array()), lambda e: ~e["type"].eqNullSafe("snapshot"))
+    trades = F.flatten(F.transform(news, lambda e: F.transform(F.coalesce(e["trades"], F.array()), trade)))
+    return F.when(c["channel"] == "market_trades", trades).when(c["channel"] == "l2_data", F.transform(news, delta))
+
+
+def events_of(frames: DataFrame) -> DataFrame:
+    """Every event of frames (exchange, value, ingest_time, ...) of both exchanges, each frame read and parsed once.
+
+    ``kind`` tells trades from deltas; the fields of the other kind are null. Acknowledgements, heartbeats, other
+    channels and snapshots give no row. A frame that is no JSON object gives one of kind ``unreadable``.
+    """
+    spoiled = {"columnNameOfCorruptRecord": "spoiled"}
+    binance = F.from_json("value", f"{_BINANCE_WIRE}, spoiled string", spoiled)
+    coinbase = F.from_json("value", f"{_COINBASE}, spoiled string", spoiled)
+    parsed = frames.select("*", F.inline(F.array(F.struct(
+        F.when(F.col("exchange") == "binance", binance).alias("_binance"),
+        F.when(F.col("exchange") == "coinbase", coinbase).alias("_coinbase"),
+    )))).select(
+        "*", F.inline(F.array(F.struct(F.col("_binance.data").cast(_BINANCE_NAMED).alias("_data")))),
+    )
+    # A field of another type spoils no frame whose event was found: other kinds use the same short names.
+    broken = F.when(F.col("exchange") == "binance", F.col("_binance.spoiled").isNotNull() & F.col("_data.kind").isNull()).when(
+        F.col("exchange") == "coinbase", F.col("_coinbase.spoiled").isNotNull() & F.col("_coinbase.events").isNull()
+    )
+    unreadable = F.col("value").isNull() | (F.trim("value") == "") | F.coalesce(broken, F.lit(False))
+    none = F.array().cast("array<struct<" + ",".join(f"{n}:{t}" for n, t in _EVENT.items()) + ">>")
+    events = F.when(unreadable, F.array(_event(UNREADABLE))).otherwise(F.coalesce(
+        _binance_events(F.col("_data")), _coinbase_events(F.col("_coinbase"), F.col("ingest_time")), none
+    ))
+    return parsed.select(*[c for c in frames.columns if c != "value"], F.inline(events))

@@ -16,9 +16,8 @@ from tidemark.plans.detection import (
 from tidemark.plans.registry import query, settle, settle_sql
 from tidemark.session import scratch_dir
 from tidemark.sources import market
-from tidemark.sources import streams as s
-from tidemark.streaming import candles as sc
-from tidemark.streaming import jobs
+from tidemark.sources import seed, streams as s
+from tidemark.streaming import candles as sc, ingest, jobs
 
 
 LOG_FILES = 6
@@ -487,3 +486,64 @@ def empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     commits = lake.list_snapshots(spark, base, table).agg(F.count("*").alias("commits"))
     return figures.crossJoin(commits).withColumns({
         "received": F.lit(result.received).cast("bigint"), "inserted": F.lit(result.inserted).cast("bigint")})
+
+
+# --- ingest ---------------------------------------------------------------------------------------
+
+FRAMES = "exchange string, value string, ingest_time timestamp, kafka_offset bigint"
+_UNLISTED = "DOGE-USD"
+
+
+def _ingested(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Frames of both exchanges, in several micro-batches, sent to their topics; DOGE-USD is not in the seed.
+
+    The folder of the logs, and the counts of the listener. The frames are written once and read once.
+    """
+    base = scratch_dir(spark, "ingest")
+    frames = market.exchange_frames(market.trades(spark, sf_dir))
+    files = LOG_FILES * _files(5 * market.events(spark, sf_dir).count())
+    frames.repartitionByRange(files, "kafka_offset").write.parquet(f"{base}/frames")
+    listed = seed.read_symbol_seed(spark).filter(F.col("canonical") != _UNLISTED)
+    symbols = [r[0] for r in listed.select("canonical").collect()]  # the seed
+    stream = spark.readStream.schema(FRAMES).option("maxFilesPerTrigger", files // LOG_FILES).parquet(f"{base}/frames")
+    counts = ingest.IngestCounts()
+    spark.streams.addListener(counts)
+    try:
+        query_ = ingest.start_ingest(stream, listed, symbols, f"{base}/out", f"{base}/checkpoint", bounded=True)
+        query_.awaitTermination()
+        return f"{base}/out", counts.table(spark, query_)
+    finally:
+        spark.streams.removeListener(counts)
+
+
+@query("normalised_events", f"""WITH {o.DELTAS}
+SELECT 'trades.raw' AS topic, symbol AS key_symbol, exchange, symbol, trade_id, price, quantity,
+       CASE WHEN exchange = 'binance' AND side <> 'SELL' THEN 'BUY' ELSE side END AS side,
+       CAST(NULL AS BIGINT) AS first_update_id, CAST(NULL AS BIGINT) AS final_update_id, CAST(NULL AS DOUBLE) AS bid,
+       CAST(NULL AS DOUBLE) AS ask, event_time, ingest_time, kafka_offset AS log_offset
+FROM trades WHERE symbol <> '{_UNLISTED}'
+UNION ALL
+SELECT 'orderbook.delta', symbol, exchange, symbol, NULL, NULL, NULL, NULL,
+       CASE exchange WHEN 'binance' THEN first_update_id ELSE final_update_id END, final_update_id,
+       {settle_sql('price * 0.999')}, {settle_sql('price * 1.001')}, event_time, ingest_time, kafka_offset
+FROM deltas WHERE symbol <> '{_UNLISTED}'""")
+def normalised_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stands in both topics after a log of raw frames went through; frames of no event leave nothing there."""
+    out, _ = _ingested(spark, sf_dir)
+    common = ["topic", s.decode_plain_key(F.col("key")).alias("key_symbol"), "value.*", F.col("offset").alias("log_offset")]
+    trades = ingest.read_topic(spark, out, schemas.TRADES_TOPIC).select(*common)
+    first = lambda side: settle(F.get(F.col(side), 0)["price"], 6)
+    deltas = ingest.read_topic(spark, out, schemas.ORDERBOOK_TOPIC).select(*common).withColumns(
+        {"bid": first("bids"), "ask": first("asks")}
+    ).drop("bids", "asks")
+    return trades.unionByName(deltas, allowMissingColumns=True)
+
+
+@query("ingest_counts", f"""WITH {o.DELTAS}
+SELECT 'trades' AS metric, exchange, symbol AS label, count(*) AS n FROM trades WHERE symbol <> '{_UNLISTED}' GROUP BY ALL
+UNION ALL SELECT 'deltas', exchange, symbol, count(*) FROM deltas WHERE symbol <> '{_UNLISTED}' GROUP BY ALL
+UNION ALL SELECT 'dropped', exchange, 'unknown_symbol', 2 * count(*) FROM trades WHERE symbol = '{_UNLISTED}' GROUP BY ALL
+UNION ALL SELECT 'dropped', exchange, 'unreadable', count(*) FROM trades WHERE kafka_offset % 10 = 2 GROUP BY ALL""")
+def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades and deltas per exchange and symbol and drops per reason, counted while the frames passed."""
+    return _ingested(spark, sf_dir)[1]

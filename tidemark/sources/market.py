@@ -184,6 +184,32 @@ def coinbase_l2_frames(deltas: DataFrame) -> DataFrame:
     )
 
 
+def exchange_frames(trades: DataFrame) -> DataFrame:
+    """What two connections receive (exchange, value, ingest_time, kafka_offset): trades and deltas of the trades, and for
+    every tenth offset something that is neither: an acknowledgement, a heartbeat, a snapshot, a broken line."""
+    deltas = orderbook_deltas(trades)
+    made = {
+        "binance": [binance_trade_frames(trades), binance_depth_frames(deltas)],
+        "coinbase": [coinbase_trade_frames(trades), coinbase_l2_frames(deltas)],
+    }
+    frames = None
+    for exchange, parts in made.items():
+        for part in parts:
+            part = part.withColumn("exchange", F.lit(exchange))
+            frames = part if frames is None else frames.unionByName(part)
+    tenth = trades.select(
+        "exchange", "ingest_time", "kafka_offset",
+        F.when(F.col("kafka_offset") % 10 == 0, F.when(F.col("exchange") == "binance", '{"result":null,"id":1}').otherwise(
+            '{"channel":"heartbeats","sequence_num":7,"events":[{"current_time":"now","heartbeat_counter":"3"}]}'))
+        .when(F.col("kafka_offset") % 10 == 1, F.when(F.col("exchange") == "coinbase", F.concat(
+            F.lit('{"channel":"market_trades","events":[{"type":"snapshot","trades":[{"trade_id":"0","product_id":"'), "symbol",
+            F.lit('","price":"1","size":"1","side":"BUY","time":"2024-01-01T00:00:00Z"}]}]}'))).otherwise('{"data":{"e":"kline"}}'))
+        .when(F.col("kafka_offset") % 10 == 2, F.concat(F.lit('{"data":{"e":"trade","s":"'), "symbol"))
+        .alias("value"),
+    ).filter("value IS NOT NULL")
+    return frames.unionByName(tenth)
+
+
 def _frames(rows: DataFrame, body: F.Column) -> DataFrame:
     return rows.select(F.to_json(body).alias("value"), "ingest_time", "kafka_offset")
 

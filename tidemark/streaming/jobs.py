@@ -41,6 +41,13 @@ def start_files(stream: DataFrame, out: str, checkpoint: str, bounded: bool = Fa
     return _start(writer, bounded, stream.sparkSession)
 
 
+def start_partitioned(stream: DataFrame, by: list[str], out: str, checkpoint: str, bounded: bool = False) -> StreamingQuery:
+    """``start_files`` with a folder for each value of ``by``, such as one for each topic."""
+    writer = stream.writeStream.outputMode("append").format("parquet").partitionBy(*by)
+    writer = writer.option("path", out).option("checkpointLocation", checkpoint)
+    return _start(writer, bounded, stream.sparkSession)
+
+
 def start_kafka(
     records: DataFrame, servers: str, checkpoint: str, value_name: str, schema_id: int | None = None
 ) -> StreamingQuery:
