@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidemark import schemas
 from tidemark.functions import text
 from tidemark.functions.indicators import base_asset
+from tidemark.operators import keyed
 
 # Answers for a series of prompts: a frame with text, prompt_tokens, completion_tokens, error_kind.
 Complete = Callable[[pd.Series], pd.DataFrame]
@@ -139,3 +140,27 @@ def upsert_explanations(saves: DataFrame, order: str = "seq") -> DataFrame:
         )
         .select("anomaly_id", "first.*", "last.*")
     )
+
+
+#: Folders of the store of explanations.
+BUCKETS = 64
+
+
+def save_explanations(saves: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+    """Upsert saves (rows of the explanation table with their ``seq``) into the store at ``path``.
+
+    The store has a folder for each bucket of ids; a batch rewrites the buckets of its own ids only. What is stored
+    counts as saved before: a known anomaly keeps its detection columns, and the batch's last save gives the rest, nulls too.
+    """
+    schema = T.StructType([*schemas.EXPLANATION.fields, T.StructField("bucket", T.IntegerType())])
+
+    def fold(stored: DataFrame, updates: DataFrame) -> DataFrame:
+        both = stored.drop("bucket").withColumn("seq", F.lit(None).cast("int")).unionByName(updates.drop("bucket"))
+        return upsert_explanations(both.withColumn("seq", F.coalesce("seq", F.lit(-1)))).withColumn("bucket", keyed.bucket("anomaly_id", buckets))
+
+    named = saves.withColumn("bucket", keyed.bucket("anomaly_id", buckets))
+    keyed.merge_partitions(named, path, ["bucket"], fold, schema)
+
+
+def read_explanations(spark: SparkSession, path: str) -> DataFrame:
+    return keyed.read(spark, path, T.StructType([*schemas.EXPLANATION.fields, T.StructField("bucket", T.IntegerType())])).drop("bucket")

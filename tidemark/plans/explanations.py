@@ -200,3 +200,26 @@ def explained_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).awaitTermination()
     table = explain.upsert_explanations(spark.read.parquet(f"{base}/saves"))
     return table.select("anomaly_id", "symbol", "anomaly_type", "explanation", "model_used", "explained_at", "prompt_tokens")
+
+
+@query("explanation_store", f"""WITH {_EXPLAINED}
+SELECT anomaly_id, symbol, anomaly_type, candle_window_start AS detected_at,
+       CASE WHEN anomaly_type <> 'VOLUME_SPIKE' THEN explanation END AS explanation,
+       CASE WHEN anomaly_type <> 'VOLUME_SPIKE' THEN anomaly_type ELSE '' END AS factors,
+       CASE WHEN anomaly_type <> 'VOLUME_SPIKE' THEN 'template' END AS model_used,
+       CASE WHEN anomaly_type <> 'VOLUME_SPIKE' THEN CAST(prompt_tokens AS INT) END AS prompt_tokens
+FROM explained""")
+def explanation_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store that a stream of saves fills: all pending, then all explained, then those about volume pending once more."""
+    base, log = scratch_dir(spark, "store"), scratch_dir(spark, "saves")
+    _saves(spark, sf_dir).write.parquet(log)
+    saves = spark.read.parquet(log)
+    volume = F.col("anomaly_type") == "VOLUME_SPIKE"
+    for n, part in enumerate(("seq = 0", "seq = 1", (F.col("seq") == 0) & volume)):
+        saves.filter(part).write.parquet(f"{base}/saves/n={n}")
+        stream = spark.readStream.schema(saves.schema).parquet(f"{base}/saves/n=*")
+        jobs.start_explanation_store(stream, f"{base}/store", f"{base}/checkpoint", bounded=True).awaitTermination()
+    return explain.read_explanations(spark, f"{base}/store").select(
+        "anomaly_id", "symbol", "anomaly_type", "detected_at", "explanation", F.array_join("key_factors", " | ").alias("factors"),
+        "model_used", "prompt_tokens",
+    )

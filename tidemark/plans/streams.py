@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark import schemas
 from tidemark.operators import backtest, candles as c, lake, metrics
@@ -148,11 +148,11 @@ def deduplicated_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("volatility_stream", VOLATILITY_SQL)
 def volatility_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of all windows after several micro-batches, each of which changed some days of it."""
     base = scratch_dir(spark, "volatility")
-    stream = sc.volatility(_trade_stream(spark, sf_dir))
-    jobs.start_volatility_table(stream, f"{base}/out", f"{base}/checkpoint", bounded=True).awaitTermination()
-    changes = spark.read.parquet(f"{base}/out")
-    return jobs.read_latest(changes, ["symbol", "window_start"]).withColumns({
+    stream, keys = sc.volatility(_trade_stream(spark, sf_dir)), ["symbol", "window_start"]
+    jobs.start_latest_table(stream, f"{base}/out", f"{base}/checkpoint", keys, bounded=True).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{base}/out").select(*stream.columns).withColumns({
         "mean_price": settle(F.col("mean_price")), "volatility": settle(F.col("volatility"), 4),
     })
 
@@ -169,27 +169,114 @@ def live_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.read_live(spark, f"{base}/live").withColumn("vwap", settle(F.col("vwap")))
 
 
+def _stretches(rows: DataFrame, order: Column, label: str, parts: int = LOG_FILES) -> list[DataFrame]:
+    """Rows written once in ``parts`` stretches of a number, each of which is read by itself."""
+    spark, path = rows.sparkSession, scratch_dir(rows.sparkSession, label)
+    cuts = rows.agg(F.percentile_approx(order, [i / parts for i in range(1, parts)], 10_000)).first()[0]
+    stretch = sum((F.when(order > cut, 1).otherwise(0) for cut in cuts), F.lit(0))
+    rows.withColumn("stretch", stretch).write.partitionBy("stretch").parquet(path)
+    return [spark.read.schema(rows.schema).parquet(f"{path}/stretch={i}") for i in range(parts)]
+
+
 @query("stream_anomalies", f"WITH {anomaly_ctes()} SELECT {ANOMALY_OUTPUT} FROM anomalies")
 def stream_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Anomalies found while streaming hourly candles from their log."""
+    """Anomalies found while streaming hourly candles from their log: several micro-batches, stopped half way."""
     base = scratch_dir(spark, "anomalies")
-    s.candle_records(c.candles(market.trades(spark, sf_dir), "H1")).write.parquet(f"{base}/log")
-    log = s.file_log(spark, f"{base}/log", schemas.CANDLE)
-    jobs.start_anomalies(
-        s.candles_of(log), f"{base}/out", f"{base}/state", f"{base}/checkpoint", bounded=True
-    ).awaitTermination()
+    records = s.candle_records(c.candles(market.trades(spark, sf_dir), "H1"))
+    stretches = _stretches(records, F.unix_millis("value.window_start"), "candle-stretches")
+    log = _Log(spark, "candle-log", s.log_schema(schemas.CANDLE), _files(market.events(spark, sf_dir).count()))
+    for part in (stretches[: LOG_FILES // 2], stretches[LOG_FILES // 2:]):
+        log.append(*part)
+        jobs.start_anomalies(
+            s.candles_of(log.stream()), f"{base}/out", f"{base}/state", f"{base}/checkpoint", bounded=True
+        ).awaitTermination()
     return comparable_anomalies(spark.read.parquet(f"{base}/out").drop("batch"))
 
 
+def _gaps_found(spark: SparkSession, deltas: DataFrame, rows: int, session: str | None = None) -> DataFrame:
+    """Gaps of a stream of deltas in order of their offset: several micro-batches, stopped half way."""
+    base = scratch_dir(spark, "gaps")
+    stretches = _stretches(deltas, F.col("kafka_offset"), "delta-stretches")
+    log = _Log(spark, "delta-log", deltas.schema, _files(rows))
+    for part in (stretches[: LOG_FILES // 2], stretches[LOG_FILES // 2:]):
+        log.append(*part)
+        jobs.start_gaps(
+            log.stream(), f"{base}/out", f"{base}/state", f"{base}/checkpoint", bounded=True, session=session
+        ).awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
 @query("stream_gaps", f"{GAPS_SQL} SELECT * FROM checked")
 def stream_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = scratch_dir(spark, "gaps")
     deltas = market.orderbook_deltas(market.trades(spark, sf_dir))
-    s.delta_records(deltas).write.parquet(f"{base}/log")
-    log = s.file_log(spark, f"{base}/log", schemas.ORDERBOOK_DELTA)
-    rows = log.select("value.*", F.col("offset").alias("kafka_offset"))
-    jobs.start_gaps(rows, f"{base}/out", f"{base}/state", f"{base}/checkpoint", bounded=True).awaitTermination()
-    return spark.read.parquet(f"{base}/out").select(*GAP_COLUMNS)
+    rows = s.delta_records(deltas).select("value.*", F.col("offset").alias("kafka_offset"))
+    return _gaps_found(spark, rows, market.events(spark, sf_dir).count()).select(*GAP_COLUMNS)
+
+
+@query("stream_gaps_reset", f"""WITH {o.DELTAS},
+connected AS (
+  SELECT exchange, symbol, kafka_offset, kafka_offset // 700 AS connection,
+         first_update_id + 5000 * ((kafka_offset // 700) * 2 % 5) AS first_update_id,
+         final_update_id + 5000 * ((kafka_offset // 700) * 2 % 5) AS final_update_id
+  FROM deltas WHERE exchange = 'binance'),
+previous AS (
+  SELECT *, max(final_update_id) OVER (PARTITION BY exchange, symbol, connection ORDER BY kafka_offset
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous_final_id FROM connected)
+SELECT exchange, symbol, kafka_offset, connection, first_update_id, final_update_id, previous_final_id,
+       previous_final_id IS NULL AS first_seen, coalesce(first_update_id - previous_final_id - 1 > 0, false) AS is_gap,
+       greatest(coalesce(first_update_id - previous_final_id - 1, 0), 0) AS missing
+FROM previous""")
+def stream_gaps_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gaps of books whose connection is made anew every 700 records, with ids that jump up or down by it."""
+    connection = F.expr("kafka_offset DIV 700")
+    jump = 5000 * (connection * 2 % 5)
+    deltas = market.orderbook_deltas(market.trades(spark, sf_dir)).withColumns({
+        "connection": connection,
+        "first_update_id": F.col("first_update_id") + jump, "final_update_id": F.col("final_update_id") + jump,
+    }).select("exchange", "symbol", "first_update_id", "final_update_id", "kafka_offset", "connection")
+    found = _gaps_found(spark, deltas, market.events(spark, sf_dir).count(), "connection")
+    return found.select(*GAP_COLUMNS, "connection")
+
+
+_THIRDS = """edge AS (
+  SELECT min(epoch_ms(window_start)) AS lo, (max(epoch_ms(window_start)) - min(epoch_ms(window_start))) // 3 AS third FROM candles),
+parted AS (SELECT candles.*, least((epoch_ms(window_start) - lo) // greatest(third, 1), 2) AS part FROM candles, edge)"""
+
+
+@query("pushed_stream", f"""WITH {o.TRADES}, {o.candles('M1')}, {_THIRDS},
+subscriptions(part, subscriber, symbol) AS (
+  VALUES (1, 'everything', NULL), (1, 'bitcoin', 'BTC-USD'), (1, 'gone', 'ETH-USD'),
+         (2, 'bitcoin', 'BTC-USD'), (2, 'late', 'ETH-USD'), (2, 'late', 'SOL-USD'))
+SELECT subscriber, parted.symbol, "interval", window_start, "open", "close", trade_count
+FROM parted JOIN subscriptions AS s ON s.part = parted.part AND (s.symbol IS NULL OR s.symbol = parted.symbol)""")
+def pushed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minute candles pushed from the second third on, to subscribers that change for the last one, over a restart.
+
+    What the log held when the push began is not pushed.
+    """
+    base = scratch_dir(spark, "push")
+    candles = c.candles(market.trades(spark, sf_dir), "M1").withColumn("kafka_offset", F.unix_millis("window_start"))
+    low, high = candles.agg(F.min("kafka_offset"), F.max("kafka_offset")).first()
+    third = max((high - low) // 3, 1)
+    parted = s.candle_records(candles).withColumn("part", F.least(F.expr(f"(offset - {low}) DIV {third}"), F.lit(2)))
+    parted.write.partitionBy("part").parquet(f"{base}/parts")
+    schema, symbols = s.log_schema(schemas.CANDLE), list(market.SYMBOL_OF_EVENT.values()) + ["DOGE-USD"]
+    followers = {
+        1: [("everything", None), ("bitcoin", "BTC-USD"), ("gone", "ETH-USD")],
+        2: [("bitcoin", "BTC-USD"), ("late", "ETH-USD"), ("late", "SOL-USD")],
+    }
+    for part in range(3):
+        spark.read.schema(schema).parquet(f"{base}/parts/part={part}").write.mode("append").parquet(f"{base}/log")
+        now = spark.createDataFrame(followers.get(part, []), jobs.SUBSCRIPTION)
+        now.write.mode("overwrite").parquet(f"{base}/subscriptions")
+        ends = s.log_ends(spark.read.schema(schema).parquet(f"{base}/log"))
+        jobs.start_push(
+            s.file_log(spark, f"{base}/log", schemas.CANDLE), ends, f"{base}/subscriptions", symbols, f"{base}/out",
+            f"{base}/checkpoint", bounded=True,
+        ).awaitTermination()
+    return spark.read.parquet(f"{base}/out").select(
+        "subscriber", "symbol", "interval", "window_start", "open", "close", "trade_count"
+    )
 
 
 @query("decoded_candle_log", f"""WITH {o.TRADES}, {o.candles('M1', name='m1')}, {o.candles('M5', name='m5')},

@@ -184,6 +184,11 @@ def seek_offsets(records: DataFrame, start: datetime) -> DataFrame:
     return records.groupBy(*_POSITION).agg(F.min(reached).alias("start_offset"))
 
 
+def log_ends(records: DataFrame) -> DataFrame:
+    """(topic, partition, start_offset): the offset behind the last record of each partition, where what comes next begins."""
+    return records.groupBy(*_POSITION).agg((F.max("offset") + 1).alias("start_offset"))
+
+
 def from_offsets(log: DataFrame, starts: DataFrame, beyond: str = "skip") -> DataFrame:
     """Records from each partition's start offset on; ``starts`` has a row for each partition, so it is small.
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas
-from tidemark.operators import anomalies, books, explain, lake
+from tidemark.operators import anomalies, books, explain, keyed, lake, serving
 from tidemark.schemas import LakeTable
 from tidemark.session import ROCKSDB, session_conf
 from tidemark.sources import streams
@@ -101,6 +101,13 @@ def start_explanations(
     return _start_batches(anomalies, save, checkpoint, bounded)
 
 
+def start_explanation_store(
+    saves: DataFrame, path: str, checkpoint: str, bounded: bool = False, buckets: int = explain.BUCKETS
+) -> StreamingQuery:
+    """Fold a stream of saves (as ``start_explanations`` logs them) into the store of explanations."""
+    return _start_batches(saves, lambda batch, _: explain.save_explanations(batch, path, buckets), checkpoint, bounded)
+
+
 def start_lake_sink(
     stream: DataFrame,
     root: str,
@@ -159,6 +166,20 @@ def start_volatility_table(stream: DataFrame, path: str, checkpoint: str, bounde
     return _start_batches(stream, handle, checkpoint, bounded, "update")
 
 
+def start_latest_table(
+    stream: DataFrame, path: str, checkpoint: str, keys: list[str], time: str = "window_start", bounded: bool = False
+) -> StreamingQuery:
+    """Keep the last change per key of an update-mode stream, in a folder for each day of ``time``.
+
+    A micro-batch rewrites the days that it changes, so the table has a row per key after any number of them.
+    """
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        with _kept(batch.withColumn("day", F.to_date(time))) as changes:
+            keyed.merge_partitions(changes, path, ["day"], keyed.newest_wins([*keys, "day"]))
+
+    return _start_batches(stream, handle, checkpoint, bounded, "update")
+
+
 def read_latest(changes: DataFrame, keys: list[str]) -> DataFrame:
     """The last change per key of a table written batch by batch."""
     return lake.keep_last(changes, keys, "batch").drop("batch")
@@ -197,16 +218,20 @@ def start_anomalies(
 
 
 def start_gaps(
-    deltas: DataFrame, out: str, state_path: str, checkpoint: str, bounded: bool = False
+    deltas: DataFrame, out: str, state_path: str, checkpoint: str, bounded: bool = False, session: str | None = None
 ) -> StreamingQuery:
     """Gap checks of a stream of deltas. The state is the highest final id per stream.
 
-    Deltas come straight from their log and are read again by each pass rather than held.
+    Deltas come straight from their log and are read again by each pass rather than held. ``session`` names a column
+    that changes when a stream was reset, such as the number of its connection: a new session begins a sequence of its own,
+    and the state forgets the one before, so it stays one row per stream however often that reconnects.
     """
     keys = ["exchange", "symbol"]
+    sessions = [T.StructField(session, deltas.schema[session].dataType)] if session else []
     schema = T.StructType([
         T.StructField("exchange", T.StringType()),
         T.StructField("symbol", T.StringType()),
+        *sessions,
         T.StructField("final_update_id", T.LongType()),
     ])
 
@@ -214,14 +239,45 @@ def start_gaps(
         spark = batch.sparkSession
         before = state.load(spark, state_path, schema, before=batch_id)
         joined = batch.unionByName(before.rows.withColumn("kafka_offset", F.lit(-1)), allowMissingColumns=True)
-        checked = books.sequence_gaps(joined).filter(F.col("kafka_offset") >= 0)
+        checked = books.sequence_gaps(joined, session=session).filter(F.col("kafka_offset") >= 0)
         checked.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        highest = joined.groupBy(*keys).agg(F.max("final_update_id").alias("final_update_id"))
-        state.save(highest, state_path, batch_id, before)
+        names = [f.name for f in sessions]
+        highest = joined.groupBy(*keys, *names).agg(
+            F.max("final_update_id").alias("final_update_id"), F.max("kafka_offset").alias("_last")
+        ).groupBy(*keys).agg(F.max_by(F.struct(*names, "final_update_id"), "_last").alias("newest"))
+        state.save(highest.select(*keys, "newest.*"), state_path, batch_id, before)
 
     return _start_batches(deltas, handle, checkpoint, bounded)
 
 
+# --- push -----------------------------------------------------------------------------------------
+
+SUBSCRIPTION = T.StructType([T.StructField("subscriber", T.StringType()), T.StructField("symbol", T.StringType())])
+
+
+def start_push(
+    log: DataFrame, ends: DataFrame | None, subscriptions: str, symbols: list[str], out: str, checkpoint: str,
+    bounded: bool = False,
+) -> StreamingQuery:
+    """Sealed candles of a candle log to their subscribers, from now on: (subscriber, candle) rows, a folder per micro-batch.
+
+    ``ends`` (``streams.log_ends`` of the log as it stands) says where now is; it is kept, so a restarted push goes on
+    from its checkpoint and does not begin anew. Without it the source itself must start at the latest record. The
+    table at ``subscriptions`` is read again for every micro-batch: who joins hears of what is sealed from then on.
+    """
+    spark = log.sparkSession
+    if ends is not None:
+        kept = f"{checkpoint}-ends"
+        ends.write.mode("ignore").parquet(kept)
+        log = streams.from_offsets(log, spark.read.schema(_STARTS).parquet(kept), beyond="beginning")
+
+    def handle(batch: DataFrame, number: int) -> None:
+        now = batch.sparkSession.read.schema(SUBSCRIPTION).parquet(subscriptions)
+        serving.matching_subscribers(batch, now, symbols).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    return _start_batches(streams.candles_of(log), handle, checkpoint, bounded)
+
+
 _STARTS = T.StructType([
     T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType()), T.StructField("start_offset", T.LongType()),
 ])
