@@ -368,3 +368,80 @@ def refresh_copy(
         counts[table.name] = spark.read.parquet(path).count()
     return counts
 
+
+# --- copies of touched days -----------------------------------------------------------------------
+
+_COPIED = T.StructType([T.StructField("table_name", T.StringType()), T.StructField("commit_seq", T.LongType())])
+
+
+@dataclass(frozen=True)
+class Copied:
+    """What a refresh of one table brought: commits after ``since`` up to ``through``."""
+
+    since: int
+    through: int
+    rows: int
+
+
+def touched_days(spark: SparkSession, root: str, table: LakeTable, since: int, through: int) -> DataFrame:
+    """The days that commits after ``since`` up to ``through`` added rows to: folder names alone tell."""
+    parts = commit_log(spark, root, table).filter(
+        (F.col("operation") == "append") & (F.col("commit_seq") > since) & (F.col("commit_seq") <= through)
+    ).select("part")
+    data = spark.read.schema(_data_schema(table)).parquet(data_path(root, table))
+    return data.join(parts, "part", "left_semi").select(table.day_column).distinct()
+
+
+def copy_path(target: str, table: LakeTable) -> str:
+    return f"{target.rstrip('/')}/{table.name.replace('.', '/')}"
+
+
+def read_copy(spark: SparkSession, target: str, table: LakeTable) -> DataFrame:
+    schema = T.StructType([*table.schema.fields, T.StructField(table.day_column, T.DateType())])
+    return spark.read.schema(schema).parquet(copy_path(target, table))
+
+
+def overwrite_days(rows: DataFrame, path: str, day: str) -> None:
+    """Write whole days, in a folder for each; days that ``rows`` does not have stay as they are."""
+    (
+        rows.hint("rebalance", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd").partitionBy(day).parquet(path)
+    )
+
+
+def noted(spark: SparkSession, target: str, table: LakeTable) -> int:
+    """The last commit of ``table`` that what stands under ``target`` has; 0 at the start."""
+    notes = f"{target.rstrip('/')}/noted"
+    spark.createDataFrame([], _COPIED).write.mode("ignore").parquet(notes)
+    rows = spark.read.schema(_COPIED).parquet(notes).filter(F.col("table_name") == table.name)
+    return rows.agg(F.coalesce(F.max("commit_seq"), F.lit(0))).first()[0]
+
+
+def note(spark: SparkSession, target: str, through: dict[str, int]) -> None:
+    rows = spark.createDataFrame(sorted(through.items()), _COPIED).coalesce(1)
+    rows.write.mode("append").parquet(f"{target.rstrip('/')}/noted")
+
+
+def refresh_days(
+    spark: SparkSession, root: str, target: str, tables: Sequence[LakeTable] = schemas.LAKE_TABLES
+) -> dict[str, Copied]:
+    """Bring the copies under ``target`` up to date, rewriting the days only that commits since the last refresh touched.
+
+    How far a copy has come is noted after its days are written, so a refresh that was cut off is done again. Tables that do
+    not exist are left out.
+    """
+    done = {}
+    for table in tables:
+        if not table_exists(spark, root, table):
+            continue
+        since = noted(spark, target, table)
+        through = commit_log(spark, root, table).filter("operation = 'append'").agg(F.coalesce(F.max("commit_seq"), F.lit(0))).first()[0]
+        rows = 0
+        if through > since:
+            days = touched_days(spark, root, table, since, through)
+            now = _published(spark, root, table, through).select(*_rows(table)).join(days, table.day_column, "left_semi")
+            overwrite_days(now, copy_path(target, table), table.day_column)
+            rows = read_copy(spark, target, table).join(days, table.day_column, "left_semi").count()
+            note(spark, target, {table.name: through})
+        done[table.name] = Copied(since, through, rows)
+    return done

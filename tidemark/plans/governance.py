@@ -6,9 +6,10 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark import schemas
 from tidemark.functions import indicators
 from tidemark.operators import candles as c
-from tidemark.operators import marts, metrics as m, quality as q
+from tidemark.operators import lake, marts, metrics as m, quality as q
 from tidemark.plans import jobs, oracle as o
 from tidemark.plans.registry import query, settle, settle_sql
 from tidemark.session import scratch_dir
@@ -476,3 +477,67 @@ def latency_p99_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     trades = market.trades(spark, sf_dir).withColumn("ts", F.window("event_time", "5 minutes")["start"])
     quantiles = m.histogram_quantile(m.skew_histogram(trades, ("exchange", "ts")), 0.99, ("exchange", "ts"))
     return q.sustained_breaches(quantiles, ["exchange"], 1000.0, 300).drop("peak")
+
+
+# --- the chain by touched days ---------------------------------------------------------------------
+
+def _day_files(spark: SparkSession, base: str) -> DataFrame:
+    """(table_name, folder_day, n_rows, written) of every copy and mart of the chain; ``written`` is when its files were made."""
+    places = {f"copy {t.name}": (lake.copy_path(f"{base}/copy", t), t.day_column) for t in schemas.LAKE_TABLES}
+    places |= {name: (jobs.mart_path(f"{base}/marts", name), day) for name, day in jobs.DAY_OF_MART.items()}
+    out = None
+    for name, (path, day) in places.items():
+        rows = spark.read.parquet(path).groupBy(F.lit(name).alias("table_name"), F.col(day).alias("folder_day")).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.max("_metadata.file_modification_time").alias("written")
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query("hourly_chain", f"""WITH {o.TRADES}, {o.candles('M1', name='m1')}, day AS (SELECT CAST(min(event_time) AS DATE) + 1 AS d FROM trades),
+counts(table_name, folder_day, n_rows) AS (
+  SELECT 'copy bronze.trades', CAST(event_time AS DATE), count(*) FROM trades GROUP BY ALL
+  UNION ALL SELECT 'fct_trade', CAST(event_time AS DATE), count(*) FROM trades GROUP BY ALL
+  UNION ALL SELECT 'copy silver.candles', CAST(window_start AS DATE), count(*) FROM m1 GROUP BY ALL
+  UNION ALL SELECT 'fct_candle', CAST(window_start AS DATE), count(*) FROM m1 GROUP BY ALL
+  UNION ALL SELECT 'fct_symbol_daily', CAST(window_start AS DATE), count(DISTINCT symbol) FROM m1 GROUP BY ALL)
+SELECT table_name, folder_day, n_rows, folder_day = d AS rewritten FROM counts, day""")
+def hourly_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain run twice, with commits to one day in between: that day of every copy and mart is rewritten, no other one."""
+    base = scratch_dir(spark, "chain")
+    trades = market.trades(spark, sf_dir)
+    rows = {schemas.TRADES_TABLE: trades, schemas.CANDLES_TABLE: c.candles(trades, "M1").withColumn("kafka_offset", F.unix_millis("window_start"))}
+    day = trades.agg(F.date_add(F.to_date(F.min("event_time")), 1)).first()[0]
+    for run in range(2):
+        for table, table_rows in rows.items():
+            late = (F.to_date(table.time_column) == F.lit(day)) & (F.minute(table.time_column) % 2 == 0)
+            lake.ensure_table(spark, f"{base}/lake", table)
+            lake.write_batch(table_rows.filter(late if run else ~late), f"{base}/lake", table, run)
+        jobs.hourly_run(spark, f"{base}/lake", base)
+        if not run:
+            _day_files(spark, base).write.parquet(f"{base}/first")
+    first = spark.read.parquet(f"{base}/first").select("table_name", "folder_day", F.col("written").alias("before"))
+    return _day_files(spark, base).join(first, ["table_name", "folder_day"], "left").select(
+        "table_name", "folder_day", "n_rows", (~F.col("written").eqNullSafe(F.col("before"))).alias("rewritten")
+    )
+
+
+@query("hourly_runs", f"""{_M1}, {_GAPS}
+SELECT 'sound' AS run, 'marts' AS stopped, 'candle check minute_gaps' AS failed, count(*) AS trades_in_marts FROM trades WHERE kafka_offset % 7 <> 0
+HAVING (SELECT count(*) FROM minute_gaps) > 0
+UNION ALL SELECT 'spoiled', 'staging', 'stg_trades exchange accepted', count(*) FROM trades WHERE kafka_offset % 7 <> 0""")
+def hourly_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two runs of the chain report: on sound trades, and after some of an unknown exchange came in, before the marts."""
+    base, out = scratch_dir(spark, "runs"), []
+    trades = market.trades(spark, sf_dir)
+    candles = c.candles(trades, "M1").withColumn("kafka_offset", F.unix_millis("window_start"))
+    known = F.col("kafka_offset") % 7 != 0
+    batches = {"sound": trades.filter(known), "spoiled": trades.filter(~known).withColumn("exchange", F.lit("kraken"))}
+    for number, (name, rows) in enumerate(batches.items()):
+        for table, table_rows in ((schemas.TRADES_TABLE, rows), (schemas.CANDLES_TABLE, candles)):
+            lake.ensure_table(spark, f"{base}/lake", table)
+            lake.write_batch(table_rows, f"{base}/lake", table, number)
+        report = jobs.hourly_run(spark, f"{base}/lake", base)
+        in_marts = jobs.read_mart(spark, f"{base}/marts", "fct_trade").count()
+        out += [(name, report.stopped, test, in_marts) for test in report.failed]
+    return spark.createDataFrame(out, "run string, stopped string, failed string, trades_in_marts bigint")

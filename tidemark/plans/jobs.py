@@ -18,6 +18,8 @@ class Report:
     copied: dict[str, int] = field(default_factory=dict)
     passed: list[str] = field(default_factory=list)
     failed: list[str] = field(default_factory=list)
+    #: The stage whose tests failed; the stages after it were not run.
+    stopped: str | None = None
 
 
 MARTS = ("dim_symbol", "fct_trade", "fct_candle", "fct_symbol_daily")
@@ -105,23 +107,27 @@ def test_names() -> list[str]:
 def check_results(tables: dict[str, DataFrame]) -> DataFrame:
     """(test, failures, passed) of every data test and check of the chain.
 
-    ``tables`` has the marts, the seed as ``symbols``, and the staged ``stg_trades`` and ``stg_candles``. All row
-    tests of a table are counted in one pass; keys and references take one each.
+    ``tables`` has the marts, the seed as ``symbols``, and the staged ``stg_trades`` and ``stg_candles``, or some of
+    these: tests of the others are left out. All row tests of a table are counted in one pass; keys and references take one each.
     """
     def one(name: str, failing: DataFrame) -> DataFrame:
         return failing.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("test"), "failures")
 
     parts = []
     for table, tests in _row_tests().items():
+        if table not in tables:
+            continue
         totals = tables[table].agg(*[F.count_if(failing).alias(name) for name, failing in tests.items()])
         rows = F.array(*[F.struct(F.lit(f"{table} {n}").alias("test"), F.col(f"`{n}`").alias("failures")) for n in tests])
         parts.append(totals.select(F.inline(rows)))
-    for table, keys in _KEYS.items():
-        parts.append(one(f"{table} key unique", q.unique_combination(tables[table], keys)))
-    for table in _OF_SYMBOL:
+    for table in (t for t in _KEYS if t in tables):
+        parts.append(one(f"{table} key unique", q.unique_combination(tables[table], _KEYS[table])))
+    for table in (t for t in _OF_SYMBOL if t in tables):
         parts.append(one(f"{table} symbol known", q.relationships(tables[table], "symbol", tables["dim_symbol"], "symbol")))
-    for name, checks in (("trade", q.trade_checks(tables["fct_trade"])), ("candle", q.candle_checks(tables["fct_candle"]))):
-        parts.append(checks.select(
+    for name, table, check in (("trade", "fct_trade", q.trade_checks), ("candle", "fct_candle", q.candle_checks)):
+        if table not in tables:
+            continue
+        parts.append(check(tables[table]).select(
             F.concat(F.lit(f"{name} check "), "check_name").alias("test"),
             F.when(F.col("passed"), 0).when(F.col("check_name") == "minute_gaps", F.col("value")).otherwise(1).cast("bigint").alias("failures"),
         ))
@@ -142,3 +148,70 @@ def hourly_checks(spark: SparkSession, root: str, target: str) -> Report:
     for row in check_results(tables).collect():  # one row for each test
         (report.passed if row["passed"] else report.failed).append(row["test"])
     return report
+
+
+# --- by touched days ------------------------------------------------------------------------------
+
+#: Marts of facts and the column of their days.
+DAY_OF_MART = {"fct_trade": "event_date", "fct_candle": "window_date", "fct_symbol_daily": "trade_date"}
+
+
+def mart_path(target: str, name: str) -> str:
+    return f"{target.rstrip('/')}/{name}"
+
+
+def read_mart(spark: SparkSession, target: str, name: str) -> DataFrame:
+    return spark.read.parquet(mart_path(target, name))
+
+
+def build_days(spark: SparkSession, copy: str, target: str, days: dict[str, DataFrame]) -> None:
+    """Build the marts of the days in ``days`` (lake table to its touched days) anew; other days are not read.
+
+    Every fact of a mart follows from rows of its own day, so a day built anew is whole.
+    """
+    marts.dim_symbol(read_symbol_seed(spark)).coalesce(1).write.mode("overwrite").parquet(mart_path(target, "dim_symbol"))
+
+    def touched(table: schemas.LakeTable) -> DataFrame:
+        return lake.read_copy(spark, copy, table).join(days[table.name], table.day_column, "left_semi").drop(table.day_column)
+
+    if (table := schemas.TRADES_TABLE).name in days:
+        lake.overwrite_days(marts.fct_trade(touched(table)), mart_path(target, "fct_trade"), DAY_OF_MART["fct_trade"])
+    if (table := schemas.CANDLES_TABLE).name in days:
+        day = DAY_OF_MART["fct_candle"]
+        lake.overwrite_days(marts.fct_candle(touched(table)), mart_path(target, "fct_candle"), day)
+        changed = days[table.name].withColumnRenamed(table.day_column, day)
+        fct = read_mart(spark, target, "fct_candle").join(changed, day, "left_semi")
+        lake.overwrite_days(marts.fct_symbol_daily(fct), mart_path(target, "fct_symbol_daily"), DAY_OF_MART["fct_symbol_daily"])
+
+
+def _test(report: Report, stage: str, tables: dict[str, DataFrame]) -> bool:
+    for row in check_results(tables).collect():  # one row for each test
+        (report.passed if row["passed"] else report.failed).append(row["test"])
+    report.stopped = stage if report.failed else None
+    return not report.failed
+
+
+def hourly_run(spark: SparkSession, root: str, target: str) -> Report:
+    """Copy, test what is staged, build the marts, test and check them; a stage with a failed test is the last one.
+
+    Copies and marts under ``target`` are kept from run to run, and a run rewrites the days that were touched since.
+    Where the staged tables fail, the marts stay as the last good run left them; days that they lack then are
+    built by the next good run, as the marts note for themselves how far they have come.
+    """
+    report, copy, built = Report(), f"{target.rstrip('/')}/copy", f"{target.rstrip('/')}/marts"
+    report.copied = {name: c.rows for name, c in lake.refresh_days(spark, root, copy).items()}
+    trades, candles = (lake.read_copy(spark, copy, t).drop(t.day_column) for t in schemas.LAKE_TABLES)
+    staged = {
+        "symbols": read_symbol_seed(spark), "stg_trades": marts.staged_trades(trades), "stg_candles": marts.staged_candles(candles),
+    }
+    if not _test(report, "staging", staged):
+        return report
+    days, through = {}, {}
+    for table in schemas.LAKE_TABLES:
+        since, last = (lake.noted(spark, path, table) for path in (built, copy))
+        if last > since:
+            days[table.name], through[table.name] = lake.touched_days(spark, root, table, since, last), last
+    build_days(spark, copy, built, days)
+    lake.note(spark, built, through)
+    _test(report, "marts", {name: read_mart(spark, built, name) for name in MARTS})
+    return report
