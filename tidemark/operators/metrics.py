@@ -6,8 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark import schemas
 from tidemark.operators.candles import skew_ms
 from tidemark.operators.quality import sustained_breaches
+from tidemark.operators.segments import running_max
 
 # Upper bounds of the histograms of skew and of commit time; a last bucket is open.
 SKEW_BOUNDS_MS = (5, 10, 25, 50, 100, 250, 500, 1000, 5000, 30000)
@@ -72,6 +74,31 @@ def skew_quantile(events: DataFrame, q: float = 0.99) -> DataFrame:
     return counted.groupBy("exchange").agg(F.percentile("skew", q, F.col("n")).alias("skew_ms"))
 
 
+# --- quantiles that merge -------------------------------------------------------------------------
+
+#: Size of a sketch: about 3 KB, whatever it has seen.
+SKETCH_K = 200
+#: Fixed value: with that size the rank of an answer is within this share of the asked one (99 times of 100).
+SKETCH_RANK_ERROR = 0.0133
+
+
+def skew_sketches(events: DataFrame, keys: Sequence[str] = ("exchange",), size: str = "5 minutes") -> DataFrame:
+    """(keys, ts, n, sketch): a quantile sketch of arrival skew per key and stretch of event time.
+
+    Sketches are made map-side and merge, so they can be kept and any span be asked later without its events.
+    """
+    return events.groupBy(*keys, F.window("event_time", size)["start"].alias("ts")).agg(
+        F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_bigint(skew_ms(), F.lit(SKETCH_K)).alias("sketch")
+    )
+
+
+def merged_quantile(sketches: DataFrame, keys: Sequence[str | Column], q: float = 0.99) -> DataFrame:
+    """(keys, n, value) of sketches merged over all that share the keys; ``value`` is off by SKETCH_RANK_ERROR in rank."""
+    return sketches.groupBy(*keys).agg(F.sum("n").alias("n"), F.kll_merge_agg_bigint("sketch", F.lit(SKETCH_K)).alias("_merged")).withColumn(
+        "value", F.kll_sketch_get_quantile_bigint("_merged", F.lit(q))
+    ).drop("_merged")
+
+
 def histogram_quantile(histogram: DataFrame, q: float = 0.99, keys: Sequence[str] = ("exchange",)) -> DataFrame:
     """Quantile interpolated in cumulative buckets (keys, le, count), as monitoring systems do.
 
@@ -109,6 +136,36 @@ def freshness(table: DataFrame, time: str, now: Column, slo_seconds: float = FRE
     )
 
 
+def seal_instants(trades: DataFrame, interval: str = "M1", segment_seconds: int = 3600) -> DataFrame:
+    """(window_end, sealed_at): when each window with trades was sealed, null if it is open yet.
+
+    A window is sealed by the first arrival at which the newest event time, of all symbols, has reached its end plus
+    grace, so by the earliest arrival among the trades from that time on. Arrivals first shrink to one for each second of
+    event time, as ends and graces are whole seconds; the earliest from a second on is then a running minimum back
+    from the newest second, per segment with a carry.
+    """
+    i = schemas.INTERVALS[schemas.check_interval(interval)]
+    second = F.floor(F.unix_millis("event_time") / 1000)
+    arrivals = trades.groupBy(second.alias("at")).agg(F.min(F.unix_millis("ingest_time")).alias("arrived"))
+    end = F.window("event_time", i.size)["end"]
+    ends = trades.select(end.alias("window_end")).distinct().select(
+        (F.unix_seconds("window_end") + i.grace_seconds).alias("at"), "window_end"
+    )
+    both = arrivals.withColumn("window_end", F.lit(None).cast("timestamp")).unionByName(ends, allowMissingColumns=True)
+    back = F.struct(-F.col("at"), F.col("window_end").isNotNull())  # newest first; at one second arrivals before ends
+    segment = -F.floor(F.col("at") / segment_seconds)
+    earliest = running_max(both, [], back, -F.col("arrived"), segment, "_earliest", inclusive=True)
+    return earliest.filter("window_end IS NOT NULL").select("window_end", F.timestamp_millis(-F.col("_earliest")).alias("sealed_at"))
+
+
+def seal_latency(seals: DataFrame, q: float = 0.99) -> DataFrame:
+    """One row, ``seconds``: the exact quantile of the time from a window's end to its seal, over windows that are sealed."""
+    late = seals.filter("sealed_at IS NOT NULL").groupBy(
+        (F.unix_millis("sealed_at") - F.unix_millis("window_end")).alias("ms")
+    ).agg(F.count(F.lit(1)).alias("n"))
+    return late.agg((F.percentile("ms", q, F.col("n")) / 1000.0).alias("seconds"))
+
+
 def consumer_lag(ends: DataFrame, positions: DataFrame) -> DataFrame:
     """Unread records per (topic, partition): high-water mark minus next offset, at least 0."""
     return ends.join(positions, ["topic", "partition"], "left").select(

@@ -235,11 +235,20 @@ def _struct_problems(old: T.StructType, new: T.StructType, prefix: str) -> list[
                 problems.append(f"{name}: added without a default")
             continue
         problems += _type_problems(before[field.name].dataType, field.dataType, name)
+        problems += _symbol_problems(before[field.name], field, name)
         if before[field.name].nullable and not field.nullable:
             problems.append(f"{name}: made required")
     return problems
 
 
+def _symbol_problems(old: T.StructField, new: T.StructField, name: str) -> list[str]:
+    """Enums (fields with ``symbols``) must know every symbol that was written, and do not mix with plain strings."""
+    before, after = (f.metadata.get("symbols") for f in (old, new))
+    if (before is None) != (after is None):
+        return [f"{name}: an enum and a string cannot be read as each other"] if old.dataType == new.dataType else []
+    return [f"{name}: symbol {s} removed" for s in before or () if s not in after]
+
+
 def _type_problems(old: T.DataType, new: T.DataType, name: str) -> list[str]:
     if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
         return _type_problems(old.elementType, new.elementType, f"{name}[]")
@@ -256,13 +265,38 @@ def backward_compatible(old: T.StructType | None, new: T.StructType) -> bool:
 
 
 def upgrade(rows: DataFrame, new: T.StructType) -> DataFrame:
-    """Older rows in the columns of ``new``: promoted types, defaults for added fields."""
-    def column(field: T.StructField) -> Column:
-        if field.name in rows.columns:
-            return F.col(field.name).cast(field.dataType).alias(field.name)
-        return F.lit(field.metadata.get("default")).cast(field.dataType).alias(field.name)
+    """Older rows in the columns of ``new``, by name at every depth: promoted types, defaults for added fields."""
+    return rows.select(*_read_fields(lambda name: F.col(f"`{name}`"), rows.schema, new))
 
-    return rows.select(*[column(f) for f in new.fields])
+
+def _read_fields(of, old: T.StructType, new: T.StructType) -> list[Column]:
+    names = old.fieldNames()
+    return [
+        (_read_as(of(f.name), old[f.name].dataType, f.dataType) if f.name in names
+         else F.lit(f.metadata.get("default")).cast(f.dataType)).alias(f.name)
+        for f in new.fields
+    ]
+
+
+def _read_as(value: Column, old: T.DataType, new: T.DataType) -> Column:
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return F.transform(value, lambda x: _read_as(x, old.elementType, new.elementType))
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        return F.when(value.isNotNull(), F.struct(*_read_fields(lambda name: value[name], old, new)))
+    return value.cast(new)
+
+
+def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(rows of either table, ``only_left``, ``only_right``): how much more often a row stands in one than in the other.
+
+    One aggregation over both; rows that stand in both equally often are left out. Nulls equal each other.
+    """
+    columns = left.columns
+    both = left.withColumn("_in", F.lit(1)).unionByName(right.withColumn("_in", F.lit(-1)))
+    more = both.groupBy(*columns).agg(F.sum("_in").alias("_more")).filter("_more != 0")
+    return more.select(
+        *columns, F.greatest("_more", F.lit(0)).alias("only_left"), F.greatest(-F.col("_more"), F.lit(0)).alias("only_right")
+    )
 
 
 def same_rows(left: DataFrame, right: DataFrame) -> bool:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark import schemas
 from tidemark.functions import indicators
 from tidemark.operators import candles as c
 from tidemark.operators import lake, marts, metrics as m, quality as q
 from tidemark.plans import jobs, oracle as o
+from tidemark.plans.detection import anomaly_ctes, hourly_anomalies
 from tidemark.plans.registry import query, settle, settle_sql
 from tidemark.session import scratch_dir
 from tidemark.sources import market, seed
@@ -206,6 +207,186 @@ def contract_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("candle_rejects", f"""WITH {o.TRADES}, {o.candles('H1')}
+SELECT CASE symbol WHEN 'XRP-USD' THEN 'interval not accepted' WHEN 'ETH-USD' THEN 'ohlc inconsistent'
+       WHEN 'SOL-USD' THEN 'volume not double' WHEN 'BTC-USD' THEN 'vwap missing' END AS reason, count(*) AS n_rows
+FROM candles WHERE symbol <> 'DOGE-USD' GROUP BY symbol""")
+def candle_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reasons found by the candle contract in hourly candles, spoiled in another way for each symbol."""
+    symbol = F.col("symbol")
+    feed = c.candles(market.trades(spark, sf_dir), "H1").withColumns({
+        "interval": F.when(symbol == "XRP-USD", "M9").otherwise(F.col("interval")),
+        "high": F.when(symbol == "ETH-USD", F.col("low") - 1).otherwise(F.col("high")),
+        "volume": F.when(symbol == "SOL-USD", "many").otherwise(F.col("volume").cast("string")),
+        "vwap": F.when(symbol != "BTC-USD", F.col("vwap")),
+        "is_final": F.lit(None).cast("boolean"),
+    })
+    return _reasons(feed, "candle")
+
+
+@query("delta_rejects", f"""WITH {o.DELTAS},
+reasons AS (
+  SELECT 'final id before first' AS reason FROM deltas WHERE kafka_offset % 5 = 0
+  UNION ALL SELECT 'exchange not accepted' FROM deltas WHERE kafka_offset % 7 = 0
+  UNION ALL SELECT 'bids missing' FROM deltas WHERE kafka_offset % 3 = 0
+  UNION ALL SELECT 'symbol missing' FROM deltas WHERE symbol = 'XRP-USD')
+SELECT reason, count(*) AS n_rows FROM reasons GROUP BY reason""")
+def delta_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reasons found by the contract of deltas where ids run backwards and exchanges, symbols and sides are spoiled."""
+    offset = F.col("kafka_offset")
+    feed = market.orderbook_deltas(market.trades(spark, sf_dir)).withColumns({
+        "final_update_id": F.when(offset % 5 == 0, F.col("first_update_id") - 1).otherwise(F.col("final_update_id")),
+        "exchange": F.when(offset % 7 == 0, "kraken").otherwise(F.col("exchange")),
+        "bids": F.when(offset % 3 != 0, F.col("bids")),
+        "symbol": F.when(F.col("symbol") != "XRP-USD", F.col("symbol")),
+    })
+    return _reasons(feed, "orderbook_delta")
+
+
+@query("anomaly_rejects", f"""WITH {anomaly_ctes()},
+reasons AS (
+  SELECT 'severity not double' AS reason FROM anomalies WHERE anomaly_type = 'PRICE_SPIKE'
+  UNION ALL SELECT 'anomaly_type not accepted' FROM anomalies WHERE anomaly_type = 'VOLUME_SPIKE'
+  UNION ALL SELECT 'symbol missing' FROM anomalies WHERE symbol = 'ETH-USD'
+  UNION ALL SELECT 'detected_at not timestamp' FROM anomalies WHERE symbol = 'BTC-USD')
+SELECT reason, count(*) AS n_rows FROM reasons GROUP BY reason""")
+def anomaly_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reasons found by the anomaly contract; a missing interval has a default and is none."""
+    kind, symbol = F.col("anomaly_type"), F.col("symbol")
+    feed = hourly_anomalies(spark, sf_dir).withColumns({
+        "severity": F.when(kind == "PRICE_SPIKE", "high").otherwise(F.col("severity").cast("string")),
+        "anomaly_type": F.when(kind == "VOLUME_SPIKE", "OTHER").otherwise(kind),
+        "detected_at": F.when(symbol == "BTC-USD", "soon").otherwise("2024-01-01 00:00:00"),
+        "symbol": F.when(symbol != "ETH-USD", symbol),
+        "candle_interval": F.lit(None).cast("string"),
+    })
+    return _reasons(feed, "anomaly")
+
+
+def _reasons(feed: DataFrame, contract: str) -> DataFrame:
+    _, rejected = q.contract_check(feed, contract)
+    return rejected.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _old_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, T.StructType]:
+    """Orders as files of an old contract."""
+    old = T.StructType([
+        T.StructField("id", T.LongType(), False), T.StructField("n", T.IntegerType(), False), T.StructField("price", T.FloatType(), False),
+        T.StructField("status", T.StringType(), False, {"symbols": ["F", "O", "P"]}), T.StructField("note", T.StringType(), True),
+        T.StructField("levels", T.ArrayType(T.StructType([T.StructField("size", T.IntegerType(), False)]), False), False),
+    ])
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        F.col("o_orderkey").cast("long").alias("id"), (F.col("o_orderkey") % 1000).cast("int").alias("n"),
+        F.col("o_totalprice").cast("float").alias("price"), F.col("o_orderstatus").alias("status"), F.lit(None).cast("string").alias("note"),
+        F.array(F.struct(F.lit(1).alias("size"))).alias("levels"),
+    )
+    return rows, old
+
+
+def _changes(old: T.StructType) -> dict[str, T.StructType]:
+    """The old contract with one change each."""
+    def with_(name: str, field: T.StructField | None) -> T.StructType:
+        kept = [field if f.name == name else f for f in old.fields]
+        return T.StructType([f for f in kept + ([field] if name not in old.fieldNames() else []) if f is not None])
+
+    def level(*fields: T.StructField) -> T.StructType:
+        return with_("levels", T.StructField("levels", T.ArrayType(T.StructType(list(fields)), False), False))
+
+    field, size = T.StructField, T.StructField("size", T.IntegerType(), False)
+    return {
+        "none": old,
+        "field with a default": with_("venue", field("venue", T.StringType(), False, {"default": "XX"})),
+        "field that may be null": with_("venue", field("venue", T.StringType(), True)),
+        "field without a default": with_("venue", field("venue", T.StringType(), False)),
+        "field left out": with_("note", None),
+        "field renamed": T.StructType([field("number", f.dataType, False) if f.name == "n" else f for f in old.fields]),
+        "int to bigint": with_("n", field("n", T.LongType(), False)),
+        "int to double": with_("n", field("n", T.DoubleType(), False)),
+        "float to double": with_("price", field("price", T.DoubleType(), False)),
+        "bigint to int": with_("id", field("id", T.IntegerType(), False)),
+        "float to string": with_("price", field("price", T.StringType(), False)),
+        "string to binary": with_("note", field("note", T.BinaryType(), True)),
+        "made required": with_("note", field("note", T.StringType(), False)),
+        "symbol added": with_("status", field("status", T.StringType(), False, {"symbols": ["F", "O", "P", "X"]})),
+        "symbol removed": with_("status", field("status", T.StringType(), False, {"symbols": ["F", "O"]})),
+        "enum to string": with_("status", field("status", T.StringType(), False)),
+        "element promoted": level(field("size", T.LongType(), False)),
+        "element field with a default": level(size, field("side", T.StringType(), False, {"default": "bid"})),
+        "element field without a default": level(size, field("side", T.StringType(), False)),
+    }
+
+
+@query("schema_evolution", """WITH verdicts(change, problems, filled) AS (VALUES
+  ('none', NULL, 0), ('field with a default', NULL, 1), ('field that may be null', NULL, 0),
+  ('field without a default', 'venue: added without a default', 0), ('field left out', NULL, 0),
+  ('field renamed', 'number: added without a default', 0), ('int to bigint', NULL, 0), ('int to double', NULL, 0),
+  ('float to double', NULL, 0), ('bigint to int', 'id: bigint cannot be read as int', 0),
+  ('float to string', 'price: float cannot be read as string', 0), ('string to binary', NULL, 0),
+  ('made required', 'note: made required', 0), ('symbol added', NULL, 0), ('symbol removed', 'status: symbol P removed', 0),
+  ('enum to string', 'status: an enum and a string cannot be read as each other', 0), ('element promoted', NULL, 0),
+  ('element field with a default', NULL, 0), ('element field without a default', 'levels[].side: added without a default', 0)),
+totals AS (SELECT count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS ids, CAST(sum(o_orderkey % 1000) AS BIGINT) AS ns FROM orders)
+SELECT change, problems IS NULL AS compatible, problems, CASE WHEN problems IS NULL THEN n END AS n_rows,
+       CASE WHEN problems IS NULL THEN ids END AS id_sum, CASE WHEN problems IS NULL THEN ns END AS n_sum,
+       CASE WHEN problems IS NULL THEN filled * n END AS filled, CASE WHEN problems IS NULL THEN n END AS sizes
+FROM verdicts, totals""")
+def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on changes of a contract, and what files of the old one give under each that passes."""
+    rows, old = _old_orders(spark, sf_dir)
+    path = scratch_dir(spark, "old-files")
+    rows.write.parquet(path)
+    out = None
+    for change, new in _changes(old).items():
+        problems = "; ".join(q.incompatibilities(old, new)) or None
+        if problems is None:
+            read = q.upgrade(spark.read.schema(old).parquet(path), new)
+            venue = F.count_if(F.col("venue") == "XX") if "venue" in new.fieldNames() else F.lit(0).cast("bigint")
+            figures = read.agg(
+                F.count(F.lit(1)).alias("n_rows"), F.sum("id").alias("id_sum"), F.sum(F.col("n").cast("bigint")).alias("n_sum"),
+                venue.alias("filled"), F.sum(F.aggregate("levels", F.lit(0).cast("bigint"), lambda a, x: a + x["size"])).alias("sizes"),
+            )
+        else:
+            figures = spark.range(1).select(*[F.lit(None).cast("bigint").alias(n) for n in ("n_rows", "id_sum", "n_sum", "filled", "sizes")])
+        row = figures.select(
+            F.lit(change).alias("change"), F.lit(problems is None).alias("compatible"), F.lit(problems).cast("string").alias("problems"), "*"
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("synced_copies", """WITH moved AS (SELECT count(*) AS n FROM supplier WHERE s_nationkey = 7)
+SELECT 'seed as a mart' AS copy, true AS same, CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right
+UNION ALL SELECT 'seed without DOGE-USD', false, 1, 0
+UNION ALL SELECT 'suppliers as written', true, 0, 0
+UNION ALL SELECT 'suppliers of nation 7 twice', n = 0, 0, n FROM moved
+UNION ALL SELECT 'suppliers of nation 7 renamed', n = 0, n, n FROM moved""")
+def synced_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether two copies of a table hold the same rows: the seed in its places, and suppliers with planted differences."""
+    base = scratch_dir(spark, "copies")
+    symbols = seed.read_symbol_seed(spark)
+    symbols.withColumn("active", F.col("active").cast("string")).write.option("header", True).csv(f"{base}/seed")
+    again = seed.read_symbol_seed(spark, f"{base}/seed")
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    suppliers.write.parquet(f"{base}/supplier")
+    copy = spark.read.schema(suppliers.schema).parquet(f"{base}/supplier")
+    seven = F.col("s_nationkey") == 7
+    pairs = {
+        "seed as a mart": (symbols, again),
+        "seed without DOGE-USD": (symbols, again.filter("canonical != 'DOGE-USD'")),
+        "suppliers as written": (suppliers, copy),
+        "suppliers of nation 7 twice": (suppliers, copy.unionByName(copy.filter(seven))),
+        "suppliers of nation 7 renamed": (suppliers, copy.withColumn("s_name", F.when(seven, F.lower("s_name")).otherwise(F.col("s_name")))),
+    }
+    out = None
+    for name, (left, right) in pairs.items():
+        sums = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("only_left", "only_right")]
+        row = q.row_differences(left, right).agg(*sums).select(
+            F.lit(name).alias("copy"), ((F.col("only_left") == 0) & (F.col("only_right") == 0)).alias("same"), "only_left", "only_right"
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query("throughput", f"""WITH {o.TRADES}
 SELECT exchange, symbol, count(*) AS events FROM trades GROUP BY exchange, symbol""")
 def throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,32 +509,75 @@ def caught_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     return behind.unionByName(done.withColumn("reader", F.lit("done")))
 
 
-@query("slo_status", f"""{_LAG},
+_SEALS = """arrivals AS (SELECT event_time, ingest_time FROM trades),
+window_ends AS (SELECT DISTINCT time_bucket(INTERVAL 1 MINUTE, event_time) + INTERVAL 1 MINUTE AS window_end FROM trades),
+marks AS (
+  SELECT event_time AS mark, ingest_time, CAST(NULL AS TIMESTAMP) AS window_end, 0 AS is_end FROM arrivals
+  UNION ALL SELECT window_end + INTERVAL 10 SECOND, NULL, window_end, 1 FROM window_ends),
+earliest AS (
+  SELECT window_end, min(ingest_time) OVER (ORDER BY mark DESC, is_end ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sealed_at
+  FROM marks),
+seals AS (SELECT * FROM earliest WHERE window_end IS NOT NULL)"""
+
+
+@query("seal_instants", f"WITH {o.TRADES}, {_SEALS} SELECT window_end, sealed_at FROM seals")
+def seal_instants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When the minute windows were sealed, by arrival."""
+    return m.seal_instants(market.trades(spark, sf_dir), "M1")
+
+
+@query("slo_status", f"""{_LAG}, {_SEALS},
 measures(metric, value) AS (
-  SELECT 'freshness', 30.0::DOUBLE
+  SELECT 'freshness', (epoch_ms(max(ingest_time)) - epoch_ms(max(event_time))) / 1000.0 FROM trades
   UNION ALL SELECT 'consumer_lag', CAST(max(lag) AS DOUBLE) FROM lag
   UNION ALL SELECT 'serve_latency_p99', quantile_cont(CAST(epoch_ms(ingest_time) - epoch_ms(event_time) AS DOUBLE), 0.99) / 1000
-            FROM trades)
-SELECT metric, CASE metric WHEN 'freshness' THEN 'bronze.trades' WHEN 'consumer_lag' THEN 'sink' ELSE 'api' END AS subject,
-       {settle_sql('value')} AS value,
-       CASE metric WHEN 'freshness' THEN 60.0::DOUBLE WHEN 'consumer_lag' THEN 10000.0 ELSE 2.0 END AS threshold,
-       value <= CASE metric WHEN 'freshness' THEN 60.0 WHEN 'consumer_lag' THEN 10000.0 ELSE 2.0 END AS ok
-FROM measures""")
+            FROM trades
+  UNION ALL SELECT 'e2e_latency', quantile_cont(CAST(epoch_ms(sealed_at) - epoch_ms(window_end) AS DOUBLE), 0.99) / 1000
+            FROM seals WHERE sealed_at IS NOT NULL),
+limits(metric, subject, threshold) AS (VALUES ('freshness', 'bronze.trades', 60.0::DOUBLE), ('consumer_lag', 'sink', 10000.0),
+       ('serve_latency_p99', 'api', 2.0), ('e2e_latency', 'silver.candles', 5.0))
+SELECT metric, subject, {settle_sql('value')} AS value, threshold, value <= threshold AS ok FROM measures JOIN limits USING (metric)""")
 def slo_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Service levels measured on the trades; arrival skew stands in for the latency of the API."""
+    """All service levels measured on the trades: age of the newest event when the last one came in, unread records,
+    arrival skew in place of the API's latency, and the time from a candle's end to its seal."""
     trades = market.trades(spark, sf_dir)
-    fresh = m.freshness(trades, "event_time", _now(trades)).select(
-        F.lit("freshness").alias("metric"), F.col("freshness_seconds").alias("value")
-    )
-    lag = m.consumer_lag(_log_ends(trades), _read_positions(trades)).agg(F.max("lag").cast("double").alias("value"))
     everyone = trades.withColumn("exchange", F.lit("all"))
-    latency = m.skew_quantile(everyone, 0.99).select((F.col("skew_ms") / 1000).alias("value"))
-    measures = fresh.unionByName(lag.withColumn("metric", F.lit("consumer_lag"))).unionByName(
-        latency.withColumn("metric", F.lit("serve_latency_p99"))
-    )
+    values = {
+        "freshness": m.freshness(trades, "event_time", trades.select(F.max("ingest_time")).scalar()).select("freshness_seconds"),
+        "consumer_lag": m.consumer_lag(_log_ends(trades), _read_positions(trades)).agg(F.max("lag").cast("double")),
+        "serve_latency_p99": m.skew_quantile(everyone, 0.99).select(F.col("skew_ms") / 1000),
+        "e2e_latency": m.seal_latency(m.seal_instants(trades)),
+    }
+    measures = None
+    for metric, value in values.items():
+        row = value.toDF("value").withColumn("metric", F.lit(metric))
+        measures = row if measures is None else measures.unionByName(row)
     return m.evaluate_slos(measures).withColumn("value", settle(F.col("value")))
 
 
+@query("skew_sketch_days", f"""WITH {o.TRADES}
+SELECT exchange, CAST(event_time AS DATE) AS "day", count(*) AS n, true AS within_bound FROM trades GROUP BY ALL
+UNION ALL SELECT exchange, NULL, count(*), true FROM trades GROUP BY ALL""")
+def skew_sketch_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 0.99 quantile of each day and of all time from sketches of five minutes, held against the exact ranks of the trades."""
+    trades = market.trades(spark, sf_dir)
+    sketches = m.skew_sketches(trades)
+    days = m.merged_quantile(sketches, ["exchange", F.to_date("ts").alias("day")])
+    found = days.unionByName(m.merged_quantile(sketches, ["exchange"]).withColumn("day", F.lit(None).cast("date")))
+    exact = trades.select("exchange", F.to_date("event_time").alias("on"), c.skew_ms().alias("skew")).groupBy("exchange", "on", "skew").agg(
+        F.count(F.lit(1)).alias("k")
+    )
+    same = F.col("found.day").isNull() | (F.col("found.day") == F.col("exact.on"))
+    ranked = found.alias("found").join(exact.alias("exact"), (F.col("found.exchange") == F.col("exact.exchange")) & same).groupBy(
+        "found.exchange", "found.day", "found.n"
+    ).agg(
+        (F.sum(F.when(F.col("skew") < F.col("value"), F.col("k")).otherwise(0)) / F.first("n")).alias("below"),
+        (F.sum(F.when(F.col("skew") <= F.col("value"), F.col("k")).otherwise(0)) / F.first("n")).alias("up_to"),
+    )
+    good = (F.col("below") <= 0.99 + m.SKETCH_RANK_ERROR) & (F.col("up_to") >= 0.99 - m.SKETCH_RANK_ERROR)
+    return ranked.select("exchange", "day", "n", good.alias("within_bound"))
+
+
 @query("sustained_breaches", f"""WITH {o.TRADES},
 samples AS (
   SELECT symbol, date_trunc('minute', event_time) AS ts, max(quantity) AS value FROM trades GROUP BY ALL),

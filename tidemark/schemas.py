@@ -35,8 +35,10 @@ ORDERBOOK_TOPIC = "orderbook.delta"
 ANOMALY_TOPIC = "events.anomaly"
 
 
-def _field(name: str, dtype: T.DataType, nullable: bool = False, default=None) -> T.StructField:
+def _field(name: str, dtype: T.DataType, nullable: bool = False, default=None, symbols: tuple[str, ...] = ()) -> T.StructField:
     metadata = {} if default is None else {"default": default}
+    if symbols:  # an enum on the wire
+        metadata["symbols"] = list(symbols)
     return T.StructField(name, dtype, nullable, metadata)
 
 
@@ -49,7 +51,7 @@ TRADE = T.StructType([
     _field("symbol", _string),
     _field("price", _double),
     _field("quantity", _double),
-    _field("side", _string, default="UNKNOWN"),
+    _field("side", _string, default="UNKNOWN", symbols=SIDES),
     _field("event_time", _timestamp),
     _field("ingest_time", _timestamp),
 ])
@@ -89,7 +91,7 @@ ANOMALY = T.StructType([
     _field("anomaly_id", _string),
     _field("symbol", _string),
     _field("detected_at", _timestamp),
-    _field("anomaly_type", _string),
+    _field("anomaly_type", _string, symbols=ANOMALY_TYPES),
     _field("severity", _double),
     _field("current_value", _double),
     _field("baseline_value", _double),
