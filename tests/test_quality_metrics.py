@@ -220,3 +220,60 @@ def test_hourly_checks_report_every_failure(spark, make_trades, tmp_path):
     lake.write_batch(bad, root, schemas.TRADES_TABLE, 1)
     report = hourly_checks(spark, root, str(tmp_path / "marts"))
     assert report.failed == ["fct_trade positive values", "trade check min_price", "trade check min_notional"]
+
+
+def test_seals_follow_the_newest_event_of_all_symbols(spark, make_trades):
+    """Against a walk over the arrivals in order."""
+    import random
+
+    rng = random.Random(4)
+    rows = [(1700000040000 + rng.randrange(0, 900_000), 1, 1, rng.choice(["BTC-USD", "ETH-USD"]), rng.randrange(0, 40_000)) for _ in range(200)]
+    trades = make_trades(rows)
+    ends = {(ms // 60_000 + 1) * 60_000 for ms, *_ in rows}
+    newest, want = 0, dict.fromkeys(ends)
+    for ms, _, _, _, delay in sorted(rows, key=lambda r: r[0] + r[4]):
+        newest = max(newest, ms)
+        for end in ends:
+            if want[end] is None and newest >= end + 10_000:
+                want[end] = ms + delay
+    for segment in (60, 3600):
+        got = {ms_of(r.window_end): r.sealed_at and ms_of(r.sealed_at) for r in m.seal_instants(trades, "M1", segment).collect()}
+        assert got == want and None in want.values()
+    late = sorted(sealed - end for end, sealed in want.items() if sealed)
+    seconds = m.seal_latency(m.seal_instants(trades), 1.0).first().seconds
+    assert seconds == late[-1] / 1000
+    assert m.seal_latency(m.seal_instants(trades.limit(0))).first().seconds is None
+
+
+def test_sketches_merge_to_any_span(make_trades):
+    rows = [(1700000000000 + 700 * i, 1, 1, "BTC-USD", i * 37 % 5000, ("binance", "coinbase")[i % 3 == 0]) for i in range(3000)]
+    sketches = m.skew_sketches(make_trades(rows)).cache()
+    assert sketches.count() > 8 and sketches.agg(F.max(F.length("sketch"))).first()[0] < 4000
+    for exchange, n, value in sorted(tuple(r) for r in m.merged_quantile(sketches, ["exchange"]).collect()):
+        skews = sorted(r[4] for r in rows if r[5] == exchange)
+        below, up_to = (sum(s < value for s in skews) / n, sum(s <= value for s in skews) / n)
+        assert len(skews) == n and below <= 0.99 + m.SKETCH_RANK_ERROR and up_to >= 0.99 - m.SKETCH_RANK_ERROR
+    halves = m.merged_quantile(sketches, ["exchange", (F.unix_seconds("ts") % 600 == 0).alias("even")])
+    assert halves.agg(F.sum("n")).first()[0] == 3000
+
+
+def test_symbols_and_elements_evolve(spark):
+    field, text = T.StructField, T.StringType()
+    enum = lambda *symbols: T.StructType([field("s", text, False, {"symbols": list(symbols)})])
+    assert q.backward_compatible(enum("A"), enum("A", "B"))
+    assert q.incompatibilities(enum("A", "B", "C"), enum("B")) == ["s: symbol A removed", "s: symbol C removed"]
+    plain = T.StructType([field("s", text, False)])
+    assert not q.backward_compatible(enum("A"), plain) and not q.backward_compatible(plain, enum("A"))
+    inner = lambda *fields: T.StructType([field("x", T.ArrayType(T.StructType([field("a", T.IntegerType(), False), *fields]), False), False)])
+    old, new = inner(), inner(field("b", text, False, {"default": "z"}))
+    assert q.backward_compatible(old, new) and not q.backward_compatible(old, inner(field("b", text, False)))
+    rows = spark.createDataFrame([([(1,), (2,)],), ([],), (None,)], "x array<struct<a int>>")
+    assert [[tuple(e) for e in r.x] if r.x is not None else None for r in q.upgrade(rows, new).collect()] == [[(1, "z"), (2, "z")], [], None]
+
+
+def test_row_differences(spark):
+    left = spark.createDataFrame([(1, None), (1, None), (2, "a"), (3, "b")], "k int, v string")
+    right = spark.createDataFrame([(1, None), (2, "a"), (3, "c"), (3, "c")], "k int, v string")
+    assert sorted(map(repr, map(tuple, q.row_differences(left, right).collect()))) == [
+        "(1, None, 1, 0)", "(3, 'b', 1, 0)", "(3, 'c', 0, 2)"]
+    assert q.row_differences(left, left).isEmpty()
