@@ -91,12 +91,50 @@ def test_hosts_agree_on_a_path(spark):
     found = html_text.main_text(pages(spark, rows)).collect()
     assert len(found) == len(rows)
     by = {r.page_id: r for r in found}
-    assert by[21].text == "short" and by[21].path == "html/body/div.c#/div.story"  # the host's path, not the page's own
+    assert by[21].text == ("noise " * 50).strip() and by[21].path == "html/body/div.c#/div.box"  # a page alone keeps its own
     assert by[4].text == "text " * 30 + "4" and by[31].text == "alone"
     assert [by[i].text for i in (30, 32, 33)] == ["", "", ""]
     assert html_text.main_text(pages(spark, [])).count() == 0
 
 
+def test_pages_without_a_host_do_not_vote(spark):
+    lead = f"<body><div class=a><p>{LONG}</p></div><div class=z><p>tiny</p></div></body>"
+    own = f"<body><div class=a><p>tiny</p></div><div class=z><p>{LONG}</p></div></body>"
+    rows = [(1, None, lead), (2, None, lead), (3, None, own), (4, "no url", own), (5, "/path", lead)]
+    rows += [(6, "http://h/", lead), (7, "http://h/", lead), (8, "http://h/", own)]
+    assert {r.text for r in html_text.main_text(pages(spark, rows)).collect()} == {LONG.strip()}
+
+
+@pytest.mark.parametrize("part, want", [
+    ('<header class="entry-header"><h1>Headline</h1></header>', "Headline"), ('<header class="header"><h1>Headline</h1></header>', "Headline"),
+    ('<h2 id="how-to-subscribe">How to subscribe</h2>', "How to subscribe"), ('<h2 id="related">Related</h2>', "Related"),
+    ('<section id="related-work"><h2>Related work</h2><p>it</p></section>', "Related work\nit"), ('<p class="share-price">5</p>', "5"),
+    ('<p class="notice">mind</p>', "mind"), ('<p>a <span id="search">b</span> <label>c</label></p>', "a b c"),
+    ('<p>a <span class="ad">b</span> c</p>', "a c"), ('<div class="share-buttons">x</div>', ""), ('<div id="comments"><p>x</p></div>', ""),
+    ('<div class="post-comments"><p>x</p></div>', ""), ('<div class="cookie-banner">x</div>', ""), ('<div class="advertising-history">x</div>', "x"),
+    ('<aside>x</aside><form><label>x</label></form>', ""), ('<div class="postHeader">x</div>', "x"), ('<div class="newsletter-signup">x</div>', ""),
+])
+def test_parts_of_an_article_are_left_out_by_whole_names(part, want):
+    assert main(f"<body><nav>menu</nav><article><p>{LONG}</p>{part}<p>end</p></article></body>") == "\n".join(filter(None, [LONG.strip(), want, "end"]))
+
+
+def test_outside_an_article_too():
+    html = f'<div class="site-header">a</div><div id="main-nav">b</div><div class=post><div class="entry-header"><h1 id="notice-of-it">c</h1></div><p>{LONG}</p></div>'
+    assert main(html) == "c\n" + LONG.strip()
+
+
+@pytest.mark.parametrize("html", [
+    "<div>" * 20_000 + "x" + "</div>" * 20_000, "<b>" * 20_000 + "</i></u>" * 10_000 + "x", "<p><b>" * 20_000 + "x",
+    "<ul>" + "<li><b>x" * 10_000, "<div><p>x</p>" * 15_000, "<span>" * 10_000 + "<li>x" * 10_000, "<table>" + "<tr><td><i>x" * 10_000,
+    "<div class=a>" * 10_000 + "<p>x</p></div>" * 10_000,
+])
+def test_time_in_proportion_to_the_page(html):
+    started = time.process_time()
+    page = html_text.Page(html)
+    path, text = page.reading(page.path(page.main()))
+    assert "x" in text and time.process_time() - started < 2
+
+
 LONG = "word " * 60
 
 

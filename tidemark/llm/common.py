@@ -34,9 +34,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Marked for broadcast if a count proves it small; as it is otherwise, for a shuffled join."""
-    return F.broadcast(df) if df.count() <= rows else df
+#: Characters of the texts in a table that may be broadcast.
+BROADCAST_CHARS = 64 << 20
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, weight: Column | None = None) -> DataFrame:
+    """Marked for broadcast if a count proves it small; as it is otherwise, for a shuffled join.
+
+    Keys of any length take a ``weight``, their length, of which the sum is bounded too.
+    """
+    if weight is None:
+        return F.broadcast(df) if df.count() <= rows else df
+    n, chars = df.agg(F.count("*"), F.sum(weight)).first()
+    return F.broadcast(df) if n <= rows and (chars or 0) <= BROADCAST_CHARS else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -48,6 +48,15 @@ MARKS = frozenset(
     "notices notification overlay pager pagination paywall popup promo promoted related replies reply respond search share "
     "sharing sidebar signup social sponsor sponsored subscribe toolbar widget widgets".split()
 )
+#: Words that say where or how large such a part is; a name made of these and at least one mark is marked.
+PLAIN = frozenset(
+    "site top bottom left right main global box wrapper wrap container inner outer list section area block item items bar button "
+    "buttons link links posts articles stories content post article entry user reader unit slot"
+    .split()
+)
+#: A header of one of these belongs to the article.
+HEADED = frozenset("post article entry section content block item list".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
 #: Share of a page's kept text that its main container must hold.
 SHARE = 0.6
@@ -92,26 +101,41 @@ def tokens(html: str) -> Iterator[re.Match]:
         at = html.find("<", token.end() if token else at + 1)
 
 
+def marked(name: str, inside: bool) -> bool:
+    """Whether a class, id or role as a whole names a part that is not the article; ``inside`` an article no header is."""
+    words = {w.lower() for w in SPLIT.split(name) if w}
+    marks = words & MARKS
+    if "header" in marks and (inside or words & HEADED):
+        marks = marks - {"header"}
+    return bool(marks) and words <= MARKS | PLAIN
+
+
 class Page:
-    """Blocks of a page in order, as (text, node), and its nodes: parent, tag, generalised name, characters below."""
+    """Blocks of a page in order, as (text, node), and its nodes: parent, tag, generalised name, characters below.
+
+    Linear in the page: what a tag inherits is kept with it when it opens, and where the nearest open tag of a name
+    stands is known without a look at the others.
+    """
 
     def __init__(self, html: str):
         self.parent, self.tag, self.name = [-1], ["html"], ["html"]
         self.blocks: list[tuple[str, int]] = []
+        self._container = [0]  # the smallest container around each node, itself included
+        self._paths: dict[tuple[int, str], int] = {(-1, "html"): 0}  # (path of the parent, name) to path
+        self._path = [0]
         self._read(html)
         self.below = [0] * len(self.parent)
         self.own = [False] * len(self.parent)  # whether text stands in no smaller container
         for text, node in self.blocks:
-            holder = node
-            while holder > 0 and self.tag[holder] not in CONTAINERS:
-                holder = self.parent[holder]
-            self.own[holder] = True
-            while node >= 0:
-                self.below[node] += len(text)
-                node = self.parent[node]
+            self.own[self._container[node]] = True
+            self.below[node] += len(text)
+        for node in range(len(self.parent) - 1, 0, -1):  # parents come before their children
+            self.below[self.parent[node]] += self.below[node]
 
     def _read(self, html: str) -> None:
-        stack: list[tuple[int, str, bool]] = [(0, "html", False)]  # node, tag, left out
+        # Of each open tag: node, name, left out, in an article, node of the nearest block, place of that block, blocks so far.
+        stack: list[tuple[int, str, bool, bool, int, int, int]] = [(0, "html", False, False, 0, 0, 1)]
+        places: dict[str, list[int]] = {"html": [0]}  # of the open tags of a name
         held: list[str] = []
         at = 0
 
@@ -120,7 +144,31 @@ class Page:
                 text = " ".join(unescape("".join(held)).split())
                 held.clear()
                 if text:
-                    self.blocks.append((text, next(n for n, t, _ in reversed(stack) if t in BLOCKS)))
+                    self.blocks.append((text, stack[-1][4]))
+
+        def close_from(place: int) -> None:
+            while len(stack) > place:
+                places[stack.pop()[1]].pop()
+
+        def nearest(names: Iterable[str]) -> int:
+            return max((places[n][-1] for n in names if places.get(n)), default=-1)
+
+        def end_implied(name: str) -> None:
+            ends, bound = IMPLIED.get(name, (None, None))
+            while True:
+                if ends is None:
+                    place = stack[-1][5]
+                    if stack[place][1] != "p":
+                        return
+                    close_from(place)
+                    continue
+                paragraph, end = nearest(("p",)), nearest(ends)
+                place = max(paragraph, end)
+                if place <= max(0, nearest(bound)):
+                    return
+                close_from(place)
+                if place == end:
+                    return
 
         for token in tokens(html):
             if token.start() > at and not stack[-1][2]:
@@ -131,65 +179,65 @@ class Page:
                 continue
             name = name.lower()
             if close:
-                if any(t == name for _, t, _ in stack[1:]):
-                    if name in BLOCKS or any(t in BLOCKS for t in self._above(stack, name)):
+                if name != "html" and places.get(name):
+                    place = places[name][-1]
+                    if stack[-1][6] > stack[place - 1][6]:
                         flush()
-                    while stack.pop()[1] != name:
-                        pass
+                    close_from(place)
                 continue
             if name == "br":
                 held.append(" ")
             if name in BLOCKS:
                 flush()
-                self._end_implied(stack, name)
+                end_implied(name)
             if name in VOID or name == "html":
                 continue
-            marks, classes = self._marks(attributes)
-            inside = any(t in ("article", "main") for _, t, _ in stack)
-            out = stack[-1][2] or name in LEFT_OUT or (name == "header" and not inside)
-            out = out or (name not in ("html", "body", "article", "main") and not MARKS.isdisjoint(marks) and not (
-                name.startswith("h") and marks <= {"header"} and inside))
-            self.parent.append(stack[-1][0])
+            up, _, out, inside, block, block_place, blocks = stack[-1]
+            names, classes = self._names(attributes)
+            out = out or self._left_out(name, names, classes, inside)
+            node = len(self.parent)
+            self.parent.append(up)
             self.tag.append(name)
-            self.name.append(".".join([name, *sorted({re.sub(r"\d+", "#", c) for c in classes})]))
-            stack.append((len(self.parent) - 1, name, out))
+            self.name.append(".".join([name, *sorted({re.sub(r"\d+", "#", c).replace("/", "|") for c in classes})]))
+            self._container.append(node if name in CONTAINERS else self._container[up])
+            self._path.append(self._paths.setdefault((self._path[up], self.name[-1]), len(self._paths)))
+            places.setdefault(name, []).append(len(stack))
+            if name in BLOCKS:
+                block, block_place, blocks = node, len(stack), blocks + 1
+            stack.append((node, name, out, inside or name in ("article", "main"), block, block_place, blocks))
         if at < len(html) and not stack[-1][2]:
             held.append(html[at:])
         flush()
 
     @staticmethod
-    def _above(stack: list, name: str) -> Iterator[str]:
-        for _, t, _ in reversed(stack):
-            if t == name:
-                return
-            yield t
-
-    @staticmethod
-    def _end_implied(stack: list, name: str) -> None:
-        ends, bound = IMPLIED.get(name, (set(), set()))
-        for i in range(len(stack) - 1, 0, -1):
-            tag = stack[i][1]
-            if tag == "p" or tag in ends:
-                del stack[i:]
-                if tag != "p":
-                    return
-            elif tag in bound or (tag in BLOCKS and not ends):
-                return
+    def _left_out(tag: str, names: list[str], classes: list[str], inside: bool) -> bool:
+        """By its tag, or by what it is called; in an article headings and paragraphs are not, and inline parts by a class alone."""
+        if tag in LEFT_OUT:
+            return tag != "label" or not inside
+        if tag == "header" and not inside:
+            return True
+        if tag in ("html", "body", "article", "main") or (inside and tag in HEADINGS):
+            return False
+        if inside and tag not in BLOCKS:
+            return any(c in MARKS for c in classes)
+        return any(marked(n, inside) for n in names) or any(marked(c, inside) for c in classes)
 
     @staticmethod
-    def _marks(attributes: str) -> tuple[set[str], list[str]]:
+    def _names(attributes: str) -> tuple[list[str], list[str]]:
+        """Id and roles, and classes, of a tag."""
         if not KINDS.search(attributes):
-            return set(), []
-        marks: set[str] = set()
+            return [], []
+        names: list[str] = []
         classes: list[str] = []
         for kind, *values in ATTRIBUTE.findall(attributes):
-            if kind.lower() not in ("class", "id", "role"):
-                continue
-            value = "".join(values)
-            marks.update(w.lower() for w in SPLIT.split(value) if w)
-            if kind.lower() == "class":
-                classes += value.lower().split()
-        return marks, classes
+            value, kind = "".join(values), kind.lower()
+            if kind == "class":
+                classes += value.split()
+            elif kind == "role":
+                names += value.split()
+            elif kind == "id":
+                names.append(value)
+        return names, classes
 
     def path(self, node: int) -> str:
         names = []
@@ -227,34 +275,39 @@ class Page:
             up = self.parent[up]
         return found
 
-    def text(self, roots: set[int]) -> str:
-        inside: dict[int, bool] = {-1: False}
-
-        def under(node: int) -> bool:
-            chain = []
-            while node not in inside:
-                if node in roots:
-                    inside[node] = True
-                    break
-                chain.append(node)
-                node = self.parent[node]
-            for n in chain:
-                inside[n] = inside[node]
-            return inside[chain[0]] if chain else inside[node]
+    def under(self, roots: set[int]) -> list[bool]:
+        """For each node whether it is one of ``roots`` or stands below one."""
+        out: list[bool] = []
+        for node, up in enumerate(self.parent):
+            out.append(node in roots or (up >= 0 and out[up]))
+        return out
 
-        return "\n".join(t for t, n in self.blocks if under(n))
+    def text(self, roots: set[int]) -> str:
+        under = self.under(roots)
+        return "\n".join(t for t, n in self.blocks if under[n])
 
     def at(self, path: str) -> set[int]:
-        last = path.rpartition("/")[2]
-        return {n for n, name in enumerate(self.name) if name == last and self.below[n] and self.path(n) == path}
-
-
-    def within(self, node: int, roots: set[int]) -> bool:
-        while node >= 0:
-            if node in roots:
-                return True
-            node = self.parent[node]
-        return False
+        """The nodes at a path that have text below them."""
+        wanted, known = -1, True
+        for name in path.split("/"):
+            wanted = self._paths.get((wanted, name), -2)
+            if wanted < 0:
+                known = False
+                break
+        return {n for n, p in enumerate(self._path) if p == wanted and self.below[n]} if known else set()
+
+    def reading(self, path: str | None) -> tuple[str, str]:
+        """Path and text of the article: at the host's ``path`` where it holds the page's own main container, or else
+        SHARE of the text of a page that has no such container; at the own container else."""
+        own = self.main()
+        roots = self.at(path) if path else set()
+        if roots and (self.under(roots)[own] or (own == 0 and self._chars(roots) >= SHARE * self.below[0])):
+            return path, self.text(roots)
+        return self.path(own), self.text({own})
+
+    def _chars(self, roots: set[int]) -> int:
+        under = self.under(roots)
+        return sum(len(t) for t, n in self.blocks if under[n])
 
 
 def host_of(url: Column) -> Column:
@@ -290,50 +343,33 @@ def host_votes(pages: DataFrame, html: str, host: str) -> DataFrame:
             ["host", "path", "votes", "chars"],
         )
 
-    found = pages.select(host, html).mapInArrow(vote, "host string, path string, votes long, chars long")
+    found = pages.filter(F.col(host) != "").select(host, html).mapInArrow(vote, "host string, path string, votes long, chars long")
     return found.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("chars").alias("chars"))
 
 
 def main_text(pages: DataFrame, html: str = "html", url: str = "url", carry: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """One row per row of ``pages``: ``carry``, ``url``, path, text.
 
-    ``text`` holds the blocks at the host's winning path, joined by line feeds. Those of the page's own main
-    container take their place where a page has no such place, where the own one is the wider of the two, and
-    where it lies elsewhere and two pages of the host at least have theirs there; if it is the only one, the
-    host's path stays. Tags lose digits in their class names, so that numbered layouts of a host agree. Null or
-    empty pages and pages of boilerplate alone have an empty text; a null or odd url counts as a host of its
-    own. Rows that repeat are read each; an empty table gives no rows.
+    ``text`` holds the blocks at the host's winning path, joined by line feeds, where that holds the page's own main
+    container (or, on a page without one, SHARE of its text); else those of the own container, so no page loses its
+    article to its host. Tags lose digits in their class names, so that numbered layouts of a host agree. Pages whose
+    url has no host neither vote nor follow a vote. Null or empty pages and pages of boilerplate alone have an empty text.
+    Rows that repeat are read each; deep and long pages take time in proportion; an empty table gives no rows.
     """
     pages = pages.select(*dict.fromkeys((*carry, url)), F.col(html).alias("_html"), host_of(F.col(url)).alias("_host"))
     order = Window.partitionBy("host").orderBy(F.desc("votes"), F.desc("chars"), "path")
     votes = host_votes(pages, "_html", "_host")
-    ranked = votes.withColumn("n", F.row_number().over(order)).filter("n = 1 OR votes > 1")
-    agreed = written(ranked.select("host", "path", "votes", "n"), "host-paths")
-    winners = agreed.filter("n = 1")
+    winners = written(votes.withColumn("n", F.row_number().over(order)).filter("n = 1").select("host", "path"), "host-paths")
     names = list(dict.fromkeys((*carry, url)))
-    found = [T.StructField(c, T.StringType()) for c in ("path", "text", "_own_path", "_own_text")]
-    schema = T.StructType([*[pages.schema[c] for c in (*names, "_host")], *found])
-
-    def reading(page: Page, path: str | None) -> tuple[str, str, str | None, str | None]:
-        """Path and text of a page; those of its own main container too where that lies apart from the host's path."""
-        own = page.main()
-        roots = page.at(path) if path else set()
-        if roots and page.within(own, roots):
-            return path, page.text(roots), None, None
-        if not roots or any(page.within(r, {own}) for r in roots):
-            return page.path(own), page.text(roots | {own}), None, None
-        return path, page.text(roots), page.path(own), page.text({own})
+    schema = T.StructType([*[pages.schema[c] for c in names], *[T.StructField(c, T.StringType()) for c in ("path", "text")]])
 
     def extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "_html"):
-            read = [reading(Page(h or ""), p) for h, p in zip(batch.column("_html").to_pylist(), batch.column("_path").to_pylist())]
+            read = [Page(h or "").reading(p) for h, p in zip(batch.column("_html").to_pylist(), batch.column("_path").to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in (*names, "_host")], *[pa.array([r[i] for r in read], pa.string()) for i in range(4)]], schema.names
+                [*[batch.column(c) for c in names], *[pa.array([r[i] for r in read], pa.string()) for i in range(2)]], schema.names
             )
 
-    known = small(winners.select(F.col("host").alias("_host"), F.col("path").alias("_path")))
-    read = pages.join(known, "_host", "left").select(*names, "_host", "_html", "_path").mapInArrow(extract, schema)
-    layouts = small(agreed.filter("votes > 1 AND n > 1").select(F.col("host").alias("_of"), F.col("path").alias("_layout")))
-    read = read.join(layouts, (F.col("_host") == F.col("_of")) & (F.col("_own_path") == F.col("_layout")), "left")
-    taken = lambda own, hosts: F.when(F.col("_layout").isNotNull(), F.col(own)).otherwise(F.col(hosts)).alias(hosts)
-    return read.select(*names, taken("_own_path", "path"), taken("_own_text", "text"))
+    known = winners.select(F.col("host").alias("_host"), F.col("path").alias("_path"))
+    known = small(known, weight=F.length("_host") + F.length("_path"))
+    return pages.join(known, "_host", "left").select(*names, "_html", "_path").mapInArrow(extract, schema)
