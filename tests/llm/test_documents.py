@@ -2,6 +2,7 @@
 
 
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -347,6 +348,14 @@ def test_blank_lines_and_full_stops_end_sentences(spark):
     assert licenses.scan(documents(spark, list(enumerate(texts)))).count() == 0
 
 
+@pytest.mark.parametrize("run", [".", ":", ";.", "\n", "\n#", ". ", ";", "?!", "\n.", "the ", "v. "])
+def test_runs_of_signs_take_time_in_proportion(spark, run):
+    docs = documents(spark, [(1, "x" + run * (1_000_000 // len(run)) + "y\n\nReleased under the MIT License.")])
+    started = time.perf_counter()
+    assert [r.licenses for r in licenses.scan(docs).collect()] == [["MIT"]]
+    assert time.perf_counter() - started < 20
+
+
 def test_rules_follow_the_order_of_sentences(spark):
     known, rules = {"a": "alpha", "b": "beta", "c": "gamma"}, (("AB", ("a", "b")), ("A", ("a",)), ("BC", ("b", "c")))
     texts = ["alpha.\nbeta.", "beta.\nalpha.", "Alpha; noise. BETA!\ngamma", "alpha\nalpha\nbeta"]

@@ -84,8 +84,9 @@ RULES = (
 
 #: White space from here on is "H" where a sentence ends for certain, at a sign or a blank line (signs alone are blank too),
 #: and "S" where it may end or go on: at ; or : and at a line feed, with the comment leader that follows it. "v. 2" is no end.
-HARD_END = r"\n[^a-z0-9\n]*+\n[^a-z0-9]*+|(?:(?<!\bv)|(?!\.\s+[0-9]))[;:]*+[.!?][.!?;:]*+(?=[ \t\r\n]|$)"
-SOFT_END = r"\n[^a-z0-9\n]*+|[;:]++(?=[ \t\r\n]|$)"
+#: A run of signs is entered at its first sign only, so that its length counts once.
+HARD_END = r"\n[^a-z0-9\n]*+\n[^a-z0-9]*+|(?<![.!?;:])(?:(?<!\bv)|(?!\.\s+[0-9]))[;:]*+[.!?][.!?;:]*+(?=[ \t\r\n]|$)"
+SOFT_END = r"\n[^a-z0-9\n]*+|(?<![;:])[;:]++(?=[ \t\r\n]|$)"
 
 
 def normalised(text: Column) -> Column:
