@@ -212,6 +212,62 @@ def test_shard_counts_keep_totals_and_spread():
     assert counts.sum(0).tolist() == [1000, 10, 0, 90] and counts.sum(1).max() - counts.sum(1).min() <= 1
 
 
+def test_permutations_run_back():
+    for n in (1, 2, 3, 17, 1000):
+        full, key = np.full(n, n), np.full(n, 99, np.uint64)
+        there = mixing.permuted(np.arange(n), full, key)
+        assert mixing.permuted(there, full, key, back=True).tolist() == list(range(n))
+
+
+def test_slots_hold_the_words_asked_for():
+    """Against a walk over the slots, for sources of a few words to many blocks."""
+    rng = random.Random(8)
+    for size in (1, 10, 511, 512, 513, 5000, 51_200, 100_001):
+        blocks = -(-size // 512)
+        order = mixing.permuted(np.arange(blocks), np.full(blocks, blocks), np.full(blocks, 77, np.uint64))
+        for total in (0, 1, size - 1, size, size + 1, 2 * size, 3 * size, rng.randrange(3 * size + 1)):
+            slots, last = mixing.slots_for(total, size, 77)
+            held = [min(512, size - 512 * int(order[i % blocks])) for i in range(slots)]
+            assert sum(held[:-1]) + (last if slots else 0) == total and (not slots or 0 < last <= held[-1])
+
+
+@pytest.mark.parametrize("good, bad, sample", [(600_000_000, 300_000_000, 10_000_000), (800_000_000, 400_000_000, 10_000_000)])
+def test_counts_on_both_sides_of_the_exact_draw(good, bad, sample):
+    rng = np.random.default_rng(3)
+    draws = [mixing._hypergeometric(rng, good, bad, sample) for _ in range(400)]
+    share = good / (good + bad)
+    spread = (sample * share * (1 - share) * (1 - sample / (good + bad))) ** 0.5
+    assert abs(np.mean(draws) - sample * share) < 4 * spread / 20 and 0.85 < np.std(draws) / spread < 1.15
+
+
+def test_mix_replayed_by_hand(spark):
+    """Every source gives its target to the word, in blocks of one length, and draws replay in plain Python."""
+    rng = random.Random(9)
+    parts = {"a": [1000] * 1000, "b": [10], "c": [500] * 10, None: [3] * 7}
+    rows, number = [], 0
+    for source, lengths in parts.items():
+        for n in lengths:
+            rows.append((number, " ".join(["w"] * n), source))
+            number += 1
+    rng.shuffle(rows)
+    mixed, draws = mixing.mix(documents(spark, rows))
+    found, drawn = mixed.collect(), draws.collect()
+    lines = defaultdict(list)
+    for r in sorted(found, key=lambda r: (r.source or "~", r.first)):
+        lines[r.source] += [r.doc_id] * r.size
+    taken, words_of = Counter(), Counter()
+    for d in drawn:
+        size = len(lines[d.source])
+        assert d.lo == 512 * d.block and d.hi <= min(size, d.lo + 512) and d.epoch == d.slot // -(-size // 512)
+        words_of[d.source] += d.hi - d.lo
+        taken.update(lines[d.source][d.lo: d.hi])
+    assert {r.doc_id: r.taken for r in found} == {r.doc_id: taken[r.doc_id] for r in found}
+    assert {r.source: round(r.target) for r in found} == dict(words_of)
+    for s in parts:
+        short = [d for d in drawn if d.source == s and d.hi - d.lo < 512 and d.hi < len(lines[s])]
+        assert len(short) <= 1 and sorted(d.slot for d in drawn if d.source == s) == list(range(sum(d.source == s for d in drawn)))
+
+
 def test_mix(spark):
     rng = random.Random(5)
     rows = [(i, " ".join(words(rng, rng.randrange(1, 300))), rng.choice(["a"] * 5 + ["b", "c", None])) for i in range(400)] + odd_rows()
@@ -228,7 +284,7 @@ def test_mix(spark):
     assert all(r.source_size == size[r.source] for r in found)
     assert sum(target.values()) == pytest.approx(sum(size.values()))
     for s in size:
-        assert abs(taken[s] - target[s]) <= 0.01 * target[s] + 2
+        assert taken[s] == round(target[s])
     again, _ = mixing.mix(docs.repartition(3))
     key = lambda r: (r.doc_id or -1, r.size, r.source or "", r.taken)
     assert sorted(map(key, found)) == sorted(map(key, again.collect()))

@@ -14,8 +14,8 @@ from tidemark.llm.common import numbered, pieces, small, written
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_TIMES = 3
-#: Words in a block; a small source gets shorter blocks, so that it has about LEAST_BLOCKS of them.
-BLOCK_WORDS, LEAST_BLOCKS = 512, 512
+#: Words in a block, for every source; the last block of a source has what is left.
+BLOCK_WORDS = 512
 SHARDS = 64
 SEED = 7
 
@@ -69,41 +69,78 @@ def shard_counts(totals: list[int], shards: int, seed: int) -> np.ndarray:
 def _hypergeometric(rng: np.random.Generator, good: int, bad: int, sample: int) -> int:
     if good + bad < 1_000_000_000:
         return int(rng.hypergeometric(good, bad, sample))
-    share = good / (good + bad)  # beyond the generator's range: normal law of the same mean and variance
+    # Beyond the generator's range (some TB of text) the normal law of the same mean and variance, rounded: shards of
+    # 10**7 blocks and more, whose counts it gives to within the last few.
+    share = good / (good + bad)
     spread = (sample * share * (1 - share) * (1 - sample / (good + bad))) ** 0.5
     return int(min(good, sample, max(0, sample - bad, round(rng.normal(sample * share, spread)))))
 
 
-def permuted(slots: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """Pseudorandom permutation of 0..size-1, one for each key: a keyed Feistel network that walks in cycles."""
+def _round(right: np.ndarray, key: np.ndarray, r: int) -> np.ndarray:
+    mixed = (right + key + np.uint64(r)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return mixed ^ (mixed >> np.uint64(32))
+
+
+def permuted(slots: np.ndarray, size: np.ndarray, key: np.ndarray, back: bool = False) -> np.ndarray:
+    """Pseudorandom permutation of 0..size-1, one for each key, or its inverse: a keyed Feistel network that walks in cycles."""
     half = np.maximum(1, (np.ceil(np.log2(np.maximum(size, 2))).astype(np.int64) + 1) // 2).astype(np.uint64)
     low = (np.uint64(1) << half) - np.uint64(1)
     value, open_ = slots.astype(np.uint64), np.ones(len(slots), dtype=bool)
     with np.errstate(over="ignore"):
         while open_.any():
             left, right = value[open_] >> half[open_], value[open_] & low[open_]
-            for r in range(6):
-                mixed = (right + key[open_] + np.uint64(r)) * np.uint64(0x9E3779B97F4A7C15)
-                mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-                left, right = right, (left ^ (mixed ^ (mixed >> np.uint64(32)))) & low[open_]
+            for r in reversed(range(6)) if back else range(6):
+                if back:
+                    left, right = (right ^ _round(left, key[open_], r)) & low[open_], left
+                else:
+                    left, right = right, (left ^ _round(right, key[open_], r)) & low[open_]
             value[open_] = (left << half[open_]) | right
             open_ = value >= size.astype(np.uint64)
     return value.astype(np.int64)
 
 
+def source_key(seed: int, number: int) -> int:
+    return (seed * 1_000_003 + number) & ((1 << 62) - 1)
+
+
+def slots_for(total: int, size: int, key: int) -> tuple[int, int]:
+    """How many slots of a source of ``size`` words hold ``total`` words, and how many words the last slot gives.
+
+    Whole epochs take every word once. In the epoch that is not whole all slots are BLOCK_WORDS long but the one that
+    takes the source's last block, whose place the inverse permutation tells.
+    """
+    if not total:
+        return 0, 0
+    blocks = -(-size // BLOCK_WORDS)
+    short = size - BLOCK_WORDS * (blocks - 1)
+    at = int(permuted(np.array([blocks - 1]), np.array([blocks]), np.array([key], np.uint64), back=True)[0])
+
+    def held(slots: int) -> int:
+        return slots * BLOCK_WORDS - (BLOCK_WORDS - short if at < slots else 0)
+
+    epochs, rest = divmod(total, size)
+    if not rest:
+        epochs, rest = epochs - 1, size
+    slots = -(-rest // BLOCK_WORDS)
+    if held(slots) < rest:
+        slots += 1
+    return epochs * blocks + slots, rest - held(slots - 1)
+
+
 def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source",
         weights: tuple[float, ...] = WEIGHTS, most: int = MOST_TIMES, shards: int = SHARDS,
         seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """(documents, draws): what the mix takes of each document.
 
-    documents: doc_id (the ``key``), source, mark (a hash of the text), size, source_size, target, length (words
-    of the source's blocks), first (the number of words before it in its source), taken; one row per row of
-    ``docs``. draws: the output, one row for each block of each shard:
+    documents: doc_id (the ``key``), source, mark (a hash of the text), size, source_size, target, first (the number of
+    words before it in its source), taken; one row per row of ``docs``. draws: the output, one row for each block of each shard:
     source, shard, slot, epoch, block, and the words ``lo`` to ``hi`` (exclusive) of the source that it holds.
 
-    Words of a source stand in one long line in hashed order of keys and are cut into blocks. Slot s of a
+    Words of a source stand in one long line in hashed order of keys and are cut into blocks of BLOCK_WORDS. Slot s of a
     source takes block p(s mod n) in epoch s div n, where p is the source's permutation of its n blocks, so
-    every block is taken once before any is taken again. Rows that repeat count each. Documents without
+    every block is taken once before any is taken again. The last slot of a source gives only the words that its target
+    still lacks, so every source gives its target to the word. Rows that repeat count each. Documents without
     words take nothing; an empty table gives empty results. A null source is a source.
     """
     sized = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), F.xxhash64(text).alias("mark"), n_words(F.col(text)).alias("size"))
@@ -112,47 +149,47 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
     sizes = {r["source"]: int(r["n"]) for r in sized.groupBy("source").agg(F.sum("size").alias("n")).collect()}
     wanted = targets(sizes, weights, most)
     names = list(wanted)
-    length = {s: min(BLOCK_WORDS, max(1, sizes[s] // LEAST_BLOCKS)) for s in names}
-    blocks = {s: -(-sizes[s] // length[s]) for s in names}
-    slots = {s: min(most * blocks[s], round(wanted[s] * blocks[s] / sizes[s])) if sizes[s] else 0 for s in names}
-    counts = shard_counts([slots[s] for s in names], shards, seed)
+    blocks = {s: -(-sizes[s] // BLOCK_WORDS) for s in names}
+    keys = {s: source_key(seed, j) for j, s in enumerate(names)}
+    slots = {s: slots_for(min(most * sizes[s], round(wanted[s])), sizes[s], keys[s]) for s in names}
+    counts = shard_counts([slots[s][0] for s in names], shards, seed)
     starts = np.vstack([np.zeros((1, len(names)), dtype=np.int64), np.cumsum(counts, axis=0)])
 
     spark = docs.sparkSession
     plan = spark.createDataFrame(
-        [(s, sizes[s], wanted[s], length[s], blocks[s], slots[s]) for s in names],
-        f"source {dict(docs.dtypes)[source]}, source_size long, target double, length long, blocks long, slots long",
+        [(s, sizes[s], wanted[s]) for s in names], f"source {dict(docs.dtypes)[source]}, source_size long, target double"
     )
     placed = numbered(sized, ["source"], ["doc_id", "mark"], F.col("size"), "first")
     placed = written(
         placed.alias("l").join(small(plan).alias("r"), F.col("l.source").eqNullSafe(F.col("r.source")))
-        .select("l.*", "r.source_size", "r.target", "r.length"),
+        .select("l.*", "r.source_size", "r.target"),
         "mix-places",
     )
     each = spark.createDataFrame(
-        [(s, i, int(starts[i, j]), int(counts[i, j]), blocks[s], length[s], sizes[s], j)
+        [(s, i, int(starts[i, j]), int(counts[i, j]), blocks[s], sizes[s], *slots[s], keys[s])
          for j, s in enumerate(names) for i in range(shards) if counts[i, j]],
-        f"source {dict(docs.dtypes)[source]}, shard int, at long, n long, blocks long, length long, words long, no int",
+        f"source {dict(docs.dtypes)[source]}, shard int, at long, n long, blocks long, words long, slots long, last long, key long",
     )
     step = 1 << 16  # slots that one row of work stands for
     work = each.withColumn("part", F.explode(F.sequence(F.lit(0), F.expr(f"(n - 1) div {step}"))))
     work = work.select(
         "source", "shard", (F.col("at") + F.col("part") * step).alias("at"),
-        F.least(F.lit(step), F.col("n") - F.col("part") * step).alias("n"), "blocks", "length", "words", "no",
-    ).repartition("no", "shard", "at")
+        F.least(F.lit(step), F.col("n") - F.col("part") * step).alias("n"), "blocks", "words", "slots", "last", "key",
+    ).repartition("key", "shard", "at")
 
     def draw(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 slot = np.arange(row["at"], row["at"] + row["n"], dtype=np.int64)
                 fill = np.full(len(slot), 1, dtype=np.int64)
-                keys = np.full(len(slot), (seed * 1_000_003 + row["no"]) & ((1 << 62) - 1), dtype=np.uint64)
-                block = permuted(slot % row["blocks"], fill * row["blocks"], keys)
-                lo = block * row["length"]
+                block = permuted(slot % row["blocks"], fill * row["blocks"], np.full(len(slot), row["key"], dtype=np.uint64))
+                lo = block * BLOCK_WORDS
+                hi = np.minimum(lo + BLOCK_WORDS, row["words"])
+                hi = np.where(slot == row["slots"] - 1, lo + row["last"], hi)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["source"]] * len(slot), batch.schema.field("source").type),
                      pa.array(fill.astype(np.int32) * row["shard"]), pa.array(slot), pa.array(slot // row["blocks"]),
-                     pa.array(block), pa.array(lo), pa.array(np.minimum(lo + row["length"], row["words"]))],
+                     pa.array(block), pa.array(lo), pa.array(hi)],
                     ["source", "shard", "slot", "epoch", "block", "lo", "hi"],
                 )
 
@@ -163,7 +200,7 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
     taken = taken_runs(placed, draws).groupBy("source", "first").agg(F.sum(F.col("hi") - F.col("lo")).alias("taken"))
     match = F.col("l.source").eqNullSafe(F.col("r.source")) & (F.col("l.first") == F.col("r.first")) & (F.col("l.size") > 0)
     out = placed.alias("l").join(taken.alias("r"), match, "left").select(
-        "l.doc_id", "l.source", "l.mark", "l.size", "l.source_size", "l.target", "l.length", "l.first",
+        "l.doc_id", "l.source", "l.mark", "l.size", "l.source_size", "l.target", "l.first",
         F.coalesce("r.taken", F.lit(0)).cast("long").alias("taken"),
     )
     return out, draws
@@ -172,15 +209,15 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
 def taken_runs(placed: DataFrame, draws: DataFrame) -> DataFrame:
     """Words ``lo`` to ``hi`` of each document that a draw holds: documents and draws meet at block numbers."""
     cut = placed.filter("size > 0").select(
-        "doc_id", "source", "mark", "first", "size", "length",
-        F.explode(F.sequence(F.expr("first div length"), F.expr("(first + size - 1) div length"))).alias("block"),
+        "doc_id", "source", "mark", "first", "size",
+        F.explode(F.sequence(F.expr(f"first div {BLOCK_WORDS}"), F.expr(f"(first + size - 1) div {BLOCK_WORDS}"))).alias("block"),
     )
     match = F.col("l.source").eqNullSafe(F.col("r.source")) & (F.col("l.block") == F.col("r.block"))
     return cut.alias("l").join(draws.alias("r"), match).select(
         "l.doc_id", "l.source", "l.mark", "l.first", "r.shard", "r.slot", "r.epoch",
         (F.greatest("l.first", "r.lo") - F.col("l.first")).alias("lo"),
         (F.least(F.expr("l.first + l.size"), F.col("r.hi")) - F.col("l.first")).alias("hi"),
-    )
+    ).filter("lo < hi")
 
 
 def mixed_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", n_chars: str | None = "n_chars",
