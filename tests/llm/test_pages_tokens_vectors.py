@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -375,3 +376,16 @@ def test_pipeline_of_nothing(spark, tmp_path):
     documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_a_length_of_odd_digits_is_damage():
+    for length in ("²", "٣", "", "-1", "+3", "1_0"):
+        found = warc.parsed(f"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: {length}\r\n\r\nabc\r\n\r\n".encode(), None)
+        assert found["error"] == "the record's frame is broken"
+
+
+def test_a_labelled_key_gives_one_row(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, "other words here")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, quality int")
+    model = quality.fit(docs, labels, F.lit(True))
+    assert sorted(model.labels.tolist()) == [0.0, 1.0]

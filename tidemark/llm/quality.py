@@ -148,7 +148,8 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column, text: str = "text
     """Learns from at most ``voters`` labelled rows for which ``learnable`` holds, drawn by a hash of their key.
 
     Document frequencies come from all rows; axes are the leading right singular vectors of the sample's rows.
-    A key labelled twice has the rounded mean of its labels; null keys and labels are left out.
+    A key labelled twice has the rounded mean of its labels, and a key of several texts gives one of them; null keys and
+    labels are left out.
     """
     n, frequency = document_frequencies(docs, text)
     idf = (np.log((1 + n) / (1 + frequency)) + 0.1).astype(np.float32)
@@ -165,8 +166,9 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column, text: str = "text
                 ["_label", "_order", "row"],
             )
 
-    found = docs.select(key, text).join(F.broadcast(sample), key).select(text, "_label", F.xxhash64(key, text).alias("_order"))
-    found = found.dropDuplicates(["_order"]).mapInArrow(features, "_label double, _order long, row binary")
+    found = docs.select(key, text).join(F.broadcast(sample), key).withColumn("_order", F.xxhash64(key, text))
+    found = found.groupBy(key).agg(F.min(F.struct("_order", text, "_label")).alias("_first")).select("_first.*")
+    found = found.mapInArrow(features, "_label double, _order long, row binary")
     rows = sorted(found.collect(), key=lambda r: r["_order"])  # at most as many rows as voters, about 9 KB each
     if not rows:
         return Model(idf, np.zeros((WIDTH, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0))

@@ -136,7 +136,7 @@ def parsed(content: bytes, error: str | None) -> dict:
     lines = head.decode("utf-8", "replace").split("\r\n")
     fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
     length = fields.get("content-length", "")
-    size = int(length) if length.isdigit() else -1
+    size = int(length) if length.isascii() and length.isdecimal() else -1
     block, tail = rest[: max(size, 0)], rest[max(size, 0):]
     if not error and (not lines[0].startswith("WARC/") or not gap or size < 0 or len(block) < size):
         error = "the record's frame is broken"
