@@ -10,24 +10,33 @@ from tidemark.llm import bpe, chunks, jaccard, mixing, quality
 from tidemark.llm.common import bounded_batches, small, table, tokenizer_path, written
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have yet."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; it learns from the labelled rows that are not held out."""
     model = quality.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"), ~quality.held_out(F.col("doc_id")))
-    scored = quality.scored(docs, model, name="_score")
-    return scored.filter(F.col("_score") >= quality.ACCEPTED).drop("_score")
+    name = _free(docs, "_score")
+    return quality.scored(docs, model, name=name).filter(F.col(name) >= quality.ACCEPTED).drop(name)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text: the one with the largest id, once even if its row repeats."""
-    named = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    decided = written(chunks.exact_duplicates(named, carry=("_text_hash",)).select("doc_id", "_text_hash", "kept"), "copies")
-    gone = small(decided.filter("not kept").select(F.col("doc_id").alias("_id"), F.col("_text_hash").alias("_other")).distinct())
-    match = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_other"))
-    left = named.join(gone, match, "left_anti")
-    twice = decided.filter("kept").groupBy("doc_id", "_text_hash").count().filter("count > 1")
+    mark = _free(docs, "_text_hash")
+    named = docs.withColumn(mark, F.xxhash64(F.coalesce("text", F.lit(""))))
+    decided = written(chunks.exact_duplicates(named, carry=(mark,)).select("doc_id", mark, "kept"), "copies")
+    gone = small(decided.filter("not kept").select(F.col("doc_id").alias("_id"), F.col(mark).alias("_other")).distinct())
+    match = F.col("l.doc_id").eqNullSafe(F.col("r._id")) & (F.col(f"l.{mark}") == F.col("r._other"))
+    left = named.alias("l").join(gone.alias("r"), match, "left_anti")
+    twice = decided.filter("kept").groupBy("doc_id", mark).count().filter("count > 1")
     if not twice.isEmpty():
-        left = left.dropDuplicates(["doc_id", "_text_hash"])
-    return left.drop("_text_hash")
+        left = left.dropDuplicates(["doc_id", mark])
+    return left.drop(mark)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
