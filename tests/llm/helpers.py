@@ -3,7 +3,7 @@ import re
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Columns whose names the operators also use for themselves.
-CLASHING = ("size", "n", "class", "kept", "shingle", "first", "slot", "score", "ids", "path", "label")
+CLASHING = ("size", "n", "class", "kept", "shingle", "first", "slot", "score", "ids", "path", "label", "_score", "_text_hash")
 
 
 def documents(spark, rows, clashing=False):

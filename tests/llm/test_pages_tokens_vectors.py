@@ -339,7 +339,7 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     rows += [(800, None), (801, ""), (500, rows[0][1]), (None, "without a number")]
     rows = [(d, t, rng.choice(["a", "a", "b", None])) for d, t, *_ in rows]
     folder = str(tmp_path)
-    documents(spark, rows).write.parquet(f"{folder}/documents.parquet")
+    documents(spark, rows, clashing=True).write.parquet(f"{folder}/documents.parquet")
     labels.write.parquet(f"{folder}/labels.parquet")
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     columns = docs.columns

@@ -49,6 +49,14 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS, weight: Column | None = Non
     return F.broadcast(df) if n <= rows and (chars or 0) <= BROADCAST_CHARS else df
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

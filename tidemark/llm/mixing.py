@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import numbered, pieces, small, written
+from tidemark.llm.common import free_name, numbered, pieces, small, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -233,18 +233,23 @@ def mixed_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", so
     runs = runs.join(mixed.select("source", "first", "size", "mark").filter("size > 0").distinct().alias("m"), [
         runs["source"].eqNullSafe(F.col("m.source")), runs["first"] == F.col("m.first"), runs["mark"] == F.col("m.mark")
     ]).select(runs["doc_id"].alias("_id"), runs["source"].alias("_source"), runs["mark"].alias("_mark"), "_runs", F.col("m.size").alias("_size"))
-    named = docs.withColumn("_text_hash", F.xxhash64(text))
+    mark = free_name(docs, "_text_hash")
+    named = docs.withColumn(mark, F.xxhash64(text))
     if not mixed.groupBy(*keys).count().filter("count > 1").isEmpty():
-        named = named.dropDuplicates([key, source, "_text_hash"])  # rows that repeat have a list of runs each
-    match = F.col(key).eqNullSafe(F.col("_id")) & F.col(source).eqNullSafe(F.col("_source")) & (F.col("_text_hash") == F.col("_mark"))
-    both = named.join(runs, match).select(*docs.columns, "_runs", "_size")
+        named = named.dropDuplicates([key, source, mark])  # rows that repeat have a list of runs each
+    match = F.col(f"l.{key}").eqNullSafe(F.col("r._id")) & F.col(f"l.{source}").eqNullSafe(F.col("r._source")) & (
+        F.col(f"l.{mark}") == F.col("r._mark"))
+    held, whole = (free_name(docs, c) for c in ("_runs", "_size"))
+    both = named.alias("l").join(runs.alias("r"), match).select(
+        *[F.col(f"l.{c}") for c in docs.columns], F.col("r._runs").alias(held), F.col("r._size").alias(whole)
+    )
     names = docs.columns
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = re.compile(WORD)
         for batch in pieces(batches, text):
             rows, texts = [], []
-            for i, (value, runs, size) in enumerate(zip(*(batch.column(c).to_pylist() for c in (text, "_runs", "_size")))):
+            for i, (value, runs, size) in enumerate(zip(*(batch.column(c).to_pylist() for c in (text, held, whole)))):
                 epochs: dict[int, list[tuple[int, int]]] = {}
                 for run in runs:
                     epochs.setdefault(run["epoch"], []).append((run["lo"], run["hi"]))
