@@ -7,27 +7,19 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import bpe, chunks, jaccard, mixing, quality
-from tidemark.llm.common import bounded_batches, small, table, tokenizer_path, written
-
-
-def _free(docs: DataFrame, name: str) -> str:
-    """A column name that ``docs`` does not have yet."""
-    taken = {c.lower() for c in docs.columns}
-    while name in taken:
-        name = f"_{name}"
-    return name
+from tidemark.llm.common import bounded_batches, free_name, small, table, tokenizer_path, written
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; it learns from the labelled rows that are not held out."""
     model = quality.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"), ~quality.held_out(F.col("doc_id")))
-    name = _free(docs, "_score")
+    name = free_name(docs, "_score")
     return quality.scored(docs, model, name=name).filter(F.col(name) >= quality.ACCEPTED).drop(name)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text: the one with the largest id, once even if its row repeats."""
-    mark = _free(docs, "_text_hash")
+    mark = free_name(docs, "_text_hash")
     named = docs.withColumn(mark, F.xxhash64(F.coalesce("text", F.lit(""))))
     decided = written(chunks.exact_duplicates(named, carry=(mark,)).select("doc_id", mark, "kept"), "copies")
     gone = small(decided.filter("not kept").select(F.col("doc_id").alias("_id"), F.col(mark).alias("_other")).distinct())
