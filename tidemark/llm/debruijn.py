@@ -26,8 +26,6 @@ WINDOW, KMER = 20, 8
 BLOCK = 1 << 20
 #: Starts of a document that one task compacts into spans.
 STRETCH = 1 << 16
-#: Rows of a key table that is broadcast: below what would weigh on the driver beside the rest.
-MOST_KEYS = 250_000
 #: Requests that may be broadcast, summed over documents: 8 bytes each.
 MOST_REQUESTS = 4_000_000
 #: Windows of a document that is a copy as a whole: all of them.
@@ -301,9 +299,9 @@ def _repeats(docs: DataFrame, copies: DataFrame) -> DataFrame:
     alone = docs.alias("l").join(small(copies).alias("r"), _match("l", "r", dict(zip(_ROW, _ROW))), "left_anti").select("l.*")
     table = written(_path_table(alone), "paths")
     met = written(table.groupBy("m").count().filter("count > 1").select("m"), "met-minimizers")
-    meeting = written(table.join(small(met, MOST_KEYS), "m", "left_semi"), "meeting-paths")
+    meeting = written(table.join(met, "m", "left_semi"), "meeting-paths")
     kinds = written(meeting.groupBy("m", "h").agg(F.min(F.struct("_key", "start", "_tag", "n")).alias("first")), "path-kinds")
-    branching = small(written(kinds.groupBy("m").count().filter("count > 1").select("m"), "branching"), MOST_KEYS)
+    branching = written(kinds.groupBy("m").count().filter("count > 1").select("m"), "branching")
     apart = kinds.join(branching, "m", "left_semi").select("first.*")
     edges = written(_asked(docs, apart, _edge_table), "edges")
     claims = _claims(meeting, ["m", "h"], F.col("n")).unionByName(_claims(edges, ["a", "b"], F.lit(1)))
