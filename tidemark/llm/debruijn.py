@@ -24,6 +24,8 @@ from tidemark.llm.wordhash import LONG, joined_bytes, mixed, stretches, word_has
 WINDOW, KMER = 20, 8
 #: Words of one text that are cut into paths at a time; a path ends at the border.
 BLOCK = 1 << 20
+#: Bytes of the short texts that are hashed together: arrays of about 40 bytes for each.
+PIECE = 1 << 18
 #: Starts of a document that one task compacts into spans.
 STRETCH = 1 << 16
 #: Requests that may be broadcast, summed over documents: 8 bytes each.
@@ -130,7 +132,7 @@ def _path_table(docs: DataFrame) -> DataFrame:
     ])
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "_text"):
+        for batch in pieces(batches, "_text", PIECE):
             values = _values(batch.column("_text"))
             for words, of, at in _hashed(values):
                 m, h, first, count = paths(words, of)
@@ -152,7 +154,7 @@ def _edge_table(docs: DataFrame) -> DataFrame:
     ])
 
     def take(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "_text"):
+        for batch in pieces(batches, "_text", PIECE):
             values, wanted = _values(batch.column("_text")), batch.column("wanted")
             for words, of, at in _hashed(values):
                 begin = _begins(of, len(values))
@@ -191,7 +193,7 @@ def _digest_table(docs: DataFrame) -> DataFrame:
     ])
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "_text"):
+        for batch in pieces(batches, "_text", PIECE):
             rows, starts, counts, digests = [], [], [], []
             for i, value in enumerate(_values(batch.column("_text"))):
                 words = value.split()  # bytes split at 20 and 09 to 0D
@@ -346,7 +348,7 @@ def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     ])
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "_text"):
+        for batch in pieces(batches, "_text", PIECE):
             gone, total, removed, kept = batch.column("gone"), [], [], []
             for i, value in enumerate(_values(batch.column("_text"))):
                 words = value.split()
