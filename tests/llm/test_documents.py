@@ -404,6 +404,26 @@ def test_blank_lines_and_full_stops_end_sentences(spark):
     assert licenses.scan(documents(spark, list(enumerate(texts)))).count() == 0
 
 
+@pytest.mark.parametrize("text, want", [
+    ("# SPDX-License-Identifier: MIT\n", "MIT"), ("// SPDX-License-Identifier: Apache-2.0\nint x;", "Apache-2.0"),
+    ("/* SPDX-License-Identifier: GPL-2.0-or-later */", "GPL-2.0-or-later"), ("SPDX-License-Identifier: LGPL-2.1-only", "LGPL-2.1-only"),
+    ("This project is licensed under the MIT License - see the [LICENSE](LICENSE) file", ""),
+    ("This project is licensed under the MIT License - see the LICENSE file for details.", "MIT"),
+    ("This project is licensed under the MIT License - see the LICENSE.md file for details", "MIT"),
+    ("Licensed under the Apache License 2.0.", "Apache-2.0"),
+    ("This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy", "Unlicense"),
+    ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU\nLesser General Public License as published by "
+     "the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.", "LGPL-2.1-or-later"),
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published\n"
+     "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "AGPL-3.0-or-later"),
+    ("This program and the accompanying materials are made available under the\nterms of the Eclipse Public License 2.0 which is available at\n"
+     "https://www.eclipse.org/legal/epl-2.0/\n\nSPDX-License-Identifier: EPL-2.0", "EPL-2.0"),
+])
+def test_notices_of_more_licences(spark, text, want):
+    found = licenses.scan(documents(spark, [(1, text)])).collect()
+    assert [",".join(r.licenses) for r in found] == ([want] if want else [])
+
+
 @pytest.mark.parametrize("run", [".", ":", ";.", "\n", "\n#", ". ", ";", "?!", "\n.", "the ", "v. "])
 def test_runs_of_signs_take_time_in_proportion(spark, run):
     docs = documents(spark, [(1, "x" + run * (1_000_000 // len(run)) + "y\n\nReleased under the MIT License.")])

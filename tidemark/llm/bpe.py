@@ -1,4 +1,4 @@
-"""BPE encoding through a table of distinct words, and decoding through an id-to-piece join."""
+"""BPE encoding through a table of distinct words, and decoding through a table of pieces that each task looks ids up in."""
 
 from __future__ import annotations
 

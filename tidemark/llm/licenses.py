@@ -46,7 +46,27 @@ SENTENCES = {
     "bsd-names": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
     "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
     "mpl-named": "this source code form is subject to the terms of the mozilla public license v 2 0",
+    "lgpl21-later": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "lgpl3-later": "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "agpl3-later": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl-warranty": "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "lgpl-see": "see the gnu lesser general public license for more details",
+    "agpl-see": "see the gnu affero general public license for more details",
+    "epl2-named": "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0",
+    "unlicense": "this is free and unencumbered software released into the public domain",
+    "mit-readme": "this project is licensed under the mit license see the license file for details",
+    "mit-readme-2": "this project is licensed under the mit license see the license md file for details",
+    "apache-readme": "this project is licensed under the apache license 2 0 see the license file for details",
+    "apache-readme-2": "this project is licensed under the apache license 2 0",
+    "apache-readme-3": "licensed under the apache license 2 0",
 }
+#: Identifiers that a line "SPDX-License-Identifier: ..." may name.
+SPDX = (
+    "MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "MPL-2.0", "EPL-2.0", "Unlicense", "CC0-1.0", "CC-BY-4.0",
+    "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later",
+    "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later",
+)
+SENTENCES |= {f"spdx-{name.lower()}": "spdx license identifier " + re.sub("[^a-z0-9]+", " ", name.lower()) for name in SPDX}
 #: Rules in the order that they are tried; what a rule takes is no longer there for the next.
 RULES = (
     ("MIT", ("mit-title", "mit-grant", "mit-notice", "mit-warranty", "mit-liability")),
@@ -80,6 +100,20 @@ RULES = (
     ("MIT", ("mit-named",)),
     ("MIT", ("mit-named-2",)),
     ("MIT", ("mit-named-3",)),
+    ("LGPL-2.1-or-later", ("lgpl21-later", "lgpl-warranty", "lgpl-see")),
+    ("LGPL-2.1-or-later", ("lgpl21-later",)),
+    ("LGPL-3.0-or-later", ("lgpl3-later", "gpl-warranty", "lgpl-see")),
+    ("LGPL-3.0-or-later", ("lgpl3-later",)),
+    ("AGPL-3.0-or-later", ("agpl3-later", "gpl-warranty", "agpl-see")),
+    ("AGPL-3.0-or-later", ("agpl3-later",)),
+    ("EPL-2.0", ("epl2-named",)),
+    ("Unlicense", ("unlicense",)),
+    ("MIT", ("mit-readme",)),
+    ("MIT", ("mit-readme-2",)),
+    ("Apache-2.0", ("apache-readme",)),
+    ("Apache-2.0", ("apache-readme-2",)),
+    ("Apache-2.0", ("apache-readme-3",)),
+    *((name, (f"spdx-{name.lower()}",)) for name in SPDX),
 )
 
 #: White space from here on is "H" where a sentence ends for certain, at a sign or a blank line (signs alone are blank too),
