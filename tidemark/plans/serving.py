@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark import schemas
 from tidemark.functions import indicators
 from tidemark.operators import candles as c
-from tidemark.operators import marts, serving as s
-from tidemark.plans import oracle as o
+from tidemark.operators import lake, marts, serving as s
+from tidemark.plans import jobs, oracle as o
 from tidemark.plans.detection import anomaly_ctes, hourly_anomalies
 from tidemark.plans.registry import query, settle, settle_sql
 from tidemark.session import scratch_dir
@@ -28,12 +28,17 @@ def _fct(spark: SparkSession, sf_dir: str, interval: str = "M1") -> DataFrame:
     return marts.fct_candle(c.candles(market.trades(spark, sf_dir), interval))
 
 
+_MARTS: dict[tuple[str, str, str], str] = {}
+
+
 def _fct_mart(spark: SparkSession, sf_dir: str, interval: str = "M1") -> DataFrame:
-    """The candle mart as a written table, for read models that look at it more than once."""
-    path = scratch_dir(spark, "fct-candle")
-    rows = _fct(spark, sf_dir, interval)
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    """The candle mart as a table with a folder for each day, as the hourly chain keeps it; built once per session."""
+    rows, key = _fct(spark, sf_dir, interval), (spark.sparkContext.applicationId, sf_dir, interval)
+    if key not in _MARTS:
+        path = scratch_dir(spark, "fct-candle")
+        lake.overwrite_days(rows, path, jobs.DAY_OF_MART["fct_candle"])
+        _MARTS[key] = path
+    return spark.read.schema(rows.schema).parquet(_MARTS[key])
 
 
 def _api_settled(df: DataFrame) -> DataFrame:
