@@ -56,6 +56,19 @@ def test_answers_are_parsed(spark):
     assert parse(spark, '{"explanation": "x", "key_factors": [1]}') == ("x", ["1"])
 
 
+@pytest.mark.parametrize("answer", [
+    "4451718024887799 27.65.93.188 a text", '{"explanation": "x"} and more', "1, 2", "[1] 2", "1],[2", '1}, {"a":2', '1, "b": 2', "true story",
+    '{}, {}', '{}], [{}', '{}}, {"a":{}', '{}, "b": 2', '{} {}', "12", "null", "[1, 2]",
+])
+def test_an_answer_that_is_not_one_object_is_plain_text(spark, answer):
+    assert parse(spark, answer) == (answer, [])
+
+
+@pytest.mark.parametrize("answer", [" {} ", '{"other": [1, {"b": 2}]}'])
+def test_an_object_without_an_explanation_has_none(spark, answer):
+    assert parse(spark, answer) == ("", [])
+
+
 def test_headlines(spark):
     item = "<item><title>{}</title></item>"
     new = "<rss><channel>" + "".join(item.format(f" t{n} &amp; ") for n in range(8)) + "</channel></rss>"

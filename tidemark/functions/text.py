@@ -72,11 +72,24 @@ def build_prompt(
     )
 
 
+def _is_object(text: Column) -> Column:
+    """Whether the whole text, stripped, is one JSON object.
+
+    The parser ends at the first whole value and does not look at what follows. As the only item of an array and as a
+    member of an object, nothing can follow the value: one of the two does not close or has a second item.
+    """
+    items = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    member = F.try_parse_json(F.concat(F.lit('{"a":'), text, F.lit("}")))
+    item = lambda n: F.try_variant_get(items, f"$[{n}]", "variant")
+    whole = text.startswith("{") & item(0).isNotNull() & item(1).isNull() & member.isNotNull()
+    return F.coalesce(whole, F.lit(False))
+
+
 def parse_answer(text: Column) -> Column:
-    """struct<explanation, key_factors> of an answer: JSON, fenced JSON, or else the whole text."""
+    """struct<explanation, key_factors> of an answer: a JSON object, a fenced one, or else the whole text."""
     cleaned = strip(F.regexp_replace(text, "```(?:json)?", ""))
     parsed = F.from_json(cleaned, _ANSWER)
-    is_json = F.try_parse_json(cleaned).isNotNull()
+    is_json = _is_object(cleaned)
     no_factors = F.array().cast("array<string>")
     return F.struct(
         F.when(is_json, F.coalesce(parsed["explanation"], F.lit(""))).otherwise(strip(text)).alias("explanation"),
