@@ -88,3 +88,13 @@ def test_both_topics_and_the_counts_over_a_restart(spark, trades, tmp_path):
     assert rows(stored, columns) == rows(known, columns)
     deltas = ingest.read_topic(spark, f"{base}/out", schemas.ORDERBOOK_TOPIC)
     assert deltas.count() == known.count() and deltas.filter(s.decode_plain_key(F.col("key")) != F.col("value.symbol")).isEmpty()
+
+
+def test_frames_come_from_one_numbering_of_the_trades(trades, tmp_path):
+    """Trades are read for the segments' counts and for the rows, not for each kind of frame again."""
+    trades.write.parquet(str(tmp_path / "trades"))
+    stored = trades.sparkSession.read.parquet(str(tmp_path / "trades"))
+    plan = market.exchange_frames(stored)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2
+    frames = market.exchange_frames(stored)
+    assert frames.groupBy("exchange").count().count() == 2 and frames.count() == 40 * 2 + 12

@@ -47,8 +47,9 @@ def _stragglers(log: list[DataFrame]) -> DataFrame:
     })
 
 
-#: Rows of a log file; a stretch is written as so many files that none has more.
-ROWS_PER_FILE = 2_000_000
+#: Rows of a log file; a stretch is written as so many files that none has more. A file is the least that a task of a
+#: micro-batch takes, so large files would leave cores idle.
+ROWS_PER_FILE = 100_000
 
 
 class _Log:
@@ -587,12 +588,14 @@ def _ingested(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     The folder of the logs, and the counts of the listener. The frames are written once and read once.
     """
     base = scratch_dir(spark, "ingest")
-    frames = market.exchange_frames(market.trades(spark, sf_dir))
-    files = LOG_FILES * _files(5 * market.events(spark, sf_dir).count())
-    frames.repartitionByRange(files, "kafka_offset").write.parquet(f"{base}/frames")
+    trades = market.trades(spark, sf_dir)
+    # Two frames or more for each trade, so LOG_FILES files at least, wherever the rows lie.
+    most = min(ROWS_PER_FILE, -(-2 * market.events(spark, sf_dir).count() // LOG_FILES))
+    market.exchange_frames(trades).write.option("maxRecordsPerFile", max(most, 1)).parquet(f"{base}/frames")
+    files = len(spark.read.schema(FRAMES).parquet(f"{base}/frames").inputFiles())
     listed = seed.read_symbol_seed(spark).filter(F.col("canonical") != _UNLISTED)
     symbols = [r[0] for r in listed.select("canonical").collect()]  # the seed
-    stream = spark.readStream.schema(FRAMES).option("maxFilesPerTrigger", files // LOG_FILES).parquet(f"{base}/frames")
+    stream = spark.readStream.schema(FRAMES).option("maxFilesPerTrigger", max(-(-files // LOG_FILES), 1)).parquet(f"{base}/frames")
     counts = ingest.IngestCounts()
     spark.streams.addListener(counts)
     try:

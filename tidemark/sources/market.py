@@ -69,8 +69,8 @@ def trades_since(spark: SparkSession, sf_dir: str, start: datetime) -> DataFrame
     return as_trades(events(spark, sf_dir).filter(F.col("ts") >= F.lit(start.isoformat(" ")).cast("timestamp_ntz")))
 
 
-def orderbook_deltas(trades: DataFrame) -> DataFrame:
-    """A delta per trade with ids in sequence per book, with planted overlaps and 4-id gaps."""
+def _with_books(trades: DataFrame) -> DataFrame:
+    """Trades with the delta of each: ids in sequence per book, with planted overlaps and 4-id gaps, and one level a side."""
     numbered = row_number_by_segment(
         trades, ["exchange", "symbol"], "kafka_offset", sequence_segment("kafka_offset"), "seq"
     )
@@ -81,15 +81,18 @@ def orderbook_deltas(trades: DataFrame) -> DataFrame:
         F.struct((F.col("price") * factor).alias("price"), F.col("quantity").alias("quantity"))
     )
     return numbered.select(
-        "exchange",
-        "symbol",
+        *trades.columns,
         (10 * F.col("seq") + shift).alias("first_update_id"),
         (10 * F.col("seq") + 9).alias("final_update_id"),
         level(0.999).alias("bids"),
         level(1.001).alias("asks"),
-        "event_time",
-        "ingest_time",
-        "kafka_offset",
+    )
+
+
+def orderbook_deltas(trades: DataFrame) -> DataFrame:
+    """A delta per trade with ids in sequence per book, with planted overlaps and 4-id gaps."""
+    return _with_books(trades).select(
+        "exchange", "symbol", "first_update_id", "final_update_id", "bids", "asks", "event_time", "ingest_time", "kafka_offset"
     )
 
 
@@ -97,50 +100,43 @@ def _binance_ticker() -> F.Column:
     return F.concat(F.split_part("symbol", F.lit("-"), F.lit(1)), F.lit("USDT"))
 
 
-def binance_trade_frames(trades: DataFrame) -> DataFrame:
-    """Binance trades as combined-stream frames (value, ingest_time, kafka_offset)."""
-    ticker = _binance_ticker()
-    data = F.struct(
+def _binance_body(channel: str, data: F.Column) -> F.Column:
+    return F.to_json(F.struct(F.concat(F.lower(_binance_ticker()), F.lit(f"@{channel}")).alias("stream"), data.alias("data")))
+
+
+def _binance_trade() -> F.Column:
+    return _binance_body("trade", F.struct(
         F.lit("trade").alias("e"),
         F.unix_millis("event_time").alias("E"),
-        ticker.alias("s"),
+        _binance_ticker().alias("s"),
         F.col("trade_id").cast("long").alias("t"),
         F.col("price").cast("string").alias("p"),
         F.col("quantity").cast("string").alias("q"),
         F.unix_millis("event_time").alias("T"),
         (F.col("side") == "SELL").alias("m"),
-    )
-    return _frames(
-        trades.filter(F.col("exchange") == "binance"),
-        F.struct(F.concat(F.lower(ticker), F.lit("@trade")).alias("stream"), data.alias("data")),
-    )
+    ))
 
 
-def binance_depth_frames(deltas: DataFrame) -> DataFrame:
-    ticker = _binance_ticker()
+def _binance_depth() -> F.Column:
     pairs = lambda name: F.transform(
         name, lambda x: F.array(x["price"].cast("string"), x["quantity"].cast("string"))
     )
-    data = F.struct(
+    return _binance_body("depth", F.struct(
         F.lit("depthUpdate").alias("e"),
         F.unix_millis("event_time").alias("E"),
-        ticker.alias("s"),
+        _binance_ticker().alias("s"),
         F.col("first_update_id").alias("U"),
         F.col("final_update_id").alias("u"),
         pairs("bids").alias("b"),
         pairs("asks").alias("a"),
-    )
-    return _frames(
-        deltas.filter(F.col("exchange") == "binance"),
-        F.struct(F.concat(F.lower(ticker), F.lit("@depth")).alias("stream"), data.alias("data")),
-    )
+    ))
 
 
 def _iso_millis(name: str) -> F.Column:
     return F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
 
-def coinbase_trade_frames(trades: DataFrame) -> DataFrame:
+def _coinbase_trade() -> F.Column:
     trade = F.struct(
         "trade_id",
         F.col("symbol").alias("product_id"),
@@ -149,17 +145,14 @@ def coinbase_trade_frames(trades: DataFrame) -> DataFrame:
         F.lower("side").alias("side"),
         _iso_millis("event_time").alias("time"),
     )
-    return _frames(
-        trades.filter(F.col("exchange") == "coinbase"),
-        F.struct(
-            F.lit("market_trades").alias("channel"),
-            F.col("kafka_offset").alias("sequence_num"),
-            F.array(F.struct(F.lit("update").alias("type"), F.array(trade).alias("trades"))).alias("events"),
-        ),
-    )
+    return F.to_json(F.struct(
+        F.lit("market_trades").alias("channel"),
+        F.col("kafka_offset").alias("sequence_num"),
+        F.array(F.struct(F.lit("update").alias("type"), F.array(trade).alias("trades"))).alias("events"),
+    ))
 
 
-def coinbase_l2_frames(deltas: DataFrame) -> DataFrame:
+def _coinbase_l2() -> F.Column:
     side = lambda name, label: F.transform(
         name,
         lambda x: F.struct(
@@ -173,45 +166,55 @@ def coinbase_l2_frames(deltas: DataFrame) -> DataFrame:
         F.col("symbol").alias("product_id"),
         F.concat(side("bids", "bid"), side("asks", "offer")).alias("updates"),
     )
-    return _frames(
-        deltas.filter(F.col("exchange") == "coinbase"),
-        F.struct(
-            F.lit("l2_data").alias("channel"),
-            F.col("final_update_id").alias("sequence_num"),
-            _iso_millis("event_time").alias("timestamp"),
-            F.array(event).alias("events"),
-        ),
-    )
+    return F.to_json(F.struct(
+        F.lit("l2_data").alias("channel"),
+        F.col("final_update_id").alias("sequence_num"),
+        _iso_millis("event_time").alias("timestamp"),
+        F.array(event).alias("events"),
+    ))
 
 
-def exchange_frames(trades: DataFrame) -> DataFrame:
-    """What two connections receive (exchange, value, ingest_time, kafka_offset): trades and deltas of the trades, and for
-    every tenth offset something that is neither: an acknowledgement, a heartbeat, a snapshot, a broken line."""
-    deltas = orderbook_deltas(trades)
-    made = {
-        "binance": [binance_trade_frames(trades), binance_depth_frames(deltas)],
-        "coinbase": [coinbase_trade_frames(trades), coinbase_l2_frames(deltas)],
-    }
-    frames = None
-    for exchange, parts in made.items():
-        for part in parts:
-            part = part.withColumn("exchange", F.lit(exchange))
-            frames = part if frames is None else frames.unionByName(part)
-    tenth = trades.select(
-        "exchange", "ingest_time", "kafka_offset",
-        F.when(F.col("kafka_offset") % 10 == 0, F.when(F.col("exchange") == "binance", '{"result":null,"id":1}').otherwise(
-            '{"channel":"heartbeats","sequence_num":7,"events":[{"current_time":"now","heartbeat_counter":"3"}]}'))
-        .when(F.col("kafka_offset") % 10 == 1, F.when(F.col("exchange") == "coinbase", F.concat(
+def _neither() -> F.Column:
+    """For every tenth offset a frame that is no event: an acknowledgement, a heartbeat, a snapshot, a broken line."""
+    return F.when(F.col("kafka_offset") % 10 == 0, F.when(F.col("exchange") == "binance", '{"result":null,"id":1}').otherwise(
+        '{"channel":"heartbeats","sequence_num":7,"events":[{"current_time":"now","heartbeat_counter":"3"}]}')).when(
+        F.col("kafka_offset") % 10 == 1, F.when(F.col("exchange") == "coinbase", F.concat(
             F.lit('{"channel":"market_trades","events":[{"type":"snapshot","trades":[{"trade_id":"0","product_id":"'), "symbol",
-            F.lit('","price":"1","size":"1","side":"BUY","time":"2024-01-01T00:00:00Z"}]}]}'))).otherwise('{"data":{"e":"kline"}}'))
-        .when(F.col("kafka_offset") % 10 == 2, F.concat(F.lit('{"data":{"e":"trade","s":"'), "symbol"))
-        .alias("value"),
-    ).filter("value IS NOT NULL")
-    return frames.unionByName(tenth)
+            F.lit('","price":"1","size":"1","side":"BUY","time":"2024-01-01T00:00:00Z"}]}]}'))).otherwise('{"data":{"e":"kline"}}')).when(
+        F.col("kafka_offset") % 10 == 2, F.concat(F.lit('{"data":{"e":"trade","s":"'), "symbol"))
+
+
+def _frames(rows: DataFrame, exchange: str, body: F.Column) -> DataFrame:
+    return rows.filter(F.col("exchange") == exchange).select(body.alias("value"), "ingest_time", "kafka_offset")
 
 
-def _frames(rows: DataFrame, body: F.Column) -> DataFrame:
-    return rows.select(F.to_json(body).alias("value"), "ingest_time", "kafka_offset")
+def binance_trade_frames(trades: DataFrame) -> DataFrame:
+    """Binance trades as combined-stream frames (value, ingest_time, kafka_offset)."""
+    return _frames(trades, "binance", _binance_trade())
+
+
+def binance_depth_frames(deltas: DataFrame) -> DataFrame:
+    return _frames(deltas, "binance", _binance_depth())
+
+
+def coinbase_trade_frames(trades: DataFrame) -> DataFrame:
+    return _frames(trades, "coinbase", _coinbase_trade())
+
+
+def coinbase_l2_frames(deltas: DataFrame) -> DataFrame:
+    return _frames(deltas, "coinbase", _coinbase_l2())
+
+
+def exchange_frames(trades: DataFrame) -> DataFrame:
+    """What two connections receive (value, ingest_time, kafka_offset, exchange): trades and deltas of the trades, and for
+    every tenth offset something that is neither: an acknowledgement, a heartbeat, a snapshot, a broken line.
+
+    The trades are numbered once, and all frames of a trade are made where it then lies.
+    """
+    made = F.when(F.col("exchange") == "binance", F.array(_binance_trade(), _binance_depth(), _neither())).when(
+        F.col("exchange") == "coinbase", F.array(_coinbase_trade(), _coinbase_l2(), _neither())).otherwise(F.array(_neither()))
+    frames = _with_books(trades).select(F.explode(made).alias("value"), "ingest_time", "kafka_offset", "exchange")
+    return frames.filter("value IS NOT NULL")
 
 
 ITEMS_PER_FEED = 50
