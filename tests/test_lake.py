@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tests.conftest import at
 from tidemark import schemas
 from tidemark.operators import backtest, candles as c, lake, metrics
+from tidemark.plans import REGISTRY, streams
 
 T = schemas.TRADES_TABLE
 
@@ -211,3 +212,14 @@ def test_a_missing_value_fails_the_whole_batch(spark, root, trades, column):
         lake.write_batch(broken, root, T, 0)
     assert lake.read_table(spark, root, T).isEmpty()
 
+
+
+def test_a_query_of_trades_builds_no_candles(spark, tmp_path):
+    events = spark.createDataFrame([(n, n * 100_000, n % 4, "click", 5.0, '{"k": 1}') for n in range(1, 15)],
+                                   "event_id bigint, s bigint, user_id bigint, event_type string, value double, props string")
+    events.withColumn("ts", F.timestamp_seconds(F.col("s") + 1_700_000_000).cast("timestamp_ntz")).drop("s").write.parquet(
+        str(tmp_path / "events.parquet"))
+    row, = REGISTRY["backtest_trades_asof"].run(spark, str(tmp_path)).collect()
+    root, = [path for (_, folder), path in streams._LAKES.items() if folder == str(tmp_path)]
+    assert row.total_trades > 0 and not lake.table_exists(spark, root, schemas.CANDLES_TABLE)
+    assert REGISTRY["lake_layout"].run(spark, str(tmp_path)).filter("table_name = 'silver.candles'").count() > 0

@@ -298,29 +298,35 @@ def decoded_candle_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- the lake ----------------------------------------------------------------------------------
 
 _LAKES: dict[tuple[str, str], str] = {}
+_FILLED: set[tuple[str, str]] = set()
 
 
-def _weekly_lake(spark: SparkSession, sf_dir: str) -> str:
-    """A lake filled with one commit of trades and one of candles per week; built once per session."""
+def _weekly_lake(spark: SparkSession, sf_dir: str, *tables: schemas.LakeTable) -> str:
+    """A lake with ``tables``, each filled with one commit per week; a table is built once per session, when first asked for."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LAKES:
-        root = scratch_dir(spark, "lake")
-        trades = market.trades(spark, sf_dir).withColumns(
-            {"topic": F.lit(schemas.TRADES_TOPIC), "partition": F.lit(0)}
-        )
-        hourly = c.candles(market.trades(spark, sf_dir), "H1").withColumn("kafka_offset", F.unix_millis("window_start"))
-        for table, rows in ((schemas.TRADES_TABLE, trades), (schemas.CANDLES_TABLE, hourly)):
-            lake.ensure_table(spark, root, table)
-            # Written once by week, so that each commit reads its own week only.
-            staged = scratch_dir(spark, "weeks")
-            rows = rows.withColumn("week", F.to_date(F.date_trunc("week", table.time_column)))
-            rows.write.partitionBy("week").parquet(staged)
-            rows = spark.read.schema(rows.schema).parquet(staged)
-            weeks = [r[0] for r in rows.select("week").distinct().orderBy("week").collect()]
-            for number, start in enumerate(weeks):
-                lake.write_batch(rows.filter(F.col("week") == F.lit(start)), root, table, number)
-        _LAKES[key] = root
-    return _LAKES[key]
+    root = _LAKES.setdefault(key, scratch_dir(spark, "lake"))
+    for table in tables:
+        if (root, table.name) not in _FILLED:
+            _fill_weeks(spark, sf_dir, root, table)
+            _FILLED.add((root, table.name))
+    return root
+
+
+def _fill_weeks(spark: SparkSession, sf_dir: str, root: str, table: schemas.LakeTable) -> None:
+    if table is schemas.TRADES_TABLE:
+        rows = market.trades(spark, sf_dir).withColumns({"topic": F.lit(schemas.TRADES_TOPIC), "partition": F.lit(0)})
+    else:
+        hourly = c.candles(market.trades(spark, sf_dir), "H1")
+        rows = hourly.withColumn("kafka_offset", F.unix_millis("window_start"))
+    lake.ensure_table(spark, root, table)
+    # Written once by week, so that each commit reads its own week only.
+    staged = scratch_dir(spark, "weeks")
+    rows = rows.withColumn("week", F.to_date(F.date_trunc("week", table.time_column)))
+    rows.write.partitionBy("week").parquet(staged)
+    rows = spark.read.schema(rows.schema).parquet(staged)
+    weeks = [r[0] for r in rows.select("week").distinct().orderBy("week").collect()]
+    for number, start in enumerate(weeks):
+        lake.write_batch(rows.filter(F.col("week") == F.lit(start)), root, table, number)
 
 
 _WEEKS = f"""WITH {o.TRADES},
@@ -333,7 +339,7 @@ commits AS (SELECT row_number() OVER (ORDER BY week) AS commit_seq, week, n, nex
 SELECT commit_seq AS snapshot_id, 'append' AS operation, n AS received, n AS inserted, CAST(0 AS BIGINT) AS skipped,
        next_offset FROM commits""")
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root, table = _weekly_lake(spark, sf_dir), schemas.TRADES_TABLE
+    root, table = _weekly_lake(spark, sf_dir, schemas.TRADES_TABLE), schemas.TRADES_TABLE
     log = lake.commit_log(spark, root, table).select(
         F.col("commit_seq").alias("snapshot_id"), "received", "inserted", "skipped",
         F.col("offsets")["trades.raw.0"].alias("next_offset"),
@@ -348,7 +354,7 @@ SELECT 'bronze.trades' AS table_name, CAST(2 AS BIGINT) AS snapshot_id, count(*)
        CASE WHEN count_if(price <= 0 OR quantity <= 0) > 0 THEN 'failed' ELSE 'ok' END AS status
 FROM trades WHERE date_trunc('week', event_time) IN (SELECT week FROM commits WHERE commit_seq <= 2)""")
 def backtest_trades_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _weekly_lake(spark, sf_dir)
+    root = _weekly_lake(spark, sf_dir, schemas.TRADES_TABLE)
     return backtest.run_backtest(spark, root, schemas.TRADES_TABLE, snapshot_id=2)
 
 
@@ -360,7 +366,7 @@ SELECT 'silver.candles' AS table_name, CAST(3 AS BIGINT) AS snapshot_id, count(*
        round(sum(volume), 4) AS total_volume, 'ok' AS status
 FROM candles WHERE date_trunc('week', window_start) IN (SELECT week FROM weeks)""")
 def backtest_candles_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _weekly_lake(spark, sf_dir)
+    root = _weekly_lake(spark, sf_dir, schemas.CANDLES_TABLE)
     return backtest.run_backtest(spark, root, schemas.CANDLES_TABLE, snapshot_id=3)
 
 
@@ -368,7 +374,7 @@ def backtest_candles_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT 'bronze.trades' AS table_name, CAST(sum(n) AS BIGINT) AS inserted, CAST(0 AS BIGINT) AS duplicates,
        count(*) AS batches, CAST(0 AS BIGINT) AS errors FROM commits""")
 def sink_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _weekly_lake(spark, sf_dir)
+    root = _weekly_lake(spark, sf_dir, schemas.TRADES_TABLE)
     return metrics.sink_counters(lake.commit_log(spark, root, schemas.TRADES_TABLE))
 
 
@@ -378,7 +384,7 @@ SELECT 'bronze.trades' AS table_name, le, count_if(n / 200.0 <= le)::BIGINT AS "
 FROM commits, bounds GROUP BY le""")
 def commit_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All buckets. Commit times depend on the machine, so a two-hundredth of the rows of a commit stands for them."""
-    root = _weekly_lake(spark, sf_dir)
+    root = _weekly_lake(spark, sf_dir, schemas.TRADES_TABLE)
     log = lake.commit_log(spark, root, schemas.TRADES_TABLE)
     return metrics.commit_histogram(log.withColumn("seconds", F.col("received") / 200.0)).drop("sum_seconds")
 
@@ -448,7 +454,7 @@ def sink_dedup_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT 'bronze.trades' AS table_name, count(*) AS n_rows FROM trades
 UNION ALL SELECT 'silver.candles', count(*) FROM candles""")
 def refreshed_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _weekly_lake(spark, sf_dir)
+    root = _weekly_lake(spark, sf_dir, *schemas.LAKE_TABLES)
     counts = lake.refresh_copy(spark, root, scratch_dir(spark, "copy"))
     return spark.createDataFrame(sorted(counts.items()), "table_name string, n_rows bigint")
 
@@ -543,7 +549,7 @@ SELECT 'bronze.trades' AS table_name, CAST(event_time AS DATE) AS folder_day, sy
 UNION ALL SELECT 'silver.candles', CAST(window_start AS DATE), "interval", count(*) FROM candles GROUP BY ALL""")
 def lake_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of each day and symbol or interval folder, read from the file names."""
-    root, out = _weekly_lake(spark, sf_dir), None
+    root, out = _weekly_lake(spark, sf_dir, *schemas.LAKE_TABLES), None
     for table in (schemas.TRADES_TABLE, schemas.CANDLES_TABLE):
         part = lambda name: F.regexp_extract(F.input_file_name(), f"/{name}=([^/]+)/", 1)  # noqa: B023,E731
         rows = spark.read.parquet(lake.data_path(root, table)).select(
@@ -558,7 +564,7 @@ def lake_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT 'sink-trades' AS job_name, 'trades.raw' AS inputs, 'bronze.trades' AS output, n AS rows_written, 'COMPLETE' AS state, commit_seq
 FROM commits""")
 def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lake.run_records(lake.commit_log(spark, _weekly_lake(spark, sf_dir), schemas.TRADES_TABLE))
+    return lake.run_records(lake.commit_log(spark, _weekly_lake(spark, sf_dir, schemas.TRADES_TABLE), schemas.TRADES_TABLE))
 
 
 @query("empty_batch", f"""WITH {o.TRADES}
