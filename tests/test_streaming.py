@@ -305,3 +305,9 @@ def test_registry_framing(spark):
     assert [None if r.b is None else bytes(r.b) for r in framed.select(s.unframed(F.col("v")).alias("b")).collect()] == [b"\x02abc", b"", None]
     with pytest.raises(Exception, match="registry header"):
         df.limit(1).select(s.unframed(F.col("body"))).collect()
+
+
+def test_a_micro_batch_of_a_large_log_has_files_for_many_cores():
+    from tidemark.plans import streams
+
+    assert streams._files(6_000_000) >= 8 and streams._files(36_000_000) >= 48 and streams._files(10) == 1

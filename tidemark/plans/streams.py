@@ -170,10 +170,17 @@ def live_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.read_live(spark, f"{base}/live").withColumn("vwap", settle(F.col("vwap")))
 
 
-def _stretches(rows: DataFrame, order: Column, label: str, parts: int = LOG_FILES) -> list[DataFrame]:
-    """Rows written once in ``parts`` stretches of a number, each of which is read by itself."""
+def _stretches(
+    rows: DataFrame, order: Column, label: str, parts: int = LOG_FILES, numbers: DataFrame | None = None
+) -> list[DataFrame]:
+    """Rows written once in ``parts`` stretches of a number, each of which is read by itself.
+
+    Where ``rows`` are dear to make, ``numbers`` is a plainer frame with the same numbers, of which the cuts are taken.
+    """
     spark, path = rows.sparkSession, scratch_dir(rows.sparkSession, label)
-    cuts = rows.agg(F.percentile_approx(order, [i / parts for i in range(1, parts)], 10_000)).first()[0]
+    cuts = (rows if numbers is None else numbers).agg(
+        F.percentile_approx(order, [i / parts for i in range(1, parts)], 10_000)
+    ).first()[0]
     stretch = sum((F.when(order > cut, 1).otherwise(0) for cut in cuts), F.lit(0))
     rows.withColumn("stretch", stretch).write.partitionBy("stretch").parquet(path)
     return [spark.read.schema(rows.schema).parquet(f"{path}/stretch={i}") for i in range(parts)]
@@ -194,11 +201,12 @@ def stream_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable_anomalies(spark.read.parquet(f"{base}/out").drop("batch"))
 
 
-def _gaps_found(spark: SparkSession, deltas: DataFrame, rows: int, session: str | None = None) -> DataFrame:
+def _gaps_found(spark: SparkSession, sf_dir: str, deltas: DataFrame, session: str | None = None) -> DataFrame:
     """Gaps of a stream of deltas in order of their offset: several micro-batches, stopped half way."""
-    base = scratch_dir(spark, "gaps")
-    stretches = _stretches(deltas, F.col("kafka_offset"), "delta-stretches")
-    log = _Log(spark, "delta-log", deltas.schema, _files(rows))
+    base, events = scratch_dir(spark, "gaps"), market.events(spark, sf_dir)
+    numbers = events.select(F.col("event_id").alias("kafka_offset"))  # a delta for each event
+    stretches = _stretches(deltas, F.col("kafka_offset"), "delta-stretches", numbers=numbers)
+    log = _Log(spark, "delta-log", deltas.schema, _files(events.count()))
     for part in (stretches[: LOG_FILES // 2], stretches[LOG_FILES // 2:]):
         log.append(*part)
         jobs.start_gaps(
@@ -211,7 +219,7 @@ def _gaps_found(spark: SparkSession, deltas: DataFrame, rows: int, session: str
 def stream_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     deltas = market.orderbook_deltas(market.trades(spark, sf_dir))
     rows = s.delta_records(deltas).select("value.*", F.col("offset").alias("kafka_offset"))
-    return _gaps_found(spark, rows, market.events(spark, sf_dir).count()).select(*GAP_COLUMNS)
+    return _gaps_found(spark, sf_dir, rows).select(*GAP_COLUMNS)
 
 
 @query("stream_gaps_reset", f"""WITH {o.DELTAS},
@@ -235,7 +243,7 @@ def stream_gaps_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
         "connection": connection,
         "first_update_id": F.col("first_update_id") + jump, "final_update_id": F.col("final_update_id") + jump,
     }).select("exchange", "symbol", "first_update_id", "final_update_id", "kafka_offset", "connection")
-    found = _gaps_found(spark, deltas, market.events(spark, sf_dir).count(), "connection")
+    found = _gaps_found(spark, sf_dir, deltas, "connection")
     return found.select(*GAP_COLUMNS, "connection")
 
 
