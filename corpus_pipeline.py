@@ -45,8 +45,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each row, and digests of the ids and of the text that they decode to."""
-    path = tokenizer_path()
-    coded = bpe.decode(bpe.encode(docs, path), path)
+    coded = bpe.encode(docs, tokenizer_path(), decoded="decoded")
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

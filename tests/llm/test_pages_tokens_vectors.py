@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import os
 import random
+import re
 import time
 from collections import Counter
 
@@ -18,6 +19,7 @@ import corpus_pipeline
 from tests.llm.helpers import classes_of, documents, near_classes, odd_rows, words
 from tidemark.llm import bpe, collisions, html_text, quality, warc
 from tidemark.llm.common import written
+from tidemark.llm.queries import QUERIES
 from tidemark.session import scratch_dir
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -223,6 +225,23 @@ def test_encoding_equals_the_library(spark, group_words):
     assert bpe.encode(documents(spark, []), TOKENIZER).count() == 0
 
 
+@pytest.mark.parametrize("group_words", [4_000_000, 50])
+def test_encoding_gives_the_text_that_decoding_gives(spark, group_words):
+    docs = documents(spark, [*odd_rows(), (400, "a<|endoftext|>B"), (401, "²½İ🙂")], clashing=True)
+    both = bpe.encode(docs, TOKENIZER, group_words=group_words, decoded="size").collect()
+    apart = bpe.decode(bpe.encode(docs, TOKENIZER), TOKENIZER).collect()
+    assert Counter((r.doc_id, tuple(r.ids), r["size"]) for r in both) == Counter((r.doc_id, tuple(r.ids), r.decoded) for r in apart)
+    assert bpe.encode(documents(spark, []), TOKENIZER, decoded="decoded").count() == 0
+
+
+def test_token_stages_keep_one_python_worker_a_task(spark, tmp_path):
+    documents(spark, odd_rows()).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for made in (dict(corpus_pipeline.STAGES)["bpe"](spark, docs, str(tmp_path)), QUERIES["op9_word_table_bpe"](spark, str(tmp_path))):
+        stages = made._jdf.queryExecution().executedPlan().toString().split(" Exchange ")
+        assert len(stages) == 3 and [len(re.findall(r"\w+InArrow ", s)) for s in stages] == [1, 1, 1]
+
+
 def test_words_are_coded_in_any_size():
     numbers = [0, 1, 127, 128, 16_383, 16_384, 2**21 - 1, 2**21, 2**28, 5]
     assert bpe.unpacked(bpe.packed(np.array(numbers))).tolist() == numbers and bpe.unpacked(bpe.packed(np.zeros(0, np.int64))).tolist() == []

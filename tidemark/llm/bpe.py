@@ -17,7 +17,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, types as T
 
-from tidemark.llm.common import pieces
+from tidemark.llm.common import pieces, runs
 
 
 #: Words in a group of documents that shares one list of distinct words; buckets that distinct words are dealt to.
@@ -205,18 +205,39 @@ def encoded_words(groups: DataFrame, path: str) -> DataFrame:
     return groups.repartition("slot").mapInArrow(encode, groups.schema)
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", group_words: int = GROUP_WORDS) -> DataFrame:
+def _vocabulary(path: str) -> pa.Array:
+    """The pieces by id."""
+    of = _tokenizer(path)
+    return pa.array([of.id_to_token(i) for i in range(of.get_vocab_size())], pa.large_string())
+
+
+def _spelled(lists: pa.Array, vocabulary: pa.Array) -> pa.Array:
+    """Of each list of ids the pieces with a space between; null for a null list."""
+    lens = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(lens)])
+    found = pa.LargeListArray.from_arrays(pa.array(ends), vocabulary.take(lists.flatten()))
+    joined = pc.binary_join(found, pa.scalar(" ", pa.large_string())).cast(pa.string())
+    return pc.if_else(lists.is_valid(), joined, pa.scalar(None, pa.string()))
+
+
+def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", group_words: int = GROUP_WORDS,
+           decoded: str | None = None) -> DataFrame:
     """(``key``, ids): token ids of each text, as the tokenizer file at ``path`` encodes it without added tokens.
 
     Null texts count as empty and have no ids. Rows that repeat are encoded each; other columns are ignored.
     An empty table gives no rows. Texts are moved as codes into their group's list of distinct words; only that
-    list moves to where its words are encoded, and meets the codes again by place.
+    list moves to where its words are encoded, and meets the codes again by place. With ``decoded`` a column of
+    that name has what ``decode`` gives, made where the ids are: two steps in Python behind each other would keep
+    two workers for each core, and each worker holds its libraries and the vocabulary for as long as it lives.
     """
     buckets = min(MOST_BUCKETS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     coded = encoded_words(grouped_words(docs, path, text, key, buckets, group_words), path)
     schema = T.StructType([docs.schema[key], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    if decoded:
+        schema = schema.add(decoded, T.StringType())
 
-    def place(rows: pa.Table) -> pa.Table:
+    def lists_of(rows: pa.Table) -> tuple[pa.Array, pa.Array]:
+        """Keys and ids of the documents of one group."""
         own = rows.filter(pc.is_valid(rows.column("codes")))
         lists = rows.filter(pc.is_valid(rows.column("list")))
         n = own.column("words")[0].as_py()
@@ -237,10 +258,19 @@ def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id",
             lo, hi = total[at], total[at + len(part)]
             out[lo:hi] = ids[np.repeat(start[part] - first, lens) + np.arange(lo, hi)]
         ends = total[np.concatenate([[0], np.cumsum(unpacked(own.column("ends")[0].as_py()))])]
-        found = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(out))
-        return pa.Table.from_arrays([own.column("keys").combine_chunks().flatten(), found], [key, "ids"])
+        return own.column("keys").combine_chunks().flatten(), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(out))
+
+    def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = _vocabulary(path) if decoded else None
+        for rows in runs(batches, ["group"]):
+            keys, found = lists_of(rows)
+            for at in range(0, len(keys), 200):
+                columns = [keys.slice(at, 200), found.slice(at, 200)]
+                if decoded:
+                    columns.append(_spelled(columns[1], vocabulary))
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return coded.groupBy("group").applyInArrow(place, schema)
+    return coded.repartition("group").sortWithinPartitions("group").mapInArrow(place, schema)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
@@ -254,17 +284,10 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded
     schema = T.StructType([*encoded.schema.fields, T.StructField(name, T.StringType())])
 
     def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = _tokenizer(path)
-        pieces = pa.array([of.id_to_token(i) for i in range(of.get_vocab_size())], pa.large_string())
+        vocabulary = _vocabulary(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                lists = part.column(ids)
-                lens = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-                ends = np.concatenate([[0], np.cumsum(lens)])
-                found = pa.LargeListArray.from_arrays(pa.array(ends), pieces.take(lists.flatten()))
-                joined = pc.binary_join(found, pa.scalar(" ", pa.large_string())).cast(pa.string())
-                joined = pc.if_else(lists.is_valid(), joined, pa.scalar(None, pa.string()))
-                yield pa.RecordBatch.from_arrays([*part.columns, joined], [*part.schema.names, name])
+                yield pa.RecordBatch.from_arrays([*part.columns, _spelled(part.column(ids), vocabulary)], [*part.schema.names, name])
 
     return encoded.mapInArrow(join, schema)
